@@ -96,7 +96,7 @@ def votes(text: str, kind: int, start: int, end: int, base: bool) -> tuple[int,
         shape = 1 if any(c.isdigit() for c in value) and len(value) >= 8 else -1
     before = text[max(0, start - 40) : start].lower()
     context = 1 if any(c in before for c in CUES[kind]) else -1 if any(c in before for c in AGAINST) else 0
-    return (1 if base else -1, gazetteer, context, shape)
+    return (1 if base else 0 if kind == 4 else -1, gazetteer, context, shape)
 
 
 def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, tuple]]]:
