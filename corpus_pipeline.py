@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from deltaloom.llm import op1_quality, op2_jaccard, op5_packing, op7_pii
+from deltaloom.llm import op1_quality, op2_jaccard, op3_mixing, op5_packing, op7_pii
 from deltaloom.llm.common import scratch_dir
 
 
@@ -25,12 +25,17 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return op7_pii.redacted(docs)
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources by weight: a row for each pass over a document, with the words that the mix takes in it."""
+    return op3_mixing.mixed_documents(docs)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
     return op5_packing.packed_pieces(docs)
 
 
-STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("packing", packing)]
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal_data", personal_data), ("mixing", mixing), ("packing", packing)]
 #: Learned weights, components and tokens can't be expressed in SQL.
 ORACLE_SQL = None
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_quality, op2_jaccard, op5_packing, op7_pii, op10_licenses
+from . import op1_quality, op2_jaccard, op3_mixing, op4_substrings, op5_packing, op6_neighbours, op7_pii, op9_exact, op10_licenses
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,17 +19,33 @@ def op2_jaccard_join(spark, sf_dir):
     return op2_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing_words(spark, sf_dir):
+    return op3_mixing.mixed_words(table(spark, sf_dir, "documents"))
+
+
+def op4_suffix_array_dedup(spark, sf_dir):
+    return op4_substrings.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_packing_pieces(spark, sf_dir):
     return op5_packing.packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_neighbours(spark, sf_dir):
+    return op6_neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_personal_data(spark, sf_dir):
     return op7_pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op9_exact_top_k(spark, sf_dir):
+    return op9_exact.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_license_notices(spark, sf_dir):
     return op10_licenses.license_notices(table(spark, sf_dir, "documents")).drop("notices")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_scores, op2_jaccard_join, op5_packing_pieces, op7_personal_data, op10_license_notices)}
+QUERIES = {f.__name__: f for f in (op1_quality_scores, op2_jaccard_join, op3_mixing_words, op4_suffix_array_dedup, op5_packing_pieces, op6_nearest_neighbours, op7_personal_data, op9_exact_top_k, op10_license_notices)}
 ORACLE_SQL: dict[str, str] = {}
