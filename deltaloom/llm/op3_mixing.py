@@ -57,7 +57,7 @@ def permuted(index: np.ndarray, count: int, key: int, rounds: int = 4) -> np.nda
     """
     half = U64(max(1, (int(count - 1).bit_length() + 1) // 2))
     mask = (U64(1) << half) - U64(1)
-    keys = mix(np.arange(1, rounds + 1, dtype=U64) * MIX_B + U64(key & 2**63 - 1) * MIX_A)
+    keys = mix(np.arange(1, rounds + 1, dtype=U64) * MIX_B + U64(key * int(MIX_A) & 2**64 - 1))
 
     def through(x):
         left, right = x >> half, x & mask

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_quality, op2_jaccard, op3_mixing, op4_substrings, op5_packing, op6_neighbours, op7_pii, op9_exact, op10_licenses
+from . import op1_quality, op2_jaccard, op3_mixing, op4_substrings, op5_packing, op6_neighbours, op7_pii, op8_backoff, op9_exact, op10_licenses
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op7_personal_data(spark, sf_dir):
     return op7_pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op8_backoff_scores(spark, sf_dir):
+    return op8_backoff.backoff_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_top_k(spark, sf_dir):
     return op9_exact.exact_top_k(table(spark, sf_dir, "embeddings"))
 
@@ -47,5 +51,5 @@ def op10_license_notices(spark, sf_dir):
     return op10_licenses.license_notices(table(spark, sf_dir, "documents")).drop("notices")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_scores, op2_jaccard_join, op3_mixing_words, op4_suffix_array_dedup, op5_packing_pieces, op6_nearest_neighbours, op7_personal_data, op9_exact_top_k, op10_license_notices)}
+QUERIES = {f.__name__: f for f in (op1_quality_scores, op2_jaccard_join, op3_mixing_words, op4_suffix_array_dedup, op5_packing_pieces, op6_nearest_neighbours, op7_personal_data, op8_backoff_scores, op9_exact_top_k, op10_license_notices)}
 ORACLE_SQL: dict[str, str] = {}
