@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_or_empty, utf8
+from .common import slices, text_or_empty, tidy, utf8
 
 #: The phrases of the base and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -139,4 +139,4 @@ def license_notices(docs: DataFrame) -> DataFrame:
     notices (word:phrase). Null and empty texts have no words. Repeated rows give a row each; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(_scan, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, notices array<string>")
+    return rows.mapInArrow(tidy(_scan), "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, notices array<string>")

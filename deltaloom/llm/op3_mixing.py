@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import MIX_A, MIX_B, U64, mix, slices, text_or_empty, written
+from .common import MIX_A, MIX_B, U64, mix, slices, text_or_empty, tidy, written
 
 #: Words of a block at most, and blocks of a source at least, where it has the words.
 BLOCK, FINE = 64, 2048
@@ -199,7 +199,7 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     keys = {"_k_id": F.col("doc_id").cast("long"), "_k_tie": F.xxhash64(text_or_empty()), "_k_source": F.col("source")}
     rows = docs.withColumns(keys).dropDuplicates(list(keys))
     same = F.col("_k_id").eqNullSafe(F.col("_doc_id")) & F.col("_k_tie").eqNullSafe(F.col("_tie")) & F.col("_k_source").eqNullSafe(F.col("_source"))
-    out = rows.join(used, same).select(*docs.columns, "_size", "_taken").mapInArrow(_texts(docs.columns), docs.schema)
+    out = rows.join(used, same).select(*docs.columns, "_size", "_taken").mapInArrow(tidy(_texts(docs.columns)), docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

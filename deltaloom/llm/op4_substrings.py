@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX_B, U64, mix, powers, slices, table_of_bytes, text_or_empty, utf8, written
+from .common import MIX_B, U64, mix, powers, slices, table_of_bytes, text_or_empty, tidy, utf8, written
 from .suffix_arrays import repeated_prefixes, suffix_array
 
 #: Bytes of a gram; windows that are looked at together; bytes of a shard.
@@ -23,7 +23,7 @@ GRAM, CHUNK, SHARD = 64, 1 << 18, 1 << 22
 #: Runs of different text that one gram may bring to a shard; the windows of others are sorted by their hash.
 MOST_RUNS = 20_000
 #: Text of which a task joins equal runs before they are dealt out.
-COMBINE = 24 << 20
+COMBINE = 16 << 20
 
 BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 LOW = U64(0xFFFFF)
@@ -274,14 +274,14 @@ def repeated_spans(docs: DataFrame, window: int = 200) -> DataFrame:
 
     docs: rid (a hash of the whole row, so that equal rows share it) and text.
     """
-    met = docs.mapInArrow(_runs(window), RUN).repartition("gram").sortWithinPartitions("gram", "same", "rid", "start").mapInArrow(_meet(window), SPAN)
+    met = docs.mapInArrow(tidy(_runs(window)), RUN).repartition("gram").sortWithinPartitions("gram", "same", "rid", "start").mapInArrow(tidy(_meet(window)), SPAN)
     met = written(met, "runs")
     wanted = met.where("kind = 1")
     hot = wanted.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > MOST_RUNS).select("gram")
     asked = wanted.groupBy("rid").agg(F.collect_list(F.struct("gram", "same", "start", "stop")).alias("wanted"))
-    pieces = written(docs.join(asked, "rid").select("rid", "text", "wanted").mapInArrow(_cut, "gram long, same long, rid long, start long, piece binary"), "pieces")
-    shard = pieces.join(hot, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram", "same").mapInArrow(_shards(window), SPAN)
-    windows = pieces.join(hot, "gram", "left_semi").dropDuplicates(["gram", "same"]).mapInArrow(_windows(window), "g long, h long, rid long, start long")
+    pieces = written(docs.join(asked, "rid").select("rid", "text", "wanted").mapInArrow(tidy(_cut), "gram long, same long, rid long, start long, piece binary"), "pieces")
+    shard = pieces.join(hot, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram", "same").mapInArrow(tidy(_shards(window)), SPAN)
+    windows = pieces.join(hot, "gram", "left_semi").dropDuplicates(["gram", "same"]).mapInArrow(tidy(_windows(window)), "g long, h long, rid long, start long")
     twice = windows.groupBy("g", "h").agg(F.count("*").alias("n")).where("n > 1")
     busy = windows.join(twice, ["g", "h"], "left_semi").select("rid", "start", (F.col("start") + window).alias("stop"))
     return met.where("kind = 0").select("rid", "start", "stop").unionAll(shard.select("rid", "start", "stop")).unionAll(busy).distinct()
@@ -318,4 +318,4 @@ def without_repeats(docs: DataFrame, window: int = 200) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn("rid", F.xxhash64("doc_id", "text"))
     spans = repeated_spans(texts.select("rid", "text"), window)
     spans = written(spans.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
-    return texts.join(spans, "rid", "left").select("doc_id", "text", "spans").mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    return texts.join(spans, "rid", "left").select("doc_id", "text", "spans").mapInArrow(tidy(_remove), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")

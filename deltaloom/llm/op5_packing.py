@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import text_or_empty, tidy
 
 #: Tokens that are packed together, about: what a task holds in memory.
 WINDOW_TOKENS = 1 << 21
@@ -141,4 +141,4 @@ def packed_pieces(docs: DataFrame, vocabulary: str | None = None, pattern: str |
 
         vocabulary, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(_pack(vocabulary, pattern, size, end, linear, quadratic), SCHEMA)
+    return rows.mapInArrow(tidy(_pack(vocabulary, pattern, size, end, linear, quadratic)), SCHEMA)

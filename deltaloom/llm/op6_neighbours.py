@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import tidy, written
 
 #: Orderings, dimensions of a projection, bits of a coordinate, rows of a block of an ordering.
 CURVES, DIMENSIONS, BITS, BLOCK = 12, 6, 8, 1024
@@ -188,10 +188,10 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, curves: int = CURV
     every_row = written(firsts.unionByName(asking), "vectors")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
     size = every_row.agg(F.max(norm).alias("longest"), F.sqrt(F.avg(norm * norm / F.size("embedding"))).alias("spread")).first()
-    keyed = every_row.mapInArrow(_keys(curves, seed, size["longest"] or 1.0, size["spread"] or 1.0), "curve int, key long, vec_id long, embedding array<double>, asks boolean, answers boolean")
+    keyed = every_row.mapInArrow(tidy(_keys(curves, seed, size["longest"] or 1.0, size["spread"] or 1.0)), "curve int, key long, vec_id long, embedding array<double>, asks boolean, answers boolean")
     parts = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = keyed.repartitionByRange(parts, "curve", "key", F.xxhash64("vec_id")).sortWithinPartitions("curve", "key", "vec_id")
-    dealt = ranged.mapInArrow(_blocks(block), "part int, curve int, block int, vec_id long, embedding array<double>, asks boolean, answers boolean")
+    dealt = ranged.mapInArrow(tidy(_blocks(block)), "part int, curve int, block int, vec_id long, embedding array<double>, asks boolean, answers boolean")
     found = dealt.groupBy("part", "curve", "block").applyInPandas(_search(k), "query_id long, vec_id long, score double").distinct()
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_or_empty
+from .common import slices, text_or_empty, tidy
 
 #: The base's kinds and patterns, in the order of its results.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -189,7 +189,7 @@ def train(table: dict[tuple, int], posterior: dict[tuple, float]) -> np.ndarray:
 
 def fit(docs: DataFrame) -> np.ndarray:
     """The span classifier's weights from all documents; the driver gets the counts of a fixed set of patterns."""
-    counted = docs.select(text_or_empty().alias("text")).mapInArrow(_patterns, "pattern array<int>, n long")
+    counted = docs.select(text_or_empty().alias("text")).mapInArrow(tidy(_patterns), "pattern array<int>, n long")
     rows = counted.groupBy("pattern").agg(F.sum("n").alias("n")).collect()
     table = {tuple(r["pattern"]): r["n"] for r in rows}
     return train(table, estimate(table))
@@ -233,7 +233,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     Null and empty texts have none. Repeated rows give a row each, null doc_ids included; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(_find(fit(docs)), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return rows.mapInArrow(tidy(_find(fit(docs))), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def _redact(weights):
@@ -257,7 +257,7 @@ def _redact(weights):
 
 def redacted(docs: DataFrame) -> DataFrame:
     """All rows of docs with every span replaced by its kind in brackets; n_chars, where there is one, follows."""
-    out = docs.mapInArrow(_redact(fit(docs)), docs.schema)
+    out = docs.mapInArrow(tidy(_redact(fit(docs))), docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX_A, U64, mix, slices, text_or_empty, utf8, word_hashes, written
+from .common import MIX_A, U64, mix, slices, text_or_empty, tidy, utf8, word_hashes, written
 
 #: Words of the longest n-gram, factor of a step back, bits of an n-gram's hash (raise for more than 1e11 n-grams).
 ORDER, BACKOFF, KEY_BITS = 3, 0.4, 48
@@ -170,12 +170,12 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     texts have no words and score 0. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    chunks = written(rows.mapInArrow(_chunks, CHUNK_SCHEMA), "chunks")
+    chunks = written(rows.mapInArrow(tidy(_chunks), CHUNK_SCHEMA), "chunks")
     size = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     part_bits = max(4, int(-(-size // PART)).bit_length())
-    asked = chunks.mapInArrow(_requests(part_bits), "n int, part long, chunk long, keys binary, counts binary")
+    asked = chunks.mapInArrow(tidy(_requests(part_bits)), "n int, part long, chunk long, keys binary, counts binary")
     answers = asked.groupBy("n", "part").applyInPandas(_answer, "chunk long, n int, part long, totals binary")
     answers = written(answers, "answers")
     total = rows.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long"))).first()[0] or 0
     by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("n", "part", "totals")).alias("answers"))
-    return chunks.join(by_chunk, "chunk", "left").mapInArrow(_score(total), "doc_id long, n_words long, log_score double, mean_log_score double")
+    return chunks.join(by_chunk, "chunk", "left").mapInArrow(tidy(_score(total)), "doc_id long, n_words long, log_score double, mean_log_score double")
