@@ -1,10 +1,518 @@
-"""Registered queries of the change-data operators."""
+"""Registered queries of the change-data operators, each with equivalent SQL where SQL can express it."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from deltaloom.functions import scalars
+from deltaloom.operators import changes, events, jobs, overlay, ownership
+from deltaloom.sources import tables
+
+from .fixtures import fixture, oracle
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+KEY = ["o_orderkey"]
+
+
+def query(sql: str | None = None):
+    """Register a function of a fixture getter under its name."""
+
+    def add(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: fixture(spark, sf_dir, name))
+        if sql:
+            ORACLE_SQL[f.__name__] = oracle(sql)
+        return f
+
+    return add
+
+
+def flat(df: DataFrame, *keep: str) -> DataFrame:
+    """Events with the price of the old and new row."""
+    return df.select(*keep, "kind", F.col("old.o_totalprice").alias("old_price"), F.col("new.o_totalprice").alias("new_price"))
+
+
+# change application
+
+COALESCED = "SELECT txn, o_orderkey, CASE WHEN d AND i THEN 'update' WHEN i THEN 'insert' ELSE 'delete' END AS kind, old_price, new_price FROM (SELECT txn, o_orderkey, bool_or(op = 'delete') AS d, bool_or(op = 'insert') AS i, max(CASE WHEN op = 'delete' THEN o_totalprice END) AS old_price, max(CASE WHEN op = 'insert' THEN o_totalprice END) AS new_price FROM orders_log GROUP BY txn, o_orderkey) x"
+DELTA = "(SELECT o_orderkey, bool_or(op = 'delete') AS d, bool_or(op = 'insert') AS i, max(CASE WHEN op = 'delete' THEN o_totalprice END) AS d_price, max(CASE WHEN op = 'insert' THEN o_totalprice END) AS i_price, max(CASE WHEN op = 'insert' THEN o_orderstatus END) AS i_status FROM orders_log GROUP BY o_orderkey)"
+FINAL = f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders_base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_log) UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders_log WHERE op = 'insert'"
+SLIM = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query(COALESCED)
+def coalesce_changes(t):
+    return flat(changes.coalesce_changes(t("orders_log"), KEY), "txn", *KEY)
+
+
+@query(f"SELECT o_orderkey, kind, CASE WHEN kind <> 'insert' THEN b.o_totalprice END AS old_price, CASE WHEN kind <> 'delete' THEN i_price END AS new_price FROM (SELECT l.*, CASE WHEN i AND b.o_orderkey IS NULL THEN 'insert' WHEN i AND (b.o_totalprice <> i_price OR b.o_orderstatus <> i_status) THEN 'update' WHEN i THEN NULL WHEN b.o_orderkey IS NOT NULL THEN 'delete' END AS kind FROM {DELTA} l LEFT JOIN orders_base b USING (o_orderkey)) x LEFT JOIN orders_base b USING (o_orderkey) WHERE kind IS NOT NULL")
+def classify_reconcile(t):
+    return flat(changes.classify_against_state(t("orders_base"), t("orders_log"), KEY), *KEY)
+
+
+@query(f"SELECT o_orderkey, kind, old_price, new_price FROM (SELECT o_orderkey, CASE WHEN d AND b.o_orderkey IS NOT NULL THEN 'update' ELSE 'insert' END AS kind, CASE WHEN d THEN b.o_totalprice END AS old_price, i_price AS new_price FROM {DELTA} l LEFT JOIN orders_base b USING (o_orderkey) WHERE i UNION ALL SELECT o_orderkey, 'delete', coalesce(b.o_totalprice, d_price), NULL FROM {DELTA} l LEFT JOIN orders_base b USING (o_orderkey) WHERE d AND NOT (i AND b.o_orderkey IS NOT NULL)) x")
+def classify_strict(t):
+    return flat(changes.classify_against_state(t("orders_base"), t("orders_log"), KEY, "strict"), *KEY)
+
+
+@query(FINAL)
+def apply_changes(t):
+    return changes.apply_changes(t("orders_base"), t("orders_log"), KEY).select(*SLIM)
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(sum(n) AS BIGINT) AS n FROM (SELECT l_orderkey, l_linenumber, 1 AS n FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber) AS r FROM line_bag) x WHERE NOT (l_orderkey % 3 = 0 AND r = 1) UNION ALL SELECT l_orderkey, l_linenumber, 1 FROM line_bag WHERE l_orderkey % 10 = 0) y GROUP BY l_orderkey, l_linenumber")
+def apply_changes_bag(t):
+    return changes.apply_changes_bag(t("line_bag"), t("line_bag_log")).groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
+
+
+@query("SELECT txn, op, count(*) AS n FROM (SELECT DISTINCT txn, op, l_orderkey, l_linenumber FROM line_bag_log) x GROUP BY txn, op")
+def merge_row_groups(t):
+    log = t("line_bag_log").withColumns({"query_set_id": F.lit(1), "grp": F.pmod("l_linenumber", F.lit(2)).cast("int")})
+    return changes.merge_row_groups(log).groupBy("txn", "op").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT txn, o_orderkey FROM orders_log WHERE o_orderkey NOT IN (SELECT o_orderkey FROM overlay)")
+def touched_keys(t):
+    return changes.touched_keys(t("orders_log"), KEY, overlay.protected_keys(t("overlay"), KEY))
+
+
+@query("SELECT DISTINCT o_orderkey FROM orders_log WHERE op = 'insert' AND o_orderkey NOT IN (SELECT o_orderkey FROM orders_base)")
+def fresh_keys(t):
+    return changes.fresh_keys(t("orders_base"), t("orders_log"), KEY)
+
+
+@query("SELECT DISTINCT o_orderkey FROM orders_log WHERE op = 'insert'")
+def inserted_keys(t):
+    return changes.inserted_keys(t("orders_log"), KEY)
+
+
+@query("SELECT o_orderkey FROM orders_log GROUP BY o_orderkey HAVING bool_and(op = 'delete')")
+def removed_keys(t):
+    return changes.removed_keys(t("orders_log"), KEY)
+
+
+@query("SELECT txn, o_orderkey, 'present' AS side FROM orders_log WHERE op = 'insert' GROUP BY txn, o_orderkey UNION ALL SELECT txn, o_orderkey, 'absent' FROM orders_log GROUP BY txn, o_orderkey HAVING bool_and(op = 'delete')")
+def present_absent_keys(t):
+    log = t("orders_log")
+    return changes.present_keys(log, KEY).withColumn("side", F.lit("present")).unionByName(changes.absent_keys(log, KEY).withColumn("side", F.lit("absent")))
+
+
+@query(f"SELECT o_orderkey, i_price AS committed_price FROM {DELTA} x WHERE o_orderkey IN (SELECT o_orderkey FROM overlay)")
+def split_protected(t):
+    return changes.split_protected(t("orders_log"), overlay.protected_keys(t("overlay"), KEY), KEY)[1].select(*KEY, F.col("committed.o_totalprice").alias("committed_price"))
+
+
+@query(f"SELECT txn, count_if(kind = 'insert') AS inserts, count_if(kind = 'delete') AS deletes, count_if(kind = 'update') AS updates, max(CASE WHEN kind = 'insert' THEN 1 ELSE 0 END) AS insert_first FROM ({COALESCED}) y GROUP BY txn")
+def transaction_batches(t):
+    out = changes.transaction_batches(changes.coalesce_changes(t("orders_log"), KEY))
+    return out.select("txn", "inserts", "deletes", "updates", (F.element_at("events", 1)["kind"] == "insert").cast("int").alias("insert_first"))
+
+
+for _kind in ("insert", "update", "delete"):
+
+    def _of_kind(t, kind=_kind):
+        return flat(changes.of_kind(changes.coalesce_changes(t("orders_log"), KEY), kind), "txn", *KEY)
+
+    _of_kind.__name__ = f"{_kind}s_of_changes"
+    query(f"SELECT * FROM ({COALESCED}) y WHERE kind = '{_kind}'")(_of_kind)
+
+
+@query(f"SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 'insert' WHEN b.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS kind, a.o_totalprice AS old_price, b.o_totalprice AS new_price FROM orders_base a FULL JOIN ({FINAL}) b USING (o_orderkey) WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.o_totalprice <> b.o_totalprice OR a.o_orderstatus <> b.o_orderstatus")
+def snapshot_diff(t):
+    base = t("orders_base").select(*SLIM)
+    return flat(changes.snapshot_diff(base, changes.apply_changes(t("orders_base"), t("orders_log"), KEY).select(*SLIM), KEY), *KEY)
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders_base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM overlay)")
+def apply_deletes(t):
+    return changes.apply_deletes(t("orders_base"), t("overlay"), KEY).select("o_orderkey", "o_totalprice")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders_base WHERE o_orderkey % 5 <> 0 UNION ALL SELECT o_orderkey, o_totalprice + 1 FROM orders WHERE o_orderkey % 5 = 0")
+def upsert_rows(t):
+    rows = t("orders").where("o_orderkey % 5 = 0").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    return changes.upsert_rows(t("prices"), rows, KEY)
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders_base")
+def update_rows(t):
+    rows = t("orders").where("o_orderkey % 5 = 0").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    return changes.update_rows(t("prices"), rows, KEY)
+
+
+# queries and views
+
+
+@query("SELECT * FROM nation")
+def select_all(t):
+    return t("nation")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 1000 AND o_totalprice <= 50000 AND o_orderstatus = 'F'")
+def where_range_and(t):
+    return t("orders").where("o_totalprice >= 1000 and o_totalprice <= 50000 and o_orderstatus = 'F'").select("o_orderkey", "o_totalprice")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'a%'")
+def where_like(t):
+    return t("part").where(F.col("p_name").like("a%")).select("p_partkey", "p_name")
+
+
+@query("SELECT c.c_custkey, c.c_name FROM nation n JOIN customer c ON n.n_nationkey = c.c_nationkey WHERE n.n_regionkey = 1")
+def join_project(t):
+    c = t("customer")
+    return c.join(t("nation").where("n_regionkey = 1"), F.col("c_nationkey") == F.col("n_nationkey")).select(c["c_custkey"], c["c_name"])
+
+
+@query("SELECT DISTINCT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 50000 OR o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'")
+def query_set_snapshot(t):
+    o = t("orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    return o.where("o_totalprice >= 50000").unionByName(o.where("o_orderdate >= timestamp'1998-01-01'")).dropDuplicates(KEY).drop("o_orderdate")
+
+
+@query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_custkey = 7 OR o_totalprice > 1000 GROUP BY o_orderstatus")
+def one_off_query(t):
+    o = t("orders")
+    return o.sparkSession.sql("SELECT o_orderstatus, count(*) AS n FROM {o} WHERE o_custkey = :key OR o_totalprice > :price GROUP BY o_orderstatus", args={"key": 7, "price": 1000}, o=o)
+
+
+@query("SELECT 'orders' AS table_name, count(*) AS n FROM orders UNION ALL SELECT 'events', count(*) FROM events")
+def row_count(t):
+    return t("orders").select(F.lit("orders").alias("table_name")).unionAll(t("events").select(F.lit("events"))).groupBy("table_name").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT o_orderkey FROM orders_base")
+def primary_keys(t):
+    return t("orders_base").select("o_orderkey").distinct()
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey = 3)")
+def view_for_sender(t):
+    return t("orders").join(t("customer").where("c_nationkey = 3"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey", "o_custkey")
+
+
+@query(f"SELECT * FROM ({COALESCED}) y WHERE kind = 'update' AND new_price > old_price")
+def updates_where(t):
+    u = changes.of_kind(changes.coalesce_changes(t("orders_log"), KEY), "update")
+    return flat(u.where("new.o_totalprice > old.o_totalprice"), "txn", *KEY)
+
+
+@query(f"SELECT * FROM ({COALESCED}) y WHERE o_orderkey IN (SELECT o_orderkey FROM overlay) AND old_price IS DISTINCT FROM new_price")
+def watch_keys(t):
+    c = changes.coalesce_changes(t("orders_log"), KEY).join(overlay.protected_keys(t("overlay"), KEY), KEY, "left_semi")
+    return flat(c.where("not (old <=> new)"), "txn", *KEY)
+
+
+@query("SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice < 100000 THEN 'removed' ELSE 'remaining' END AS side FROM orders")
+def removed_where(t):
+    return t("orders").select("o_orderkey", "o_totalprice", F.when(F.col("o_totalprice") < 100000, "removed").otherwise("remaining").alias("side"))
+
+
+# ownership
+
+
+@query("SELECT o_orderkey, count(*) AS n_owners, min(query_set_id) AS first_owner FROM orders_owners GROUP BY o_orderkey")
+def row_owners(t):
+    return ownership.row_owners(t("orders_owners"), KEY).select(*KEY, F.size("owners").cast("long").alias("n_owners"), F.element_at("owners", 1).alias("first_owner"))
+
+
+def _steps(t):
+    state = t("orders").where("o_totalprice >= 50000 or o_orderdate >= timestamp'1998-01-01'").select("o_orderkey", "o_totalprice")
+    return state, ownership.ownership_steps(state, t("orders_owners"), t("two_set_log"), KEY)
+
+
+STEPS = """SELECT *, coalesce(lag(after_) OVER w, 0) AS before_, lag(value_) OVER w AS previous_ FROM (SELECT *, sum(gain) OVER u AS after_, last_value(price IGNORE NULLS) OVER u AS value_ FROM (SELECT *, owns - coalesce(lag(owns) OVER (PARTITION BY o_orderkey, query_set_id ORDER BY txn), 0) AS gain FROM (SELECT o_orderkey, -1 AS txn, query_set_id, 1 AS owns, o_totalprice AS price FROM orders_owners JOIN orders USING (o_orderkey) UNION ALL SELECT o_orderkey, txn, query_set_id, max(CASE WHEN op = 'insert' THEN 1 ELSE 0 END), max(CASE WHEN op = 'insert' THEN o_totalprice END) FROM two_set_log GROUP BY o_orderkey, txn, query_set_id) a) b WINDOW u AS (PARTITION BY o_orderkey ORDER BY txn, query_set_id ROWS UNBOUNDED PRECEDING)) c WINDOW w AS (PARTITION BY o_orderkey ORDER BY txn, query_set_id)"""
+
+
+@query(f"SELECT txn, query_set_id, o_orderkey, kind, CASE WHEN kind <> 'insert' THEN previous_ END AS old_price, CASE WHEN kind <> 'delete' THEN value_ END AS new_price FROM (SELECT *, CASE WHEN before_ = 0 AND after_ > 0 THEN 'insert' WHEN before_ > 0 AND after_ = 0 THEN 'delete' WHEN before_ > 0 AND after_ > 0 AND previous_ <> value_ THEN 'update' END AS kind FROM ({STEPS}) d WHERE txn >= 0) e WHERE kind IS NOT NULL")
+def apply_owned_delta(t):
+    return flat(ownership.owned_events(_steps(t)[1], KEY), "txn", "query_set_id", *KEY)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Net changes of orders under two overlapping query sets."""
+    return QUERIES["apply_owned_delta"](spark, sf_dir)
+
+
+@query(f"SELECT o_orderkey, value_ AS o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY txn DESC, query_set_id DESC) AS r FROM ({STEPS}) d) e WHERE r = 1 AND after_ > 0")
+def owned_state_after(t):
+    state, steps = _steps(t)
+    return ownership.state_after(state, steps, KEY)
+
+
+@query("SELECT o_orderkey, query_set_id FROM (SELECT o_orderkey, query_set_id, owns, row_number() OVER (PARTITION BY o_orderkey, query_set_id ORDER BY txn DESC) AS r FROM (SELECT o_orderkey, -1 AS txn, query_set_id, 1 AS owns FROM orders_owners UNION ALL SELECT o_orderkey, txn, query_set_id, max(CASE WHEN op = 'insert' THEN 1 ELSE 0 END) FROM two_set_log GROUP BY o_orderkey, txn, query_set_id) a) b WHERE r = 1 AND owns = 1")
+def owners_after(t):
+    return ownership.owners_after(_steps(t)[1], KEY)
+
+
+@query("SELECT o_orderkey, query_set_id FROM two_set_log GROUP BY o_orderkey, query_set_id HAVING bool_and(op = 'delete') EXCEPT SELECT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 2 AND o_orderkey % 4 = 0 EXCEPT SELECT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 1")
+def ownership_imbalance(t):
+    return ownership.ownership_imbalance(t("orders_owners").where("query_set_id = 1 or o_orderkey % 4 = 0"), t("two_set_log"), KEY).select("o_orderkey", "query_set_id")
+
+
+@query("SELECT DISTINCT o_orderkey FROM orders_owners WHERE query_set_id = 2 AND o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners WHERE query_set_id = 1) AND o_orderkey NOT IN (SELECT o_orderkey FROM overlay)")
+def drop_query_set(t):
+    return ownership.drop_query_set(t("orders_owners"), 2, KEY, t("overlay"))[1]
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders_base WHERE o_orderkey % 2 = 1 AND NOT (o_totalprice >= 50000 AND o_orderdate < TIMESTAMP '1998-01-01 00:00:00') UNION ALL SELECT o_orderkey, o_totalprice + 1 FROM orders WHERE o_orderkey % 2 = 0")
+def apply_snapshot(t):
+    snapshot = t("orders").where("o_orderkey % 2 = 0").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    return ownership.apply_snapshot(t("prices"), t("orders_owners"), snapshot, 1, KEY)[0]
+
+
+@query("SELECT o_orderkey FROM orders_base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners) AND o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey NOT IN (SELECT o_orderkey FROM overlay)")
+def sweep_unowned(t):
+    o = t("orders")
+    return ownership.sweep_unowned(t("orders_base"), t("orders_owners"), o.where("o_orderkey % 3 = 0"), o.where("o_orderkey % 5 = 0"), KEY, t("overlay"))
+
+
+@query("SELECT o_orderkey, query_hash FROM orders, (SELECT 11 AS query_hash UNION ALL SELECT 12) h WHERE o_orderkey IN (SELECT o_orderkey FROM orders_owners WHERE query_set_id = 2) AND o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners WHERE query_set_id = 1) UNION SELECT o_orderkey, 13 FROM orders WHERE o_orderkey % 3 = 0")
+def retain_on_unsubscribe(t):
+    tags = t("orders").where("o_orderkey % 3 = 0").select("o_orderkey", F.lit(13).cast("long").alias("query_hash"))
+    return ownership.retain_on_unsubscribe(t("orders_owners"), tags, 2, [11, 12], KEY)
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 6 <> 0 AND o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners) AND o_orderkey % 5 <> 0")
+def reconcile_retained(t):
+    o = t("orders")
+    tags = o.where("o_orderkey % 3 = 0").select("o_orderkey", F.lit(13).alias("query_hash")).unionAll(o.where("o_orderkey % 6 = 0").select("o_orderkey", F.lit(14)))
+    hashes = o.sparkSession.range(13, 14).select(F.col("id").cast("int").alias("query_hash"))
+    return ownership.reconcile_retained(tags, hashes, o.where("o_orderkey % 5 = 0"), t("orders_owners"), KEY)[1]
+
+
+@query("SELECT o_orderkey, CASE WHEN bool_or(query_set_id = 2) AND o_orderkey % 2 >= 0 THEN 'carry' WHEN o_orderkey IN (SELECT o_orderkey FROM overlay) THEN 'skip' ELSE 'evict' END AS action FROM orders_owners WHERE o_orderkey % 4 <> 0 GROUP BY o_orderkey")
+def finalize_generation(t):
+    spark = t("nation").sparkSession
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "query_set_id int")
+    owners = t("orders_owners")
+    return ownership.finalize_generation(owners, owners.where("o_orderkey % 4 = 0"), ids(1), ids(2), KEY, t("overlay"))
+
+
+@query("SELECT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 1 UNION ALL SELECT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 2 AND o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners WHERE query_set_id = 1)")
+def owned_or_pending(t):
+    o = t("orders_owners")
+    return ownership.owned_or_pending(o.where("query_set_id = 1"), o, KEY)
+
+
+@query("SELECT o_orderkey FROM orders_owners WHERE query_set_id = 2 EXCEPT SELECT o_orderkey FROM orders_owners WHERE query_set_id = 1")
+def ownership_gained(t):
+    o = t("orders_owners")
+    return ownership.ownership_gained(o.where("query_set_id = 1"), o, KEY)
+
+
+@query("SELECT txn, o_orderkey, op FROM two_set_log WHERE query_set_id = 1")
+def ignore_unregistered(t):
+    log = t("two_set_log")
+    return ownership.ignore_unregistered(log, log.sparkSession.range(1, 2).select(F.col("id").cast("int").alias("query_set_id"))).select("txn", "o_orderkey", "op")
+
+
+# overlay and queue
+
+VISIBLE = "SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders_base WHERE o_orderkey % 22 <> 0"
+
+
+def _overlay(t):
+    o = t("overlay")
+    row = F.when(F.col("new_price").isNotNull(), F.struct("o_orderkey", F.col("new_price").alias("o_totalprice")))
+    return o.withColumn("new", row).withColumn("old", row).drop("new_price")
+
+
+@query(VISIBLE)
+def visible_state(t):
+    return overlay.visible_state(t("prices"), _overlay(t), KEY)
+
+
+@query(VISIBLE.replace("o_orderkey % 11 = 0", "o_orderkey % 11 = 0 AND o_orderkey % 3 <> 1").replace("o_orderkey % 22 <> 0", "NOT (o_orderkey % 22 = 0 AND o_orderkey % 3 <> 1)"))
+def rollback(t):
+    return overlay.visible_state(t("prices"), overlay.rollback(_overlay(t), 1), KEY)
+
+
+@query("SELECT DISTINCT o_orderkey FROM overlay")
+def protected_keys(t):
+    return overlay.protected_keys(t("overlay"), KEY)
+
+
+@query("SELECT o_orderkey, change_no, o_orderkey IN (SELECT o_orderkey FROM orders_log) AS confirmed FROM overlay WHERE request_id = 1")
+def confirm_by_touch(t):
+    return overlay.confirm_by_touch(t("overlay"), 1, t("orders_log"), KEY).select("o_orderkey", "change_no", "confirmed")
+
+
+@query(FINAL)
+def committed_under_overlay(t):
+    return overlay.committed_under_overlay(t("orders_base"), t("orders_log"), KEY).select(*SLIM)
+
+
+@query("SELECT DISTINCT o_orderkey, CASE WHEN o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners) AND o_orderkey NOT IN (SELECT o_orderkey FROM orders_log) THEN 'drop' ELSE 'promote' END AS outcome FROM overlay WHERE request_id = 1")
+def confirm_own_commit(t):
+    return overlay.confirm_own_commit(t("overlay").withColumn("kind", F.lit("insert")), 1, t("orders_log"), t("orders_owners"), KEY)
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders_base WHERE o_orderkey % 13 <> 0")
+def committed_only(t):
+    return overlay.committed_only(t("prices"), t("prices").where("o_orderkey % 13 = 0"))
+
+
+@query("SELECT DISTINCT o_orderkey FROM overlay WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners)")
+def unowned_awaits(t):
+    return overlay.unowned_awaits(overlay.protected_keys(t("overlay"), KEY), t("orders_owners"), KEY)
+
+
+@query("SELECT request_id FROM (SELECT o_orderkey % 1000 AS request_id, o_orderkey IN (SELECT o_orderkey FROM orders_owners) AS owned FROM orders) x GROUP BY request_id HAVING bool_and(owned)")
+def release_owned(t):
+    return overlay.release_owned(t("orders").select((F.col("o_orderkey") % 1000).alias("request_id"), "o_orderkey"), t("orders_owners"), KEY)
+
+
+@query("SELECT event_id AS seq, row_number() OVER (ORDER BY event_id) <= 100 AS kept FROM events")
+def bound_queue(t):
+    return overlay.bound_queue(t("events").select(F.col("event_id").alias("seq")), 100, "reject_new")
+
+
+@query("SELECT event_id AS seq, ts < (SELECT max(ts) FROM events) - INTERVAL '1' DAY AS expired FROM events")
+def expire(t):
+    e = t("events")
+    now = e.agg(F.max("ts")).first()[0]
+    return overlay.expire(e.select(F.col("event_id").alias("seq"), F.col("ts").alias("created_at")), "1 day", now).select("seq", "expired")
+
+
+ATTEMPTS = "SELECT event_id AS seq, CASE event_id % 6 WHEN 0 THEN 'success' WHEN 1 THEN 'rejected' WHEN 2 THEN 'aborted' WHEN 3 THEN 'success' WHEN 4 THEN 'aborted' ELSE 'timeout' END AS outcome, CASE WHEN event_id % 5 < 3 THEN 'landed' ELSE 'not_landed' END AS landed, event_id % 2 = 0 AS pure_insert, event_id % 4 AS rechecks FROM events"
+
+
+@query(f"SELECT seq, action, seq <= (SELECT coalesce(min(CASE WHEN outcome = 'timeout' AND landed <> 'landed' THEN seq END), 9000000000) FROM ({ATTEMPTS}) b) AS attempted FROM (SELECT *, CASE WHEN outcome = 'success' THEN 'confirm' WHEN outcome = 'rejected' THEN 'fail' WHEN landed = 'landed' THEN 'confirm' WHEN outcome = 'aborted' AND pure_insert AND rechecks < 3 THEN 'keep' WHEN outcome = 'aborted' THEN 'fail' ELSE 'keep' END AS action FROM ({ATTEMPTS}) a) x")
+def replay_action(t):
+    e = t("events")
+    return overlay.replay_action(e.sparkSession.sql(ATTEMPTS.replace("FROM events", "FROM {e}"), e=e)).select("seq", "action", "attempted")
+
+
+# events
+
+
+@query("SELECT request_id, result_ts, outcome, name, CASE WHEN name IS NULL THEN 'remote' ELSE 'call' END AS cause FROM results LEFT JOIN calls USING (request_id)")
+def match_results(t):
+    return events.match_results(t("calls"), t("results")).select("request_id", "result_ts", "outcome", "name", "cause")
+
+
+@query("SELECT request_id, CASE outcome WHEN 0 THEN 'committed' WHEN 1 THEN 'committed_empty' WHEN 2 THEN 'failed' ELSE 'internal_error' END AS status FROM results")
+def result_status(t):
+    return t("results").select("request_id", events.result_status().alias("status"))
+
+
+@query("SELECT c.request_id, c.call_ts, c.name FROM calls c LEFT JOIN results r ON c.request_id = r.request_id AND r.result_ts BETWEEN c.call_ts AND c.call_ts + INTERVAL '10' SECOND WHERE r.request_id IS NULL")
+def call_timeouts(t):
+    return events.call_timeouts(t("calls"), t("results")).select("request_id", "call_ts", "name")
+
+
+@query("SELECT request_id, drop_ts FROM (SELECT c.request_id, min(d.drop_ts) AS drop_ts FROM calls c JOIN drops d ON d.user_id = c.user_id AND d.drop_ts >= c.call_ts GROUP BY c.request_id) x LEFT JOIN results r USING (request_id) WHERE r.result_ts IS NULL OR r.result_ts > drop_ts")
+def calls_failed_by_disconnect(t):
+    return events.calls_failed_by_disconnect(t("calls"), t("results"), t("drops"), "user_id")
+
+
+@query("SELECT request_id, CASE WHEN outcome = 3 THEN 'internal_error' ELSE 'returned' END AS status FROM calls JOIN results USING (request_id)")
+def procedure_results(t):
+    return events.procedure_results(t("calls"), t("results")).select("request_id", "status")
+
+
+@query("SELECT user_id, seq, value FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY seq) AS p, row_number() OVER (PARTITION BY user_id ORDER BY seq) AS r FROM history) x WHERE r = 1 OR value IS DISTINCT FROM p")
+def distinct_until_changed(t):
+    return events.distinct_until_changed(t("history"), ["user_id"]).select("user_id", "seq", "value")
+
+
+@query("SELECT user_id, min(seq) AS seq, arg_min(value, seq) AS value FROM history WHERE value = 'click' GROUP BY user_id")
+def first_matching(t):
+    return events.first_matching(t("history"), ["user_id"], F.col("value") == "click")
+
+
+@query("SELECT user_id, min(seq) AS seq, arg_min(value, seq) AS value FROM history WHERE seq > 500 GROUP BY user_id")
+def next_change(t):
+    return events.next_change(t("history"), ["user_id"], 500)
+
+
+@query("SELECT user_id, max(seq) AS seq, arg_max(value, seq) AS value FROM history WHERE seq <= 500 GROUP BY user_id UNION ALL SELECT user_id, seq, value FROM history WHERE seq > 500")
+def state_then_changes(t):
+    return events.state_then_changes(t("history"), ["user_id"], 500)
+
+
+@query("SELECT seq, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seq DESC) AS r FROM user_log) x WHERE r = 1 AND op <> 'delete'")
+def latest_state(t):
+    return events.latest_state(t("user_log"), ["user_id"]).drop("op")
+
+
+@query("SELECT event_id, event_id % 3 = 0 OR (event_id % 2 = 0 AND user_id % 5 = 1) AS is_mine FROM events")
+def with_context(t):
+    e = t("events").select("event_id", F.when(F.col("event_id") % 2 == 0, "call").otherwise("remote").alias("cause"), (F.col("user_id") % 5).cast("string").alias("caller"), (F.col("event_id") % 3 == 0).alias("optimistic"))
+    return events.with_context(e, "1").select("event_id", "is_mine")
+
+
+# jobs, functions, reports
+
+
+@query("SELECT (SELECT max(c_custkey) FROM customer) + row_number() OVER (ORDER BY s_suppkey) AS c_custkey, s_suppkey FROM supplier")
+def insert_with_next_ids(t):
+    spark = t("nation").sparkSession
+    from deltaloom.sources.scratch import ensure
+
+    ensure(spark)
+    return jobs.insert_with_next_ids(t("customer"), t("supplier").select("s_suppkey"), "c_custkey", ["s_suppkey"]).select("c_custkey", "s_suppkey")
+
+
+@query("SELECT o.o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'no such row' WHEN b.o_orderstatus = 'F' THEN 'row is locked' ELSE 'ok' END AS result FROM orders o LEFT JOIN orders_base b USING (o_orderkey)")
+def guarded_update(t):
+    return jobs.guarded_update(t("orders_base"), t("orders").select("o_orderkey"), "o_orderkey", F.col("o_orderstatus") == "F")
+
+
+@query("WITH c AS (SELECT event_id AS connection_id, user_id FROM events), l AS (SELECT * FROM c WHERE connection_id % 3 <> 0), gone AS (SELECT DISTINCT user_id FROM c WHERE connection_id % 3 = 0 AND user_id % 2 = 0 AND user_id NOT IN (SELECT user_id FROM l)) SELECT o_orderkey, o_custkey AS owner FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM gone)")
+def cascade_on_disconnect(t):
+    c = t("events").select(F.col("event_id").alias("connection_id"), F.col("user_id").alias("identity"))
+    items = t("orders").select("o_orderkey", F.col("o_custkey").alias("owner"))
+    return jobs.cascade_on_disconnect(c, c.where("identity % 2 = 0").select("identity").distinct(), items, c.where("connection_id % 3 = 0").select("connection_id"))[1].select("o_orderkey", "owner")
+
+
+@query("SELECT event_type, p50, p95, p99, n FROM (SELECT event_type, s[CAST(floor(0.5 * (n - 1) + 0.5) AS BIGINT) + 1] AS p50, s[CAST(floor(0.95 * (n - 1) + 0.5) AS BIGINT) + 1] AS p95, s[CAST(floor(0.99 * (n - 1) + 0.5) AS BIGINT) + 1] AS p99, n FROM (SELECT event_type, list_sort(list(value)) AS s, count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY event_type) x) y")
+def latency_report(t):
+    return jobs.latency_report(t("events"), ["event_type"], "value")
+
+
+@query("SELECT event_type, count(*) AS fired, count_if(event_id % 3 = 0) AS observed, count_if(value > 50) AS budget_misses, count_if(event_id % 3 = 0) * 2 < count(*) AS backpressure FROM events GROUP BY event_type")
+def throughput_report(t):
+    e = t("events").withColumns({"fired": F.lit(True), "observed": F.col("event_id") % 3 == 0})
+    return jobs.throughput_report(e, ["event_type"], "fired", "observed", "value", 50).drop("kept_up_pct")
+
+
+@query("SELECT event_type AS table_name, count(*) AS calls, CAST(sum(event_id % 7) AS BIGINT) AS rows_written FROM events GROUP BY event_type")
+def snapshot_write_report(t):
+    e = t("events").select(F.col("event_type").alias("table_name"), (F.col("event_id") % 7).alias("rows"))
+    return jobs.snapshot_write_report(e).select("table_name", "calls", F.col("rows").alias("rows_written"))
+
+
+@query("SELECT event_type AS table_name, max(ts) AS last_sync_at FROM events GROUP BY event_type")
+def last_sync_times(t):
+    return tables.last_sync_times(t("events").select(F.col("event_type").alias("table_name"), "ts"))
+
+
+@query("SELECT user_id, event_id AS seq FROM events WHERE event_id % 3 <> 0 AND (event_id + 1) % 3 <> 0")
+def replay_journal(t):
+    e = t("events")
+    on = e.where("event_id % 3 <> 0").select((F.col("event_id") * 2).alias("seq"), F.format_string('{"op":"enqueue","mutation":{"requestId":"%d"}}', "event_id").alias("line"))
+    off = e.where("event_id % 3 <> 0 and (event_id + 1) % 3 = 0").select((F.col("event_id") * 2 + 1).alias("seq"), F.format_string('{"op":"dequeue","requestId":"%d"}', "event_id").alias("line"))
+    bad = e.where("event_id % 3 = 0").select((F.col("event_id") * 2).alias("seq"), F.lit("{torn").alias("line"))
+    live = tables.replay_journal(on.unionAll(off).unionAll(bad)).select(F.col("request_id").cast("long").alias("seq"))
+    return live.join(e, F.col("seq") == F.col("event_id")).select("user_id", "seq")
+
+
+@query("SELECT txn, query_set_id, op, o_orderkey FROM orders_log")
+def flatten_transactions(t):
+    log = t("orders_log").select("txn", "query_set_id", "op", "o_orderkey")
+    rows = lambda op: F.collect_list(F.when(F.col("op") == op, F.struct("o_orderkey")))
+    groups = log.groupBy("txn", "query_set_id", (F.col("o_orderkey") % 3).alias("g")).agg(F.struct(rows("insert").alias("inserts"), rows("delete").alias("deletes")).alias("group"))
+    sets = groups.groupBy("txn", "query_set_id").agg(F.array(F.struct(F.lit("orders").alias("table_name"), F.collect_list("group").alias("groups"))).alias("tables"))
+    nested = sets.groupBy("txn").agg(F.collect_list(F.struct("query_set_id", "tables")).alias("query_sets"))
+    return tables.flatten_transactions(nested).select("txn", "query_set_id", "op", "row.o_orderkey")
 
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+@query("SELECT c_custkey, lower(substr(md5(c_name), 1, 4)) || '...' || substr(md5(c_name), 29, 4) AS short_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS uuid_text FROM (SELECT *, md5(c_name) AS h FROM customer) x")
+def identity_text(t):
+    h = F.md5("c_name")
+    return t("customer").select("c_custkey", scalars.abbreviate(h).alias("short_id"), scalars.parse_uuid(F.upper(h)).alias("uuid_text"))
