@@ -56,13 +56,30 @@ def tidy(run):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            give_back()
 
     return wrapped
 
 
+def tidy_group(run):
+    """The same for a function of one group."""
+
+    @functools.wraps(run)
+    def wrapped(frame):
+        try:
+            return run(frame)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

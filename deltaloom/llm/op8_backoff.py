@@ -14,12 +14,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX_A, U64, mix, slices, text_or_empty, tidy, utf8, word_hashes, written
+from .common import MIX_A, U64, mix, slices, text_or_empty, tidy, tidy_group, utf8, word_hashes, written
 
 #: Words of the longest n-gram, factor of a step back, bits of an n-gram's hash (raise for more than 1e11 n-grams).
 ORDER, BACKOFF, KEY_BITS = 3, 0.4, 48
 #: Bytes of text of a chunk, and for each hash partition.
-CHUNK, PART = 8 << 20, 16 << 20
+CHUNK, PART = 4 << 20, 8 << 20
 
 
 def _zip(a: np.ndarray) -> bytes:
@@ -97,6 +97,7 @@ def _requests(part_bits: int):
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 words, at = _words(row)
+                row = {"chunk": row["chunk"]}
                 for order in range(1, ORDER + 1):
                     keys, counts = np.unique(grams(words, at, order)[0], return_counts=True)
                     part = (keys >> U64(KEY_BITS - part_bits)).astype(np.int64)
@@ -174,7 +175,7 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     size = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     part_bits = max(4, int(-(-size // PART)).bit_length())
     asked = chunks.mapInArrow(tidy(_requests(part_bits)), "n int, part long, chunk long, keys binary, counts binary")
-    answers = asked.groupBy("n", "part").applyInPandas(_answer, "chunk long, n int, part long, totals binary")
+    answers = asked.groupBy("n", "part").applyInPandas(tidy_group(_answer), "chunk long, n int, part long, totals binary")
     answers = written(answers, "answers")
     total = rows.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long"))).first()[0] or 0
     by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("n", "part", "totals")).alias("answers"))
