@@ -141,7 +141,7 @@ def score_texts(words: np.ndarray, at: np.ndarray, totals: dict[int, np.ndarray]
         there = np.arange(len(words)) - at[:-1][text] >= order - 1
         seen = there & (rest[order] > 0)
         value = np.where(seen, rest[order] / np.maximum(history, 1), np.where(there, BACKOFF * value, value))
-    return np.bincount(text, weights=np.log(value), minlength=n_texts)
+    return np.bincount(text, weights=np.log(value), minlength=n_texts).astype(np.float64)
 
 
 def _score(corpus_words: int):
