@@ -37,7 +37,6 @@ def result_status(tag: str = "outcome") -> Column:
 def error_text(raw: str) -> Column:
     """UTF-8 text of a result's bytes; a little-endian length before it is stripped where it matches."""
     body = F.expr(f"substring({raw}, 5)")
-    size = F.expr(f"conv(hex(reverse(substring({raw}, 1, 4))), 16, 10)").cast("long")
     size = F.expr(f"cast(conv(concat(substring(hex({raw}),7,2),substring(hex({raw}),5,2),substring(hex({raw}),3,2),substring(hex({raw}),1,2)),16,10) as bigint)")
     return F.when((F.length(raw) >= 4) & (size == F.length(raw) - 4), F.decode(body, "UTF-8")).otherwise(F.decode(F.col(raw), "UTF-8"))
 
@@ -93,3 +92,17 @@ def latest_state(log: DataFrame, key: list[str]) -> DataFrame:
     """Each key's last row unless it is a delete; log: key, seq, op and other columns."""
     last = log.groupBy(*key).agg(F.max_by(F.struct(*log.columns), "seq").alias("r")).select("r.*")
     return last.where("op <> 'delete'")
+
+
+def changes_after(history: DataFrame, at: int) -> DataFrame:
+    """What a listener that comes late gets: nothing that happened up to then."""
+    return history.where(F.col("seq") > at)
+
+
+def late_snapshots(replies: DataFrame, timed_out: DataFrame) -> DataFrame:
+    """Each timed-out request's first reply, which is still applied once; replies to anything else are rejected.
+
+    replies: request_id, result_ts and others; timed_out: request_id.
+    """
+    known = replies.join(timed_out.select("request_id").distinct(), "request_id", "left_semi")
+    return known.groupBy("request_id").agg(F.min_by(F.struct(*replies.columns), "result_ts").alias("r")).select("r.*")

@@ -21,6 +21,27 @@ def insert_with_next_ids(state: DataFrame, rows: DataFrame, id_: str, order: lis
     return out.withColumn(id_, F.col("_top") + 1 + F.col("_before") + F.col("_m") - F.col("_lo")).drop("_k", "_top", "_p", "_m", "_n", "_lo", "_before")
 
 
+def update_all(state: DataFrame, **values: Column) -> DataFrame:
+    """Every row with new values."""
+    return state.withColumns(values)
+
+
+def mixed_batch(state: DataFrame, pk: str, updates: int, deletes: int, inserts: DataFrame, **values: Column) -> DataFrame:
+    """One transaction in order of pk: the first rows get new values, the next are deleted, inserts come after.
+
+    inserts: place (from 1) and the other columns of state; ids follow the largest one. The bands' edges come from a
+    top-k of ids, so no task sorts the table. Repeated ids share their band.
+    """
+    first = state.select(pk).orderBy(pk).limit(updates + deletes).select(pk, F.row_number().over(Window.orderBy(pk)).alias("_r"))
+    edge = first.agg(F.max(F.when(F.col("_r") <= updates, F.col(pk))).alias("_u"), F.max(pk).alias("_d")).withColumn("_k", F.lit(1))
+    top = state.agg(F.coalesce(F.max(pk), F.lit(0)).alias("_top")).withColumn("_k", F.lit(1))
+    rows = state.withColumn("_k", F.lit(1)).join(F.broadcast(edge), "_k")
+    updated = rows.where(F.col(pk) <= F.col("_u")).withColumns(values).select(*state.columns)
+    kept = rows.where(F.coalesce(F.col(pk) > F.col("_d"), F.lit(True))).select(*state.columns)
+    new = inserts.withColumn("_k", F.lit(1)).join(F.broadcast(top), "_k").withColumn(pk, F.col("_top") + F.col("place"))
+    return updated.unionByName(kept).unionByName(new.select(*state.columns))
+
+
 def guarded_update(state: DataFrame, updates: DataFrame, pk: str, guard: Column) -> DataFrame:
     """updates with result: ok, 'no such row', or 'row is locked' where the guard holds on the present row."""
     there = state.select(pk, guard.alias("_locked"))

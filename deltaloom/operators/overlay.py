@@ -132,7 +132,7 @@ def veto(mutations: DataFrame, predicate: Column) -> DataFrame:
     return mutations.where(F.coalesce(predicate, F.lit(True)))
 
 
-def held_mutations(mutations: DataFrame, awaited: DataFrame, most_rounds: int = 100) -> DataFrame:
+def held_mutations(mutations: DataFrame, awaited: DataFrame) -> DataFrame:
     """seq of mutations that wait: in queue order, one that shares a key with an awaited or a waiting one waits.
 
     mutations: seq, keys (array of text, null: unknown). awaited: key. One with unknown keys waits if anything before it
@@ -142,7 +142,7 @@ def held_mutations(mutations: DataFrame, awaited: DataFrame, most_rounds: int =
     unknown = mutations.where("keys is null").select("seq")
     held = links.join(awaited, "key", "left_semi").select("seq").distinct()
     count = -1
-    for _ in range(most_rounds):
+    while True:  # ends: held only grows
         held = held.checkpoint()
         n = held.count()
         if n == count:

@@ -76,6 +76,16 @@ def drop_query_set(owners: DataFrame, query_set: int, pk: list[str], protected:
     return rest, evicted if protected is None else evicted.join(protected, pk, "left_anti")
 
 
+def drop_with_rows(state: DataFrame, owners: DataFrame, dropped: DataFrame, query_set: int, pk: list[str]) -> tuple[DataFrame, DataFrame]:
+    """State and owners after an unsubscribe whose reply carries the rows that it drops.
+
+    The rows count as deletes of the set and nothing is checked for imbalance; rows that another set owns stay.
+    """
+    rest = owners.where(F.col("query_set_id") != query_set)
+    gone = dropped.select(*pk).distinct().join(rest.select(*pk), pk, "left_anti")
+    return state.join(gone, pk, "left_anti").select(*state.columns), rest
+
+
 def apply_snapshot(state: DataFrame, owners: DataFrame, snapshot: DataFrame, query_set: int, pk: list[str], protected: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """State and owners after a set's full result: its rows are upserted and owned, others lose it and may go."""
     rows = keyed(snapshot, pk)

@@ -16,8 +16,9 @@ def read_state(spark: SparkSession, path: str, schema: T.StructType) -> tuple[Da
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], schema), spark.createDataFrame([], "bad string")
-    lines = spark.read.schema(T.StructType([*schema.fields, T.StructField("bad", T.StringType())])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "bad").json(path)
-    return lines.where("bad is null").drop("bad"), lines.where("bad is not null").select("bad")
+    bad = T.StructField("bad", T.StringType())
+    rows = spark.read.text(path).where(F.trim("value") != "").withColumn("j", F.from_json("value", T.StructType([*schema.fields, bad]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}))
+    return rows.where("j.bad is null").select(*(F.col("j")[f.name].alias(f.name) for f in schema.fields)), rows.where("j.bad is not null").select(F.col("j.bad").alias("bad"))
 
 
 def write_state(state: DataFrame, pending_inserts: DataFrame | None, root: str) -> str:
