@@ -387,7 +387,7 @@ def mixed_batch(t):
 
 @query()
 def random_mutations(t):
-    c = t("customer").select((F.col("c_custkey") - 1).alias("id"), F.lit(0).alias("health"))
+    c = t("customer").select(F.col("c_custkey").alias("id"), F.lit(0).alias("health"))
     return jobs.random_mutations(c, c.count(), 42, "id", ["health"])
 
 
