@@ -1,24 +1,34 @@
 """Approximate nearest neighbours by shifted space-filling curves.
 
 Vectors are projected to a few dimensions by several random rotations, shifted, and ordered along a Hilbert curve.
-Spark range-partitions each ordering; a query takes the rows of the block of its key and of the blocks beside it,
-scores them exactly, and the best of all orderings are merged.
+Each ordering is cut into blocks of about equal numbers of rows by the keys of a sample; a query takes the rows of the
+block of its key and of the blocks beside it, scores them exactly, and the best of all orderings are merged.
+
+How many orderings and blocks there are follows from a bounded sample of queries, whose true neighbours one pass over
+all rows finds: of the choices that find at least TARGET of them, the one of least work. Scoring all rows is one of
+these choices, so that no size of table and no distribution of lengths falls short.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import tidy, written
+from .common import U64, mix, tidy, tidy_group, written
 
-#: Orderings, dimensions of a projection, bits of a coordinate, rows of a block of an ordering.
-CURVES, DIMENSIONS, BITS, BLOCK = 12, 6, 8, 1024
+#: Dimensions of a projection, bits of a coordinate, bits that order rows of one cell.
+DIMENSIONS, BITS, TIE_BITS = 6, 8, 15
+#: Numbers of orderings to choose from, share of the sampled queries' neighbours to be found, sampled queries.
+CURVES, TARGET, SAMPLED = (2, 4, 8, 12, 16, 24, 32), 0.93, 128
+#: Sampled rows, and components of them, at most; sampled rows of a block at least.
+SAMPLE, SAMPLE_VALUES, BLOCK_SAMPLE = 8192, 1 << 23, 32
+#: Rows and queries of a group; scores that take as long as moving one row.
+ROW_PART, QUERY_PART, MOVE = 4096, 4096, 500
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -60,122 +70,220 @@ def directions(width: int, curve: int, seed: int) -> tuple[np.ndarray, np.ndarra
     return q[:width], rng.random(DIMENSIONS)
 
 
-def _keys(curves: int, seed: int, longest: float, spread: float):
-    def run(batches):
-        for batch in batches:
-            by_width: dict[int, list] = {}
-            for i, (v, q) in enumerate(zip(batch.column("embedding").to_pylist(), batch.column("asks").to_pylist(), strict=True)):
-                by_width.setdefault(len(v), []).append((i, v, q))
-            for width, rows in by_width.items():
-                x = np.array([r[1] for r in rows], np.float64)
-                # one more coordinate makes all lengths equal, so that nearness is the inner product
-                gap = np.sqrt(np.maximum(longest**2 - (x * x).sum(axis=1), 0))
-                take = batch.take(pa.array([r[0] for r in rows]))
-                for c in range(curves):
-                    d, shift = directions(width + 1, c, seed)
-                    p = np.column_stack([x, gap]) @ d
-                    cell = np.clip(((p / (6 * spread) + 0.5 + (shift - 0.5) / 4) * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
-                    key = hilbert_keys(cell, BITS)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), c, np.int32)), pa.array(key), take.column("vec_id"), take.column("embedding"), take.column("asks"), take.column("answers")], names=["curve", "key", "vec_id", "embedding", "asks", "answers"])
+class Ordering:
+    """A curve through the vectors of one width."""
+
+    def __init__(self, sample: np.ndarray, ids: np.ndarray, longest: float, curve: int, seed: int):
+        self.longest, self.spread = longest, np.sqrt((sample * sample).mean()) or 1.0
+        self.to, self.shift = directions(sample.shape[1] + 1, curve, seed)
+        self.sorted = np.sort(self.keys(sample, ids, False))
+
+    def keys(self, x: np.ndarray, ids: np.ndarray, asks: bool) -> np.ndarray:
+        # one more coordinate makes all lengths equal, so that nearness is the inner product
+        gap = np.sqrt(np.maximum(self.longest**2 - (x * x).sum(axis=1), 0))
+        p = np.column_stack([x, gap]) @ self.to
+        cell = np.clip(((p / (6 * self.spread) + 0.5 + (self.shift - 0.5) / 4) * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
+        tie = mix(ids.astype(np.int64).view(U64)) >> U64(64 - TIE_BITS)
+        return (hilbert_keys(cell, BITS) << TIE_BITS) | tie.astype(np.int64)
+
+    def blocks(self, keys: np.ndarray, blocks: int) -> np.ndarray:
+        ends = self.sorted[np.arange(1, blocks) * len(self.sorted) // blocks]
+        return np.searchsorted(ends, keys, side="right")
+
+
+@dataclass
+class Plan:
+    """Orderings and blocks for the vectors of one width (none and 1: all rows are scored), and parts of a block."""
+
+    orderings: list[Ordering]
+    blocks: int
+    row_parts: int
+    query_parts: int
+    #: Share of the sampled queries' true neighbours that this finds, and of all pairs that are scored.
+    recall: float = 1.0
+    scored: float = 1.0
+
+
+def parts(rows: int, queries: int, blocks: int) -> tuple[int, int]:
+    """Parts into which a block's rows and its queries are dealt, so that no group grows with the table."""
+    return max(1, -(-rows // (blocks * ROW_PART))), max(1, -(-queries * min(3, blocks) // (blocks * QUERY_PART)))
+
+
+def work(rows: int, queries: int, curves: int, blocks: int) -> float:
+    r, q = parts(rows, queries, blocks)
+    near = min(3, blocks)
+    return curves * (queries * rows * near / blocks + MOVE * (rows * q + queries * near * r))
+
+
+def planned(rows: int, queries: int, sample: np.ndarray, ids: np.ndarray, longest: float, asked: list[tuple], seed: int) -> Plan:
+    """The choice of least work that finds TARGET of the true neighbours of the sampled queries.
+
+    asked: for each of them its vector, its id, and its neighbours' vectors and ids.
+    """
+    plan = Plan([], 1, *parts(rows, queries, 1))
+    most = 1
+    while 2 * most * BLOCK_SAMPLE <= len(sample):
+        most *= 2
+    choices = sorted((work(rows, queries, c, 2**b), c, 2**b) for c in CURVES for b in range(2, most.bit_length()))
+    choices = [x for x in choices if x[0] < work(rows, queries, 1, 1)]
+    asked = [a for a in asked if len(a[3])]
+    if not choices or not asked or not np.isfinite(longest):
+        return plan
+    q, q_ids = np.array([a[0] for a in asked]), np.array([a[1] for a in asked])
+    near, near_ids = np.concatenate([a[2] for a in asked]), np.concatenate([a[3] for a in asked])
+    owner = np.repeat(np.arange(len(asked)), [len(a[3]) for a in asked])
+    made = [Ordering(sample, ids, longest, c, seed) for c in range(max(c for _, c, _ in choices))]
+    q_keys, near_keys = [o.keys(q, q_ids, True) for o in made], [o.keys(near, near_ids, False) for o in made]
+    for _, curves, blocks in choices:
+        met, read = np.zeros(len(near), bool), 0.0
+        for o, a, b in zip(made[:curves], q_keys, near_keys, strict=False):
+            at = o.blocks(a, blocks)
+            met |= np.abs(at[owner] - o.blocks(b, blocks)) <= 1
+            read += (np.minimum(at + 1, blocks - 1) - np.maximum(at - 1, 0) + 1).mean() / blocks
+        if met.mean() >= TARGET:
+            return Plan(made[:curves], blocks, *parts(rows, queries, blocks), float(met.mean()), read)
+    return plan
 
-    return run
 
+def _matrix(column, width: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
-def _blocks(block: int):
-    """Rows sorted by curve and key -> rows with their block; queries also to the blocks beside it.
 
-    A block is (partition, curve, number), and the last one of a partition and curve is number -1, so that a query of
-    a first block also reaches the last one before it, and one of a last block the first one after it.
+def _by_width(batches):
+    """(width, rows, their vectors) of batches."""
+    for batch in batches:
+        widths = batch.column("width").to_numpy(zero_copy_only=False)
+        for width in np.unique(widths).tolist():
+            rows = batch.take(pa.array(np.flatnonzero(widths == width)))
+            yield width, rows, _matrix(rows.column("embedding"), width)
+
+
+def top(y: np.ndarray, ids: np.ndarray, x: np.ndarray, own: np.ndarray, k: int):
+    """For each query of x the places of the k rows of y of highest score, without its own id, and their scores.
+
+    One product of matrices gives scores but for rounding; those that can be among the k are computed again row by
+    row, so that equal vectors get equal scores.
     """
-    names = ["part", "curve", "block", "vec_id", "embedding", "asks", "answers"]
+    long = np.sqrt((y * y).sum(axis=1).max()) if len(y) else 0.0
+    for lo in range(0, len(x), 256):
+        rough = x[lo : lo + 256] @ y.T
+        for v, i, s in zip(x[lo : lo + 256], own[lo : lo + 256], rough, strict=True):
+            other = ids != i
+            at = np.flatnonzero(other)
+            if len(at) > k and np.isfinite(s).all():
+                least = np.partition(s[at], len(at) - k)[len(at) - k]
+                at = np.flatnonzero(other & (s >= least - 1e-12 * len(v) * np.sqrt(v @ v) * long))
+            sure = np.einsum("ij,j->i", y[at], v)
+            order = np.lexsort((ids[at], -sure))[:k]
+            yield at[order], sure[order]
+
+
+def _truth(asked: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
+    """Rows -> the best of each task for each sampled query, by its width and number."""
 
     def run(batches):
-        part = TaskContext.get().partitionId()
-        def out(table: pa.Table, curve: int, number: int, last: bool, last_is_next: bool = False):
-            n = table.num_rows
-
-            def rows(t: pa.Table, p: int, b: int, asks: bool, answers: bool):
-                for x in t.combine_chunks().to_batches():
-                    k = x.num_rows
-                    own = lambda name, on: x.column(name) if on else pa.array(np.zeros(k, bool))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(k, p, np.int32)), pa.array(np.full(k, curve, np.int32)), pa.array(np.full(k, b, np.int32)), x.column("vec_id"), x.column("embedding"), own("asks", asks), own("answers", answers)], names=names)
-
-            if not n:
-                return
-            label = -1 if last else number
-            yield from rows(table, part, label, True, True)
-            asking = table.filter(table.column("asks"))
-            if number > 0:
-                yield from rows(asking, part, number - 1, True, False)
-            else:
-                yield from rows(asking, part - 1, -1, True, False)
-            if last:
-                yield from rows(asking, part + 1, 0, True, False)
-                yield from rows(asking, part + 1, -1, True, False)  # where that partition has one block of the curve
-            else:
-                yield from rows(asking, part, -1 if last_is_next else number + 1, True, False)
-
-        def flush(table: pa.Table, curve: int, number: int, final: bool):
-            """Blocks of whole size while there is more than one left; the rest once the curve is over."""
-            whole = block + block // 2  # rows that a last block may have
-            while table.num_rows > (whole if final else block + whole):
-                yield from out(table.slice(0, block), curve, number, False, final and table.num_rows - block <= whole)
-                table, number = table.slice(block), number + 1
-            if final:
-                yield from out(table, curve, number, True)
-                table = table.slice(table.num_rows)
-            rest.append((table, number))
-
-        rest: list = []
-        curve, number, table = None, 0, None
-        for batch in batches:
-            if not batch.num_rows:
+        best: dict = {}
+        for width, rows, y in _by_width(batches):
+            if width not in asked:
                 continue
-            curves = batch.column("curve").to_numpy(zero_copy_only=False)
-            cut = np.flatnonzero(np.r_[True, curves[1:] != curves[:-1], True])
-            for lo, hi in zip(cut[:-1], cut[1:], strict=True):
-                piece = pa.Table.from_batches([batch.slice(lo, hi - lo)])
-                if curve is not None and curves[lo] != curve:
-                    yield from flush(table, curve, number, True)
-                    table, number = None, 0
-                curve = int(curves[lo])
-                table = piece if table is None else pa.concat_tables([table, piece])
-                rest.clear()
-                yield from flush(table, curve, number, False)
-                table, number = rest[-1]
-        if table is not None:
-            yield from flush(table, curve, number, True)
+            ids = rows.column("vec_id").to_numpy()
+            for n, (at, score) in enumerate(top(y, ids, *asked[width], k)):
+                old = best.get((width, n), (np.zeros(0), np.zeros(0, np.int64), np.zeros((0, width))))
+                s, i, v = np.append(old[0], score), np.append(old[1], ids[at]), np.concatenate([old[2], y[at]])
+                keep = np.lexsort((i, -s))[:k]
+                best[width, n] = s[keep], i[keep], v[keep]
+        for (width, n), (s, i, v) in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), width, np.int32)), pa.array(np.full(len(i), n, np.int32)), pa.array(s), pa.array(i), pa.array(list(v), pa.list_(pa.float64()))], names=["width", "asked", "score", "vec_id", "embedding"])
+
+    return run
+
+
+def plans(rows: DataFrame, k: int, seed: int) -> dict[int, Plan]:
+    """A plan for each width of rows (width, vec_id, embedding, asks, answers)."""
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
+    sizes = rows.groupBy("width").agg(F.count_if("answers").alias("rows"), F.count_if("asks").alias("queries"), F.max(norm).alias("longest")).collect()
+    out, large = {}, {}
+    for s in sizes:
+        out[s["width"]] = Plan([], 1, *parts(s["rows"], s["queries"], 1))
+        if s["queries"] and s["rows"] > SAMPLED * k and work(s["rows"], s["queries"], CURVES[0], SAMPLE // BLOCK_SAMPLE) < work(s["rows"], s["queries"], 1, 1):
+            large[s["width"]] = s
+    chance = F.xxhash64("vec_id", "embedding", F.lit(seed))
+    asked, samples = {}, {}
+    for width, s in large.items():
+        own = rows.where(F.col("width") == width)
+        n = min(SAMPLE, max(1, SAMPLE_VALUES // width))
+        below = int(-(2**63) + min(1.0, n / s["rows"]) * (2**64 - 2049))
+        picked = own.where("answers").where(chance <= F.lit(below)).select("vec_id", "embedding").toArrow()
+        samples[width] = _matrix(picked.column("embedding"), width), picked.column("vec_id").to_numpy()
+        first = own.where("asks").orderBy(chance, "vec_id").limit(SAMPLED).select("vec_id", "embedding").toArrow()
+        asked[width] = _matrix(first.column("embedding"), width), first.column("vec_id").to_numpy()
+    if not large:
+        return out
+    order = Window.partitionBy("width", "asked").orderBy(F.desc("score"), "vec_id")
+    found = rows.where("answers").mapInArrow(tidy(_truth(asked, k)), "width int, asked int, score double, vec_id long, embedding array<double>")
+    near: dict = {}
+    for r in found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).collect():
+        near.setdefault((r["width"], r["asked"]), []).append((r["embedding"], r["vec_id"]))
+    for width, s in large.items():
+        told = [(v, i, np.array([e for e, _ in x]), np.array([j for _, j in x])) for n, (v, i) in enumerate(zip(*asked[width], strict=True)) if (x := near.get((width, n)))]
+        out[width] = planned(s["rows"], s["queries"], *samples[width], s["longest"], told, seed)
+    return out
+
+
+CELL = ["width", "curve", "block", "query_part", "row_part"]
+CELLS = "width int, curve int, block int, query_part int, row_part int, "
+
+
+def _dealt(chosen: dict[int, Plan]):
+    """Rows -> rows of cells: answers in their own block of each ordering, queries there and in the blocks beside it."""
+
+    def run(batches):
+        for width, rows, x in _by_width(batches):
+            plan, ids = chosen[width], rows.column("vec_id").to_numpy()
+            part = mix(ids.astype(np.int64).view(U64) + U64(1))
+            for asks in (False, True):
+                at = np.flatnonzero(rows.column("asks" if asks else "answers").to_numpy(zero_copy_only=False))
+                own, other = (plan.query_parts, plan.row_parts) if asks else (plan.row_parts, plan.query_parts)
+                mine = (part[at] % U64(own)).astype(np.int32)
+                if not len(at):
+                    continue
+                for c, o in enumerate(plan.orderings or [None]):
+                    block = o.blocks(o.keys(x[at], ids[at], asks), plan.blocks) if o else np.zeros(len(at), np.int64)
+                    for step in (-1, 0, 1) if asks else (0,):
+                        keep = np.flatnonzero((block + step >= 0) & (block + step < plan.blocks))
+                        if not len(keep):
+                            continue
+                        took = rows.take(pa.array(at[keep]))
+                        n = len(keep)
+                        for p in range(other):
+                            those = np.full(n, p, np.int32)
+                            q, r = (mine[keep], those) if asks else (those, mine[keep])
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, width, np.int32)), pa.array(np.full(n, c, np.int32)), pa.array((block[keep] + step).astype(np.int32)), pa.array(q), pa.array(r), took.column("vec_id"), took.column("embedding"), pa.array(np.full(n, asks))], names=[*CELL, "vec_id", "embedding", "asks"])
 
     return run
 
 
 def _search(k: int):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        asks, answers = frame[frame["asks"]], frame[frame["answers"]]
-        found = []
-        widths = {len(v) for v in asks["embedding"]}
-        for w in widths:
-            q, r = (f[f["embedding"].map(len) == w] for f in (asks, answers))
-            if not len(r):
-                continue
-            x, y, ids = np.array(q["embedding"].tolist(), np.float64), np.array(r["embedding"].tolist(), np.float64), r["vec_id"].to_numpy()
-            for own, v in zip(q["vec_id"].to_numpy(), x, strict=True):
-                s = np.einsum("ij,j->i", y, v)  # row by row, so that equal vectors get equal scores
-                other = np.flatnonzero(ids != own)
-                at = other[np.lexsort((ids[other], -s[other]))[:k]]
-                found += zip(np.full(len(at), own), ids[at], s[at], strict=True)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+    def run(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        width = table.column("width")[0].as_py() if table.num_rows else 0
+        (x, own), (y, ids) = ((_matrix(t.column("embedding"), width), t.column("vec_id").to_numpy()) for t in (table.filter(pa.array(asks)), table.filter(pa.array(~asks))))
+        found = [(np.full(len(at), i), ids[at], score) for i, (at, score) in zip(own, top(y, ids, x, own, k), strict=True)] if len(x) and len(y) else []
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        return pa.table({n: pa.array(c) for n, c in zip(("query_id", "vec_id", "score"), columns, strict=True)})
 
     return run
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, curves: int = CURVES, block: int = BLOCK, seed: int = 3) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, seed: int = 3) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows found of largest inner product for each row whose id every divides.
 
     All rows are indexed; those with a null id, or a null, empty or zero vector, or one with null or non-finite components,
     take no part. Of rows with equal vectors the k + 1 smallest ids answer: no others can be among the k. Scores are
     inner products of the original vectors in double precision; ties go to the smaller id. Vectors of different
-    widths don't meet. Other columns are ignored.
+    widths don't meet. Other columns are ignored. Orderings and blocks are chosen so that at least TARGET of the true
+    neighbours of sampled queries are found, whatever the rows and the number of partitions.
     """
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null and size(embedding) > 0")
@@ -185,14 +293,9 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, curves: int = CURV
     # queries that are no candidates themselves
     asking = rows.where(F.col("vec_id") % every == 0)
     asking = asking.join(firsts.where("asks").select("vec_id").distinct(), "vec_id", "left_anti").distinct().select("vec_id", "embedding", F.lit(True).alias("asks"), F.lit(False).alias("answers"))
-    every_row = written(firsts.unionByName(asking), "vectors")
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    size = every_row.agg(F.max(norm).alias("longest"), F.sqrt(F.avg(norm * norm / F.size("embedding"))).alias("spread")).first()
-    keyed = every_row.mapInArrow(tidy(_keys(curves, seed, size["longest"] or 1.0, size["spread"] or 1.0)), "curve int, key long, vec_id long, embedding array<double>, asks boolean, answers boolean")
-    parts = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = keyed.repartitionByRange(parts, "curve", "key", F.xxhash64("vec_id")).sortWithinPartitions("curve", "key", "vec_id")
-    dealt = ranged.mapInArrow(tidy(_blocks(block)), "part int, curve int, block int, vec_id long, embedding array<double>, asks boolean, answers boolean")
-    found = dealt.groupBy("part", "curve", "block").applyInPandas(_search(k), "query_id long, vec_id long, score double").distinct()
+    every_row = written(firsts.unionByName(asking).withColumn("width", F.size("embedding")), "vectors")
+    dealt = every_row.mapInArrow(tidy(_dealt(plans(every_row, k, seed))), CELLS + "vec_id long, embedding array<double>, asks boolean")
+    found = dealt.groupBy(*CELL).applyInArrow(tidy_group(_search(k)), "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
