@@ -70,19 +70,31 @@ def directions(width: int, curve: int, seed: int) -> tuple[np.ndarray, np.ndarra
     return q[:width], rng.random(DIMENSIONS)
 
 
+def lifted(x: np.ndarray, longest: float, asks: bool) -> np.ndarray:
+    """Vectors with one more coordinate, all of one length, so that the nearest row is that of largest inner product.
+
+    A row's is what its length lacks of the longest; a query has 0 there and is stretched to that length.
+    """
+    square = (x * x).sum(axis=1)
+    if asks:
+        return np.column_stack([x * (longest / np.sqrt(square))[:, None], np.zeros(len(x))])
+    return np.column_stack([x, np.sqrt(np.maximum(longest**2 - square, 0))])
+
+
 class Ordering:
-    """A curve through the vectors of one width."""
+    """A curve through the vectors of one width; each projection is measured by the quantiles of a sample's."""
 
     def __init__(self, sample: np.ndarray, ids: np.ndarray, longest: float, curve: int, seed: int):
-        self.longest, self.spread = longest, np.sqrt((sample * sample).mean()) or 1.0
+        self.longest = longest
         self.to, self.shift = directions(sample.shape[1] + 1, curve, seed)
+        levels = (np.arange(1, 4 << BITS) * len(sample)) // (4 << BITS)
+        self.levels = np.sort(lifted(sample, longest, False) @ self.to, axis=0)[levels]
         self.sorted = np.sort(self.keys(sample, ids, False))
 
     def keys(self, x: np.ndarray, ids: np.ndarray, asks: bool) -> np.ndarray:
-        # one more coordinate makes all lengths equal, so that nearness is the inner product
-        gap = np.sqrt(np.maximum(self.longest**2 - (x * x).sum(axis=1), 0))
-        p = np.column_stack([x, gap]) @ self.to
-        cell = np.clip(((p / (6 * self.spread) + 0.5 + (self.shift - 0.5) / 4) * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
+        p = lifted(x, self.longest, asks) @ self.to
+        share = np.column_stack([np.searchsorted(a, b, side="right") for a, b in zip(self.levels.T, p.T, strict=True)]) / (len(self.levels) + 1)
+        cell = ((share * 0.75 + self.shift * 0.25) * (1 << BITS)).astype(np.int64)
         tie = mix(ids.astype(np.int64).view(U64)) >> U64(64 - TIE_BITS)
         return (hilbert_keys(cell, BITS) << TIE_BITS) | tie.astype(np.int64)
 

@@ -50,3 +50,26 @@ def test_orderings_reach_the_target_and_ignore_partitions(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert found[0] == found[1] and recall(x, found[0], 200) >= 0.9
     assert all(p.orderings and p.scored < 1 for p in seen)
+
+
+def lengths(kind, n):
+    if kind == "one long row":
+        return np.where(np.arange(n) == 7, 30.0, 1.0)
+    return np.random.default_rng(6).lognormal(0, 0.6, n)
+
+
+@pytest.mark.parametrize("kind", ["one long row", "lognormal"])
+def test_keys_of_differing_lengths(kind):
+    x = unit(20_000, 64) * lengths(kind, 20_000)[:, None]
+    made = op6_neighbours.Ordering(x[::4], np.arange(0, 20_000, 4), float(np.linalg.norm(x, axis=1).max()), 0, 3)
+    cells = made.keys(x, np.arange(20_000), False) >> op6_neighbours.TIE_BITS
+    assert len(np.unique(cells)) > 15_000
+    q = x[:100]
+    assert (made.keys(q, np.arange(100), True) == made.keys(5 * q, np.arange(100), True)).all()
+
+
+@pytest.mark.parametrize("kind", ["one long row", "lognormal"])
+def test_recall_with_differing_lengths(spark, monkeypatch, kind):
+    monkeypatch.setattr(op6_neighbours, "MOVE", 0)
+    x = unit(20_000, 12) * lengths(kind, 20_000)[:, None]
+    assert recall(x, answers(op6_neighbours.nearest(frame(spark, x), every=200)), 200) >= 0.9
