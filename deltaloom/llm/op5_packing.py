@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 import zlib
 
 import numpy as np
@@ -22,6 +23,8 @@ from .common import text_or_empty, tidy
 WINDOW_TOKENS = 1 << 21
 #: Chunks of text whose ids a task remembers.
 MOST_CHUNKS = 200_000
+#: A space beside other white space or at the end: the pre-tokenizer may join them.
+JOINED = re.compile(r" (?:(?<=\s )|\s|\Z)")
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, cost double"
 
@@ -29,8 +32,8 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 class Tokens(dict):
     """Ids of a text by byte-level BPE, as little-endian unsigned 16-bit bytes for each space-led chunk of text.
 
-    A single space before a non-space always starts a new piece of the pre-tokenizer, so that chunks are encoded
-    apart and remembered; a text with a leading space or two spaces in a row is encoded whole.
+    A space between two characters that aren't white space always starts a new piece of the pre-tokenizer, so that
+    chunks are encoded apart and remembered; a text with a space at an end or beside other white space is encoded whole.
     """
 
     def __init__(self, vocabulary: str, pattern: str):
@@ -52,9 +55,9 @@ class Tokens(dict):
     def ids(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, "<u2")
-        if text[0] == " " or text[-1] == " " or "  " in text:
+        if text[0] == " " or "\0" in text or JOINED.search(text):
             return np.array(self.encode(text), "<u2")
-        return np.frombuffer(b"".join(map(self.__getitem__, text.replace(" ", "\0 ").split("\0"))) if "\0" not in text else np.array(self.encode(text), "<u2").tobytes(), "<u2")
+        return np.frombuffer(b"".join(map(self.__getitem__, text.replace(" ", "\0 ").split("\0"))), "<u2")
 
 
 def pack(lengths: list[int], size: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
