@@ -6,6 +6,8 @@ weight there scatters products into the dense scores of its block, and a partial
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -14,16 +16,38 @@ from pyspark.sql.window import Window
 
 #: Queries and candidates of a block.
 QUERY_BLOCK, ROW_BLOCK = 2048, 4096
-#: Largest component after scaling that takes part, so that sums of products fit 64 bits.
-LARGEST = 1 << 28
+#: Sums of absolute products below this fit 64 bits whatever the rounding of the bound; others are added as Python integers.
+NARROW = float(1 << 62)
+#: Stands for lower scores too; as an answer it is refused.
+LOWEST = -(1 << 63)
 
 
-def _rows(vectors: pd.Series) -> tuple[np.ndarray, int]:
+def _rows(vectors: pd.Series) -> np.ndarray:
     width = max((len(v) for v in vectors), default=0)
-    out = np.zeros((len(vectors), width), np.int64)
+    out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
-    return out, width
+    return out
+
+
+def narrow(queries: np.ndarray, rows: np.ndarray) -> np.ndarray | None:
+    """Which pairs surely have sums of products that fit 64 bits; None where all have."""
+    width = min(queries.shape[1], rows.shape[1])
+    q, r = np.abs(queries[:, :width]), np.abs(rows[:, :width])
+    if not width or q.max(initial=0) * r.max(initial=0) * width < NARROW and max(q.max(initial=0), r.max(initial=0)) < NARROW:
+        return None
+    return (q @ r.T < NARROW) & (q.max(axis=1) < NARROW)[:, None] & (r.max(axis=1) < NARROW)[None, :]
+
+
+def whole(vector: np.ndarray) -> list[int]:
+    return [int(x) for x in vector]
+
+
+def wide_best(query: np.ndarray, rows: np.ndarray, score: np.ndarray, fits: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+    """(place, score) of the k best of one query, with scores that may not fit 64 bits."""
+    v = whole(query)
+    exact = {int(i): int(score[i]) if fits[i] else sum(a * b for a, b in zip(v, whole(rows[i]), strict=False)) for i in np.flatnonzero(ids != own)}
+    return heapq.nsmallest(k, exact.items(), key=lambda x: (-x[1], ids[x[0]]))
 
 
 def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -54,14 +78,26 @@ def _search(k: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(queries) and len(rows):
-            q, r, ids = _rows(queries["v"])[0], _rows(rows["v"])[0], rows["vec_id"].to_numpy()
+            q, r, ids = _rows(queries["v"]), _rows(rows["v"]), rows["vec_id"].to_numpy()
+            # what is too large for 64 bits is scored apart
+            small_r = np.where(np.abs(r) < NARROW, r, 0).astype(np.int64)
             for lo in range(0, len(q), 256):
-                dense = scores(q[lo : lo + 256], r)
-                for own, score in zip(queries["vec_id"].to_numpy()[lo : lo + 256], dense, strict=True):
-                    at = best(score, ids, own, k)
+                part = q[lo : lo + 256]
+                dense = scores(np.where(np.abs(part) < NARROW, part, 0).astype(np.int64), small_r)
+                fits = narrow(part, r)
+                for n, (own, score) in enumerate(zip(queries["vec_id"].to_numpy()[lo : lo + 256], dense, strict=True)):
+                    if fits is None or fits[n].all():
+                        at = best(score, ids, own, k)
+                        got = score[at]
+                    else:
+                        found = wide_best(part[n], r, score, fits[n], ids, own, k)
+                        if any(x >= 1 << 63 for _, x in found):
+                            raise OverflowError(f"a score of query {own} doesn't fit 64 bits")
+                        at = np.array([i for i, _ in found], np.int64)
+                        got = np.array([max(x, LOWEST) for _, x in found], np.int64)
                     out["query_id"].append(np.full(len(at), own))
                     out["vec_id"].append(ids[at])
-                    out["score"].append(score[at])
+                    out["score"].append(got)
         return pd.DataFrame({c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in out.items()})
 
     return run
@@ -71,12 +107,15 @@ def exact_top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int =
     """query_id, rank, vec_id, score: the k rows of highest integer inner product for each row whose id every divides.
 
     Components are floor(scale * x). Candidates are all rows but those of the query's own id. Left out on both sides:
-    null ids, null or empty vectors, vectors with null or non-finite components, or with scaled ones of 2**28 and more. A
-    vector that lacks terms has weight 0 there. Repeated rows are candidates each; a query id that is there more
-    than once is asked once for each different vector, and the best of all are its answer. Other columns are ignored.
+    null ids, null or empty vectors, and vectors with null or non-finite components. Scores are exact whatever the size
+    of components; an answer whose score doesn't fit 64 bits is an error, as in SQL. A vector that lacks terms has weight 0
+    there. Repeated rows are candidates each; a query id that is there more than once is asked once for each different
+    vector, and the best of all are its answer. Other columns are ignored.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: F.floor(x.cast("double") * scale)).alias("v"), "embedding")
-    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double") * scale) >= LARGEST)
+    # whole but still doubles, as those of 2**63 and more aren't longs; from 2**53 on all doubles are whole
+    floor = lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x)
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: floor(x.cast("double") * scale)).alias("v"), "embedding")
+    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0) & ~F.exists("embedding", bad)).drop("embedding")
     queries = rows.where(F.col("vec_id") % every == 0).distinct()
     counts = rows.agg(F.count("*").alias("rows"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("queries")).first()
@@ -88,4 +127,5 @@ def exact_top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int =
     posted = rows.select("vec_id", "v", F.pmod(F.monotonically_increasing_id(), F.lit(n_r)).cast("int").alias("rb"), to(n_q, "qb"))
     found = asked.groupBy("qb", "rb").cogroup(posted.groupBy("qb", "rb")).applyInPandas(_search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    fits = F.when(F.col("score") == LOWEST, F.raise_error(F.lit("a score doesn't fit 64 bits")).cast("long")).otherwise(F.col("score"))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", fits.alias("score"))
