@@ -338,11 +338,11 @@ def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> Da
 
 
 def jaccard_components(docs: DataFrame, size: int = 5) -> DataFrame:
-    """Near-duplicate classes of all documents: doc_id, n_shingles, component_id, n_links.
+    """Near-duplicate classes of all documents: doc_id, n_shingles, component_id, n_verified.
 
     Two documents link when 100 * |A & B| >= 80 * |A | B| for their sets of distinct word shingles; component_id is
-    the smallest doc_id that links reach. n_links counts the links that were verified: enough to join every class, not
-    all of its pairs. A null or empty text has an empty set and links with nothing. Rows with a null doc_id are kept
+    the smallest doc_id that links reach. n_verified counts the links that were verified: enough to join every class, not
+    all of its pairs, and none for copies but a text's smallest doc_id. A null or empty text has an empty set and links with nothing. Rows with a null doc_id are kept
     with a null component_id and link with nothing; rows that share a doc_id are one node, with each row's own set.
     Other columns are ignored. An empty table gives an empty one.
     """
@@ -392,10 +392,10 @@ def jaccard_components(docs: DataFrame, size: int = 5) -> DataFrame:
     pairs = written(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
     links = written(links.unionAll(_links(pairs, facts, docs, size)), "links")
     final = components(copies.unionAll(links))
-    degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n_links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n_verified"))
     out = rows.select("doc_id", F.col("n").alias("n_shingles"))
     out = out.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(degree, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_verified", F.lit(0).cast("long")).alias("n_verified"))
 
 
 def keep_one_of_each(docs: DataFrame, size: int = 5) -> DataFrame:
