@@ -19,19 +19,25 @@ MIX_A, MIX_B = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a folder of our own only where none is set (tests)."""
+    """The shared folder that the cluster names. Where none is set a local session gets a folder of its own, as in tests;
+    on a cluster that is an error, as executors don't share local folders."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="deltaloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
+def written(df: DataFrame, name: str, rows: int = 1000) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    rows: those of a batch that Python gets, fewer where each is large."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    with short_batches(spark):
+    with short_batches(spark, rows):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -122,7 +128,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
     """Row slices of a batch of about limit bytes of text; a longer text stands alone."""
     n = batch.num_rows
     if not n:
@@ -137,27 +143,37 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
-WORD_TABLE, WORD_POWERS = table_of_bytes(11, True), powers(0xD6E8FEB86659FD93, 1 << 16)
+WORD_BASE = 0xD6E8FEB86659FD93
+WORD_TABLE, WORD_POWERS = table_of_bytes(11, True), powers(WORD_BASE, 1 << 16)
+#: Bytes whose terms are held at once, whatever the length of a text.
+WORD_BLOCK = 1 << 18
+
+
+def word_powers(place: np.ndarray) -> np.ndarray:
+    """WORD_BASE to the power of each place, however large: a power of the low 16 bits times one of the others."""
+    low = WORD_POWERS[place & 0xFFFF]
+    most = int(place.max(initial=0)) >> 16
+    return low * powers(pow(WORD_BASE, 1 << 16, 1 << 64), most + 1)[place >> 16] if most else low
 
 
 def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words [^\\x20\\x09-\\x0D]+ (A-Z folded), and offsets of each text's words."""
-    if not len(data):
-        return np.zeros(0, U64), np.zeros(len(at), np.int64)
     inside = ~SEPARATOR[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     heads = at[:-1][at[:-1] < at[1:]]
     first[heads] = inside[heads]
     starts = np.flatnonzero(first)
-    if not len(starts):
-        return np.zeros(0, U64), np.zeros(len(at), np.int64)
-    values = np.flatnonzero(inside)
-    owner = np.cumsum(first)[values] - 1
-    place = values - starts[owner]
-    terms = WORD_TABLE[data[values]] * WORD_POWERS[place & 0xFFFF]
-    heads = np.searchsorted(values, starts)
-    return mix(np.add.reduceat(terms, heads)), np.searchsorted(starts, at)
+    sums = np.zeros(len(starts), U64)
+    for lo in range(0, len(data), WORD_BLOCK):
+        values = np.flatnonzero(inside[lo : lo + WORD_BLOCK]) + lo
+        if not len(values):
+            continue
+        owner = np.cumsum(first[lo : lo + WORD_BLOCK])[values - lo] + (np.searchsorted(starts, lo) - 1)
+        terms = WORD_TABLE[data[values]] * word_powers(values - starts[owner])
+        new = np.flatnonzero(np.diff(owner, prepend=-1))
+        sums[owner[new]] += np.add.reduceat(terms, new)
+    return mix(sums), np.searchsorted(starts, at)
 
 
 def shingles(words: np.ndarray, size: int = 5) -> np.ndarray:

@@ -2,8 +2,9 @@
 
 Light (small) sets enumerate fixed-size subsets of themselves, heavy (large) sets scan inverted lists of their
 rarest shingles; the boundary between the two is chosen by cost. Documents that meet in a list are candidates; each
-list first links its members to a few leaders, and only members of different components are then paired, so that a
-group of copies never becomes all of its pairs. Every candidate is verified on whole sets of 64-bit shingle hashes.
+list first links its members to a few leaders, and only members of different components are then compared. Long lists
+bring whole sets to blocks, which verify pairs in place and tell no more links than join their members, so that a
+group of copies or near copies never becomes all of its pairs. Every link is verified on whole sets of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -25,12 +26,12 @@ from .components import components
 COUNTER_BITS = 22
 #: Largest set that may be light.
 MOST_LIGHT = 14
-#: Members of a list that are paired in one block.
-BLOCK = 512
+#: Members of a long list's part; a block holds one part or two.
+BLOCK = 256
 #: Turns in which members of a list are compared with another leader before all of what is left is paired.
 LEADERS = 1
-#: Lists of more members bring their bitmaps to the block, so that pairs are bounded before they are rows.
-LONG = 32
+#: Lists of more members are verified in blocks; shorter ones tell their pairs, fewer than LONG / 2 for each member.
+LONG = 16
 #: Lists that are dealt out over HOT_SPLIT parts: those of counters above HOT times the mean.
 HOT, HOT_SPLIT = 64, 16
 
@@ -226,44 +227,23 @@ def apart(bits: list[bytes], n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.
 
 
 def _pairs(batches):
-    """Rows of one block of a list, sorted by block -> pairs of members of different components that may link.
-
-    Sizes must allow a link, and bitmaps must, where the rows bring them.
-    """
+    """Rows of short lists, sorted by key -> pairs of members of different components whose sizes allow a link."""
     held: list[pd.DataFrame] = []
 
-    def pair(frame: pd.DataFrame):
-        names = ["key", "bi", "bj"]
-        v = frame[names].to_numpy()
-        cut = np.flatnonzero(np.r_[True, (v[1:] != v[:-1]).any(axis=1), True])
-        node, comp, n, own = (frame[c].to_numpy() for c in ("node", "component", "n", "own"))
-        bits = frame["bits"].tolist()
+    def told(frame: pd.DataFrame):
+        key, node, comp, n = (frame[c].to_numpy() for c in ("key", "node", "component", "n"))
         xs, ys = [], []
-        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
-            if hi - lo < 2:
-                continue
-            same = v[lo, 1] == v[lo, 2]
-            left = np.arange(lo, hi) if same else lo + np.flatnonzero(own[lo:hi] == v[lo, 1])
-            right = np.arange(lo, hi) if same else lo + np.flatnonzero(own[lo:hi] == v[lo, 2])
-            ok = (comp[left][:, None] != comp[right][None, :]) & (4 * n[left][:, None] <= 5 * n[right][None, :]) & (4 * n[right][None, :] <= 5 * n[left][:, None])
-            if same:
-                ok &= node[left][:, None] < node[right][None, :]
-            i, j = np.nonzero(ok)
-            i, j = left[i], right[j]
-            if len(i) and bits[lo] is not None:
-                near = ~apart(bits[lo:hi], n[lo:hi], i - lo, j - lo)
-                i, j = i[near], j[near]
-            xs.append(np.minimum(node[i], node[j]))
-            ys.append(np.maximum(node[i], node[j]))
-            if sum(map(len, xs)) > 1_000_000:
-                yield np.concatenate(xs), np.concatenate(ys)
-                xs, ys = [], []
+        for step in range(1, LONG):
+            i = np.arange(len(key) - step)
+            i = i[key[i] == key[i + step]]
+            if not len(i):
+                break
+            j = i + step
+            ok = (comp[i] != comp[j]) & (4 * n[i] <= 5 * n[j]) & (4 * n[j] <= 5 * n[i])
+            xs.append(np.minimum(node[i], node[j])[ok])
+            ys.append(np.maximum(node[i], node[j])[ok])
         if xs:
-            yield np.concatenate(xs), np.concatenate(ys)
-
-    def told(frame):
-        for x, y in pair(frame):
-            p = np.unique(np.stack([x, y], 1), axis=0)
+            p = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)], 1), axis=0)
             if len(p):
                 yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["x", "y"])
 
@@ -271,17 +251,84 @@ def _pairs(batches):
         frame = batch.to_pandas()
         if not len(frame):
             continue
-        held.append(frame)
-        open_ = frame[["key", "bi", "bj"]].iloc[-1]
-        all_ = pd.concat(held)
-        tail = (all_["key"].to_numpy() == open_["key"]) & (all_["bi"].to_numpy() == open_["bi"]) & (all_["bj"].to_numpy() == open_["bj"])
-        held = [all_[tail]]
+        whole = pd.concat([*held, frame])
+        tail = whole["key"].to_numpy() == frame["key"].iloc[-1]
+        held = [whole[tail]]
         if not tail.all():
-            yield from told(all_[~tail])
+            yield from told(whole[~tail])
     if held:
         yield from told(pd.concat(held))
 
 
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """How many elements two sorted sets share."""
+    a, b = (a, b) if len(a) < len(b) else (b, a)
+    if not len(a):
+        return 0
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int(np.count_nonzero(b[at] == a))
+
+
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    both = overlap(a, b)
+    return 100 * both >= 80 * (len(a) + len(b) - both)
+
+
+def spanning_links(node: np.ndarray, component: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Links between members of left and members of right that join components, each pair verified on whole sets.
+
+    Pairs whose ends earlier links have joined already are left out, so there are fewer links than members.
+    """
+    size = np.array([len(x) for x in sets])
+    ok = (component[left][:, None] != component[right][None, :]) & (4 * size[left][:, None] <= 5 * size[right][None, :]) & (4 * size[right][None, :] <= 5 * size[left][:, None])
+    i, j = np.nonzero(ok)
+    i, j = left[i], right[j]
+    once = node[i] < node[j] if len(left) == len(right) and (left == right).all() else np.ones(len(i), bool)
+    i, j = i[once], j[once]
+    bits = [bitmap(x) for x in sets]
+    near = ~apart(bits, size, i, j)
+    above = dict.fromkeys(component.tolist())
+
+    def root(c):
+        while above[c] is not None:
+            if above[above[c]] is not None:
+                above[c] = above[above[c]]
+            c = above[c]
+        return c
+
+    out = []
+    for x, y in zip(i[near].tolist(), j[near].tolist(), strict=True):
+        p, q = root(int(component[x])), root(int(component[y]))
+        if p != q and linked(sets[x], sets[y]):
+            above[p] = q
+            out.append((int(node[x]), int(node[y])))
+    return out
+
+
+def _in_blocks(batches):
+    """Rows of blocks (key, bi, bj) with whole sets, sorted by block -> links that join their members' components."""
+    held: list[tuple] = []
+
+    def told():
+        (_, bi, bj), _, _, _, _ = held[0]
+        node, component, own = (np.array([h[c] for h in held], np.int64) for c in (1, 2, 3))
+        sets = [np.frombuffer(h[4], U64) for h in held]
+        found = spanning_links(node, component, sets, np.flatnonzero(own == bi), np.flatnonzero(own == bj))
+        if found:
+            a, b = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    for batch in batches:
+        for key, bi, bj, node, component, own, elements in zip(*(batch.column(c).to_pylist() for c in ("key", "bi", "bj", "node", "component", "own", "elements")), strict=True):
+            if held and held[0][0] != (key, bi, bj):
+                yield from told()
+                held = []
+            held.append(((key, bi, bj), node, component, own, elements))
+    if held:
+        yield from told()
+
+
 def _bound(batches):
     """Keep pairs that the bitmaps don't rule out: bits that differ are elements that differ."""
     for batch in batches:
@@ -309,11 +356,8 @@ def _whole_sets(size: int):
 def _verify(batches):
     for batch in batches:
         x, y = batch.column("x").to_numpy(), batch.column("y").to_numpy()
-        keep = np.zeros(len(x), bool)
-        for i, (a, b) in enumerate(zip(batch.column("ex"), batch.column("ey"), strict=True)):
-            a, b = np.frombuffer(a.as_buffer(), U64), np.frombuffer(b.as_buffer(), U64)
-            both = len(a) + len(b) - len(np.union1d(a, b))
-            keep[i] = 100 * both >= 80 * (len(a) + len(b) - both)
+        sides = zip(batch.column("ex"), batch.column("ey"), strict=True)
+        keep = np.array([linked(*(np.frombuffer(v.as_buffer(), U64) for v in pair)) for pair in sides], bool)
         if keep.any():
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]), pa.array(y[keep])], names=["a", "b"])
 
@@ -322,21 +366,35 @@ def _verify(batches):
 FILTER_BITS = 1 << 23
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """The candidate pairs (x, y) that link: first bounded by bitmaps, then verified on the whole sets."""
-    side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"b{c}"))
-    close = written(pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(tidy(_bound), "x long, y long"), "close")
+def _elements(ends: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """node, elements: the whole sets of the nodes in ends, whose node is a text's doc_id."""
     place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = close.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct().select(place.alias("p"))
+    words = ends.select(F.pmod(F.xxhash64("node"), F.lit(FILTER_BITS)).alias("p"))
     words = words.groupBy(F.shiftright("p", 5).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 31 as int)))").alias("mask"))
     maybe = docs.select("doc_id", "text", place.alias("p")).withColumn("word", F.shiftright("p", 5)).join(F.broadcast(words), "word").where(F.expr("(shiftright(mask, cast(p & 31 as int)) & 1) = 1"))
     sets = maybe.select("doc_id", "text").mapInArrow(tidy(_whole_sets(size)), "node long, elements binary")
-    ends = close.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    sets = written(sets.join(ends, "node", "left_semi").distinct(), "sets")
+    return written(sets.join(ends, "node", "left_semi").distinct(), "elements")
+
+
+def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """The candidate pairs (x, y) that link: first bounded by bitmaps, then verified on the whole sets."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"b{c}"))
+    close = written(pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(tidy(_bound), "x long, y long"), "close")
+    sets = _elements(close.select(F.explode(F.array("x", "y")).alias("node")).distinct(), docs, size)
     side = lambda c: sets.select(F.col("node").alias(c), F.col("elements").alias(f"e{c}"))
     return close.join(side("x"), "x").join(side("y"), "y").mapInArrow(tidy(_verify), "a long, b long").distinct()
 
 
+def _long_links(open_: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """Links between members (key, members, node, n, component) of long lists, verified in blocks of their parts."""
+    part = open_.withColumn("blocks", F.ceil(F.col("members") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    part = part.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    block = part.select("key", "node", "component", "own", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"))
+    block = block.join(_elements(open_.select("node").distinct(), docs, size), "node")
+    block = block.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+    return written(block.mapInArrow(tidy(_in_blocks), "a long, b long").distinct(), "links", 64)
+
+
 def jaccard_components(docs: DataFrame, size: int = 5) -> DataFrame:
     """Near-duplicate classes of all documents: doc_id, n_shingles, component_id, n_verified.
 
@@ -383,14 +441,12 @@ def jaccard_components(docs: DataFrame, size: int = 5) -> DataFrame:
         more = written(more, "stars")
         links, tested = written(links.unionAll(_links(more, facts, docs, size)), "links"), tested.unionAll(more)
         open_ = open_.select("key", "node", "n")
-    open_ = open_.drop("lead").withColumn("blocks", F.ceil(F.col("members") / BLOCK))
-    long = open_.where(F.col("members") > LONG).join(nodes.select("node", "bits"), "node")
-    open_ = open_.where(F.col("members") <= LONG).withColumn("bits", F.lit(None).cast("binary")).unionByName(long)
-    block = open_.withColumn("own", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    block = block.select("key", "node", "n", "component", "own", "bits", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"))
-    pairs = block.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInArrow(tidy(_pairs), "x long, y long").distinct()
+    open_ = open_.drop("lead")
+    links = links.unionAll(_long_links(open_.where(F.col("members") > LONG), docs, size))
+    short = open_.where(F.col("members") <= LONG).select("key", "node", "n", "component")
+    pairs = short.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_pairs), "x long, y long").distinct()
     pairs = written(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
-    links = written(links.unionAll(_links(pairs, facts, docs, size)), "links")
+    links = written(links.unionAll(_links(pairs, facts, docs, size)).distinct(), "links")
     final = components(copies.unionAll(links))
     degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n_verified"))
     out = rows.select("doc_id", F.col("n").alias("n_shingles"))
