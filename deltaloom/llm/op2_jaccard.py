@@ -31,7 +31,7 @@ BLOCK = 256
 #: Turns in which members of a list are compared with another leader before all of what is left is paired.
 LEADERS = 1
 #: Lists of more members are verified in blocks; shorter ones tell their pairs, fewer than LONG / 2 for each member.
-LONG = 16
+LONG = 32
 #: Lists that are dealt out over HOT_SPLIT parts: those of counters above HOT times the mean.
 HOT, HOT_SPLIT = 64, 16
 
