@@ -18,8 +18,10 @@ from .common import MIX_A, MIX_B, U64, mix, slices, text_or_empty, tidy, written
 
 #: Words of a block at most, and blocks of a source at least, where it has the words.
 BLOCK, FINE = 64, 2048
-#: Slots of an output shard; documents of a source whose sizes are summed in one task.
-SHARD, PART = 4096, 4096
+#: Slots of an output shard; documents of a source whose sizes are summed in one task; slots that a task permutes.
+SHARD, PART, PERMUTED = 4096, 4096, 1 << 16
+#: Sources at most: names of origins, which one task ranks and the driver gets with their shares.
+MOST_SOURCES = 1 << 20
 #: Weights of the sources, by code point, repeating; share of all words that the mix has; most uses of a source.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 
@@ -84,15 +86,16 @@ def _blocks(seed: int):
     return run
 
 
-def _draw(seed: int):
-    """A shard's slots for each source: one multinomial draw, seeded by the shard."""
+def _draw(seed: int, ids: np.ndarray, upto: np.ndarray):
+    """A shard's slots for each source: one multinomial draw, slot by slot from the shares' running sums, seeded by
+    the shard; it tells the sources that it met alone."""
 
     def run(batches):
         for batch in batches:
-            for shard, slots, shares in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                p = np.maximum(np.array(shares, np.float64), 0)
-                n = np.random.default_rng([seed, shard]).multinomial(slots, p / p.sum())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard)), pa.array(np.arange(len(n))), pa.array(n)], names=["shard", "source_id", "slots"])
+            for shard, slots in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+                at = np.searchsorted(upto, np.random.default_rng([seed, shard]).random(slots) * upto[-1], side="right")
+                source, n = np.unique(ids[np.minimum(at, len(ids) - 1)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard)), pa.array(source), pa.array(n)], names=["shard", "source_id", "slots"])
 
     return run
 
@@ -105,12 +108,13 @@ def mixture(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     Second: source_id, block, times.
     """
     spark = docs.sparkSession
-    base = docs.withColumn("_size", words(text_or_empty())).withColumn("_tie", F.xxhash64(text_or_empty()))
+    base = docs.select(F.col("doc_id").alias("_doc_id"), "source", words(text_or_empty()).alias("_size"), F.xxhash64(text_or_empty()).alias("_tie"))
+    base = written(base, "sizes")  # texts are read once
     sizes = base.groupBy("source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("source_rows"))
     goal = written(targets(sizes), "targets")
     known = goal.select(F.col("source").alias("_s"), F.col("source_id").alias("_source_id"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("length").alias("_length"), F.greatest(F.lit(1), F.ceil(F.col("source_rows") / PART)).cast("long").alias("_parts"))
     # a source's documents are dealt out over parts; sums of parts, then sums within a part, give each one's place
-    lean = base.select(F.col("doc_id").alias("_doc_id"), "source", "_size", "_tie").join(known, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumnRenamed("source", "_source")
+    lean = base.join(known, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumnRenamed("source", "_source")
     lean = lean.withColumn("_part", F.pmod(F.xxhash64("_doc_id", "_tie"), F.col("_parts")))
     part = lean.groupBy("_source_id", "_part").agg(F.sum("_size").alias("_sum"))
     to_part = Window.partitionBy("_source_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -121,19 +125,21 @@ def mixture(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
 
     blocks = goal.select("source_id", F.ceil(F.col("source_size") / F.col("length")).alias("blocks"), F.round(F.col("target") / F.col("length")).cast("long").alias("wanted")).where("blocks > 0")
     blocks = blocks.withColumn("wanted", F.least("wanted", F.col("blocks") * MOST))
-    shares = blocks.agg(F.sum("wanted").alias("total"), F.max("source_id").alias("top"), F.map_from_entries(F.collect_list(F.struct("source_id", F.col("wanted").cast("double")))).alias("by"))
-    shares = shares.where("total > 0").select("total", F.transform(F.sequence(F.lit(0).cast("long"), "top"), lambda i: F.coalesce(F.element_at("by", i), F.lit(0.0))).alias("shares"))
-    shards = shares.select(F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("total") / SHARD) - 1)).alias("shard"), "total", "shares")
-    shards = shards.select("shard", F.least(F.lit(SHARD).cast("long"), F.col("total") - F.col("shard") * SHARD).alias("slots"), "shares")
-    drawn = shards.repartition(max(1, spark.sparkContext.defaultParallelism)).mapInArrow(_draw(seed), "shard long, source_id long, slots long").where("slots > 0")
-    drawn = written(drawn, "draws")
+    shares = blocks.select("source_id", "wanted").orderBy("source_id").limit(MOST_SOURCES + 1).collect()
+    if len(shares) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
+    ids, upto = np.array([r["source_id"] for r in shares], np.int64), np.cumsum(np.array([r["wanted"] for r in shares], np.int64))
+    total = int(upto[-1]) if len(upto) else 0
+    tasks = max(1, -(-total // PERMUTED))
+    shards = spark.range(0, -(-total // SHARD), 1, max(1, min(tasks, -(-total // SHARD)))).select(F.col("id").alias("shard"), F.least(F.lit(SHARD).cast("long"), F.lit(total) - F.col("id") * SHARD).alias("slots"))
+    drawn = written(shards.mapInArrow(_draw(seed, ids, upto), "shard long, source_id long, slots long"), "draws")
     top_up = blocks.join(drawn.groupBy("source_id").agg(F.sum("slots").alias("had")), "source_id", "left").select(F.lit(2**40).cast("long").alias("shard"), "source_id", (F.col("wanted") - F.coalesce("had", F.lit(0))).alias("slots")).where("slots > 0")
     earlier = Window.partitionBy("source_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     slots = drawn.unionAll(top_up).withColumn("first", F.coalesce(F.sum("slots").over(earlier), F.lit(0).cast("long")))
     slots = slots.join(blocks, "source_id").withColumn("last", F.least(F.col("first") + F.col("slots"), "wanted")).where("first < last")
     step = F.explode(F.sequence(F.col("first"), F.col("last") - 1, F.lit(SHARD).cast("long")))
     runs = slots.withColumn("at", step).withColumn("to", F.least(F.col("at") + SHARD, "last")).select("source_id", "blocks", "at", "to")
-    taken = runs.repartition("source_id", "at").select("source_id", "blocks", "at", "to").mapInArrow(_blocks(seed), "source_id long, block long, times long")
+    taken = runs.repartition(tasks, "source_id", "at").select("source_id", "blocks", "at", "to").mapInArrow(_blocks(seed), "source_id long, block long, times long")
     return placed, taken.groupBy("source_id", "block").agg(F.sum("times").alias("times"))
 
 
@@ -147,8 +153,8 @@ def pieces(placed: DataFrame, taken: DataFrame) -> DataFrame:
 def mixed_words(docs: DataFrame, seed: int = 17) -> DataFrame:
     """doc_id, size, source_size, target and taken (words that the mix takes, repeats counted) of every row of docs.
 
-    Null texts have size 0 and are never taken; a null source is one source, the last. Repeated rows are documents of
-    their own. A source's taken words differ from its target by less than two blocks. An empty table gives none.
+    Null and empty texts have size 0 and are never taken; a null source is one source, the last. Rows of equal doc_id,
+    source and text, null ids included, are documents of their own, whichever of them stands first. A source's taken words differ from its target by less than two blocks. An empty table gives none.
     """
     placed, taken = mixture(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source"), seed)
     used = pieces(placed, taken).groupBy("_source_id", "_start").agg(F.sum((F.col("hi") - F.col("lo")) * F.col("times")).alias("taken"))
@@ -161,13 +167,15 @@ def _texts(columns: list[str]):
     """Rows with the word ranges that are taken -> one row for each pass over the text, with the words of that pass."""
     import re
 
-    word = re.compile(r"[^\x20\x09-\x0D]+")
+    word, k = re.compile(r"[^\x20\x09-\x0D]+"), columns.index("text")
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            rows = pa.RecordBatch.from_arrays([*batch.column("row").flatten(), batch.column("words"), batch.column("ranges")], names=[str(i) for i in range(len(columns) + 2)])
+            for part in slices(rows, str(k)):
+                *kept, sizes, taken = part.columns
                 index, texts = [], []
-                for i, (text, size, ranges) in enumerate(zip(part.column("text"), part.column("_size").to_pylist(), part.column("_taken"), strict=True)):
+                for i, (text, size, ranges) in enumerate(zip(kept[k], sizes.to_pylist(), taken, strict=True)):
                     text, ranges = text.as_py(), sorted((r["lo"], r["hi"], r["times"]) for r in ranges.as_py() or [])
                     for turn in range(1, MOST + 1):
                         own = [(lo, hi) for lo, hi, times in ranges if times >= turn]
@@ -180,9 +188,9 @@ def _texts(columns: list[str]):
                             out = "".join(text[at[lo] : at[hi]] for lo, hi in own)
                         index.append(i)
                         texts.append(out)
-                picked = part.take(pa.array(index, pa.int64())).select(columns)
-                k = columns.index("text")
-                yield picked.set_column(k, picked.schema.field(k), pa.array(texts, picked.schema.field(k).type))
+                picked = [c.take(pa.array(index, pa.int64())) for c in kept]
+                picked[k] = pa.array(texts, picked[k].type)
+                yield pa.RecordBatch.from_arrays(picked, names=columns)
 
     return run
 
@@ -195,11 +203,11 @@ def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     """
     placed, taken = mixture(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source"), seed)
     used = pieces(placed, taken).groupBy("_source_id", "_start").agg(F.collect_list(F.struct("lo", "hi", "times")).alias("_taken"), *(F.first(c).alias(c) for c in ("_doc_id", "_tie", "_size", "_source")))
-    # equal rows are joined once to each of their places
-    keys = {"_k_id": F.col("doc_id").cast("long"), "_k_tie": F.xxhash64(text_or_empty()), "_k_source": F.col("source")}
-    rows = docs.withColumns(keys).dropDuplicates(list(keys))
+    # equal rows are joined once to each of their places; columns of docs travel in one, so that no name clashes
+    keys = F.col("doc_id").cast("long").alias("_k_id"), F.xxhash64(text_or_empty()).alias("_k_tie"), F.col("source").alias("_k_source")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *keys).dropDuplicates(["_k_id", "_k_tie", "_k_source"])
     same = F.col("_k_id").eqNullSafe(F.col("_doc_id")) & F.col("_k_tie").eqNullSafe(F.col("_tie")) & F.col("_k_source").eqNullSafe(F.col("_source"))
-    out = rows.join(used, same).select(*docs.columns, "_size", "_taken").mapInArrow(tidy(_texts(docs.columns)), docs.schema)
+    out = rows.join(used, same).select("row", F.col("_size").alias("words"), F.col("_taken").alias("ranges")).mapInArrow(tidy(_texts(docs.columns)), docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
