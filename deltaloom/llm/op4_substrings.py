@@ -1,9 +1,10 @@
 """Suffix-array dedup: every byte of a 200-byte string that starts anywhere else is removed.
 
 Each 200-byte window is named by its least 64-byte gram; windows that follow each other and share that gram's place
-are one run, and equal windows lie in runs of equal grams. Runs with equal text repeat whole. Where runs of a gram
+are one run, and equal windows lie in runs of equal grams. Runs of equal digests repeat whole. Where runs of a gram
 differ, one of each text goes to a shard, whose suffix array (induced sorting) and permuted common prefixes tell the
 windows that repeat. So a shard holds what may repeat, not the corpus, and all occurrences of a string meet in one.
+A gram with more different runs than a shard is to hold goes through the same again with longer grams.
 """
 
 from __future__ import annotations
@@ -15,37 +16,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX_B, U64, mix, powers, slices, table_of_bytes, text_or_empty, tidy, utf8, written
+from .common import U64, mix, powers, slices, table_of_bytes, text_or_empty, tidy, utf8, written
 from .suffix_arrays import repeated_prefixes, suffix_array
 
 #: Bytes of a gram; windows that are looked at together; bytes of a shard.
-GRAM, CHUNK, SHARD = 64, 1 << 18, 1 << 22
-#: Runs of different text that one gram may bring to a shard; the windows of others are sorted by their hash.
+GRAM, CHUNK, SHARD = 64, 1 << 18, 1 << 21
+#: Runs of different text that one gram brings to a shard; those of others are named by grams one byte short of a
+#: window, of which a run has two at most, so that few different ones share a gram.
 MOST_RUNS = 20_000
 #: Text of which a task joins equal runs before they are dealt out.
 COMBINE = 16 << 20
 
-BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+BASE = 0xD6E8FEB86659FD93
 LOW = U64(0xFFFFF)
 _tables: dict = {}
 
 
 def _hashing(n: int):
-    """Bytes' values, powers and inverse powers of two independent rolling hashes, for n places at least."""
+    """Bytes' values, powers and inverse powers of a rolling hash, for n places at least."""
     if _tables.get("n", 0) < n:
-        _tables.update(n=n, sets=[(table_of_bytes(seed, False), powers(b, n), powers(pow(b, -1, 1 << 64), n)) for seed, b in enumerate(BASES, 21)])
-    return _tables["sets"]
+        _tables.update(n=n, set=(table_of_bytes(21, False), powers(BASE, n), powers(pow(BASE, -1, 1 << 64), n)))
+    return _tables["set"]
 
 
-def _sums(data: np.ndarray, which: int) -> np.ndarray:
-    values, up, _ = _hashing(CHUNK + 4096)[which]
-    out = np.zeros(len(data) + 1, U64)
-    np.cumsum(values[data] * up[: len(data)], out=out[1:])
-    return out
+def gram_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all grams of length bytes of at most CHUNK bytes and a window."""
+    values, up, down = _hashing(CHUNK + 4096)
+    sums = np.zeros(len(data) + 1, U64)
+    np.cumsum(values[data] * up[: len(data)], out=sums[1:])
+    return mix((sums[length:] - sums[:-length]) * down[: len(data) - length + 1])
 
 
-def _between(sums: np.ndarray, lo: np.ndarray, hi: np.ndarray, which: int) -> np.ndarray:
-    return mix((sums[hi] - sums[lo]) * _hashing(CHUNK + 4096)[which][2][lo] + (hi - lo).astype(U64) * MIX_B)
+def digests(data: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """64-bit BLAKE2 digests of stretches of bytes; with its gram's hash a run's text is told by 128 bits."""
+    raw = data.tobytes()
+    return np.frombuffer(b"".join(hashlib.blake2b(raw[a:b], digest_size=8).digest() for a, b in zip(lo.tolist(), hi.tolist(), strict=True)), "<u8")
 
 
 def sliding_least(a: np.ndarray, width: int) -> np.ndarray:
@@ -60,8 +65,8 @@ def sliding_least(a: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def runs(data: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows of several texts in one buffer: text, start in it, windows, gram hash, hash of the run's bytes."""
+def runs(data: np.ndarray, at: np.ndarray, window: int, length: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Runs of windows of several texts in one buffer: text, start in it, windows, gram hash, digest of the run's bytes."""
     text_end = np.repeat(at[1:], np.diff(at))
     out = []
     for lo in range(0, max(len(data) - window + 1, 0), CHUNK):
@@ -72,16 +77,15 @@ def runs(data: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, ...
         valid = np.arange(lo, lo + n) + window <= text_end[lo : lo + n]
         if not valid.any():
             continue
-        sums, other = _sums(piece, 0), _sums(piece, 1)
-        place = np.arange(len(piece) - GRAM + 1)
-        gram = mix((sums[GRAM:] - sums[:-GRAM]) * _hashing(CHUNK + 4096)[0][2][: len(place)])
-        least = (sliding_least((gram & ~LOW) | place.astype(U64), window - GRAM + 1) & LOW).astype(np.int64)
+        gram = gram_hashes(piece, length)
+        place = np.arange(len(gram))
+        least = (sliding_least((gram & ~LOW) | place.astype(U64), window - length + 1) & LOW).astype(np.int64)
         new = valid.copy()
         new[1:] &= (least[1:] != least[:-1]) | ~valid[:-1]
         first = np.flatnonzero(new)
         stop = np.flatnonzero(valid & np.append(new[1:] | ~valid[1:], True)) + 1
         text = np.searchsorted(at, first + lo, side="right") - 1
-        out.append((text, first + lo - at[text], stop - first, gram[least[first]], _between(other, first, stop + window - 1, 1)))
+        out.append((text, first + lo - at[text], stop - first, gram[least[first]], digests(piece, first, stop + window - 1)))
     if not out:
         z = np.zeros(0, np.int64)
         return z, z, z, z.astype(U64), z.astype(U64)
@@ -105,7 +109,7 @@ def _merged(rid: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray
     return rid[heads], lo[heads], np.maximum.reduceat(hi, heads)
 
 
-def _runs(window: int):
+def _runs(window: int, length: int):
     """Rows: gram and text hash of a run; again tells that the task has seen the run's text more than once.
 
     Of runs with equal text in a part of a task's input one goes on; the others come out as rows with no windows
@@ -132,7 +136,7 @@ def _runs(window: int):
             for part in slices(batch, "text", 4 << 20):
                 data, at = utf8(part.column("text"))
                 rid = part.column("rid").to_numpy()
-                text, *rest = runs(data, at, window)
+                text, *rest = runs(data, at, window, length)
                 if len(text):
                     held.append((rid[text], *rest))
                 n += len(data)
@@ -218,10 +222,10 @@ def repeats_in_shard(pieces: list[bytes], window: int) -> tuple[np.ndarray, np.n
     data = np.frombuffer(b"\0".join([*pieces, b""]), np.uint8)
     t = data.astype(np.uint16) + np.uint16(2)
     t[at[1:] - 1] = 1
-    sa = suffix_array(np.append(t, np.uint16(0)), 258)[1:]
+    t = np.append(t, np.uint16(0))
     piece = np.repeat(np.arange(len(pieces)), size + 1)
-    able = np.arange(len(data)) + window <= (at[1:] - 1)[piece]
-    twice = np.flatnonzero(repeated_prefixes(data, sa, able, window))
+    able = np.append(np.arange(len(data)) + window <= (at[1:] - 1)[piece], False)
+    twice = np.flatnonzero(repeated_prefixes(t, suffix_array(t, 258), able, window))
     return piece[twice], twice - at[piece[twice]]
 
 
@@ -240,8 +244,6 @@ def _shards(window: int):
         held, n, last = [], 0, None
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if last and row[:2] == last[:2]:
-                    continue  # a row of documents that is there more than once
                 if n >= SHARD and row[0] != last[0]:
                     yield from told(held)
                     held, n = [], 0
@@ -254,37 +256,25 @@ def _shards(window: int):
     return run
 
 
-def _windows(window: int):
-    """All windows of runs' bytes by two hashes, for grams with too many runs for a shard."""
-
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                data = np.frombuffer(batch.column("piece")[i].as_py(), np.uint8)
-                a = np.arange(len(data) - window + 1)
-                g, h = (_between(_sums(data, which), a, a + window, which).view(np.int64) for which in (0, 1))
-                rid = np.full(len(a), batch.column("rid")[i].as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(h), pa.array(rid), pa.array(a + batch.column("start")[i].as_py())], names=["g", "h", "rid", "start"])
-
-    return run
-
-
-def repeated_spans(docs: DataFrame, window: int = 200) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = 200, length: int = GRAM) -> DataFrame:
     """rid, start, stop of byte spans that consist of windows that also start elsewhere; spans may overlap.
 
-    docs: rid (a hash of the whole row, so that equal rows share it) and text.
+    docs: a written table of rid, one for each row, and text; length: bytes of a gram.
     """
-    met = docs.mapInArrow(tidy(_runs(window)), RUN).repartition("gram").sortWithinPartitions("gram", "same", "rid", "start").mapInArrow(tidy(_meet(window)), SPAN)
+    met = docs.mapInArrow(tidy(_runs(window, length)), RUN).repartition("gram").sortWithinPartitions("gram", "same", "rid", "start").mapInArrow(tidy(_meet(window)), SPAN)
     met = written(met, "runs")
     wanted = met.where("kind = 1")
-    hot = wanted.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > MOST_RUNS).select("gram")
     asked = wanted.groupBy("rid").agg(F.collect_list(F.struct("gram", "same", "start", "stop")).alias("wanted"))
-    pieces = written(docs.join(asked, "rid").select("rid", "text", "wanted").mapInArrow(tidy(_cut), "gram long, same long, rid long, start long, piece binary"), "pieces")
-    shard = pieces.join(hot, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram", "same").mapInArrow(tidy(_shards(window)), SPAN)
-    windows = pieces.join(hot, "gram", "left_semi").dropDuplicates(["gram", "same"]).mapInArrow(tidy(_windows(window)), "g long, h long, rid long, start long")
-    twice = windows.groupBy("g", "h").agg(F.count("*").alias("n")).where("n > 1")
-    busy = windows.join(twice, ["g", "h"], "left_semi").select("rid", "start", (F.col("start") + window).alias("stop"))
-    return met.where("kind = 0").select("rid", "start", "stop").unionAll(shard.select("rid", "start", "stop")).unionAll(busy).distinct()
+    pieces = written(docs.select("rid", "text").join(asked, "rid").select("rid", "text", "wanted").mapInArrow(tidy(_cut), "gram long, same long, rid long, start long, piece binary"), "pieces")
+    in_shards, out = pieces, met.where("kind = 0").select("rid", "start", "stop")
+    hot = wanted.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > MOST_RUNS).select("gram") if length < window - 1 else None
+    if hot is not None and not (hot := written(hot, "hot")).isEmpty():
+        in_shards = pieces.join(hot, "gram", "left_anti")
+        parts = written(pieces.join(hot, "gram", "left_semi").select(F.monotonically_increasing_id().alias("rid"), F.col("piece").alias("text"), F.col("rid").alias("of"), F.col("start").alias("base")), "parts")
+        deeper = repeated_spans(parts, window, window - 1).join(parts.select("rid", "of", "base"), "rid")
+        out = out.unionAll(deeper.select(F.col("of").alias("rid"), (F.col("base") + F.col("start")).alias("start"), (F.col("base") + F.col("stop")).alias("stop")))
+    shard = in_shards.repartition("gram").sortWithinPartitions("gram", "same").mapInArrow(tidy(_shards(window)), SPAN)
+    return out.unionAll(shard.select("rid", "start", "stop")).distinct()
 
 
 def _remove(batches):
@@ -315,7 +305,8 @@ def without_repeats(docs: DataFrame, window: int = 200) -> DataFrame:
     bytes of a character that was cut apart; the digest is of the bytes themselves. Null doc_ids are kept; other
     columns are ignored.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn("rid", F.xxhash64("doc_id", "text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.monotonically_increasing_id().alias("rid"))
+    texts = written(texts, "texts")  # numbers of rows hold only once they are written
     spans = repeated_spans(texts.select("rid", "text"), window)
     spans = written(spans.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
     return texts.join(spans, "rid", "left").select("doc_id", "text", "spans").mapInArrow(tidy(_remove), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")

@@ -1,18 +1,14 @@
-"""Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
+"""Suffix arrays by induced sorting, and permuted common prefixes.
 
-Induction runs bucket by bucket: all suffixes of a bucket that are known induce their predecessors at once, in the
-order in which a scan would meet them.
+Over bytes induction runs bucket by bucket in numpy: all suffixes of a bucket that are known induce their predecessors
+at once, in the order in which a scan would meet them. Names of the recursion have many buckets of a few suffixes each:
+there the scan goes suffix by suffix.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Alphabets of reduced strings up to which the recursion is by induction too; larger ones are sorted by doubling,
-#: as buckets of a few suffixes each don't pay for a step of their own.
-MOST_BUCKETS = 2048
-
-
 def smaller_types(t: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one; the last symbol is the only smallest one."""
     n = len(t)
@@ -90,28 +86,44 @@ def induce(t: np.ndarray, s: np.ndarray, leftmost: np.ndarray, k: int) -> np.nda
     return sa
 
 
-def by_doubling(t: np.ndarray) -> np.ndarray:
-    rank, step, n = t.astype(np.int64), 1, len(t)
-    while True:
-        key = rank * (int(rank.max()) + 2)
-        key[: n - step] += rank[step:] + 1
-        sa = np.argsort(key, kind="stable")
-        key = key[sa]
-        new = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
-        rank[sa] = new
-        step *= 2
-        if new[-1] == n - 1 or step >= n:
-            return sa
-
-
-def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
-    """Suffix array of symbols below k; the last symbol must be 0 and nowhere else."""
+def induce_by_scan(t: np.ndarray, s: np.ndarray, leftmost: np.ndarray, k: int) -> np.ndarray:
+    """The same for any alphabet, in time linear in the symbols and k."""
+    n = len(t)
+    end = np.cumsum(np.bincount(t, minlength=k))
+    heads, tails = np.concatenate([[0], end[:-1]]).tolist(), end.tolist()
+    symbol, small = t.tolist(), s.tolist()
+    sa = [-1] * n
+    for p in reversed(leftmost.tolist()):
+        tails[symbol[p]] -= 1
+        sa[tails[symbol[p]]] = p
+    for i in range(n):
+        p = sa[i] - 1
+        if p >= 0 and not small[p]:
+            sa[heads[symbol[p]]] = p
+            heads[symbol[p]] += 1
+    tails = end.tolist()
+    # all smaller suffixes are placed anew, the last one, alone in its bucket, by itself
+    sa[0] = n - 1
+    for i in range(n - 1, -1, -1):
+        p = sa[i] - 1
+        if p >= 0 and small[p]:
+            tails[symbol[p]] -= 1
+            sa[tails[symbol[p]]] = p
+    return np.array(sa, np.int64)
+
+
+def suffix_array(t: np.ndarray, k: int, induced=induce) -> np.ndarray:
+    """Suffix array of symbols below k; the last symbol must be 0 and nowhere else.
+
+    Leftmost-smaller substrings are sorted by induction and named; where names repeat, the string of names, a third as
+    long or so, is sorted in the same way.
+    """
     s = smaller_types(t)
     is_left = np.zeros(len(t), bool)
     is_left[1:] = s[1:] & ~s[:-1]
     left = np.flatnonzero(is_left)
     if len(left) > 1:
-        sa = induce(t, s, left, k)
+        sa = induced(t, s, left, k)
         ranked = sa[is_left[sa]]
         to = np.full(len(t), -1, np.int64)
         to[left[:-1]] = left[1:]
@@ -132,35 +144,54 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
         else:
             names = np.empty(len(t), np.int64)
             names[ranked] = name
-            reduced = names[left]
-            if name[-1] < MOST_BUCKETS:
-                left = left[suffix_array(reduced.astype(np.uint16), int(name[-1]) + 1)]
-            else:
-                left = left[by_doubling(reduced)]
-    return induce(t, s, left, k)
+            left = left[suffix_array(names[left], int(name[-1]) + 1, induce_by_scan)]
+    return induced(t, s, left, k)
 
 
-def repeated_prefixes(data: np.ndarray, sa: np.ndarray, able: np.ndarray, length: int) -> np.ndarray:
-    """Whether the length bytes at each position also start elsewhere: common prefixes in text order.
+def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each position of t, in text order: the suffix before it in sa (-1: none), and how many symbols they share.
 
-    data: bytes; sa: all positions in order; able: positions that length bytes of one text follow. Suffixes that share
-    a prefix stand together, so that each is compared with the one before it, eight bytes at a time.
+    A position where the symbols before both suffixes are equal shares one symbol less than the position before it. So
+    only the others are compared, four symbols of 16 bits at a time; what they share adds up to O(n log n).
     """
-    n = len(data)
+    n = len(t)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]
-    p = np.flatnonzero(able & (before >= 0))
+    chained = np.zeros(n, bool)
+    chained[1:] = (before[1:] > 0) & (t[:-1] == t[before[1:] - 1])
+    chained[1:] &= before[1:] > 0
+    padded = np.concatenate([t.astype("<u2"), np.zeros(8, "<u2")])
+    word = np.empty(n + 4, np.uint64)
+    for shift in range(4):
+        w = padded[shift : shift + (len(padded) - shift) // 4 * 4].view("<u8")
+        word[shift::4] = w[: len(word[shift::4])]
+    shared = np.zeros(n, np.int64)
+    open_ = np.flatnonzero(~chained & (before >= 0))
+    p, q, k = open_, before[open_], 0
+    while len(p):
+        x = word[p + k] ^ word[q + k]
+        rest = np.minimum(4, n - k - np.maximum(p, q))  # symbols left of the shorter suffix
+        low = x & (~x + np.uint64(1))
+        same = np.where(x == 0, 4, np.log2(np.maximum(low, np.uint64(1)).astype(np.float64)).astype(np.int64) // 16)
+        same = np.minimum(same, rest)
+        shared[p] += same
+        on = same == 4
+        p, q, k = p[on], q[on], k + 4
+        inside = k + np.maximum(p, q) < n
+        p, q = p[inside], q[inside]
+    from_ = np.maximum.accumulate(np.where(chained, -1, np.arange(n)))
+    shared = np.where(chained, shared[from_] - (np.arange(n) - from_), shared)
+    return before, shared
+
+
+def repeated_prefixes(t: np.ndarray, sa: np.ndarray, able: np.ndarray, length: int) -> np.ndarray:
+    """Whether the length symbols at each position also start elsewhere.
+
+    able: positions that length symbols of one text follow. Suffixes that share them stand together in sa.
+    """
+    before, shared = permuted_common_prefixes(t, sa)
+    p = np.flatnonzero(able & (shared >= length))
     p = p[able[before[p]]]
-    padded = np.concatenate([data, np.zeros(16, np.uint8)])
-    word = np.empty(n + 8, np.uint64)
-    for shift in range(8):
-        many = (len(padded) - shift) // 8
-        w = padded[shift : shift + 8 * many].view("<u8")
-        word[shift::8] = w[: len(word[shift::8])]
-    q = before[p]
-    for k in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
-        same = word[p + k] == word[q + k]
-        p, q = p[same], q[same]
-    out = np.zeros(n, bool)
-    out[p] = out[q] = True
+    out = np.zeros(len(t), bool)
+    out[p] = out[before[p]] = True
     return out
