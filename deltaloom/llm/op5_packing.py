@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import re
 import zlib
 
@@ -34,15 +35,18 @@ class Tokens(dict):
 
     A space between two characters that aren't white space always starts a new piece of the pre-tokenizer, so that
     chunks are encoded apart and remembered; a text with a space at an end or beside other white space is encoded whole.
+    Added tokens, which are none of the ranks, stand for themselves wherever a text has them.
     """
 
-    def __init__(self, vocabulary: str, pattern: str):
+    def __init__(self, vocabulary: str, pattern: str, added: dict[str, int] | None = None):
         import tiktoken
 
         super().__init__()
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.added = {token: np.array([id_], "<u2").tobytes() for token, id_ in (added or {}).items()}
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if added else None
 
     def __missing__(self, chunk: str) -> bytes:
         ids = np.array(self.encode(chunk), "<u2").tobytes()
@@ -53,6 +57,12 @@ class Tokens(dict):
         return ids
 
     def ids(self, text: str) -> np.ndarray:
+        if self.split and any(token in text for token in self.added):
+            return np.frombuffer(b"".join(self.added.get(x) or self.ordinary(x).tobytes() for x in self.split(text) if x), "<u2")
+        return self.ordinary(text)
+
+    def ordinary(self, text: str) -> np.ndarray:
+        """Ids of a text without added tokens."""
         if not text:
             return np.zeros(0, "<u2")
         if text[0] == " " or "\0" in text or JOINED.search(text):
@@ -95,9 +105,9 @@ def pack(lengths: list[int], size: int, linear: float, quadratic: float) -> list
     return out
 
 
-def _pack(vocabulary: str, pattern: str, size: int, end: int, linear: float, quadratic: float):
+def _pack(vocabulary: str, pattern: str, added: dict[str, int], size: int, end: int, linear: float, quadratic: float):
     def run(batches):
-        tokens, part, made = Tokens(vocabulary, pattern), TaskContext.get().partitionId() << 36, 0
+        tokens, part, made = Tokens(vocabulary, pattern, added), TaskContext.get().partitionId() << 36, 0
         held: list[tuple[int, np.ndarray]] = []
         n = 0
 
@@ -130,12 +140,13 @@ def _pack(vocabulary: str, pattern: str, size: int, end: int, linear: float, qua
     return run
 
 
-def packed_pieces(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, size: int = 2048, end: int = 1, linear: float = 1.0, quadratic: float = 1 / 2048) -> DataFrame:
+def packed_pieces(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, added: dict[str, int] | None = None, size: int = 2048, end: int = 1, linear: float = 1.0, quadratic: float = 1 / 2048) -> DataFrame:
     """Pieces of all documents in sequences of size tokens at most: one row for each piece.
 
     vocabulary: a rank file of byte-level BPE (default: that of the public 50k vocabulary), pattern: its
-    pre-tokenizer's. A document is its ids and then the id end; a null text is empty, so that it is the one id end. Texts
-    that look like special tokens are ordinary text. Null and repeated doc_ids are packed like others, each row for
+    pre-tokenizer's, added: tokens beyond the ranks and their ids (default: those of the vocabulary's tokenizer file,
+    whose ids these are). A document is its ids and then the id end; a null text is empty, so that it is the one id end.
+    A text of any length is one document, whose ids a task holds with its window's. Null and repeated doc_ids are packed like others, each row for
     itself. Columns: doc_id, start, length, ids_crc32 (of the piece's ids as little-endian unsigned 32-bit numbers),
     doc_tokens, sequence_id, offset, sequence_length, and the sequence's cost. An empty table gives no pieces.
     """
@@ -143,5 +154,8 @@ def packed_pieces(docs: DataFrame, vocabulary: str | None = None, pattern: str |
         import public_tokenizers
 
         vocabulary, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+        if added is None:
+            with open(public_tokenizers.path("byte_bpe_50k.json")) as f:
+                added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(tidy(_pack(vocabulary, pattern, size, end, linear, quadratic)), SCHEMA)
+    return rows.mapInArrow(tidy(_pack(vocabulary, pattern, added or {}, size, end, linear, quadratic)), SCHEMA)
