@@ -276,11 +276,21 @@ def _dealt(chosen: dict[int, Plan]):
     return run
 
 
+def once(y: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows without those of an id and a vector that are there already."""
+    if len(np.unique(ids)) == len(ids):
+        return y, ids
+    first = {(i, v.tobytes()): n for n, (i, v) in reversed(list(enumerate(zip(ids.tolist(), y, strict=True))))}
+    keep = np.sort(np.fromiter(first.values(), np.int64))
+    return y[keep], ids[keep]
+
+
 def _search(k: int):
     def run(table: pa.Table) -> pa.Table:
         asks = table.column("asks").to_numpy()
         width = table.column("width")[0].as_py() if table.num_rows else 0
         (x, own), (y, ids) = ((_matrix(t.column("embedding"), width), t.column("vec_id").to_numpy()) for t in (table.filter(pa.array(asks)), table.filter(pa.array(~asks))))
+        y, ids = once(y, ids)
         found = [(np.full(len(at), i), ids[at], score) for i, (at, score) in zip(own, top(y, ids, x, own, k), strict=True)] if len(x) and len(y) else []
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table({n: pa.array(c) for n, c in zip(("query_id", "vec_id", "score"), columns, strict=True)})
@@ -292,7 +302,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, seed: int = 3) ->
     """query_id, rank, vec_id, score: the k rows found of largest inner product for each row whose id every divides.
 
     All rows are indexed; those with a null id, or a null, empty or zero vector, or one with null or non-finite components,
-    take no part. Of rows with equal vectors the k + 1 smallest ids answer: no others can be among the k. Scores are
+    take no part. A row that is there more than once answers once. Of rows with equal vectors the k + 1 smallest ids answer: no others can be among the k. Scores are
     inner products of the original vectors in double precision; ties go to the smaller id. Vectors of different
     widths don't meet. Other columns are ignored. Orderings and blocks are chosen so that at least TARGET of the true
     neighbours of sampled queries are found, whatever the rows and the number of partitions.
@@ -301,7 +311,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, seed: int = 3) ->
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null and size(embedding) > 0")
     rows = rows.where(~F.exists("embedding", bad) & F.exists("embedding", lambda x: x != 0))
     alike = Window.partitionBy("embedding").orderBy("vec_id")
-    firsts = rows.withColumn("alike", F.row_number().over(alike)).where(F.col("alike") <= k + 1).select("vec_id", "embedding", (F.col("vec_id") % every == 0).alias("asks"), F.lit(True).alias("answers"))
+    firsts = rows.withColumn("alike", F.dense_rank().over(alike)).where(F.col("alike") <= k + 1).select("vec_id", "embedding", (F.col("vec_id") % every == 0).alias("asks"), F.lit(True).alias("answers"))
     # queries that are no candidates themselves
     asking = rows.where(F.col("vec_id") % every == 0)
     asking = asking.join(firsts.where("asks").select("vec_id").distinct(), "vec_id", "left_anti").distinct().select("vec_id", "embedding", F.lit(True).alias("asks"), F.lit(False).alias("answers"))
