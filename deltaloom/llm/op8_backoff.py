@@ -118,7 +118,7 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
     _, which = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(which, weights=np.concatenate(counts))[which].astype("<u8")
     cut = np.cumsum([len(k) for k in keys])[:-1]
-    return pd.DataFrame({"chunk": frame["chunk"].to_numpy(), "n": frame["n"].to_numpy(), "part": frame["part"].to_numpy(), "totals": [_zip(t) for t in np.split(total, cut)]})
+    return pd.DataFrame({"chunk": frame["chunk"].to_numpy(), "n": frame["n"].to_numpy(), "part": frame["part"].to_numpy(), "totals": [_zip(t) for t in np.split(total, cut)], "tokens": [int(c.sum(dtype=np.int64)) for c in counts]})
 
 
 def score_texts(words: np.ndarray, at: np.ndarray, totals: dict[int, np.ndarray], corpus_words: int) -> np.ndarray:
@@ -175,8 +175,10 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     size = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     part_bits = max(4, int(-(-size // PART)).bit_length())
     asked = chunks.mapInArrow(tidy(_requests(part_bits)), "n int, part long, chunk long, keys binary, counts binary")
-    answers = asked.groupBy("n", "part").applyInPandas(tidy_group(_answer), "chunk long, n int, part long, totals binary")
+    answers = asked.groupBy("n", "part").applyInPandas(tidy_group(_answer), "chunk long, n int, part long, totals binary, tokens long")
     answers = written(answers, "answers")
-    total = rows.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long"))).first()[0] or 0
+    total = answers.where("n = 1").agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    # about one chunk for each task, whose answers are as large as its text
+    chunks, answers = (df.repartition(max(1, chunks.count()), "chunk") for df in (chunks, answers))
     by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("n", "part", "totals")).alias("answers"))
     return chunks.join(by_chunk, "chunk", "left").mapInArrow(tidy(_score(total)), "doc_id long, n_words long, log_score double, mean_log_score double")
