@@ -1,7 +1,9 @@
-"""Exact top-k search: queries in blocks against all rows in blocks, one term at a time.
+"""Exact top-k search: blocks of queries against all rows, one term at a time.
 
 A term is a component's place. For each term the rows with a weight there are its postings; every query row with a
-weight there scatters products into the dense scores of its block, and a partial selection keeps each block's best.
+weight there scatters products into the dense scores of its block, and a partial selection keeps each query's best.
+A block of queries has a bounded size and is broadcast; rows stream past it where they are read, and only the best of
+each task are shuffled.
 """
 
 from __future__ import annotations
@@ -9,24 +11,29 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Queries and candidates of a block.
-QUERY_BLOCK, ROW_BLOCK = 2048, 4096
+from .common import tidy, written
+
+#: Components of a block's queries, queries whose scores are held at once, candidates that are scored together.
+BLOCK_VALUES, AT_ONCE, ROW_BLOCK = 1 << 21, 256, 4096
 #: Sums of absolute products below this fit 64 bits whatever the rounding of the bound; others are added as Python integers.
 NARROW = float(1 << 62)
 #: Stands for lower scores too; as an answer it is refused.
 LOWEST = -(1 << 63)
 
 
-def _rows(vectors: pd.Series) -> np.ndarray:
-    width = max((len(v) for v in vectors), default=0)
-    out = np.zeros((len(vectors), width))
-    for i, v in enumerate(vectors):
-        out[i, : len(v)] = v
+def _rows(vectors: pa.Array) -> np.ndarray:
+    """A list column as rows of one width; what a shorter vector lacks is 0."""
+    vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    at = np.concatenate([[0], np.cumsum(np.diff(vectors.offsets.to_numpy()))])
+    size = np.diff(at)
+    out = np.zeros((len(size), int(size.max(initial=0))))
+    row = np.repeat(np.arange(len(size)), size)
+    out[row, np.arange(len(row)) - at[row]] = vectors.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
@@ -74,31 +81,44 @@ def best(score: np.ndarray, ids: np.ndarray, own: int, k: int) -> np.ndarray:
     return keep[np.lexsort((ids[keep], -score[keep]))]
 
 
-def _search(k: int):
-    def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_id": [], "score": []}
-        if len(queries) and len(rows):
-            q, r, ids = _rows(queries["v"]), _rows(rows["v"]), rows["vec_id"].to_numpy()
-            # what is too large for 64 bits is scored apart
-            small_r = np.where(np.abs(r) < NARROW, r, 0).astype(np.int64)
-            for lo in range(0, len(q), 256):
-                part = q[lo : lo + 256]
-                dense = scores(np.where(np.abs(part) < NARROW, part, 0).astype(np.int64), small_r)
-                fits = narrow(part, r)
-                for n, (own, score) in enumerate(zip(queries["vec_id"].to_numpy()[lo : lo + 256], dense, strict=True)):
-                    if fits is None or fits[n].all():
-                        at = best(score, ids, own, k)
-                        got = score[at]
-                    else:
-                        found = wide_best(part[n], r, score, fits[n], ids, own, k)
-                        if any(x >= 1 << 63 for _, x in found):
-                            raise OverflowError(f"a score of query {own} doesn't fit 64 bits")
-                        at = np.array([i for i, _ in found], np.int64)
-                        got = np.array([max(x, LOWEST) for _, x in found], np.int64)
-                    out["query_id"].append(np.full(len(at), own))
-                    out["vec_id"].append(ids[at])
-                    out["score"].append(got)
-        return pd.DataFrame({c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in out.items()})
+def answers(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
+    """For each query the ids and scores of its k best rows."""
+    # what is too large for 64 bits is scored apart
+    small = lambda x: np.where(np.abs(x) < NARROW, x, 0).astype(np.int64)
+    small_rows = small(rows)
+    for lo in range(0, len(queries), AT_ONCE):
+        part = queries[lo : lo + AT_ONCE]
+        dense, fits = scores(small(part), small_rows), narrow(part, rows)
+        for n, (query, score) in enumerate(zip(own[lo : lo + AT_ONCE], dense, strict=True)):
+            if fits is None or fits[n].all():
+                at = best(score, ids, query, k)
+                yield ids[at], score[at]
+                continue
+            found = wide_best(part[n], rows, score, fits[n], ids, query, k)
+            if any(x >= 1 << 63 for _, x in found):
+                raise OverflowError(f"a score of query {query} doesn't fit 64 bits")
+            yield ids[[i for i, _ in found]], np.array([max(x, LOWEST) for _, x in found], np.int64)
+
+
+def _search(block, k: int):
+    def run(batches):
+        queries, own = block.value
+        held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(own)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROW_BLOCK):
+                part = batch.slice(lo, ROW_BLOCK)
+                found = answers(queries, own, _rows(part.column("v")), part.column("vec_id").to_numpy(), k)
+                for n, (ids, score) in enumerate(found):
+                    ids, score = np.append(held[n][0], ids), np.append(held[n][1], score)
+                    if len(ids) > k:
+                        keep = np.lexsort((ids, -score.astype(object) if LOWEST in score else -score))[:k]
+                        ids, score = ids[keep], score[keep]
+                    held[n] = ids, score
+        sizes = [len(ids) for ids, _ in held]
+        for lo in range(0, len(held), 1000):
+            some = held[lo : lo + 1000]
+            columns = np.repeat(own[lo : lo + 1000], sizes[lo : lo + 1000]), np.concatenate([i for i, _ in some]), np.concatenate([x for _, x in some])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -107,25 +127,30 @@ def exact_top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int =
     """query_id, rank, vec_id, score: the k rows of highest integer inner product for each row whose id every divides.
 
     Components are floor(scale * x). Candidates are all rows but those of the query's own id. Left out on both sides:
-    null ids, null or empty vectors, and vectors with null or non-finite components. Scores are exact whatever the size
+    null ids, null vectors, and vectors with null or non-finite components. Scores are exact whatever the size
     of components; an answer whose score doesn't fit 64 bits is an error, as in SQL. A vector that lacks terms has weight 0
-    there. Repeated rows are candidates each; a query id that is there more than once is asked once for each different
-    vector, and the best of all are its answer. Other columns are ignored.
+    there, an empty one everywhere. Repeated rows are candidates each; a query id that is there more than once is asked
+    once for each different vector, and the best of all are its answer. An empty table gives none; other columns are
+    ignored. Each block of queries is one pass over the rows, so passes grow with the queries, not with the rows.
     """
     # whole but still doubles, as those of 2**63 and more aren't longs; from 2**53 on all doubles are whole
     floor = lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: floor(x.cast("double") * scale)).alias("v"), "embedding")
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    rows = rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0) & ~F.exists("embedding", bad)).drop("embedding")
+    rows = rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.exists("embedding", bad)).drop("embedding")
     queries = rows.where(F.col("vec_id") % every == 0).distinct()
-    counts = rows.agg(F.count("*").alias("rows"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("queries")).first()
-    n_q, n_r = max(1, -(-counts["queries"] // QUERY_BLOCK)), max(1, -(-counts["rows"] // ROW_BLOCK))
-    spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
-    to = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-    asked = queries.select("vec_id", "v", spread(n_q).cast("int").alias("qb"), to(n_r, "rb"))
-    # equal ids may all be one row, so rows are dealt out by their contents' hash and a random part
-    posted = rows.select("vec_id", "v", F.pmod(F.monotonically_increasing_id(), F.lit(n_r)).cast("int").alias("rb"), to(n_q, "qb"))
-    found = asked.groupBy("qb", "rb").cogroup(posted.groupBy("qb", "rb")).applyInPandas(_search(k), "query_id long, vec_id long, score long")
+    facts = queries.agg(F.coalesce(F.sum(F.size("v") + 1), F.lit(0))).first()[0]
+    blocks = max(1, -(-facts // BLOCK_VALUES))
+    queries = written(queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")), "queries")
+    found = None
+    for block in range(blocks):
+        few = queries.where(F.col("block") == block).select("vec_id", "v").toArrow()  # about BLOCK_VALUES components
+        if few.num_rows:
+            held = rows.sparkSession.sparkContext.broadcast((_rows(few.column("v")), few.column("vec_id").to_numpy()))
+            some = rows.mapInArrow(tidy(_search(held, k)), "query_id long, vec_id long, score long")
+            found = some if found is None else found.unionAll(some)
+    if found is None:
+        found = rows.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     fits = F.when(F.col("score") == LOWEST, F.raise_error(F.lit("a score doesn't fit 64 bits")).cast("long")).otherwise(F.col("score"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", fits.alias("score"))
