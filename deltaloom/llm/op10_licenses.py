@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +30,8 @@ PHRASES = {
     "spdx license identifier": "spdx",
 }
 OPENNESS = {"mit": 1.0, "apache": 1.0, "bsd": 1.0, "public-domain": 1.0, "cc-by": 0.9, "mpl": 0.7, "lgpl": 0.6, "cc-by-sa": 0.6, "gpl": 0.4, "agpl": 0.3, "cc-by-nd": 0.3, "cc-by-nc": 0.2, "reserved": 0.0, "proprietary": 0.0}
-#: Starts of licence identifiers and the labels that they stand for, the longest that fits first.
-IDENTIFIERS = {"mit": "mit", "apache-": "apache", "bsd-": "bsd", "0bsd": "bsd", "mpl-": "mpl", "lgpl-": "lgpl", "agpl-": "agpl", "gpl-": "gpl", "cc-by-nc": "cc-by-nc", "cc-by-sa": "cc-by-sa", "cc-by-nd": "cc-by-nd", "cc-by-": "cc-by", "cc0-": "public-domain", "unlicense": "public-domain"}
+#: Licence identifiers, or what one starts with before a hyphen, and the labels that they stand for, the longest first.
+IDENTIFIERS = {"mit": "mit", "apache": "apache", "bsd": "bsd", "0bsd": "bsd", "mpl": "mpl", "lgpl": "lgpl", "agpl": "agpl", "gpl": "gpl", "cc-by-nc": "cc-by-nc", "cc-by-sa": "cc-by-sa", "cc-by-nd": "cc-by-nd", "cc-by": "cc-by", "cc0": "public-domain", "unlicense": "public-domain"}
 TAG = "spdx license identifier"
 
 #: Bytes that end a word become spaces, A-Z become a-z.
@@ -38,6 +39,12 @@ FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <
 EXPRESSION = re.compile(rb"(?i)spdx-license-identifier:[ \t]*([A-Za-z0-9.+:() \t-]*)")
 
 
+def identifier_label(word: str) -> str | None:
+    """The label of a licence identifier in lower case: a whole name, or one that goes on after a hyphen."""
+    parts = word.rstrip("+").split("-")
+    return next((IDENTIFIERS[x] for n in range(len(parts), 0, -1) if (x := "-".join(parts[:n])) in IDENTIFIERS), None)
+
+
 def expression_labels(text: str) -> tuple[list[str], float] | None:
     """Labels that a licence expression names, and its openness: or takes the most open side, and the least open.
 
@@ -62,7 +69,7 @@ def expression_labels(text: str) -> tuple[list[str], float] | None:
         if wanted and word == "(":
             waiting.append(word)
         elif wanted and word not in strength and word != ")":
-            name = next((IDENTIFIERS[k] for k in sorted(IDENTIFIERS, key=len, reverse=True) if word.startswith(k)), None)
+            name = identifier_label(word)
             exception = bool(waiting) and waiting[-1] == "with"
             if name and not exception:
                 labels.append(name)
@@ -112,8 +119,11 @@ def _scan(batches):
                 words = folded[at[i] : at[i + 1]].split()
                 joined = " " + b" ".join(words).decode("latin-1") + " "  # one character for each byte, as places need
                 base, own, found = [], set(), []
-                for end, phrase in auto.iter(joined):
-                    start = joined.count(" ", 0, end - len(phrase) - 1)
+                met = list(auto.iter(joined))
+                # spaces before a phrase are words before it
+                spaces = np.flatnonzero(np.frombuffer(joined.encode("latin-1"), np.uint8) == 32) if met else None
+                places = np.searchsorted(spaces, [end - len(phrase) - 1 for end, phrase in met]).tolist() if met else []
+                for start, (_, phrase) in zip(places, met, strict=True):
                     found.append((start, phrase))
                     if phrase in BASE:
                         base.append((start, BASE[phrase]))
