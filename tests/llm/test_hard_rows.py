@@ -1,0 +1,217 @@
+"""Rows that are long, repeated, tied or oddly named."""
+
+import hashlib
+import random
+import time
+
+import numpy as np
+import pytest
+
+from deltaloom.llm import common, op2_jaccard, op3_mixing, op4_substrings, op5_packing, op6_neighbours, op7_pii, op9_exact, op10_licenses
+from deltaloom.llm.suffix_arrays import induce, induce_by_scan, permuted_common_prefixes, suffix_array
+from tests.llm.test_whole_tables import removed
+
+#: Names that the operators use inside.
+CLASHING = "_size, _taken, _k_id, _tie, row, words, ranges, node, n, component, component_id, rid, spans, text_, same, gram, held_out, key".split(", ")
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, "a"), (2, text, "b"), (2, text, "b"), (None, "x y", None), (3, None, "a"), (4, "", "a")]
+    return spark.createDataFrame([(*r, *range(len(CLASHING))) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"`{c}` long" for c in CLASHING))
+
+
+@pytest.mark.parametrize("run", [op2_jaccard.jaccard_components, op3_mixing.mixed_words, op4_substrings.without_repeats, op5_packing.packed_pieces, op7_pii.personal_data, op10_licenses.license_notices])
+def test_clashing_names(spark, clashing, run):
+    assert run(clashing).select("doc_id").distinct().count() == 5
+
+
+@pytest.mark.parametrize("run", [op2_jaccard.keep_one_of_each, op3_mixing.mixed_documents, op7_pii.redacted])
+def test_stages_keep_clashing_columns(spark, clashing, run):
+    out = run(clashing)
+    assert out.columns == clashing.columns and all(r["key"] == len(CLASHING) - 1 for r in out.collect())
+
+
+def words(text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return common.word_hashes(raw, np.array([0, len(raw)]))[0].tolist()
+
+
+def test_long_words_keep_their_places():
+    assert words("a" + "x" * 65535 + "b") != words("b" + "x" * 65535 + "a")
+    assert words("q " + "Ab" * 300_000)[1:] == words("aB" * 300_000)
+
+
+def test_word_hashes_in_blocks(monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abAB \n") for _ in range(rng.randrange(40))) for _ in range(50)]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    whole = common.word_hashes(raw, at)
+    monkeypatch.setattr(common, "WORD_BLOCK", 7)
+    parts = common.word_hashes(raw, at)
+    assert whole[0].tolist() == parts[0].tolist() and whole[1].tolist() == parts[1].tolist()
+    seen = {}
+    for k, t in enumerate(texts):
+        own = whole[0][whole[1][k] : whole[1][k + 1]].tolist()
+        assert len(own) == len(t.split())
+        assert all(seen.setdefault(w, h) == h for w, h in zip(t.lower().split(), own, strict=True))
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_links_of_a_large_group_of_near_copies(spark, monkeypatch):
+    """More members than a block's part, most of them no link of a leader: the components are those of all pairs."""
+    monkeypatch.setattr(op2_jaccard, "BLOCK", 16)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(64)]
+    texts = []
+    for i in range(90):
+        t = list(base)
+        for k in rng.sample(range(0, 64, 6), rng.randrange(1, 5)):
+            t[k] = f"x{rng.randrange(6)}"
+        texts.append(t)
+    sets = [{tuple(t[k : k + 5]) for k in range(60)} for t in texts]
+    least = list(range(90))
+    for _ in range(90):
+        for i in range(90):
+            for j in range(90):
+                if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    least[i] = least[j] = min(least[i], least[j])
+    out = op2_jaccard.jaccard_components(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == dict(enumerate(least))
+
+
+def test_spanning_links_are_fewer_than_members():
+    rng = np.random.default_rng(0)
+    core = rng.integers(0, 2**63, 100).astype(np.uint64)
+    sets = [np.unique(np.append(core, rng.integers(0, 2**63, 3).astype(np.uint64))) for _ in range(40)]
+    every = np.arange(40)
+    assert len(op2_jaccard.spanning_links(every, every, sets, every, every)) == 39
+    assert op2_jaccard.spanning_links(every, np.zeros(40, np.int64), sets, every, every) == []
+
+
+@pytest.mark.parametrize("how", [induce, induce_by_scan])
+def test_suffix_arrays_and_common_prefixes(how):
+    rng = np.random.default_rng(3)
+    for turn in range(300):
+        t = rng.integers(1, int(rng.integers(2, 6)), int(rng.integers(0, 40)))
+        t = np.append(np.tile(t, 3) if turn % 3 == 0 else t, 0).astype(np.uint16)
+        own = t.tolist()
+        want = sorted(range(len(own)), key=lambda i: own[i:])  # noqa: B023
+        assert suffix_array(t, 258, how).tolist() == want
+        before, shared = permuted_common_prefixes(t, np.array(want))
+        for a, b in zip(want, want[1:], strict=False):
+            n = next(k for k in range(len(own)) if own[a + k] != own[b + k])
+            assert (before[b], shared[b]) == (a, n)
+
+
+def test_hot_grams_go_through_longer_ones(spark, monkeypatch):
+    monkeypatch.setattr(op4_substrings, "MOST_RUNS", 3)
+    rng = random.Random(5)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(90))
+    texts = ["".join(rng.choice("xyz") for _ in range(rng.randrange(150))) + line + "".join(rng.choice("uv") for _ in range(rng.randrange(150))) for _ in range(40)]
+    texts += [texts[0][5:] + "!", texts[1][:-5], texts[2], texts[2], None, "", "é" * 300, "é" * 99 + "e" + "é" * 200]
+    out = op4_substrings.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out.collect()} == dict(enumerate(removed(texts)))
+
+
+def test_equal_rows_repeat_each_other(spark):
+    text = "".join(chr(97 + i * i % 26) for i in range(250))
+    out = op4_substrings.without_repeats(spark.createDataFrame([(1, text), (1, text)], "doc_id long, text string"))
+    assert [(r["n_removed"], r["kept_sha256"]) for r in out.collect()] == [(250, hashlib.sha256(b"").hexdigest())] * 2
+
+
+def test_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["left <|endoftext|> right", "<|endoftext|>", "a<|endoftext|><|endoftext|>  b", "<|endoftext|", "x <|endoftext|>\n"]
+    out = op5_packing.packed_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["doc_tokens"] for r in out} == {i: len(whole.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    assert op5_packing.packed_pieces(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+VECTORS = "vec_id long, embedding array<double>"
+
+
+def test_searches_break_ties_by_id(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(40)] + [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (7, [1.0, 0.0])]
+    v = spark.createDataFrame(rows, VECTORS)
+    got = op9_exact.exact_top_k(v).where("query_id = 100").orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [0, 1, 2, 3, 4, 5, 6, 7, 7, 8]
+    near = op6_neighbours.nearest(v).where("query_id = 20").orderBy("rank").collect()
+    assert [r["vec_id"] for r in near] == [i for i in range(40) if i != 20][:20]
+
+
+def test_exact_search_in_several_blocks_and_widths(spark, monkeypatch):
+    monkeypatch.setattr(op9_exact, "BLOCK_VALUES", 20)
+    rng = random.Random(1)
+    rows = [(i * 10, [rng.randrange(-4, 5) / 8 for _ in range(rng.randrange(0, 4))]) for i in range(1, 90)]
+    v = spark.createDataFrame([(i, e, "x") for i, e in rows], VECTORS + ", score string")
+    out = {}
+    for r in op9_exact.exact_top_k(v).collect():
+        out.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q, e in ((i, e) for i, e in rows if i % 100 == 0):
+        want = sorted(((-sum(int(a * 1024) * int(b * 1024) for a, b in zip(e, f)), i) for i, f in rows if i != q))[:10]
+        assert sorted(out[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
+
+
+@pytest.mark.parametrize("text", ["9" * 5000 + ".1.2.3", "1" * 200_000 + " 1.2", "a" * 200_000, "a@" * 50_000, "1." * 100_000, "+1 " + "(" * 200_000, "token=" * 30_000, "AB12 " * 50_000, "(1) " * 50_000, "A1" * 100_000, "Mr " * 60_000])
+def test_personal_data_in_linear_time(text):
+    began = time.process_time()
+    op7_pii.spans(text)
+    assert time.process_time() - began < 5
+
+
+PLANTED = [
+    ('The token = "{hex}" was left here', "secret"), ("password: {word}9x!Q and more", "secret"), ("api_key := '{hex}'", "secret"), ("the secret is {word}7$Zk, keep it", "secret"),
+    ("client secret={hex}", "secret"), ("AKIA{upper} was leaked with its secret key", "secret"), ("call (212) 555-{four} today", "phone"), ("write to {word} [at] example [dot] com please", "email"),
+    ("contact {word}é@bücher.de now", "email"), ("account DE89 3704 0044 0532 0130 00 at the bank", "iban"), ("her ssn 123-45-{four} leaked", "identity"),
+]
+CLEAN = ["version 1.2.3 of build 20240101", "isbn 978-3-16-148410-0 on page 12", "the commit {long} fixed it", "chapter 4 of section 12.5", "pass the salt and the key to the house", "in 1914-1918 and 1939-1945", "{word} {word} {word}", "order 9777946427004852 shipped", "a token of my esteem for {word}", "{long}{long}"]
+
+
+def fill(pattern, rng):
+    word = "".join(rng.choice("abcdefghijklmnop") for _ in range(8))
+    return pattern.format(hex="".join(rng.choice("0123456789abcdef") for _ in range(40)), word=word, four=f"{rng.randrange(1000, 9999)}", upper="".join(rng.choice("ABCDEFGHJKLMNPQR234567") for _ in range(16)), long="".join(rng.choice("abcdefgh") for _ in range(30)))
+
+
+def test_planted_personal_data(spark):
+    rng = random.Random(3)
+    planted = [(fill(p, rng), kind) for p, kind in PLANTED * 12]
+    clean = [fill(p, rng) for p in CLEAN * 12]
+    other = [f"mail {w}@example.org or +1 (988) 555-2485 from 10.1.2.3" for w in ("ann", "bob", "eve")] * 10
+    rows = [(i, t) for i, t in enumerate([*(t for t, _ in planted), *clean, *other])]
+    got = {r["doc_id"]: r for r in op7_pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    caught = [any(x.startswith(kind) for x in got[i]["spans"].split(",")) for i, (_, kind) in enumerate(planted)]
+    assert np.mean(caught) >= 0.9, [planted[i] for i in range(len(caught)) if not caught[i]][:8]
+    hit = [got[len(planted) + i]["n_spans"] > 0 for i in range(len(clean))]
+    assert np.mean(hit) <= 0.01, [clean[i] for i in range(len(clean)) if hit[i]][:8]
+    text = op7_pii.redacted(spark.createDataFrame(rows[:1], "doc_id long, text string"))
+    assert text.columns == ["doc_id", "text"]
+
+
+def test_licence_labels(spark):
+    assert op10_licenses.identifier_label("mitigation") is None and op10_licenses.identifier_label("gpl-2.0+") == "gpl"
+    assert op10_licenses.identifier_label("cc-by-sa-4.0") == "cc-by-sa" and op10_licenses.identifier_label("mit") == "mit"
+    texts = ["SPDX-License-Identifier: (MIT OR GPL-2.0-only)", "mitigation of risk", "under the MIT License; all rights reserved", "cc by " * 20_000, None]
+    began = time.time()
+    out = {r["doc_id"]: r for r in op10_licenses.license_notices(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert time.time() - began < 60
+    assert [out[i]["labels"] for i in range(5)] == ["gpl,mit,spdx", "", "mit,reserved", "cc-by", ""]
+    assert [out[i]["score"] for i in range(5)] == [1.0, 0.5, 0.0, 0.9, 0.5]
+    assert (out[3]["n_base"], out[3]["first_word"], out[3]["last_word"]) == (20_000, 0, 39_998)
+
+
+def test_no_local_folder_on_a_cluster():
+    class Conf(dict):
+        def get(self, k, d=None):
+            return dict.get(self, k, d)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.scratch_dir(Session())

@@ -106,7 +106,7 @@ def test_searches_leave_bad_vectors_out(spark):
     rows = [(i, [float(i), 1.0]) for i in range(0, 120)] + [(200, None), (300, [float("nan"), 1.0]), (None, [1.0, 1.0]), (400, [None, 1.0])]
     v = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     exact = op9_exact.exact_top_k(v).where("query_id = 100").orderBy("rank").collect()
-    assert [r["vec_id"] for r in exact] == list(range(119, 109, -1)) or [r["vec_id"] for r in exact][0] == 119
+    assert [r["vec_id"] for r in exact] == [i for i in range(119, 108, -1) if i != 100][:10]
     near = op6_neighbours.nearest(v).where("query_id = 20").orderBy("rank").collect()
     assert [r["vec_id"] for r in near] == list(range(119, 99, -1))
     empty = v.where("vec_id < 0")
