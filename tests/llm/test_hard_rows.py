@@ -9,7 +9,7 @@ import pytest
 
 from deltaloom.llm import common, op2_jaccard, op3_mixing, op4_substrings, op5_packing, op6_neighbours, op7_pii, op9_exact, op10_licenses
 from deltaloom.llm.suffix_arrays import induce, induce_by_scan, permuted_common_prefixes, suffix_array
-from tests.llm.test_whole_tables import removed
+from test_whole_tables import removed
 
 #: Names that the operators use inside.
 CLASHING = "_size, _taken, _k_id, _tie, row, words, ranges, node, n, component, component_id, rid, spans, text_, same, gram, held_out, key".split(", ")
