@@ -11,6 +11,12 @@ def abbreviate(hex_: Column, first: int = 4, last: int = 4) -> Column:
     return F.when(F.length(hex_) > first + last, F.concat(F.substring(hex_, 1, first), F.lit("..."), F.right(hex_, F.lit(last)))).otherwise(hex_)
 
 
+def parse_identity(text: Column) -> Column:
+    """64 hex digits with or without 0x, any case -> lower-case digits; else null."""
+    body = F.lower(F.regexp_replace(text, "^0[xX]", ""))
+    return F.when(body.rlike("^[0-9a-f]{64}$"), body)
+
+
 def reverse_bytes(hex_: Column) -> Column:
     """Hex text with its byte pairs in the opposite order."""
     pairs = F.regexp_extract_all(hex_, F.lit("(..)"), F.lit(1))
@@ -30,6 +36,39 @@ def parse_uuid(text: Column) -> Column:
     return F.when(d.rlike("^[0-9a-f]{32}$"), F.concat_ws("-", part(1, 8), part(9, 4), part(13, 4), part(17, 4), part(21, 12)))
 
 
+def uuid_from_little_endian(raw: Column) -> Column:
+    """16 little-endian bytes -> hyphenated text; null where there aren't 16."""
+    return F.when(F.length(raw) == 16, parse_uuid(reverse_bytes(F.lower(F.hex(raw)))))
+
+
+def uuid_to_little_endian(text: Column) -> Column:
+    """A uuid's text -> its 16 bytes in little-endian order; null where it is none."""
+    return F.unhex(reverse_bytes(F.regexp_replace(parse_uuid(text), "-", "")))
+
+
+def micros_to_interval(micros: Column) -> Column:
+    """A count of microseconds -> a day-time interval."""
+    return F.make_dt_interval(secs=micros.cast("decimal(18,6)") / F.lit(1_000_000).cast("decimal(18,6)"))
+
+
+def schedule_to_json(at: Column) -> Column:
+    """struct<type, micros> -> the JSON that schedule_at reads."""
+    return F.when(at.isNotNull(), F.to_json(F.struct(at["type"].alias("type"), at["micros"].alias("value"))))
+
+
+def variant(tag: Column, value: Column, names: list[str]) -> Column:
+    """A tagged union's tag number and payload text -> its JSON; null where no variant has that number."""
+    name = F.when(tag.between(0, len(names) - 1), F.get(F.array(*map(F.lit, names)), tag.cast("int")))
+    return F.when(name.isNotNull(), F.to_json(F.struct(name.alias("type"), value.alias("value"))))
+
+
+def variant_of(json: Column, names: list[str]) -> Column:
+    """The JSON of a tagged union -> struct<tag, value>; null where its type is none of names."""
+    v = F.from_json(json, "type string, value string")
+    tag = F.array_position(F.array(*map(F.lit, names)), v["type"]).cast("int") - 1
+    return F.when(tag >= 0, F.struct(tag.alias("tag"), v["value"].alias("value")))
+
+
 def schedule_at(json: Column) -> Column:
     """{"type": "interval" | "time", "value": micros} -> struct<type, micros>."""
     v = F.from_json(json, "type string, value bigint")
@@ -49,6 +88,11 @@ def query_hash(queries: Column) -> Column:
     return F.aggregate(pairs, F.lit(2166136261).cast("long"), step)
 
 
+def from_tables(query: Column) -> Column:
+    """Names of tables after FROM alone, quotes off: those whose rows a subscription returns."""
+    return F.array_distinct(F.regexp_extract_all(query, F.lit(r"""(?i)FROM\s+["`]?(\w+)["`]?"""), F.lit(1)))
+
+
 def table_refs(query: Column) -> Column:
     """Names of tables after FROM and JOIN, quotes off."""
     return F.array_distinct(F.regexp_extract_all(query, F.lit(r"""(?i)\b(?:from|join)\s+["`]?(\w+)["`]?"""), F.lit(1)))

@@ -1,7 +1,7 @@
 """Applying change logs to keyed tables and bags.
 
 A change log has txn (a total order), grp (row group within it), query_set_id, op ('insert' or 'delete') and the
-table's columns. Within a transaction deletes come before inserts. pk lists the key columns; rows with a null in the
+table's columns; it may have set_no, a query set's place in the transaction's message, and pos, a row's place in its group. Within a transaction deletes come before inserts. pk lists the key columns; rows with a null in the
 key are not addressable and are ignored by keyed operators.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-META = ("txn", "grp", "query_set_id", "op")
+META = ("txn", "set_no", "grp", "pos", "query_set_id", "op")
 
 
 def row_columns(log: DataFrame, meta=META) -> list[str]:
@@ -60,7 +60,7 @@ def rows_equal_text(a: Column, b: Column, kind: T.StructType) -> Column:
 def delta(log: DataFrame, pk: list[str], by: tuple[str, ...] = ()) -> DataFrame:
     """One row for each key (and each value of by): d, the last deleted row, and i, the last inserted row, or null."""
     row = F.struct(*row_columns(log))
-    at = F.struct(*([F.col("txn")] if "txn" not in by else []), F.col("grp"))
+    at = F.struct(*(F.col(c) for c in ("txn", "set_no", "grp", "pos") if c in log.columns and c not in by))
     last = lambda op: F.max_by(F.when(F.col("op") == op, row), F.when(F.col("op") == op, at))
     return keyed(log, pk).groupBy(*by, *pk).agg(last("delete").alias("d"), last("insert").alias("i"))
 
@@ -101,7 +101,8 @@ def classify_against_state(state: DataFrame, log: DataFrame, pk: list[str], mode
 def apply_changes(state: DataFrame, log: DataFrame, pk: list[str]) -> DataFrame:
     """State after all transactions in order: the last operation on each key holds. One pass, two shuffles by key."""
     columns = row_columns(log)
-    last = keyed(log, pk).groupBy(*pk).agg(F.max_by(F.struct("op", F.struct(*columns).alias("row")), F.struct("txn", step().alias("step"), "grp")).alias("last"))
+    at = [F.col(c) for c in ("set_no", "grp", "pos") if c in log.columns]
+    last = keyed(log, pk).groupBy(*pk).agg(F.max_by(F.struct("op", F.struct(*columns).alias("row")), F.struct("txn", step().alias("step"), *at)).alias("last"))
     kept = state.join(last.select(*pk), pk, "left_anti").select(*columns)
     return kept.unionByName(last.where("last.op = 'insert'").select("last.row.*"))
 
@@ -166,15 +167,29 @@ def split_protected(log: DataFrame, protected: DataFrame, pk: list[str]) -> tupl
     return free, held
 
 
-def transaction_batches(changes: DataFrame) -> DataFrame:
-    """One row for each transaction with changes: its events in order of insert, delete, update, and their counts.
+def event_place(kind: str = "kind") -> Column:
+    """A transaction tells inserts first, then deletes, then updates."""
+    return F.when(F.col(kind) == "insert", 0).when(F.col(kind) == "delete", 1).otherwise(2)
 
-    changes: txn, kind, pk columns, old, new. A transaction is one unit of the feed, so its events fit one row.
+
+def transaction_batches(changes: DataFrame, most: int = 10_000) -> DataFrame:
+    """Batches of the events of each transaction (and table, where there is table_name): part, events, and their counts.
+
+    changes: txn, kind, pk columns, old, new. Events of a part stand in order of insert, delete, update; parts of one
+    place in that order follow each other and hold about `most` events each, so that no row holds a whole bulk load.
     """
-    place = F.when(F.col("kind") == "insert", 0).when(F.col("kind") == "delete", 1).otherwise(2)
-    event = F.struct(place.alias("place"), *(c for c in changes.columns if c != "txn"))
+    by = [c for c in ("txn", "table_name") if c in changes.columns]
+    place = event_place()
+    keys = [c for c in changes.columns if c not in (*by, "kind", "old", "new")]
+    sizes = changes.groupBy(*by, place.alias("place")).agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / most))
+    before = Window.partitionBy(*by).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    small = F.sum("n").over(Window.partitionBy(*by)) <= most
+    sizes = sizes.withColumn("first", F.when(small, F.lit(0).cast("long")).otherwise(F.coalesce(F.sum("parts").over(before), F.lit(0).cast("long"))))
+    rows = changes.withColumn("place", place).join(sizes.select(*by, "place", "parts", "first"), [*by, "place"])
+    rows = rows.withColumn("part", F.col("first") + F.pmod(F.xxhash64(*keys), F.col("parts")))
+    event = F.struct("place", *(c for c in changes.columns if c not in by))
     count = lambda k: F.count_if(F.col("kind") == k).alias(f"{k}s")
-    return changes.groupBy("txn").agg(F.sort_array(F.collect_list(event)).alias("events"), count("insert"), count("delete"), count("update"))
+    return rows.groupBy(*by, "part").agg(F.sort_array(F.collect_list(event)).alias("events"), count("insert"), count("delete"), count("update"))
 
 
 def of_kind(changes: DataFrame, kind: str) -> DataFrame:
@@ -186,11 +201,15 @@ def apply_deletes(state: DataFrame, gone: DataFrame, pk: list[str] | None) -> Da
     return state.join(gone.select(*pk).distinct(), pk, "left_anti") if pk else state.exceptAll(gone)
 
 
-def upsert_rows(state: DataFrame, rows: DataFrame, pk: list[str]) -> DataFrame:
-    """Insert or replace; of rows with one key one stays."""
+def upsert_rows(state: DataFrame, rows: DataFrame, pk: list[str], order: list[str] | None = None) -> DataFrame:
+    """Insert or replace. Of rows with one key the largest one by order stays, of all columns where none is given.
+
+    rows may have more columns than state, such as a place in their batch, for order to name.
+    """
     if not pk:
         raise ValueError("rows of a table without a key can't be replaced")
-    return state.join(rows.select(*pk).distinct(), pk, "left_anti").select(*state.columns).unionByName(rows.dropDuplicates(pk))
+    new = rows.groupBy(*pk).agg(F.max_by(F.struct(*state.columns), F.struct(*(order or state.columns))).alias("r")).select("r.*")
+    return state.join(rows.select(*pk).distinct(), pk, "left_anti").select(*state.columns).unionByName(new)
 
 
 def update_rows(state: DataFrame, rows: DataFrame, pk: list[str]) -> DataFrame:
@@ -210,6 +229,15 @@ def clear_state(state: DataFrame) -> DataFrame:
     return state.where(F.lit(False))
 
 
+def replace_state(state: DataFrame, rows: DataFrame, pk: list[str], query_set: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """State, owners and events once a table's whole content is replaced: what was held, owned or tagged before is gone.
+
+    Rows of the new content belong to query_set alone; of rows with one key one stays.
+    """
+    new = upsert_rows(clear_state(state), rows.select(*state.columns), pk)
+    return new, new.select(*pk, F.lit(query_set).alias("query_set_id")), snapshot_diff(state, new, pk)
+
+
 def initial_load(state: DataFrame, rows: DataFrame) -> DataFrame:
     """Snapshot of a bag: rows that belong to a pending request stay, all others are replaced."""
     return state.where("request_id is not null").unionByName(rows, allowMissingColumns=True)
@@ -221,4 +249,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, pk: list[str]) -> DataFrame:
     a, b = (df.select(*pk, F.struct(*columns).alias(name)) for df, name in ((old, "old"), (new, "new")))
     o, n = F.col("old"), F.col("new")
     kind = F.when(o.isNull(), "insert").when(n.isNull(), "delete").when(~rows_equal_deep(o, n, a.schema["old"].dataType), "update")
-    return a.join(b, pk, "full_outer").select(*pk, kind.alias("kind"), "old", "new").where("kind is not null")
+    # a null key is a row's identity too: it meets the other snapshot's null key
+    met = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in pk])
+    keys = [F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in pk]
+    return a.alias("a").join(b.alias("b"), met, "full_outer").select(*keys, kind.alias("kind"), "old", "new").where("kind is not null")

@@ -22,13 +22,31 @@ def event_cause(kind: str = "message", optimistic: str = "optimistic", name: str
     return F.when(F.col(optimistic), "optimistic").when(F.col(kind) == "snapshot", "snapshot").when((F.col(kind) == "result") & F.col(name).isNotNull(), "call").otherwise("remote")
 
 
+def earliest(results: DataFrame) -> DataFrame:
+    """Each request's first row by result_ts, ties by the other columns that can be ordered."""
+    order = ["result_ts", *(f.name for f in results.schema.fields if f.name not in ("request_id", "result_ts") and f.dataType.typeName() not in ("map", "variant"))]
+    return results.groupBy("request_id").agg(F.min_by(F.struct(*results.columns), F.struct(*order)).alias("r")).select("r.*")
+
+
 def match_results(calls: DataFrame, results: DataFrame) -> DataFrame:
-    """Each request's first result with its call; a result without one has a null name and a remote cause."""
-    first = results.groupBy("request_id").agg(F.min_by(F.struct(*results.columns), "result_ts").alias("r")).select("r.*")
+    """Each request's first result with its call; a result without one has a null name and a remote cause.
+
+    Of results of one time the least one by its other columns is the first."""
+    first = earliest(results)
     out = first.join(calls, "request_id", "left")
     return out.withColumn("cause", F.when(F.col("name").isNull(), "remote").otherwise("call"))
 
 
+def result_outcome(tag: Column, returned: Column, error: str) -> Column:
+    """struct<status, returned, message>: a failure has its text, a return of no bytes is null, others keep theirs.
+
+    tag: outcome tags 0 to 3; returned: the bytes of a return; error: name of the column of a failure's bytes.
+    """
+    status = F.when(tag == 0, "committed").when(tag == 1, "committed_empty").when(tag == 2, "failed").when(tag == 3, "internal_error")
+    kept = F.when((tag == 0) & (F.length(returned) > 0), returned)
+    return F.struct(status.alias("status"), kept.alias("returned"), F.when(tag.isin(2, 3), error_text(error)).alias("message"))
+
+
 def result_status(tag: str = "outcome") -> Column:
     """Outcome tags 0 to 3."""
     return F.when(F.col(tag) == 0, "committed").when(F.col(tag) == 1, "committed_empty").when(F.col(tag) == 2, "failed").when(F.col(tag) == 3, "internal_error")
@@ -105,4 +123,4 @@ def late_snapshots(replies: DataFrame, timed_out: DataFrame) -> DataFrame:
     replies: request_id, result_ts and others; timed_out: request_id.
     """
     known = replies.join(timed_out.select("request_id").distinct(), "request_id", "left_semi")
-    return known.groupBy("request_id").agg(F.min_by(F.struct(*replies.columns), "result_ts").alias("r")).select("r.*")
+    return earliest(known.select(*replies.columns))

@@ -7,18 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def insert_with_next_ids(state: DataFrame, rows: DataFrame, id_: str, order: list[str]) -> DataFrame:
-    """rows with ids after the largest of state, from 1 for an empty one; in order, by ranges that are numbered apart.
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """rows with their place in order, from 0 without gaps.
 
     Numbers come from counts of range partitions and places within them, so no task sees all rows.
     """
-    top = state.agg(F.coalesce(F.max(id_), F.lit(0)).alias("_top")).withColumn("_k", F.lit(1))
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
     ranged = ranged.checkpoint()
     place = ranged.groupBy("_p").agg(F.count("*").alias("_n"), F.min("_m").alias("_lo"))
     before = place.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = ranged.join(F.broadcast(before), "_p").withColumn("_k", F.lit(1)).join(F.broadcast(top), "_k")
-    return out.withColumn(id_, F.col("_top") + 1 + F.col("_before") + F.col("_m") - F.col("_lo")).drop("_k", "_top", "_p", "_m", "_n", "_lo", "_before")
+    out = ranged.join(F.broadcast(before), "_p")  # a row for each partition
+    return out.withColumn(name, F.col("_before") + F.col("_m") - F.col("_lo")).drop("_p", "_m", "_n", "_lo", "_before")
+
+
+def insert_with_next_ids(state: DataFrame, rows: DataFrame, id_: str, order: list[str]) -> DataFrame:
+    """rows with ids after the largest of state, from 1 for an empty one; in order, by ranges that are numbered apart."""
+    top = state.agg(F.coalesce(F.max(id_), F.lit(0)).alias("_top")).withColumn("_k", F.lit(1))
+    out = numbered(rows, order, "_at").withColumn("_k", F.lit(1)).join(F.broadcast(top), "_k")
+    return out.withColumn(id_, F.col("_top") + 1 + F.col("_at")).drop("_k", "_top", "_at")
 
 
 def update_all(state: DataFrame, **values: Column) -> DataFrame:
@@ -56,31 +62,42 @@ def cascade_on_disconnect(connections: DataFrame, opted_in: DataFrame, items: Da
     return left, items.join(gone.withColumnRenamed("identity", "owner"), "owner", "left_anti")
 
 
+def generator_states(n: int, seed: int, a: int, c: int, spark) -> DataFrame:
+    """k, x: the n states of the generator x -> a * x + c modulo 2**64 after seed, as decimals.
+
+    Each comes by itself: the k-th state takes the jumps of 1, 2, 4, ... steps that k is the sum of. A product of two
+    64-bit numbers has too many digits, so x is multiplied in two halves.
+    """
+    whole, half = 1 << 64, 1 << 32
+    jumps, add, mul = [], c % whole, a % whole
+    for bit in range(n.bit_length()):
+        jumps.append((bit, mul, add))
+        mul, add = mul * mul % whole, (mul + 1) * add % whole
+    number = lambda v: F.lit(str(v)).cast("decimal(38,0)")
+    steps = F.array(*(F.struct(F.lit(b).alias("bit"), number(m).alias("mul"), number(m % half).alias("low"), number(p).alias("add")) for b, m, p in jumps))
+    w, h = number(whole), number(half)
+
+    def jump(x, s):
+        upper = ((x - x % h) / h).cast("decimal(38,0)")
+        high = ((upper * s["low"]).cast("decimal(38,0)") % h * h).cast("decimal(38,0)")
+        return ((high + (x % h * s["mul"]).cast("decimal(38,0)") + s["add"]).cast("decimal(38,0)") % w).cast("decimal(38,0)")
+
+    taken = F.filter(steps, lambda s: F.call_function("shiftright", F.col("k"), s["bit"]).bitwiseAND(F.lit(1)) == 1)
+    return spark.range(1, n + 1).withColumnRenamed("id", "k").withColumn("x", F.aggregate(taken, number(seed % whole), jump))
+
+
 def random_mutations(state: DataFrame, n: int, seed: int, id_: str, fields: list[str], a: int = 6364136223846793005, c: int = 1442695040888963407) -> DataFrame:
-    """n draws of a 64-bit linear congruential generator over ids 0 .. count - 1, each adding 1 to fields."""
-    spark = state.sparkSession
-    count = state.count()
-    mask = (1 << 64) - 1
-
-    def draws(batches):
-        import pandas as pd
-
-        for frame in batches:
-            out = []
-            for k in frame["id"]:
-                # the k-th state by repeated squaring of x -> a * x + c
-                mul, add, pa, pc, e = 1, 0, a, c, int(k) + 1
-                while e:
-                    if e & 1:
-                        mul, add = mul * pa & mask, (add * pa + pc) & mask
-                    pa, pc, e = pa * pa & mask, (pc * pa + pc) & mask, e >> 1
-                out.append(((mul * seed + add) & mask) % count)
-            yield pd.DataFrame({id_: out})
+    """n draws of a 64-bit linear congruential generator, each adding 1 to fields of one row of state.
 
+    A draw is the generator's upper 31 bits modulo the number of rows, a place in the order of id_. The generator's
+    constants and the shift are fixed values. Null ids come first in that order.
+    """
+    count = state.count()
     if not count or not n:
         return state
-    hits = spark.range(n).mapInPandas(draws, f"{id_} long").groupBy(id_).agg(F.count("*").alias("_hits"))
-    out = state.join(hits, id_, "left").withColumn("_hits", F.coalesce("_hits", F.lit(0)))
+    drawn = generator_states(n, seed, a, c, state.sparkSession)
+    hits = drawn.select((F.expr("x div 8589934592BD").cast("long") % count).alias("_at")).groupBy("_at").agg(F.count("*").alias("_hits"))
+    out = numbered(state, [id_], "_at").join(hits, "_at", "left").withColumn("_hits", F.coalesce("_hits", F.lit(0)))
     return out.withColumns({f: (F.col(f) + F.col("_hits")).cast(state.schema[f].dataType) for f in fields}).select(*state.columns)
 
 
@@ -93,8 +110,11 @@ def latency_report(samples: DataFrame, by: list[str], value: str, shares=(0.5, 0
     return upto.groupBy(*by).agg(*(at(p) for p in shares), F.max("n").alias("n"))
 
 
-def throughput_report(samples: DataFrame, by: list[str], fired: str, observed: str, micros: str, budget: int = 16_000) -> DataFrame:
+def throughput_report(samples: DataFrame, by: list[str], fired: str, observed: str, micros: str, budget: int = 16_000, ended: str | None = None) -> DataFrame:
+    """Fired and observed samples of each group, their share in per cent, and those over budget; ended: whether the
+    connection was lost at a sample."""
     out = samples.groupBy(*by).agg(F.count_if(fired).alias("fired"), F.count_if(observed).alias("observed"), F.count_if(F.col(micros) > budget).alias("budget_misses"))
+    out = out if ended is None else out.join(samples.groupBy(*by).agg(F.bool_or(ended).alias("disconnected")), by)
     return out.withColumn("kept_up_pct", F.col("observed") * 100.0 / F.col("fired")).withColumn("backpressure", F.col("observed") * 2 < F.col("fired"))
 
 

@@ -14,9 +14,14 @@ from pyspark.sql.window import Window
 from .changes import apply_changes, rows_equal_deep
 
 
-def visible_state(state: DataFrame, overlay: DataFrame, pk: list[str]) -> DataFrame:
-    """Each key's newest pending row, else its committed row; an update of a row that isn't there shows nothing."""
+def visible_state(state: DataFrame, overlay: DataFrame, pk: list[str] | None) -> DataFrame:
+    """Each key's newest pending row, else its committed row; an update of a row that isn't there shows nothing.
+
+    A table without a key shows its committed rows and all pending inserts.
+    """
     columns = state.columns
+    if not pk:
+        return state.unionByName(overlay.where("kind = 'insert' and new is not null").select("new.*").select(*columns))
     newest = overlay.groupBy(*pk).agg(F.max_by(F.struct("kind", "new"), F.struct("seq", "change_no")).alias("w"), F.bool_or(F.col("kind") == "insert").alias("inserted"))
     both = state.select(*pk, F.struct(*columns).alias("base")).join(newest, pk, "full_outer")
     shown = F.when(F.col("w").isNull(), F.col("base")).when((F.col("w.kind") == "insert") | ((F.col("w.kind") == "update") & (F.col("base").isNotNull() | F.col("inserted"))), F.col("w.new"))
@@ -66,13 +71,28 @@ def retained_unowned(inserts: DataFrame, owners: DataFrame, pk: list[str]) -> Da
     return inserts.join(owners.select(*pk), pk, "left_anti")
 
 
-def committed_only(state: DataFrame, pending_inserts: DataFrame) -> DataFrame:
-    """Rows to persist: without pending and retained inserts by content, one occurrence each."""
+def committed_only(state: DataFrame, pending_inserts: DataFrame, pending_requests: DataFrame | None = None) -> DataFrame:
+    """Rows to persist: without pending and retained inserts by content, one occurrence each.
+
+    Rows of a table without a key carry the request that inserted them (request_id, null for the server's): those of
+    pending_requests go first, whatever their content, and request_id is not persisted.
+    """
+    if pending_requests is not None:
+        state = state.join(pending_requests.select("request_id").distinct(), "request_id", "left_anti").drop("request_id")
     return state.exceptAll(pending_inserts.select(*state.columns))
 
 
-def overlay_events(overlay: DataFrame) -> DataFrame:
-    return overlay.withColumn("is_optimistic", F.lit(True))
+def overlay_events(state: DataFrame, overlay: DataFrame, pk: list[str]) -> DataFrame:
+    """seq, change_no, pk, kind, old, new, is_optimistic: the events that pending writes tell when they are made.
+
+    old is the row that the write replaces: the newest earlier pending row of its key, else the committed one; an
+    insert has none, a delete has no new one.
+    """
+    base = state.select(*pk, F.struct(*state.columns).alias("base"))
+    order = Window.partitionBy(*pk).orderBy("seq", "change_no")
+    rows = overlay.join(base, pk, "left").withColumn("_n", F.row_number().over(order)).withColumn("_old", F.when(F.col("_n") == 1, F.col("base")).otherwise(F.lag("new").over(order)))
+    old, new = F.when(F.col("kind") != "insert", F.col("_old")), F.when(F.col("kind") != "delete", F.col("new"))
+    return rows.select("seq", "change_no", *pk, "kind", old.alias("old"), new.alias("new"), F.lit(True).alias("is_optimistic"))
 
 
 def overlay_inserts(overlay: DataFrame) -> DataFrame:
@@ -128,7 +148,10 @@ def bound_queue(mutations: DataFrame, most: int, strategy: str) -> DataFrame:
 
 
 def veto(mutations: DataFrame, predicate: Column) -> DataFrame:
-    """Mutations that the predicate accepts; where it fails or is null, a mutation stays."""
+    """Mutations that the predicate accepts; where it is null, a mutation stays.
+
+    A predicate that can fail is to be written with try_ functions (try_cast, try_divide), whose failures are null.
+    """
     return mutations.where(F.coalesce(predicate, F.lit(True)))
 
 
@@ -193,15 +216,23 @@ def replay_action(attempts: DataFrame) -> DataFrame:
 
 
 def recent_failures(results: DataFrame, most: int) -> DataFrame:
-    return results.where("not success").orderBy(F.desc("seq")).limit(most)
+    """The last failures by seq, at most `most`, each with failed_count, the number of all of them."""
+    failed = results.where("not success")
+    total = failed.agg(F.count("*").alias("failed_count")).withColumn("_k", F.lit(1))
+    return failed.orderBy(F.desc("seq")).limit(most).withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").drop("_k")
 
 
-def sync_state(queue: DataFrame, results: DataFrame) -> DataFrame:
-    """One row: status, pending_count, failed_count, last_sync_at, has_pending, has_error."""
+def sync_state(queue: DataFrame, results: DataFrame, failed_before: int = 0, connected: bool = True) -> DataFrame:
+    """One row: status, pending_count, failed_count, last_sync_at, has_pending, has_error.
+
+    results: those of the last pass. Its failures add to failed_before; a pass without any sets the count to 0 if it
+    left the queue empty. What is left waits for a retry while there is a connection, else the queue is idle.
+    """
     q = queue.agg(F.count("*").alias("pending_count"), F.count_if("in_flight").alias("in_flight")).withColumn("_k", F.lit(1))
     r = results.agg(F.count_if(~F.col("success")).alias("failed"), F.max("finished_at").alias("last_sync_at")).withColumn("_k", F.lit(1))
-    status = F.when(F.col("pending_count") == 0, "idle").when(F.col("in_flight") > 0, "syncing").otherwise("waiting")
-    return q.join(r, "_k").select(status.alias("status"), "pending_count", F.col("failed").alias("failed_count"), "last_sync_at", (F.col("pending_count") > 0).alias("has_pending"), (F.col("failed") > 0).alias("has_error"))
+    status = F.when(F.col("in_flight") > 0, "syncing").when((F.col("pending_count") > 0) & F.lit(connected), "waiting").otherwise("idle")
+    failed = F.when(F.col("failed") > 0, F.col("failed") + failed_before).when(F.col("pending_count") == 0, 0).otherwise(failed_before).cast("long")
+    return q.join(r, "_k").select(status.alias("status"), "pending_count", failed.alias("failed_count"), "last_sync_at", (F.col("pending_count") > 0).alias("has_pending"), (failed > 0).alias("has_error"))
 
 
 def next_retry_at(queue: DataFrame) -> DataFrame:

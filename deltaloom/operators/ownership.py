@@ -23,15 +23,17 @@ def ownership_steps(state: DataFrame, owners: DataFrame, log: DataFrame, pk: lis
     """Every (key, txn, query set) step with the owners and the row before and after it.
 
     Owners are a running count of sets that gain or lose the key; the row is the last one inserted. A set that
-    reports a key absent without owning it changes nothing. The base is the step before all transactions.
+    reports a key absent without owning it changes nothing. The base is the step before all transactions. Sets of one
+    transaction take effect in the order of its message, set_no; a log without that column is in order of query_set_id.
     """
     columns = row_columns(log)
-    per = delta(log, pk, ("txn", "query_set_id")).select(*pk, "txn", "query_set_id", F.col("i").isNotNull().cast("int").alias("owns"), F.col("i").alias("row"))
-    base = owners.join(state.select(*pk, F.struct(*columns).alias("row")), pk, "left").select(*pk, F.lit(None).cast("long").alias("txn"), "query_set_id", F.lit(1).alias("owns"), "row")
+    log = log if "set_no" in log.columns else log.withColumn("set_no", F.col("query_set_id"))
+    per = delta(log, pk, ("txn", "set_no", "query_set_id")).select(*pk, "txn", "set_no", "query_set_id", F.col("i").isNotNull().cast("int").alias("owns"), F.col("i").alias("row"))
+    base = owners.join(state.select(*pk, F.struct(*columns).alias("row")), pk, "left").select(*pk, F.lit(None).cast("long").alias("txn"), F.lit(None).cast(log.schema["set_no"].dataType).alias("set_no"), "query_set_id", F.lit(1).alias("owns"), "row")
     steps = base.unionByName(per)
-    own = Window.partitionBy(*pk, "query_set_id").orderBy(F.col("txn").asc_nulls_first())
+    own = Window.partitionBy(*pk, "query_set_id").orderBy(F.col("txn").asc_nulls_first(), "set_no")
     steps = steps.withColumn("gain", F.col("owns") - F.coalesce(F.lag("owns").over(own), F.lit(0)))
-    order = Window.partitionBy(*pk).orderBy(F.col("txn").asc_nulls_first(), "query_set_id")
+    order = Window.partitionBy(*pk).orderBy(F.col("txn").asc_nulls_first(), "set_no", "query_set_id")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     steps = steps.withColumn("after", F.sum("gain").over(so_far)).withColumn("value", F.last("row", ignorenulls=True).over(so_far))
     return steps.withColumn("before", F.coalesce(F.lag("after").over(order), F.lit(0))).withColumn("previous", F.lag("value").over(order))
@@ -47,13 +49,13 @@ def owned_events(steps: DataFrame, pk: list[str]) -> DataFrame:
 
 
 def owners_after(steps: DataFrame, pk: list[str]) -> DataFrame:
-    return steps.groupBy(*pk, "query_set_id").agg(F.max_by("owns", F.coalesce("txn", F.lit(-(2**62)))).alias("owns")).where("owns = 1").select(*pk, "query_set_id")
+    return steps.groupBy(*pk, "query_set_id").agg(F.max_by("owns", F.struct(F.coalesce("txn", F.lit(-(2**62))), "set_no")).alias("owns")).where("owns = 1").select(*pk, "query_set_id")
 
 
 def state_after(state: DataFrame, steps: DataFrame, pk: list[str]) -> DataFrame:
     """Rows that some set still owns, with the value that the last insert left; rows without a step stay."""
     columns = steps.schema["value"].dataType.names
-    last = steps.groupBy(*pk).agg(F.max_by(F.struct("after", "value"), F.struct(F.coalesce("txn", F.lit(-(2**62))), "query_set_id")).alias("last"))
+    last = steps.groupBy(*pk).agg(F.max_by(F.struct("after", "value"), F.struct(F.coalesce("txn", F.lit(-(2**62))), "set_no", "query_set_id")).alias("last"))
     idle = state.join(last.select(*pk), pk, "left_anti").select(*columns)
     return idle.unionByName(last.where("last.after > 0 and last.value is not null").select("last.value.*"))
 
@@ -76,11 +78,14 @@ def drop_query_set(owners: DataFrame, query_set: int, pk: list[str], protected:
     return rest, evicted if protected is None else evicted.join(protected, pk, "left_anti")
 
 
-def drop_with_rows(state: DataFrame, owners: DataFrame, dropped: DataFrame, query_set: int, pk: list[str]) -> tuple[DataFrame, DataFrame]:
+def drop_with_rows(state: DataFrame, owners: DataFrame | None, dropped: DataFrame, query_set: int, pk: list[str] | None) -> tuple[DataFrame, DataFrame | None]:
     """State and owners after an unsubscribe whose reply carries the rows that it drops.
 
-    The rows count as deletes of the set and nothing is checked for imbalance; rows that another set owns stay.
+    The rows count as deletes of the set and nothing is checked for imbalance; rows that another set owns stay. A table
+    without a key has no owners: each dropped row takes one equal row, if there is one.
     """
+    if not pk:
+        return state.exceptAll(dropped.select(*state.columns)), owners
     rest = owners.where(F.col("query_set_id") != query_set)
     gone = dropped.select(*pk).distinct().join(rest.select(*pk), pk, "left_anti")
     return state.join(gone, pk, "left_anti").select(*state.columns), rest

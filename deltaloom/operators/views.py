@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deltaloom.functions.scalars import table_refs
+from deltaloom.functions.scalars import from_tables, table_refs
 
 
 def find(state: DataFrame, pk: list[str], *key) -> DataFrame:
@@ -39,9 +39,14 @@ def query_table_refs(queries: DataFrame) -> DataFrame:
     return queries.select("query_set_id", "query_no", F.explode(table_refs(F.col("query"))).alias("table_name"))
 
 
+def query_from_tables(queries: DataFrame) -> DataFrame:
+    """query_set_id, query_no, table_name of the tables after FROM; those that a query only joins return no rows."""
+    return queries.select("query_set_id", "query_no", F.explode(from_tables(F.col("query"))).alias("table_name"))
+
+
 def covering_sets(queries: DataFrame, table: str) -> DataFrame:
-    """query_set_id of sets with a query that names the table."""
-    return query_table_refs(queries).where(F.lower("table_name") == table.lower()).select("query_set_id").distinct()
+    """query_set_id of sets with a query that has the table after FROM, in this very case."""
+    return query_from_tables(queries).where(F.col("table_name") == table).select("query_set_id").distinct()
 
 
 def table_covered(queries: DataFrame, table: str) -> bool:
@@ -49,16 +54,45 @@ def table_covered(queries: DataFrame, table: str) -> bool:
 
 
 def validate_query_sets(queries: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Queries without each set's first one that names a table outside the catalog (table_name).
+    """Queries without each set's first one that has a table outside the catalog (table_name) after FROM.
 
-    A set of which nothing is left has no row; its rows are then dropped by drop_query_set.
+    Unknown tables that a query only joins don't drop it. A set of which nothing is left has no row: see emptied_sets.
     """
     known = catalog.select(F.lower("table_name").alias("name")).distinct()
-    bad = query_table_refs(queries).withColumn("name", F.lower("table_name")).join(known, "name", "left_anti")
+    bad = query_from_tables(queries).withColumn("name", F.lower("table_name")).join(known, "name", "left_anti")
     first = bad.groupBy("query_set_id").agg(F.min("query_no").alias("query_no"))
     return queries.join(first, ["query_set_id", "query_no"], "left_anti").select(*queries.columns)
 
 
+def emptied_sets(queries: DataFrame, catalog: DataFrame) -> DataFrame:
+    """query_set_id of sets that validation leaves without a query: their ownership, and rows without another owner, go."""
+    left = validate_query_sets(queries, catalog).select("query_set_id").distinct()
+    return queries.select("query_set_id").distinct().join(left, "query_set_id", "left_anti")
+
+
+def snapshot_of_sets(rows: DataFrame, pk: list[str], order: list[str]) -> DataFrame:
+    """Rows of several queries or tables of one reply: of one key's rows the last in order; without a key all of them."""
+    if not pk:
+        return rows
+    last = rows.groupBy(*pk).agg(F.max_by(F.struct(*rows.columns), F.struct(*order)).alias("r"))
+    return last.select("r.*")
+
+
+def watch_keys(changes: DataFrame, keys: DataFrame, pk: list[str]) -> DataFrame:
+    """pk, txn, value of watched keys after each change that alters it; a null value tells that the row is gone.
+
+    changes: txn, pk, kind, old, new, as coalesce_changes makes them.
+    """
+    mine = changes.join(keys.select(*pk).distinct(), pk, "left_semi").where(~F.col("old").eqNullSafe(F.col("new")))
+    return mine.select(*pk, "txn", F.when(F.col("kind") != "delete", F.col("new")).alias("value"))
+
+
+def removed_where(state: DataFrame, pk: list[str], predicate: Column) -> tuple[DataFrame, DataFrame]:
+    """State without the rows whose key satisfies the predicate, and the keys that went; null keeps a row."""
+    goes = F.coalesce(predicate, F.lit(False))
+    return state.where(~goes), state.where(goes).select(*pk).distinct()
+
+
 def tags_for_table(queries: DataFrame, table: str) -> DataFrame:
     """query_set_id, query_no of each set's queries that name the table; of a set without any, all its queries."""
     naming = query_table_refs(queries).where(F.lower("table_name") == table.lower()).select("query_set_id", "query_no").distinct()

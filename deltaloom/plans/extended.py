@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,15 @@ def compact_journal(t):
     return tables.compact_journal(on.unionAll(off).unionAll(bad)).select("seq")
 
 
+@query("SELECT 'due' AS journal, event_id * 2 AS seq FROM events WHERE event_id % 5 = 0 UNION ALL SELECT 'not due', event_id * 2 FROM events UNION ALL SELECT 'not due', event_id * 2 + 1 FROM events WHERE event_id % 2 = 0")
+def compact_journal_by_ratio(t):
+    e = t("events")
+    on = e.select((F.col("event_id") * 2).alias("seq"), F.format_string('{"op":"enqueue","mutation":{"requestId":"%d"}}', "event_id").alias("line"))
+    off = lambda where: e.where(where).select((F.col("event_id") * 2 + 1).alias("seq"), F.format_string('{"op":"dequeue","requestId":"%d"}', "event_id").alias("line"))
+    of = lambda name, where: tables.compact_journal(on.unionAll(off(where))).select(F.lit(name).alias("journal"), "seq")
+    return of("due", "event_id % 5 <> 0").unionByName(of("not due", "event_id % 2 = 0"))
+
+
 # lookups and views
 
 
@@ -73,9 +83,9 @@ def view_option(t):
     return views.view_option(t("customer"), F.col("c_custkey") == 1).select("c_custkey", "c_name")
 
 
-@query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey = 3")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey = 3")
 def view_single(t):
-    return views.view_single(t("nation"), F.col("n_nationkey") == 3).select("n_nationkey", "n_name")
+    return views.view_single(t("customer"), F.col("c_custkey") == 3).select("c_custkey", "c_name")
 
 
 @query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice > 1000 GROUP BY o_orderstatus")
@@ -93,29 +103,41 @@ def where_eq(t):
 
 
 def _query_sets(t):
-    text = F.when(F.col("c_nationkey") % 4 == 0, "SELECT * FROM orders").when(F.col("c_nationkey") % 4 == 1, 'select * from "customer" where c_custkey = 1')
-    text = text.when(F.col("c_nationkey") % 4 == 2, "SELECT o.* FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey").otherwise("SELECT * FROM nowhere")
+    texts = ["SELECT * FROM orders", 'select * from "customer" where c_custkey = 1', "SELECT o.* FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey", "SELECT * FROM nowhere", "SELECT * FROM Orders o JOIN nowhere n ON true"]
+    text = F.get(F.array(*map(F.lit, texts)), (F.col("c_nationkey") % 5).cast("int"))
     return t("customer").select((F.col("c_custkey") % 100).alias("query_set_id"), F.col("c_custkey").alias("query_no"), text.alias("query"))
 
 
-SETS = "(SELECT c_custkey % 100 AS query_set_id, c_custkey AS query_no, c_nationkey % 4 AS shape FROM customer)"
+def _catalog(t):
+    return t("nation").select(F.explode(F.array(*map(F.lit, ("orders", "customer", "lineitem")))).alias("table_name")).distinct()
 
 
-@query(f"SELECT query_set_id, query_no, CASE shape WHEN 1 THEN 'customer' WHEN 3 THEN 'nowhere' ELSE 'orders' END AS table_name FROM {SETS} s UNION ALL SELECT query_set_id, query_no, 'lineitem' FROM {SETS} s WHERE shape = 2")
+SETS = "(SELECT c_custkey % 100 AS query_set_id, c_custkey AS query_no, c_nationkey % 5 AS shape FROM customer)"
+#: Tables that the shapes of query have after FROM, and join.
+FROM, JOINED = "CASE shape WHEN 1 THEN 'customer' WHEN 3 THEN 'nowhere' WHEN 4 THEN 'Orders' ELSE 'orders' END", "CASE shape WHEN 2 THEN 'lineitem' WHEN 4 THEN 'nowhere' END"
+
+
+@query(f"SELECT query_set_id, query_no, {FROM} AS table_name FROM {SETS} s UNION ALL SELECT query_set_id, query_no, {JOINED} FROM {SETS} s WHERE shape IN (2, 4)")
 def query_table_refs(t):
     return views.query_table_refs(_query_sets(t))
 
 
-@query(f"SELECT DISTINCT query_set_id FROM {SETS} s WHERE shape = 2")
+@query(f"SELECT DISTINCT name AS table_name, query_set_id FROM {SETS} s JOIN (VALUES ('orders'), ('Orders'), ('ORDERS'), ('lineitem'), ('nowhere')) n(name) ON name = {FROM}")
 def table_covered(t):
-    return views.covering_sets(_query_sets(t), "lineitem")
+    q = _query_sets(t)
+    covering = [views.covering_sets(q, name).select(F.lit(name).alias("table_name"), "query_set_id") for name in ("orders", "Orders", "ORDERS", "lineitem", "nowhere")]
+    return reduce(DataFrame.unionByName, covering)
 
 
 @query(f"SELECT query_set_id, query_no FROM {SETS} s WHERE query_no NOT IN (SELECT min(query_no) FROM {SETS} s WHERE shape = 3 GROUP BY query_set_id)")
 def validate_query_sets(t):
-    q = _query_sets(t)
-    catalog = t("nation").select(F.explode(F.array(*map(F.lit, ("orders", "customer", "lineitem")))).alias("table_name")).distinct()
-    return views.validate_query_sets(q, catalog).select("query_set_id", "query_no")
+    return views.validate_query_sets(_query_sets(t), _catalog(t)).select("query_set_id", "query_no")
+
+
+@query(f"SELECT query_no AS query_set_id FROM {SETS} s WHERE shape = 3")
+def emptied_sets(t):
+    # each customer is a set of its own here
+    return views.emptied_sets(_query_sets(t).withColumn("query_set_id", F.col("query_no")), _catalog(t))
 
 
 @query(f"SELECT query_set_id, query_no FROM {SETS} s WHERE shape = 2 OR query_set_id NOT IN (SELECT query_set_id FROM {SETS} s WHERE shape = 2)")
@@ -123,9 +145,9 @@ def tags_for_table(t):
     return views.tags_for_table(_query_sets(t), "lineitem")
 
 
-@query("SELECT n_nationkey, CAST(list_reduce(list_concat([2166136261::UBIGINT], list_concat(flatten(list_transform(string_split(n_name, ''), lambda c: [unicode(c)::UBIGINT, 0::UBIGINT])), [10::UBIGINT])), lambda h, b: (xor(h, b) * 16777619::UBIGINT) % 4294967296::UBIGINT) AS BIGINT) AS query_hash FROM nation")
+@query("SELECT c_custkey, CAST(list_reduce(list_concat([2166136261::UBIGINT], list_concat(flatten(list_transform(string_split(c_name, ''), lambda c: [unicode(c)::UBIGINT, 0::UBIGINT])), [10::UBIGINT])), lambda h, b: (xor(h, b) * 16777619::UBIGINT) % 4294967296::UBIGINT) AS BIGINT) AS query_hash FROM customer")
 def query_hash(t):
-    return t("nation").select("n_nationkey", scalars.query_hash(F.array(F.concat(F.lit("  "), "n_name", F.lit(" ")))).alias("query_hash"))
+    return t("customer").select("c_custkey", scalars.query_hash(F.array(F.concat(F.lit("  "), "c_name", F.lit(" ")))).alias("query_hash"))
 
 
 # change application
@@ -136,9 +158,10 @@ def delete_keys(t):
     return changes.delete_keys(t("prices"), overlay.protected_keys(t("overlay"), KEY), KEY)
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders_base WHERE o_orderkey < 0")
+@query("SELECT 'before' AS side, count(*) AS n FROM orders_base UNION ALL SELECT 'after', 0")
 def clear_state(t):
-    return changes.clear_state(t("prices"))
+    of = lambda side, rows: rows.agg(F.count("*").alias("n")).select(F.lit(side).alias("side"), "n")
+    return of("before", t("prices")).unionByName(of("after", changes.clear_state(t("prices"))))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN o_orderkey % 3 END AS request_id FROM orders_base WHERE o_orderkey % 11 = 0 UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 4 = 0")
@@ -147,10 +170,12 @@ def initial_load(t):
     return changes.initial_load(state, t("orders").where("o_orderkey % 4 = 0").select("o_orderkey"))
 
 
-@query("SELECT o_orderkey, 'insert' AS kind, NULL::DOUBLE AS old_price, o_totalprice AS new_price FROM orders WHERE o_orderkey % 7 = 0")
+@query("SELECT o_orderkey, 9 AS owner, CASE WHEN o_orderkey % 7 = 0 THEN 'insert' WHEN o_orderkey % 2 = 0 THEN 'update' END AS kind, o_totalprice + (o_orderkey + 1) % 2 AS new_price FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT o_orderkey, NULL, 'delete', NULL FROM orders_base WHERE o_orderkey % 3 = 0")
 def replace_state(t):
-    slim = t("orders").select("o_orderkey", "o_totalprice")
-    return flat(changes.snapshot_diff(t("prices"), slim, KEY), *KEY)
+    rows = t("orders").where("o_orderkey % 3 <> 0").select("o_orderkey", F.expr("o_totalprice + (o_orderkey + 1) % 2").alias("o_totalprice"))
+    state, owners, told = changes.replace_state(t("prices"), rows, KEY, 9)
+    out = state.join(owners, KEY).join(told.select("o_orderkey", "kind"), KEY, "full_outer")
+    return out.select("o_orderkey", F.col("query_set_id").alias("owner"), "kind", F.col("o_totalprice").alias("new_price"))
 
 
 @query("SELECT o_orderkey, o_orderkey % 2 = 0 AS deep, o_orderkey % 2 = 0 AS shallow, true AS as_text FROM orders")
@@ -224,15 +249,26 @@ def drop_with_rows(t):
     return ownership.drop_with_rows(t("prices"), owners, owners.where("query_set_id = 2 and o_orderkey % 2 = 0"), 2, KEY)[0]
 
 
+@query("SELECT l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber) AS r FROM line_bag) x WHERE NOT (r = 1 AND l_orderkey % 3 = 0)")
+def drop_with_rows_bag(t):
+    dropped = t("line_bag").where("l_orderkey % 3 = 0").distinct()
+    return ownership.drop_with_rows(t("line_bag"), None, dropped, 2, None)[0]
+
+
 @query("SELECT DISTINCT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 1 OR o_orderkey % 4 = 0")
 def begin_generation(t):
     o = t("orders_owners")
     return ownership.begin_generation(o.where("query_set_id = 1"), o.where("o_orderkey % 4 = 0"))
 
 
-@query("SELECT bool_and(event_id % 2 = 0 OR event_id % 2 = 1) AS may_finalize, bool_and(event_id % 2 = 0) AS ready FROM events")
+REPLAY = {"applied": ("true", "false", "false"), "some errored": ("event_id % 2 = 0", "event_id % 2 = 1", "false"), "some open": ("event_id % 3 = 0", "event_id % 3 = 1", "false"), "one timed out": ("true", "false", "event_id = 7")}
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS round, bool_and({a} OR {e}) AND NOT bool_or({o}) AS may_finalize, bool_and({a}) AS ready FROM events" for n, (a, e, o) in REPLAY.items()) + " UNION ALL SELECT 'no set', true, false")
 def replay_complete(t):
-    return ownership.replay_complete(t("events").select((F.col("event_id") % 2 == 0).alias("applied"), (F.col("event_id") % 2 == 1).alias("errored"), F.lit(False).alias("timed_out")))
+    of = lambda n, rows, a, e, o: ownership.replay_complete(rows.select(F.expr(a).alias("applied"), F.expr(e).alias("errored"), F.expr(o).alias("timed_out"))).select(F.lit(n).alias("round"), "may_finalize", "ready")
+    rounds = [of(n, t("events"), *flags) for n, flags in REPLAY.items()]
+    return reduce(DataFrame.unionByName, [*rounds, of("no set", t("events").where("event_id < 0"), *REPLAY["applied"])])
 
 
 @query("SELECT o_custkey AS request_id, bool_and(o_orderkey % 17 <> 0) AS matches FROM orders GROUP BY o_custkey")
@@ -267,9 +303,9 @@ def load_tags(t):
     return ownership.load_tags(t("prices").where("o_orderkey % 2 = 0"), _tags(t), "o_orderkey")
 
 
-@query("SELECT txn, o_orderkey, kind FROM (SELECT *, coalesce(lag(after_) OVER (PARTITION BY o_orderkey ORDER BY txn, query_set_id), 0) AS before_, CASE WHEN after_ > 0 THEN 'insert' ELSE 'delete' END AS kind FROM (SELECT *, sum(gain) OVER (PARTITION BY o_orderkey ORDER BY txn, query_set_id) AS after_ FROM (SELECT *, owns - coalesce(lag(owns) OVER (PARTITION BY o_orderkey, query_set_id ORDER BY txn), 0) AS gain FROM (SELECT txn, query_set_id, o_orderkey, max(CASE WHEN op = 'insert' THEN 1 ELSE 0 END) AS owns FROM two_set_log GROUP BY ALL) a) b) c) d WHERE (before_ > 0) <> (after_ > 0)")
+@query("SELECT txn, o_orderkey, kind FROM (SELECT *, coalesce(lag(after_) OVER (PARTITION BY o_orderkey ORDER BY txn, set_no), 0) AS before_, CASE WHEN after_ > 0 THEN 'insert' ELSE 'delete' END AS kind FROM (SELECT *, sum(gain) OVER (PARTITION BY o_orderkey ORDER BY txn, set_no) AS after_ FROM (SELECT *, owns - coalesce(lag(owns) OVER (PARTITION BY o_orderkey, query_set_id ORDER BY txn, set_no), 0) AS gain FROM (SELECT txn, set_no, query_set_id, o_orderkey, max(CASE WHEN op = 'insert' THEN 1 ELSE 0 END) AS owns FROM two_set_log GROUP BY ALL) a) b) c) d WHERE (before_ > 0) <> (after_ > 0)")
 def owned_key_events(t):
-    log = t("two_set_log").select(F.col("o_orderkey").alias("key"), "txn", F.col("query_set_id").cast("long").alias("query_set_id"), "op")
+    log = t("two_set_log").select(F.col("o_orderkey").alias("key"), "txn", "set_no", F.col("query_set_id").cast("long").alias("query_set_id"), "op")
     return _streamed(log, feeds.owned_key_events).select("txn", F.col("key").alias("o_orderkey"), "kind")
 
 
@@ -281,9 +317,32 @@ def retained_unowned(t):
     return overlay.retained_unowned(t("orders_log").where("op = 'insert'").select(*KEY), t("orders_owners"), KEY)
 
 
-@query("SELECT o_orderkey, kind, true AS is_optimistic FROM overlay")
+@query("SELECT o_orderkey, change_no, kind, true AS is_optimistic, CASE WHEN change_no = 1 THEN p * 2 ELSE b END AS old_price, new_price FROM (SELECT v.*, o.o_totalprice AS p, b.o_totalprice AS b FROM overlay v JOIN orders o USING (o_orderkey) LEFT JOIN orders_base b USING (o_orderkey)) x")
 def overlay_events(t):
-    return overlay.overlay_events(t("overlay")).select("o_orderkey", "kind", "is_optimistic")
+    out = overlay.overlay_events(t("prices"), _overlay(t).drop("old"), KEY)
+    return out.select("o_orderkey", "change_no", "kind", "is_optimistic", F.col("old.o_totalprice").alias("old_price"), F.col("new.o_totalprice").alias("new_price"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 5 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 14 <> 0 OR o_orderkey % 3 = 0")
+def visible_after_inserts(t):
+    # rows that state lacks: of even ones a third is inserted and then updated, the others only updated
+    row = lambda add: F.struct("o_orderkey", (F.col("o_totalprice") + add).alias("o_totalprice")).alias("new")
+    o = t("orders")
+    entry = lambda rows, seq, kind, add: rows.select("o_orderkey", F.lit(seq).alias("seq"), F.lit(0).alias("change_no"), F.lit(kind).alias("kind"), row(add))
+    pending = entry(o.where("o_orderkey % 7 = 0 and (o_orderkey % 2 = 1 or o_orderkey % 3 = 0)"), 1, "insert", 0).unionByName(entry(o.where("o_orderkey % 2 = 0"), 2, "update", 5))
+    return overlay.visible_state(t("prices"), pending, KEY)
+
+
+@query("SELECT l_orderkey, l_linenumber FROM line_bag UNION ALL SELECT l_orderkey, l_linenumber FROM line_bag WHERE l_orderkey % 5 = 0")
+def visible_bag(t):
+    bag = t("line_bag")
+    return overlay.visible_state(bag, bag.where("l_orderkey % 5 = 0").select(F.lit("insert").alias("kind"), F.struct("l_orderkey", "l_linenumber").alias("new")), None)
+
+
+@query("SELECT l_orderkey, l_linenumber FROM line_bag WHERE l_orderkey % 5 <> 0")
+def committed_only_bag(t):
+    bag = t("line_bag").withColumn("request_id", F.when(F.col("l_orderkey") % 5 == 0, F.col("l_orderkey")))
+    return overlay.committed_only(bag, t("line_bag").where("l_orderkey < 0"), bag.where("request_id is not null").select("request_id"))
 
 
 @query("SELECT seq, o_orderkey FROM overlay WHERE kind = 'update' AND o_orderkey NOT IN (SELECT o_orderkey FROM orders_base)")
@@ -335,15 +394,23 @@ def held_mutations(t):
     return overlay.held_mutations(m, awaited)
 
 
-@query("SELECT event_id AS seq FROM events WHERE event_type = 'error' ORDER BY event_id DESC LIMIT 50")
+@query("SELECT event_id AS seq, (SELECT count(*) FROM events WHERE event_type = 'error') AS failed_count FROM events WHERE event_type = 'error' ORDER BY event_id DESC LIMIT 50")
 def recent_failures(t):
-    return overlay.recent_failures(t("events").select(F.col("event_id").alias("seq"), (F.col("event_type") != "error").alias("success")), 50).select("seq")
+    return overlay.recent_failures(t("events").select(F.col("event_id").alias("seq"), (F.col("event_type") != "error").alias("success")), 50).select("seq", "failed_count")
+
 
+#: Filters of the queue, of what is in flight, and of the pass's results; failures before it; connection.
+PASSES = {"failures, queue left": ("true", "false", "true", 4, True), "no failures, queue empty": ("false", "false", "event_type <> 'error'", 4, True), "no failures, queue left": ("true", "false", "event_type <> 'error'", 4, False), "failures, queue empty": ("false", "false", "true", 4, True), "in flight": ("true", "o_orderkey % 22 = 0", "event_type <> 'error'", 0, True)}
 
-@query("SELECT CASE WHEN (SELECT count(*) FROM overlay) = 0 THEN 'idle' ELSE 'waiting' END AS status, (SELECT count(*) FROM overlay) AS pending_count, count_if(event_type = 'error') AS failed_count, max(ts) AS last_sync_at FROM events")
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS pass, CASE WHEN (SELECT count(*) FROM overlay WHERE {q} AND {f}) > 0 THEN 'syncing' WHEN (SELECT count(*) FROM overlay WHERE {q}) > 0 AND {c} THEN 'waiting' ELSE 'idle' END AS status, (SELECT count(*) FROM overlay WHERE {q}) AS pending_count, CASE WHEN count_if(event_type = 'error') > 0 THEN {k} + count_if(event_type = 'error') WHEN (SELECT count(*) FROM overlay WHERE {q}) = 0 THEN 0 ELSE {k} END AS failed_count, max(ts) AS last_sync_at FROM events WHERE {r}" for n, (q, f, r, k, c) in PASSES.items()))
 def sync_state(t):
-    results = t("events").select((F.col("event_type") != "error").alias("success"), F.col("ts").alias("finished_at"))
-    return overlay.sync_state(t("overlay").withColumn("in_flight", F.lit(False)), results).select("status", "pending_count", "failed_count", "last_sync_at")
+    def of(name, queued, flight, done, before, connected):
+        queue = t("overlay").where(queued).withColumn("in_flight", F.expr(flight))
+        results = t("events").where(done).select((F.col("event_type") != "error").alias("success"), F.col("ts").alias("finished_at"))
+        return overlay.sync_state(queue, results, before, connected).select(F.lit(name).alias("pass"), "status", "pending_count", "failed_count", "last_sync_at")
+
+    return reduce(DataFrame.unionByName, [of(n, *p) for n, p in PASSES.items()])
 
 
 @query("SELECT event_id, CAST(CASE event_id % 8 WHEN 0 THEN 5 WHEN 1 THEN 10 WHEN 2 THEN 20 WHEN 3 THEN 40 ELSE 60 END AS BIGINT) AS delay_s, date_trunc('second', ts) + INTERVAL '1' SECOND * CASE event_id % 8 WHEN 0 THEN 5 WHEN 1 THEN 10 WHEN 2 THEN 20 WHEN 3 THEN 40 ELSE 60 END AS retry_at FROM events")
@@ -385,9 +452,10 @@ def mixed_batch(t):
     return jobs.mixed_batch(t("customer").select("c_custkey", "c_acctbal"), "c_custkey", 10, 5, new, c_acctbal=F.col("c_acctbal") + 1)
 
 
-@query()
+@query("WITH RECURSIVE g(k, x) AS (SELECT 1, (42::HUGEINT * 6364136223846793005 + 1442695040888963407) % 18446744073709551616 UNION ALL SELECT k + 1, (x * 6364136223846793005 + 1442695040888963407) % 18446744073709551616 FROM g WHERE k < (SELECT count(*) FROM customer)), h AS (SELECT CAST((x // 8589934592) % (SELECT count(*) FROM customer) AS BIGINT) AS place, count(*) AS hits FROM g GROUP BY 1) SELECT c_custkey AS id, CAST(coalesce(hits, 0) AS INTEGER) AS health FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS place FROM customer) c LEFT JOIN h USING (place)")
 def random_mutations(t):
     c = t("customer").select(F.col("c_custkey").alias("id"), F.lit(0).alias("health"))
+    ensure(c.sparkSession)
     return jobs.random_mutations(c, c.count(), 42, "id", ["health"])
 
 
@@ -404,6 +472,32 @@ def schedule_at(t):
     return e.select("event_id", F.col("at.type").alias("type"), F.col("at.micros").alias("micros"), scalars.is_variant(F.col("json"), "time").alias("is_time"))
 
 
+@query("SELECT c_custkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS uuid_text, " + " || ".join(f"substr(h, {31 - 2 * i}, 2)" for i in range(16)) + " AS little_endian, CASE WHEN c_custkey % 2 = 0 THEN h || h END AS parsed_identity FROM (SELECT c_custkey, md5(c_name) AS h FROM customer) x")
+def uuid_bytes(t):
+    h = F.md5("c_name")
+    raw = F.unhex(scalars.reverse_bytes(h))
+    rows = t("customer").select("c_custkey", scalars.uuid_from_little_endian(raw).alias("uuid_text"), F.concat(F.lit("0x"), F.upper(h), F.when(F.col("c_custkey") % 2 == 0, h).otherwise(F.lit("zz"))).alias("i"))
+    return rows.select("c_custkey", "uuid_text", F.lower(F.hex(scalars.uuid_to_little_endian(F.col("uuid_text")))).alias("little_endian"), scalars.parse_identity(F.col("i")).alias("parsed_identity"))
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'Draft' WHEN 1 THEN 'Published' WHEN 2 THEN 'Archived' END AS type, CASE WHEN event_id % 4 < 3 THEN event_id % 4 END AS tag, CASE WHEN event_id % 4 = 1 THEN CAST(event_id AS VARCHAR) END AS value FROM events")
+def tagged_union(t):
+    names = ["Draft", "Published", "Archived"]
+    tag = F.col("event_id") % 4
+    json = scalars.variant(tag, F.when(tag == 1, F.col("event_id").cast("string")), names)
+    e = t("events").select("event_id", json.alias("json")).withColumn("v", scalars.variant_of(F.col("json"), names))
+    return e.select("event_id", F.get_json_object("json", "$.type").alias("type"), F.col("v.tag").alias("tag"), F.col("v.value").alias("value"))
+
+
+@query("SELECT event_id, event_id * 1000003 AS micros, make_timestamp(1000000 + event_id * 1000003) AS shifted, 'interval' AS type FROM events")
+def intervals(t):
+    micros = F.col("event_id") * 1000003
+    at = F.timestamp_micros(F.lit(1000000)) + scalars.micros_to_interval(micros)
+    back = scalars.schedule_at(scalars.schedule_to_json(F.struct(F.lit("interval").alias("type"), micros.alias("micros"))))
+    e = t("events").select("event_id", at.alias("shifted"), back.alias("s"))
+    return e.select("event_id", F.col("s.micros").alias("micros"), "shifted", F.col("s.type").alias("type"))
+
+
 @query("SELECT event_id, make_timestamp(event_id * 1000000 + 5) AS at, CASE WHEN event_id % 2 = 0 THEN user_id END AS maybe, CASE WHEN event_id % 2 = 0 THEN 2 ELSE 0 END AS n_labels FROM events")
 def wire_values(t):
     labels = F.when(F.col("event_id") % 2 == 0, F.array(F.col("event_type"), F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
@@ -452,14 +546,12 @@ def changes_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coalesced_snapshot_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixture(spark, sf_dir, "events").select(F.col("event_type").alias("table_name"), "event_id")
+    rows = fixture(spark, sf_dir, "events").select(F.col("event_type").alias("table_name"), "event_id", F.col("event_id").alias("seq"))
     source, sink = _folder(spark, "source"), _folder(spark, "snapshots")
     rows.write.parquet(source)
-
-    def write(table: str, part: DataFrame, batch_id: int) -> None:
-        part.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}/table={table}")
-
-    running = feeds.coalesced_snapshot_sink(feeds.read_change_stream(spark, source, rows.schema), write).option("checkpointLocation", _folder(spark, "progress")).start()
+    # views are events; clicks up to 500 were written directly
+    clean = lambda: spark.range(1).select(F.lit("click").alias("table_name"), F.lit(500).cast("long").alias("seq"))
+    running = feeds.coalesced_snapshot_sink(feeds.read_change_stream(spark, source, rows.schema), sink, event_tables=("view",), clean=clean).option("checkpointLocation", _folder(spark, "progress")).start()
     try:
         running.processAllAvailable()
     finally:
@@ -467,8 +559,67 @@ def coalesced_snapshot_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).groupBy("table_name").agg(F.count("*").alias("n"))
 
 
-QUERIES |= {"changes_sink": changes_sink, "coalesced_snapshot_sink": coalesced_snapshot_sink}
+def _written(spark: SparkSession, rows: DataFrame, name: str, parts: int) -> str:
+    """rows in files whose order of time is that of txn, so that a stream reads them in several ordered batches."""
+    path = _folder(spark, name)
+    for k in range(parts):
+        rows.where(F.expr(f"cast(txn * {parts} / 150 as int) = {k}")).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _batches(spark: SparkSession, path: str, schema: T.StructType, start) -> None:
+    stream = feeds.read_change_stream(spark, path, schema, maxFilesPerTrigger=1)
+    start(stream).option("checkpointLocation", _folder(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+
+
+def ordered_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, base, out = fixture(spark, sf_dir, "orders_log"), fixture(spark, sf_dir, "orders_base"), _folder(spark, "ordered")
+    _batches(spark, _written(spark, log, "log", 3), log.schema, lambda stream: feeds.ordered_apply(stream, out, KEY))
+    return feeds.ordered_state(spark, out, KEY, base).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+def owned_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, owners, out = fixture(spark, sf_dir, "two_set_log"), fixture(spark, sf_dir, "orders_owners"), _folder(spark, "owned")
+    state = fixture(spark, sf_dir, "orders").where("o_totalprice >= 50000 or o_orderdate >= timestamp'1998-01-01'").select("o_orderkey", "o_totalprice")
+    _batches(spark, _written(spark, log, "log", 3), log.schema, lambda stream: feeds.owned_feed(stream, out, KEY, state, owners))
+    return flat(spark.read.parquet(f"{out}/events"), "txn", "query_set_id", *KEY)
+
+
+def timed_out_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed; a late row on each side moves the watermark past all others, whose answers are then final."""
+    calls, results = (fixture(spark, sf_dir, n) for n in ("calls", "results"))
+    end = lambda df: df.limit(1).select(*(F.lit("2100-01-01").cast("timestamp").alias(c) if c.endswith("_ts") else F.lit(-1 - (df is results)).cast(df.schema[c].dataType).alias(c) for c in df.columns))
+    paths = [_folder(spark, "calls"), _folder(spark, "results")]
+    for df, path in zip((calls, results), paths, strict=True):
+        df.unionByName(end(df)).write.parquet(path)
+    c, r = (feeds.read_change_stream(spark, p, df.schema) for p, df in zip(paths, (calls, results), strict=True))
+    sink = _folder(spark, "unanswered")
+    feeds.timed_out_calls(c, r).writeStream.format("parquet").option("path", sink).option("checkpointLocation", _folder(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(sink).select("request_id", F.col("call_ts").cast(calls.schema["call_ts"].dataType).alias("call_ts"), "name")
+
+
+def streamed_late_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = (fixture(spark, sf_dir, n) for n in ("calls", "results"))
+    twice = results.unionByName(results.withColumn("result_ts", F.col("result_ts") + F.expr("interval 1 second")))
+    waiting = events.call_timeouts(calls, results)
+    return _streamed(twice, lambda stream: feeds.late_snapshots(stream, waiting).select("request_id"))
+
+
+def sync_results_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixture(spark, sf_dir, "events").select(F.col("event_id").alias("request_id"), (F.col("event_type") != "error").alias("success"))
+    source, sink = _folder(spark, "source"), _folder(spark, "results")
+    rows.write.parquet(source)
+    feeds.sync_results_sink(feeds.read_change_stream(spark, source, rows.schema), sink, _folder(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(rows.schema).parquet(sink).select("request_id", "success")
+
+
+QUERIES |= {f.__name__: f for f in (changes_sink, coalesced_snapshot_sink, ordered_apply, owned_feed, timed_out_calls, streamed_late_snapshots, sync_results_sink)}
 ORACLE_SQL |= {
     "changes_sink": oracle("SELECT seq, user_id, op AS kind FROM user_log"),
-    "coalesced_snapshot_sink": "SELECT event_type AS table_name, count(*) AS n FROM events GROUP BY event_type",
+    "coalesced_snapshot_sink": "SELECT event_type AS table_name, count(*) AS n FROM events WHERE event_type <> 'view' AND NOT (event_type = 'click' AND event_id <= 500) GROUP BY event_type",
+    "ordered_apply": ORACLE_SQL["apply_changes"],
+    "owned_feed": ORACLE_SQL["apply_owned_delta"],
+    "timed_out_calls": ORACLE_SQL["call_timeouts"],
+    "streamed_late_snapshots": oracle("SELECT request_id FROM results JOIN calls USING (request_id) WHERE request_id % 20 > 10"),
+    "sync_results_sink": "SELECT event_id AS request_id, event_type <> 'error' AS success FROM events",
 }

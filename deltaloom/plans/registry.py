@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deltaloom.functions import scalars
-from deltaloom.operators import changes, events, jobs, overlay, ownership
+from deltaloom.operators import changes, events, jobs, overlay, ownership, views
 from deltaloom.sources import tables
 
 from .fixtures import fixture, oracle
@@ -37,9 +37,9 @@ def flat(df: DataFrame, *keep: str) -> DataFrame:
 
 # change application
 
-COALESCED = "SELECT txn, o_orderkey, CASE WHEN d AND i THEN 'update' WHEN i THEN 'insert' ELSE 'delete' END AS kind, old_price, new_price FROM (SELECT txn, o_orderkey, bool_or(op = 'delete') AS d, bool_or(op = 'insert') AS i, max(CASE WHEN op = 'delete' THEN o_totalprice END) AS old_price, max(CASE WHEN op = 'insert' THEN o_totalprice END) AS new_price FROM orders_log GROUP BY txn, o_orderkey) x"
-DELTA = "(SELECT o_orderkey, bool_or(op = 'delete') AS d, bool_or(op = 'insert') AS i, max(CASE WHEN op = 'delete' THEN o_totalprice END) AS d_price, max(CASE WHEN op = 'insert' THEN o_totalprice END) AS i_price, max(CASE WHEN op = 'insert' THEN o_orderstatus END) AS i_status FROM orders_log GROUP BY o_orderkey)"
-FINAL = f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders_base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_log) UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders_log WHERE op = 'insert'"
+COALESCED = "SELECT txn, o_orderkey, CASE WHEN d AND i THEN 'update' WHEN i THEN 'insert' ELSE 'delete' END AS kind, old_price, new_price FROM (SELECT txn, o_orderkey, bool_or(op = 'delete') AS d, bool_or(op = 'insert') AS i, arg_max(o_totalprice, grp) FILTER (WHERE op = 'delete') AS old_price, arg_max(o_totalprice, grp) FILTER (WHERE op = 'insert') AS new_price FROM orders_log GROUP BY txn, o_orderkey) x"
+DELTA = "(SELECT o_orderkey, bool_or(op = 'delete') AS d, bool_or(op = 'insert') AS i, arg_max(o_totalprice, txn * 10 + grp) FILTER (WHERE op = 'delete') AS d_price, arg_max(o_totalprice, txn * 10 + grp) FILTER (WHERE op = 'insert') AS i_price, arg_max(o_orderstatus, txn * 10 + grp) FILTER (WHERE op = 'insert') AS i_status FROM orders_log GROUP BY o_orderkey)"
+FINAL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders_base WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_log) UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY txn DESC, CASE op WHEN 'insert' THEN 1 ELSE 0 END DESC, grp DESC) AS r FROM orders_log) l WHERE r = 1 AND op = 'insert'"
 SLIM = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
@@ -105,10 +105,11 @@ def split_protected(t):
     return changes.split_protected(t("orders_log"), overlay.protected_keys(t("overlay"), KEY), KEY)[1].select(*KEY, F.col("committed.o_totalprice").alias("committed_price"))
 
 
-@query(f"SELECT txn, count_if(kind = 'insert') AS inserts, count_if(kind = 'delete') AS deletes, count_if(kind = 'update') AS updates, max(CASE WHEN kind = 'insert' THEN 1 ELSE 0 END) AS insert_first FROM ({COALESCED}) y GROUP BY txn")
+@query(f"SELECT txn, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS table_name, count_if(kind = 'insert') AS inserts, count_if(kind = 'delete') AS deletes, count_if(kind = 'update') AS updates, string_agg(substr(kind, 1, 1), '' ORDER BY CASE kind WHEN 'insert' THEN 0 WHEN 'delete' THEN 1 ELSE 2 END) AS kinds FROM ({COALESCED}) y GROUP BY ALL")
 def transaction_batches(t):
-    out = changes.transaction_batches(changes.coalesce_changes(t("orders_log"), KEY))
-    return out.select("txn", "inserts", "deletes", "updates", (F.element_at("events", 1)["kind"] == "insert").cast("int").alias("insert_first"))
+    c = changes.coalesce_changes(t("orders_log"), KEY).withColumn("table_name", F.when(F.col("o_orderkey") % 2 == 0, "even").otherwise("odd"))
+    out = changes.transaction_batches(c)
+    return out.select("txn", "table_name", "inserts", "deletes", "updates", F.array_join(F.transform("events", lambda e: F.substring(e["kind"], 1, 1)), "").alias("kinds"))
 
 
 for _kind in ("insert", "update", "delete"):
@@ -146,9 +147,9 @@ def update_rows(t):
 # queries and views
 
 
-@query("SELECT * FROM nation")
+@query("SELECT * FROM customer")
 def select_all(t):
-    return t("nation")
+    return t("customer")
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 1000 AND o_totalprice <= 50000 AND o_orderstatus = 'F'")
@@ -156,9 +157,9 @@ def where_range_and(t):
     return t("orders").where("o_totalprice >= 1000 and o_totalprice <= 50000 and o_orderstatus = 'F'").select("o_orderkey", "o_totalprice")
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'a%'")
+@query("SELECT p_partkey, p_name FROM part WHERE p_name LIKE 'c%_d%t'")
 def where_like(t):
-    return t("part").where(F.col("p_name").like("a%")).select("p_partkey", "p_name")
+    return t("part").where(F.col("p_name").like("c%_d%t")).select("p_partkey", "p_name")
 
 
 @query("SELECT c.c_custkey, c.c_name FROM nation n JOIN customer c ON n.n_nationkey = c.c_nationkey WHERE n.n_regionkey = 1")
@@ -167,10 +168,18 @@ def join_project(t):
     return c.join(t("nation").where("n_regionkey = 1"), F.col("c_nationkey") == F.col("n_nationkey")).select(c["c_custkey"], c["c_name"])
 
 
-@query("SELECT DISTINCT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 50000 OR o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'")
+@query("SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01 00:00:00' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_totalprice >= 50000 OR o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'")
 def query_set_snapshot(t):
-    o = t("orders").select("o_orderkey", "o_totalprice", "o_orderdate")
-    return o.where("o_totalprice >= 50000").unionByName(o.where("o_orderdate >= timestamp'1998-01-01'")).dropDuplicates(KEY).drop("o_orderdate")
+    o = t("orders")
+    of = lambda rows, n: rows.select("o_orderkey", F.lit(n).alias("query_no"), (F.col("o_totalprice") + n).alias("o_totalprice"))
+    rows = of(o.where("o_totalprice >= 50000"), 0).unionByName(of(o.where("o_orderdate >= timestamp'1998-01-01'"), 1))
+    return views.snapshot_of_sets(rows, KEY, ["query_no"]).drop("query_no")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 2 = 0 UNION ALL SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 3 = 0")
+def query_set_snapshot_bag(t):
+    bag = t("line_bag")
+    return views.snapshot_of_sets(bag.where("l_orderkey % 2 = 0").unionByName(bag.where("l_orderkey % 3 = 0")), [], [])
 
 
 @query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_custkey = 7 OR o_totalprice > 1000 GROUP BY o_orderstatus")
@@ -200,15 +209,16 @@ def updates_where(t):
     return flat(u.where("new.o_totalprice > old.o_totalprice"), "txn", *KEY)
 
 
-@query(f"SELECT * FROM ({COALESCED}) y WHERE o_orderkey IN (SELECT o_orderkey FROM overlay) AND old_price IS DISTINCT FROM new_price")
+@query(f"SELECT txn, o_orderkey, CASE WHEN kind <> 'delete' THEN new_price END AS price FROM ({COALESCED}) y WHERE o_orderkey IN (SELECT o_orderkey FROM overlay) AND old_price IS DISTINCT FROM new_price")
 def watch_keys(t):
-    c = changes.coalesce_changes(t("orders_log"), KEY).join(overlay.protected_keys(t("overlay"), KEY), KEY, "left_semi")
-    return flat(c.where("not (old <=> new)"), "txn", *KEY)
+    slim = t("orders_log").select("txn", "grp", "query_set_id", "op", "o_orderkey", "o_totalprice")
+    return views.watch_keys(changes.coalesce_changes(slim, KEY), t("overlay"), KEY).select("txn", "o_orderkey", F.col("value.o_totalprice").alias("price"))
 
 
-@query("SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice < 100000 THEN 'removed' ELSE 'remaining' END AS side FROM orders")
+@query("SELECT o_orderkey, o_totalprice, false AS touched FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT o_orderkey, NULL, true FROM orders WHERE o_orderkey % 3 = 0")
 def removed_where(t):
-    return t("orders").select("o_orderkey", "o_totalprice", F.when(F.col("o_totalprice") < 100000, "removed").otherwise("remaining").alias("side"))
+    left, gone = views.removed_where(t("orders").select("o_orderkey", "o_totalprice"), KEY, F.col("o_orderkey") % 3 == 0)
+    return left.withColumn("touched", F.lit(False)).unionByName(gone.select("o_orderkey", F.lit(None).cast("double").alias("o_totalprice"), F.lit(True).alias("touched")))
 
 
 # ownership
@@ -224,7 +234,7 @@ def _steps(t):
     return state, ownership.ownership_steps(state, t("orders_owners"), t("two_set_log"), KEY)
 
 
-STEPS = """SELECT *, coalesce(lag(after_) OVER w, 0) AS before_, lag(value_) OVER w AS previous_ FROM (SELECT *, sum(gain) OVER u AS after_, last_value(price IGNORE NULLS) OVER u AS value_ FROM (SELECT *, owns - coalesce(lag(owns) OVER (PARTITION BY o_orderkey, query_set_id ORDER BY txn), 0) AS gain FROM (SELECT o_orderkey, -1 AS txn, query_set_id, 1 AS owns, o_totalprice AS price FROM orders_owners JOIN orders USING (o_orderkey) UNION ALL SELECT o_orderkey, txn, query_set_id, max(CASE WHEN op = 'insert' THEN 1 ELSE 0 END), max(CASE WHEN op = 'insert' THEN o_totalprice END) FROM two_set_log GROUP BY o_orderkey, txn, query_set_id) a) b WINDOW u AS (PARTITION BY o_orderkey ORDER BY txn, query_set_id ROWS UNBOUNDED PRECEDING)) c WINDOW w AS (PARTITION BY o_orderkey ORDER BY txn, query_set_id)"""
+STEPS = """SELECT *, coalesce(lag(after_) OVER w, 0) AS before_, lag(value_) OVER w AS previous_ FROM (SELECT *, sum(gain) OVER u AS after_, last_value(price IGNORE NULLS) OVER u AS value_ FROM (SELECT *, owns - coalesce(lag(owns) OVER (PARTITION BY o_orderkey, query_set_id ORDER BY txn, set_no), 0) AS gain FROM (SELECT o_orderkey, -1 AS txn, query_set_id AS set_no, query_set_id, 1 AS owns, o_totalprice AS price FROM orders_owners JOIN orders USING (o_orderkey) UNION ALL SELECT o_orderkey, txn, set_no, query_set_id, max(CASE WHEN op = 'insert' THEN 1 ELSE 0 END), max(CASE WHEN op = 'insert' THEN o_totalprice END) FROM two_set_log GROUP BY o_orderkey, txn, set_no, query_set_id) a) b WINDOW u AS (PARTITION BY o_orderkey ORDER BY txn, set_no ROWS UNBOUNDED PRECEDING)) c WINDOW w AS (PARTITION BY o_orderkey ORDER BY txn, set_no)"""
 
 
 @query(f"SELECT txn, query_set_id, o_orderkey, kind, CASE WHEN kind <> 'insert' THEN previous_ END AS old_price, CASE WHEN kind <> 'delete' THEN value_ END AS new_price FROM (SELECT *, CASE WHEN before_ = 0 AND after_ > 0 THEN 'insert' WHEN before_ > 0 AND after_ = 0 THEN 'delete' WHEN before_ > 0 AND after_ > 0 AND previous_ <> value_ THEN 'update' END AS kind FROM ({STEPS}) d WHERE txn >= 0) e WHERE kind IS NOT NULL")
@@ -237,13 +247,13 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["apply_owned_delta"](spark, sf_dir)
 
 
-@query(f"SELECT o_orderkey, value_ AS o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY txn DESC, query_set_id DESC) AS r FROM ({STEPS}) d) e WHERE r = 1 AND after_ > 0")
+@query(f"SELECT o_orderkey, value_ AS o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY txn DESC, set_no DESC) AS r FROM ({STEPS}) d) e WHERE r = 1 AND after_ > 0")
 def owned_state_after(t):
     state, steps = _steps(t)
     return ownership.state_after(state, steps, KEY)
 
 
-@query("SELECT o_orderkey, query_set_id FROM (SELECT o_orderkey, query_set_id, owns, row_number() OVER (PARTITION BY o_orderkey, query_set_id ORDER BY txn DESC) AS r FROM (SELECT o_orderkey, -1 AS txn, query_set_id, 1 AS owns FROM orders_owners UNION ALL SELECT o_orderkey, txn, query_set_id, max(CASE WHEN op = 'insert' THEN 1 ELSE 0 END) FROM two_set_log GROUP BY o_orderkey, txn, query_set_id) a) b WHERE r = 1 AND owns = 1")
+@query("SELECT o_orderkey, query_set_id FROM (SELECT o_orderkey, query_set_id, owns, row_number() OVER (PARTITION BY o_orderkey, query_set_id ORDER BY txn DESC, set_no DESC) AS r FROM (SELECT o_orderkey, -1 AS txn, 0 AS set_no, query_set_id, 1 AS owns FROM orders_owners UNION ALL SELECT o_orderkey, txn, set_no, query_set_id, max(CASE WHEN op = 'insert' THEN 1 ELSE 0 END) FROM two_set_log GROUP BY o_orderkey, txn, set_no, query_set_id) a) b WHERE r = 1 AND owns = 1")
 def owners_after(t):
     return ownership.owners_after(_steps(t)[1], KEY)
 
@@ -284,12 +294,14 @@ def reconcile_retained(t):
     return ownership.reconcile_retained(tags, hashes, o.where("o_orderkey % 5 = 0"), t("orders_owners"), KEY)[1]
 
 
-@query("SELECT o_orderkey, CASE WHEN bool_or(query_set_id = 2) AND o_orderkey % 2 >= 0 THEN 'carry' WHEN o_orderkey IN (SELECT o_orderkey FROM overlay) THEN 'skip' ELSE 'evict' END AS action FROM orders_owners WHERE o_orderkey % 4 <> 0 GROUP BY o_orderkey")
+@query("SELECT o_orderkey, CASE WHEN bool_or(query_set_id = 2) THEN 'carry' WHEN o_orderkey IN (SELECT o_orderkey FROM overlay) THEN 'skip' WHEN NOT bool_or(query_set_id = 1) THEN 'retain' ELSE 'evict' END AS action FROM (SELECT o_orderkey, query_set_id FROM orders_owners UNION ALL SELECT o_orderkey, 3 FROM orders WHERE o_orderkey % 5 = 0) p WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners WHERE o_orderkey % 4 = 0) GROUP BY o_orderkey")
 def finalize_generation(t):
-    spark = t("nation").sparkSession
+    spark = t("orders").sparkSession
     ids = lambda *x: spark.createDataFrame([(i,) for i in x], "query_set_id int")
     owners = t("orders_owners")
-    return ownership.finalize_generation(owners, owners.where("o_orderkey % 4 = 0"), ids(1), ids(2), KEY, t("overlay"))
+    # of set 3 the new generation knows nothing
+    previous = owners.unionByName(t("orders").where("o_orderkey % 5 = 0").select("o_orderkey", F.lit(3).alias("query_set_id")))
+    return ownership.finalize_generation(previous, owners.where("o_orderkey % 4 = 0"), ids(1), ids(2), KEY, t("overlay"))
 
 
 @query("SELECT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 1 UNION ALL SELECT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 2 AND o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners WHERE query_set_id = 1)")
@@ -346,9 +358,15 @@ def committed_under_overlay(t):
     return overlay.committed_under_overlay(t("orders_base"), t("orders_log"), KEY).select(*SLIM)
 
 
-@query("SELECT DISTINCT o_orderkey, CASE WHEN o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners) AND o_orderkey NOT IN (SELECT o_orderkey FROM orders_log) THEN 'drop' ELSE 'promote' END AS outcome FROM overlay WHERE request_id = 1")
+CONFIRMED = "CASE WHEN o_orderkey % 5 = 0 THEN 'pending' WHEN o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners) AND {} THEN '{}' ELSE 'promote' END AS outcome FROM overlay WHERE request_id = 1"
+
+
+@query(f"SELECT DISTINCT o_orderkey, false AS empty, {CONFIRMED.format('o_orderkey NOT IN (SELECT o_orderkey FROM orders_log)', 'drop')} UNION ALL SELECT DISTINCT o_orderkey, true, {CONFIRMED.format('true', 'retain')}")
 def confirm_own_commit(t):
-    return overlay.confirm_own_commit(t("overlay").withColumn("kind", F.lit("insert")), 1, t("orders_log"), t("orders_owners"), KEY)
+    mine = t("overlay").withColumn("kind", F.lit("insert"))
+    both = mine.unionByName(mine.where("request_id = 1 and o_orderkey % 5 = 0").withColumn("request_id", F.lit(2).cast("long")))
+    of = lambda empty: overlay.confirm_own_commit(both, 1, t("orders_log"), t("orders_owners"), KEY, empty_result=empty, durably_queued=empty).withColumn("empty", F.lit(empty))
+    return of(False).unionByName(of(True))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders_base WHERE o_orderkey % 13 <> 0")
@@ -366,9 +384,11 @@ def release_owned(t):
     return overlay.release_owned(t("orders").select((F.col("o_orderkey") % 1000).alias("request_id"), "o_orderkey"), t("orders_owners"), KEY)
 
 
-@query("SELECT event_id AS seq, row_number() OVER (ORDER BY event_id) <= 100 AS kept FROM events")
+@query("SELECT 'reject_new' AS strategy, event_id AS seq, row_number() OVER (ORDER BY event_id) <= 100 AS kept FROM events UNION ALL SELECT 'drop_oldest', event_id, row_number() OVER (ORDER BY event_id DESC) <= 100 FROM events")
 def bound_queue(t):
-    return overlay.bound_queue(t("events").select(F.col("event_id").alias("seq")), 100, "reject_new")
+    q = t("events").select(F.col("event_id").alias("seq"))
+    of = lambda strategy: overlay.bound_queue(q, 100, strategy).select(F.lit(strategy).alias("strategy"), "seq", "kept")
+    return of("reject_new").unionByName(of("drop_oldest"))
 
 
 @query("SELECT event_id AS seq, ts < (SELECT max(ts) FROM events) - INTERVAL '1' DAY AS expired FROM events")
@@ -395,9 +415,12 @@ def match_results(t):
     return events.match_results(t("calls"), t("results")).select("request_id", "result_ts", "outcome", "name", "cause")
 
 
-@query("SELECT request_id, CASE outcome WHEN 0 THEN 'committed' WHEN 1 THEN 'committed_empty' WHEN 2 THEN 'failed' ELSE 'internal_error' END AS status FROM results")
+@query("SELECT request_id, CASE outcome WHEN 0 THEN 'committed' WHEN 1 THEN 'committed_empty' WHEN 2 THEN 'failed' ELSE 'internal_error' END AS status, CASE WHEN outcome = 0 AND request_id % 3 <> 0 THEN 'r' || request_id END AS returned, CASE WHEN outcome >= 2 THEN 'no ' || request_id END AS message FROM results")
 def result_status(t):
-    return t("results").select("request_id", events.result_status().alias("status"))
+    raw = F.when(F.col("request_id") % 3 == 0, F.lit("").cast("binary")).otherwise(F.concat(F.lit("r"), F.col("request_id").cast("string")).cast("binary"))
+    r = t("results").select("request_id", "outcome", raw.alias("raw"), F.concat(F.lit("no "), F.col("request_id").cast("string")).cast("binary").alias("error"))
+    r = r.select("request_id", events.result_outcome(F.col("outcome"), F.col("raw"), "error").alias("o"))
+    return r.select("request_id", "o.status", F.col("o.returned").cast("string").alias("returned"), "o.message")
 
 
 @query("SELECT c.request_id, c.call_ts, c.name FROM calls c LEFT JOIN results r ON c.request_id = r.request_id AND r.result_ts BETWEEN c.call_ts AND c.call_ts + INTERVAL '10' SECOND WHERE r.request_id IS NULL")
@@ -475,10 +498,11 @@ def latency_report(t):
     return jobs.latency_report(t("events"), ["event_type"], "value")
 
 
-@query("SELECT event_type, count(*) AS fired, count_if(event_id % 3 = 0) AS observed, count_if(value > 50) AS budget_misses, count_if(event_id % 3 = 0) * 2 < count(*) AS backpressure FROM events GROUP BY event_type")
+@query("SELECT event_type, count(*) AS fired, count_if(event_id % 3 = 0) AS observed, count_if(value > 50) AS budget_misses, count_if(event_id % 3 = 0) * 2 < count(*) AS backpressure, bool_or(event_id % 1000 = 7) AS disconnected, CAST(round(count_if(event_id % 3 = 0) * 1000000.0::DOUBLE / count(*)) AS BIGINT) AS kept_up_millionths FROM events GROUP BY event_type")
 def throughput_report(t):
-    e = t("events").withColumns({"fired": F.lit(True), "observed": F.col("event_id") % 3 == 0})
-    return jobs.throughput_report(e, ["event_type"], "fired", "observed", "value", 50).drop("kept_up_pct")
+    e = t("events").withColumns({"fired": F.lit(True), "observed": F.col("event_id") % 3 == 0, "lost": F.col("event_id") % 1000 == 7})
+    out = jobs.throughput_report(e, ["event_type"], "fired", "observed", "value", 50, "lost")
+    return out.withColumn("kept_up_millionths", F.round(F.col("kept_up_pct") * 10_000).cast("long")).drop("kept_up_pct")
 
 
 @query("SELECT event_type AS table_name, count(*) AS calls, CAST(sum(event_id % 7) AS BIGINT) AS rows_written FROM events GROUP BY event_type")
@@ -502,14 +526,18 @@ def replay_journal(t):
     return live.join(e, F.col("seq") == F.col("event_id")).select("user_id", "seq")
 
 
-@query("SELECT txn, query_set_id, op, o_orderkey FROM orders_log")
+@query("SELECT txn, set_no, grp, query_set_id, op, o_orderkey FROM two_set_log UNION ALL SELECT txn, 2, 0, 7, 'event', o_orderkey FROM two_set_log WHERE op = 'insert'")
 def flatten_transactions(t):
-    log = t("orders_log").select("txn", "query_set_id", "op", "o_orderkey")
+    log = t("two_set_log").select("txn", "set_no", "query_set_id", "op", "o_orderkey")
+    log = log.unionByName(log.where("op = 'insert'").withColumns({"op": F.lit("event"), "set_no": F.lit(2), "query_set_id": F.lit(7)}))
     rows = lambda op: F.collect_list(F.when(F.col("op") == op, F.struct("o_orderkey")))
-    groups = log.groupBy("txn", "query_set_id", (F.col("o_orderkey") % 3).alias("g")).agg(F.struct(rows("insert").alias("inserts"), rows("delete").alias("deletes")).alias("group"))
-    sets = groups.groupBy("txn", "query_set_id").agg(F.array(F.struct(F.lit("orders").alias("table_name"), F.collect_list("group").alias("groups"))).alias("tables"))
-    nested = sets.groupBy("txn").agg(F.collect_list(F.struct("query_set_id", "tables")).alias("query_sets"))
-    return tables.flatten_transactions(nested).select("txn", "query_set_id", "op", "row.o_orderkey")
+    groups = log.groupBy("txn", "set_no", "query_set_id").agg(F.struct(rows("insert").alias("inserts"), rows("delete").alias("deletes"), rows("event").alias("events")).alias("group"))
+    one = F.struct("set_no", "query_set_id", F.array(F.struct(F.lit("orders").alias("table_name"), F.array("group").alias("groups"))).alias("tables"))
+    nested = groups.groupBy("txn").agg(F.sort_array(F.collect_list(one)).alias("query_sets"))
+    # a message's sets stand in their order; where a place has no set there is one without tables
+    full = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.get(F.filter("query_sets", lambda q: q["set_no"] == k), 0))
+    nested = nested.select("txn", F.transform(full, lambda q: F.struct(q["query_set_id"].alias("query_set_id"), q["tables"].alias("tables"))).alias("query_sets"))
+    return tables.flatten_transactions(nested).select("txn", "set_no", "grp", "query_set_id", "op", "row.o_orderkey")
 
 
 @query("SELECT c_custkey, lower(substr(md5(c_name), 1, 4)) || '...' || substr(md5(c_name), 29, 4) AS short_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS uuid_text FROM (SELECT *, md5(c_name) AS h FROM customer) x")

@@ -1,4 +1,4 @@
-"""The folder for checkpoints: the one that the cluster names, else a temporary one (tests)."""
+"""The folder for checkpoints: the one that the cluster names, else, in a local session, a temporary one (tests)."""
 
 from __future__ import annotations
 
@@ -10,6 +10,9 @@ from pyspark.sql import SparkSession
 def ensure(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="deltaloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:

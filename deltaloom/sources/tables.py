@@ -67,9 +67,21 @@ def last_sync_times(log: DataFrame) -> DataFrame:
 
 def flatten_transactions(nested: DataFrame) -> DataFrame:
     """txn, query_sets array<struct<query_set_id, tables array<struct<table_name, groups array<struct<inserts, deletes>>>>>>
-    -> the change log with table_name and row; grp is the row group's number."""
-    sets = nested.select("txn", F.explode("query_sets").alias("q"))
-    tables = sets.select("txn", F.col("q.query_set_id").alias("query_set_id"), F.explode("q.tables").alias("t"))
-    groups = tables.select("txn", "query_set_id", F.col("t.table_name").alias("table_name"), F.posexplode("t.groups").alias("grp", "g"))
-    ops = F.array(F.struct(F.lit("delete").alias("op"), F.col("g.deletes").alias("rows")), F.struct(F.lit("insert").alias("op"), F.col("g.inserts").alias("rows")))
-    return groups.withColumn("o", F.explode(ops)).select("txn", "grp", "query_set_id", F.col("o.op").alias("op"), "table_name", F.explode("o.rows").alias("row"))
+    -> the change log with table_name and row.
+
+    set_no and grp number the query sets of a message and the row groups of a table, pos the rows of a group. Groups
+    may have events too, rows of tables that hold nothing: op is then 'event'.
+    """
+    sets = nested.select("txn", F.posexplode("query_sets").alias("set_no", "q"))
+    tables = sets.select("txn", "set_no", F.col("q.query_set_id").alias("query_set_id"), F.explode("q.tables").alias("t"))
+    groups = tables.select("txn", "set_no", "query_set_id", F.col("t.table_name").alias("table_name"), F.posexplode("t.groups").alias("grp", "g"))
+    kinds = [("delete", "deletes"), ("insert", "inserts"), ("event", "events")]
+    there = groups.schema["g"].dataType.names
+    ops = F.array(*(F.struct(F.lit(op).alias("op"), F.col(f"g.{rows}").alias("rows")) for op, rows in kinds if rows in there))
+    return groups.withColumn("o", F.explode(ops)).select("txn", "set_no", "grp", "query_set_id", F.col("o.op").alias("op"), "table_name", F.posexplode("o.rows").alias("pos", "row"))
+
+
+def log_of_table(flat: DataFrame, table: str) -> DataFrame:
+    """The change log of one table, with its own columns; events are left out."""
+    mine = flat.where((F.col("table_name") == table) & (F.col("op") != "event"))
+    return mine.select("txn", "set_no", "grp", "pos", "query_set_id", "op", "row.*")

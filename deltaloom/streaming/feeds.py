@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from deltaloom.operators import ownership
+from deltaloom.operators.changes import keyed, row_columns, step
+
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -66,10 +69,13 @@ class _Own(StatefulProcessor):
         self.owners = handle.getMapState("owners", "query_set_id long", "owns boolean")
 
     def handleInputRows(self, key, rows, timer_values):
-        frame = pd.concat(list(rows)).sort_values(["txn", "query_set_id"], kind="stable")
+        frame = pd.concat(list(rows))
+        if "set_no" not in frame:
+            frame["set_no"] = frame["query_set_id"]
+        frame = frame.sort_values(["txn", "set_no"], kind="stable")
         owners = {int(k[0]) for k in self.owners.keys()}
         out = []
-        for (txn, q), part in frame.groupby(["txn", "query_set_id"], sort=True):
+        for (txn, _, q), part in frame.groupby(["txn", "set_no", "query_set_id"], sort=True):
             before = bool(owners)
             if (part["op"] == "insert").any():
                 owners.add(int(q))
@@ -86,23 +92,104 @@ class _Own(StatefulProcessor):
 
 
 def owned_key_events(stream: DataFrame) -> DataFrame:
-    """key long, txn, query_set_id, op -> net inserts and deletes of keys under overlapping query sets."""
+    """key long, txn, query_set_id, op -> net inserts and deletes of keys under overlapping query sets.
+
+    Sets of a transaction take effect in order of set_no, where there is one, else of query_set_id.
+    """
     return stream.groupBy("key").transformWithStateInPandas(_Own(), "key long, txn long, kind string", "Append", "None")
 
 
-def coalesced_snapshot_sink(stream: DataFrame, write: Callable[[str, DataFrame, int], None], every: str = "2 seconds"):
-    """A writer that calls write(table_name, rows, batch_id) for the tables of a batch, at most once each per window.
+def coalesced_snapshot_sink(stream: DataFrame, path: str, every: str = "2 seconds", event_tables: tuple[str, ...] = (), clean: Callable[[], DataFrame] | None = None):
+    """A writer of snapshots under path/batch=N/table_name=T: each dirty table at most once for each window.
 
-    write must be idempotent on batch_id; event tables are to be left out of the stream.
+    One write for all tables of a batch; a batch that is run again overwrites its own folder. Event tables hold nothing
+    and are never written. clean() may give table_name, seq: tables that were written directly since, whose rows up to
+    seq are no longer dirty.
     """
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        for row in batch.select("table_name").distinct().collect():  # names of dirty tables
-            write(row["table_name"], batch.where(F.col("table_name") == row["table_name"]), batch_id)
+        rows = batch.where(~F.col("table_name").isin(*event_tables)) if event_tables else batch
+        if clean:
+            rows = rows.alias("r").join(clean().alias("c"), "table_name", "left").where("c.seq is null or r.seq > c.seq").select("r.*")
+        rows.write.mode("overwrite").partitionBy("table_name").parquet(f"{path}/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(flush).trigger(processingTime=every)
 
 
+def sync_results_sink(stream: DataFrame, path: str, checkpoint: str):
+    """Results of mutations (request_id, success, error, ...) published as files by success."""
+    return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("success").outputMode("append")
+
+
+def _earlier(spark: SparkSession, path: str, batch_id: int | None) -> DataFrame | None:
+    """What batches before batch_id (None: all) have put under path, with batch; None where there is nothing."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return None
+    rows = spark.read.parquet(path)
+    return rows if batch_id is None else rows.where(F.col("batch") < batch_id)
+
+
+def ordered_apply(stream: DataFrame, path: str, pk: list[str]):
+    """A writer that applies a change log in order of arrival: batch by batch, and by txn within a batch.
+
+    A batch puts the last operation on each key that it touches under path/batch=N, overwriting what an earlier
+    attempt at it left, so that a batch that runs twice counts once. State is never rewritten: see ordered_state.
+    """
+    columns = row_columns(stream)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        at = [F.col(c) for c in ("set_no", "grp", "pos") if c in batch.columns]
+        last = keyed(batch, pk).groupBy(*pk).agg(F.max_by(F.struct("op", F.struct(*columns).alias("row")), F.struct("txn", step().alias("step"), *at)).alias("last"))
+        last.select(*pk, "last.op", "last.row").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(put)
+
+
+def ordered_state(spark: SparkSession, path: str, pk: list[str], base: DataFrame) -> DataFrame:
+    """base after all batches that ordered_apply has put under path."""
+    log = _earlier(spark, path, None)
+    if log is None:
+        return base
+    last = log.groupBy(*pk).agg(F.max_by(F.struct("op", "row"), "batch").alias("last"))
+    return base.join(last.select(*pk), pk, "left_anti").select(*base.columns).unionByName(last.where("last.op = 'insert'").select("last.row.*").select(*base.columns))
+
+
+def owned_feed(stream: DataFrame, path: str, pk: list[str], state: DataFrame, owners: DataFrame):
+    """A writer of the net events of overlapping query sets, each exactly once.
+
+    A batch reads the owners and rows that batches before it left of the keys that it touches (at first those of state
+    and owners), and overwrites path/events/batch=N and path/held/batch=N, so that running it again changes nothing.
+    """
+    spark = stream.sparkSession
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        touched = keyed(batch, pk).select(*pk).distinct()
+        held = _earlier(spark, f"{path}/held", batch_id)
+        base = state.join(touched, pk, "left_semi").select(*pk, F.struct(*state.columns).alias("row"))
+        owned = owners.join(touched, pk, "left_semi").select(*pk, "query_set_id")
+        if held is not None:
+            last = held.join(touched, pk, "left_semi").groupBy(*pk).agg(F.max_by(F.struct("row", "sets"), "batch").alias("h"))
+            base = base.join(last, pk, "left_anti").unionByName(last.where("h.row is not null").select(*pk, F.col("h.row").alias("row")))
+            owned = owned.join(last, pk, "left_anti").unionByName(last.select(*pk, F.explode("h.sets").alias("query_set_id")))
+        before = base.select("row.*")
+        steps = ownership.ownership_steps(before, owned, batch, pk)
+        ownership.owned_events(steps, pk).write.mode("overwrite").parquet(f"{path}/events/batch={batch_id}")
+        rows = ownership.state_after(before, steps, pk).select(*pk, F.struct(*state.columns).alias("row"))
+        sets = ownership.owners_after(steps, pk).groupBy(*pk).agg(F.collect_set("query_set_id").alias("sets"))
+        now = touched.join(rows, pk, "left").join(sets, pk, "left")
+        now = now.withColumn("sets", F.coalesce("sets", F.array().cast(sets.schema["sets"].dataType)))
+        now.write.mode("overwrite").parquet(f"{path}/held/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(put)
+
+
+def late_snapshots(replies: DataFrame, timed_out: DataFrame, late: str = "1 minute") -> DataFrame:
+    """A stream of replies -> those of timed-out requests, one for each as long as the watermark keeps it in mind."""
+    known = replies.join(timed_out.select("request_id").distinct(), "request_id", "left_semi")
+    return known.withColumn("result_ts", F.col("result_ts").cast("timestamp")).withWatermark("result_ts", late).dropDuplicatesWithinWatermark(["request_id"])
+
+
 def changes_sink(stream: DataFrame, path: str, checkpoint: str):
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("kind").outputMode("append")
 
@@ -115,6 +202,7 @@ def drop_stale_generation(log: DataFrame) -> DataFrame:
 
 def timed_out_calls(calls: DataFrame, results: DataFrame, after: str = "10 seconds", late: str = "1 minute") -> DataFrame:
     """Streams of calls and results -> calls that no result followed within the limit."""
-    c, r = calls.withWatermark("call_ts", late), results.select(F.col("request_id").alias("r_id"), "result_ts").withWatermark("result_ts", late)
+    c = calls.withColumn("call_ts", F.col("call_ts").cast("timestamp")).withWatermark("call_ts", late)
+    r = results.select(F.col("request_id").alias("r_id"), F.col("result_ts").cast("timestamp").alias("result_ts")).withWatermark("result_ts", late)
     match = F.expr(f"request_id = r_id and result_ts >= call_ts and result_ts <= call_ts + interval {after}")
     return c.join(r, match, "left_outer").where("r_id is null").select(*calls.columns)

@@ -43,27 +43,28 @@ def test_bag_matches_loop(spark):
 def test_owned_delta_matches_model(spark):
     rng = random.Random(7)
     owns, value, log, want = {}, {}, [], []
-    for txn in range(40):
-        for q in (1, 2, 3):
+    for txn in range(60):
+        # sets come in any order in a message
+        for place, q in enumerate(rng.sample((1, 2, 3), 3)):
             for k in range(4):
                 mine = q in owns.get(k, set())
                 if rng.random() < 0.3:
                     before = bool(owns.get(k))
                     if mine and rng.random() < 0.5:
-                        log.append((txn, 0, q, "delete", k, value[k]))
+                        log.append((txn, place, 0, q, "delete", k, value[k]))
                         owns[k].discard(q)
                         if not owns[k]:
                             want.append((txn, q, k, "delete"))
                     else:
                         new = str(rng.randrange(3))
-                        log.append((txn, 0, q, "insert", k, new))
+                        log.append((txn, place, 0, q, "insert", k, new))
                         owns.setdefault(k, set()).add(q)
                         if not before:
                             want.append((txn, q, k, "insert"))
                         elif value[k] != new:
                             want.append((txn, q, k, "update"))
                         value[k] = new
-    steps = ownership.ownership_steps(spark.createDataFrame([], "k long, v string"), spark.createDataFrame([], "k long, query_set_id int"), spark.createDataFrame(log, LOG), ["k"])
+    steps = ownership.ownership_steps(spark.createDataFrame([], "k long, v string"), spark.createDataFrame([], "k long, query_set_id int"), spark.createDataFrame(log, LOG.replace("grp", "set_no int, grp")), ["k"])
     assert rows(ownership.owned_events(steps, ["k"]).select("txn", "query_set_id", "k", "kind")) == sorted(want, key=str)
     final = ownership.state_after(spark.createDataFrame([], "k long, v string"), steps, ["k"])
     assert rows(final) == sorted(((k, value[k]) for k in owns if owns[k]), key=str)
@@ -103,3 +104,36 @@ def test_held_mutations_spread(spark):
 def test_error_text(spark):
     df = spark.createDataFrame([(bytearray(b"\x02\x00\x00\x00hi"),), (bytearray(b"plain"),)], "b binary")
     assert [r[0] for r in df.select(events.error_text("b")).collect()] == ["hi", "plain"]
+
+
+def test_hand_over_within_a_message(spark):
+    """A set that takes a key before another gives it up tells an update at most; after it, a delete and an insert."""
+    state, owners = spark.createDataFrame([(1, "a")], "k long, v string"), spark.createDataFrame([(1, 1)], "k long, query_set_id int")
+    for take, give, want in ((0, 1, []), (1, 0, [(1, "delete"), (2, "insert")])):
+        log = spark.createDataFrame([(7, take, 0, 2, "insert", 1, "a"), (7, give, 0, 1, "delete", 1, "a")], LOG.replace("grp", "set_no int, grp"))
+        steps = ownership.ownership_steps(state, owners, log, ["k"])
+        assert rows(ownership.owned_events(steps, ["k"]).select("query_set_id", "kind")) == want
+        assert rows(ownership.state_after(state, steps, ["k"])) == [(1, "a")]
+        assert rows(ownership.owners_after(steps, ["k"])) == [(1, 2)]
+
+
+def test_batches_of_a_bulk_load(spark):
+    load = [(1, i, "insert", None, (i,)) for i in range(25)] + [(1, 100 + i, "delete", (100 + i,), None) for i in range(5)] + [(2, 1, "update", (1,), (2,))]
+    c = spark.createDataFrame(load, "txn long, k long, kind string, old struct<k:long>, new struct<k:long>")
+    out = changes.transaction_batches(c, most=10).orderBy("txn", "part").collect()
+    assert sorted(e["k"] for r in out if r["txn"] == 1 for e in r["events"]) == sorted(k for t, k, *_ in load if t == 1)
+    kinds = ["".join(e["kind"][0] for e in r["events"]) for r in out if r["txn"] == 1]
+    assert "".join(kinds) == "i" * 25 + "d" * 5 and len(kinds) > 1
+    assert changes.transaction_batches(c).where("txn = 1").count() == 1
+
+
+def test_null_keys_meet_in_a_diff(spark):
+    old, new = (spark.createDataFrame([(None, "a"), (1, "x")], "k long, v string"), spark.createDataFrame([(None, "b"), (1, "x")], "k long, v string"))
+    assert rows(changes.snapshot_diff(old, new, ["k"]).select("k", "kind")) == [(None, "update")]
+
+
+def test_later_rows_win(spark):
+    state, new = spark.createDataFrame([(1, "a")], "k long, v string"), spark.createDataFrame([(1, "z", 0), (1, "b", 1)], "k long, v string, place int")
+    assert rows(changes.upsert_rows(state, new, ["k"], ["place"])) == [(1, "b")]
+    log = spark.createDataFrame([(1, 0, 0, 1, "insert", 1, "z"), (1, 0, 1, 1, "insert", 1, "b")], "txn long, grp int, pos int, query_set_id int, op string, k long, v string")
+    assert [r["new"]["v"] for r in changes.coalesce_changes(log, ["k"]).collect()] == ["b"]

@@ -44,11 +44,3 @@ def test_same_rows_as_sql(spark, duck, name):
     assert normal(found) == normal(expected)
 
 
-def test_random_mutations_add_one_for_each_draw(spark):
-    customers = spark.read.parquet(f"{DATA}/customer.parquet").count()
-    x, hits = 42, {}
-    for _ in range(customers):
-        x = (x * 6364136223846793005 + 1442695040888963407) % 2**64
-        hits[x % customers] = hits.get(x % customers, 0) + 1
-    found = registry.QUERIES["random_mutations"](spark, DATA).toPandas()
-    assert {int(i): int(h) for i, h in zip(found["id"], found["health"], strict=True) if h} == hits

@@ -22,12 +22,57 @@ def test_find_and_views(spark):
 
 
 def test_query_sets(spark):
-    q = spark.createDataFrame([(1, 1, "SELECT * FROM a"), (1, 2, "select * from Nowhere"), (1, 3, "SELECT * FROM gone"), (2, 1, 'SELECT x.* FROM "a" x JOIN b ON 1 = 1'), (3, 1, "SELECT * FROM nowhere")], "query_set_id int, query_no int, query string")
+    q = spark.createDataFrame([(1, 1, "SELECT * FROM a"), (1, 2, "select * from Nowhere"), (1, 3, "SELECT * FROM gone"), (2, 1, 'SELECT x.* FROM "a" x JOIN nowhere ON 1 = 1'), (3, 1, "SELECT * FROM nowhere"), (4, 1, "SELECT * FROM a JOIN b ON 1 = 1")], "query_set_id int, query_no int, query string")
     catalog = spark.createDataFrame([("A",), ("b",)], "table_name string")
-    assert rows(views.validate_query_sets(q, catalog), "query_set_id", "query_no") == [(1, 1), (1, 3), (2, 1)]
-    assert rows(views.covering_sets(q, "A")) == [(1,), (2,)]
-    assert views.table_covered(q, "b") and not views.table_covered(q, "c")
-    assert rows(views.tags_for_table(q, "b")) == [(1, 1), (1, 2), (1, 3), (2, 1), (3, 1)]
+    assert rows(views.validate_query_sets(q, catalog), "query_set_id", "query_no") == [(1, 1), (1, 3), (2, 1), (4, 1)]
+    assert rows(views.emptied_sets(q, catalog)) == [(3,)]
+    # tables that are only joined return no rows, and names are taken as they are
+    assert rows(views.covering_sets(q, "a")) == [(1,), (2,), (4,)] and rows(views.covering_sets(q, "A")) == []
+    assert views.table_covered(q, "gone") and not views.table_covered(q, "b")
+    assert rows(views.tags_for_table(q, "b")) == [(1, 1), (1, 2), (1, 3), (2, 1), (3, 1), (4, 1)]
+
+
+def test_draws_of_the_generator(spark):
+    ensure(spark)
+    ids = [3, 5, 8, 13, 21, 34, 55]
+    x, hits = 42, dict.fromkeys(ids, 0)
+    for _ in range(50):
+        x = (x * 6364136223846793005 + 1442695040888963407) % 2**64
+        hits[ids[(x >> 33) % len(ids)]] += 1
+    state = spark.createDataFrame([(i, 0, 1.5) for i in ids], "id long, health int, x double")
+    out = jobs.random_mutations(state, 50, 42, "id", ["health", "x"])
+    assert {r["id"]: r["health"] for r in out.collect()} == hits and all(r["x"] == 1.5 + hits[r["id"]] for r in out.collect())
+
+
+def test_feeds_count_a_batch_once(spark, tmp_path):
+    from deltaloom.streaming import feeds
+
+    log = "txn long, set_no int, grp int, query_set_id int, op string, id long, v string"
+    batches = [[(1, 0, 0, 1, "insert", 1, "a"), (1, 1, 0, 2, "insert", 1, "a")], [(2, 0, 0, 1, "delete", 1, "a")], [(3, 0, 0, 2, "delete", 1, "a"), (3, 0, 0, 2, "insert", 2, "b")]]
+
+    class Stream:
+        """Hands batches to the writer's function, the second one twice."""
+
+        sparkSession = spark
+        columns = [c.split()[0] for c in log.split(", ")]
+
+        @property
+        def writeStream(self):
+            return self
+
+        def foreachBatch(self, put):
+            for n, rows_ in enumerate(batches):
+                for _ in range(1 + (n == 1)):
+                    put(spark.createDataFrame(rows_, log), n)
+
+    state, owners = spark.createDataFrame([], "id long, v string"), spark.createDataFrame([], "id long, query_set_id int")
+    path = f"file://{tmp_path}"
+    feeds.owned_feed(Stream(), f"{path}/owned", ["id"], state, owners)
+    got = spark.read.parquet(f"{path}/owned/events")
+    assert rows(got, "txn", "query_set_id", "id", "kind") == [(1, 1, 1, "insert"), (3, 2, 1, "delete"), (3, 2, 2, "insert")]
+    feeds.ordered_apply(Stream(), f"{path}/ordered", ["id"])
+    assert rows(feeds.ordered_state(spark, f"{path}/ordered", ["id"], state)) == [(2, "b")]
+    assert rows(feeds.ordered_state(spark, f"{path}/none", ["id"], state)) == []
 
 
 def test_drop_with_rows(spark):
