@@ -78,7 +78,8 @@ def committed_only(state: DataFrame, pending_inserts: DataFrame, pending_request
     pending_requests go first, whatever their content, and request_id is not persisted.
     """
     if pending_requests is not None:
-        state = state.join(pending_requests.select("request_id").distinct(), "request_id", "left_anti").drop("request_id")
+        own = state.columns
+        state = state.join(pending_requests.select("request_id").distinct(), "request_id", "left_anti").select(*(c for c in own if c != "request_id"))
     return state.exceptAll(pending_inserts.select(*state.columns))
 
 
@@ -155,24 +156,39 @@ def veto(mutations: DataFrame, predicate: Column) -> DataFrame:
     return mutations.where(F.coalesce(predicate, F.lit(True)))
 
 
-def held_mutations(mutations: DataFrame, awaited: DataFrame) -> DataFrame:
+def _spread(frame):
+    """One block's mutations in queue order: those that wait, with their keys; since tells from when a key is waited for."""
+    since = dict(frame.loc[frame["since"].notna(), ["key", "since"]].itertuples(index=False))
+    kept = []
+    for seq, keys in frame.sort_values("seq").groupby("seq", sort=False)["key"]:
+        if any(since.get(k, seq) < seq for k in keys):
+            for k in keys:
+                since[k] = min(since.get(k, seq), seq)
+                kept.append((seq, k))
+    return type(frame)(kept, columns=["seq", "key"])
+
+
+def held_mutations(mutations: DataFrame, awaited: DataFrame, block: int = 50_000) -> DataFrame:
     """seq of mutations that wait: in queue order, one that shares a key with an awaited or a waiting one waits.
 
     mutations: seq, keys (array of text, null: unknown). awaited: key. One with unknown keys waits if anything before it
-    waits or anything is awaited, and then all later ones do. Waiting spreads along shared keys in rounds of least seq.
+    waits or anything is awaited, and then all later ones do. The queue is cut into blocks of about `block` keys; a task
+    follows all chains within its block, and a round hands on from when each key is waited for, so that there are at
+    most as many rounds as blocks that a chain runs through.
     """
-    links = mutations.select("seq", F.explode("keys").alias("key")).distinct()
     unknown = mutations.where("keys is null").select("seq")
-    held = links.join(awaited, "key", "left_semi").select("seq").distinct()
-    count = -1
-    while True:  # ends: held only grows
-        held = held.checkpoint()
-        n = held.count()
-        if n == count:
+    links = mutations.select("seq", F.explode("keys").alias("key")).distinct()
+    links = links.repartitionByRange(max(1, -(-links.count() // block)), "seq").withColumn("block", F.spark_partition_id()).checkpoint()
+    since = awaited.select("key", F.lit(-(2**62)).alias("since")).distinct()
+    known = None
+    while True:  # ends: since only falls
+        found = links.join(since, "key", "left").groupBy("block").applyInPandas(_spread, "seq long, key string").checkpoint()
+        since = since.unionByName(found.groupBy("key").agg(F.min("seq").alias("since"))).groupBy("key").agg(F.min("since").alias("since")).checkpoint()
+        now = tuple(since.agg(F.count("*"), F.sum(F.col("since").cast("decimal(38,0)"))).first())
+        if now == known:
             break
-        count = n
-        since = links.join(held, "seq").groupBy("key").agg(F.min("seq").alias("since"))
-        held = held.unionByName(links.join(since, "key").where("seq > since").select("seq")).distinct()
+        known = now
+    held = found.select("seq").distinct()
     first_held = held.agg(F.min("seq")).first()[0]
     awaits = awaited.limit(1).count() > 0
     cut = unknown if awaits else unknown.where(F.col("seq") > first_held) if first_held is not None else unknown.where(F.lit(False))

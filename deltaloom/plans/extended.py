@@ -38,8 +38,17 @@ def read_state(t):
 
 @query("SELECT o_orderkey, o_totalprice FROM orders_base WHERE o_orderkey % 13 <> 0")
 def write_state(t):
-    p = t("prices")
-    return p.sparkSession.read.parquet(tables.write_state(p, p.where("o_orderkey % 13 = 0"), _folder(p.sparkSession, "state")))
+    p, root = t("prices"), _folder(t("prices").sparkSession, "state")
+    tables.write_state(p, None, root)
+    tables.write_state(p, p.where("o_orderkey % 13 = 0"), root)
+    return tables.current_state(p.sparkSession, root)
+
+
+@query("SELECT l_orderkey, l_linenumber FROM line_bag WHERE l_orderkey % 5 <> 0")
+def write_state_bag(t):
+    bag, root = t("line_bag").withColumn("request_id", F.when(F.col("l_orderkey") % 5 == 0, F.col("l_orderkey"))), _folder(t("line_bag").sparkSession, "state")
+    tables.write_state(bag, None, root, bag.where("request_id is not null").select("request_id"))
+    return tables.current_state(bag.sparkSession, root)
 
 
 @query("SELECT event_id * 2 AS seq FROM events WHERE event_id % 3 <> 0 AND (event_id + 1) % 3 <> 0")

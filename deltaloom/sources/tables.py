@@ -8,25 +8,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from deltaloom.operators.overlay import committed_only
+
 JOURNAL = "op string, requestId string, mutation struct<requestId:string,reducerName:string,createdAt:string>, bad string"
 
 
+def _files(spark: SparkSession, path: str):
+    """A path and its file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def read_state(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """A JSON snapshot's rows, and the lines that don't decode; a missing snapshot is empty."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    hadoop, files = _files(spark, path)
+    if not files.exists(hadoop):
         return spark.createDataFrame([], schema), spark.createDataFrame([], "bad string")
     bad = T.StructField("bad", T.StringType())
     rows = spark.read.text(path).where(F.trim("value") != "").withColumn("j", F.from_json("value", T.StructType([*schema.fields, bad]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}))
     return rows.where("j.bad is null").select(*(F.col("j")[f.name].alias(f.name) for f in schema.fields)), rows.where("j.bad is not null").select(F.col("j.bad").alias("bad"))
 
 
-def write_state(state: DataFrame, pending_inserts: DataFrame | None, root: str) -> str:
-    """Write the committed rows to a new version under root and return its path; readers switch by that path."""
-    rows = state if pending_inserts is None else state.exceptAll(pending_inserts.select(*state.columns))
-    path = f"{root}/version-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return path
+def write_state(state: DataFrame, pending_inserts: DataFrame | None, root: str, pending_requests: DataFrame | None = None) -> str:
+    """Write the committed rows to a new version under root, let root/current name it, and return its path.
+
+    Left out are pending and retained inserts, one occurrence each, and, in a table without a key, all rows whose
+    request_id is one of pending_requests. A reader gets the version before or this one, never a part of it.
+    """
+    rows = committed_only(state, state.where("false") if pending_inserts is None else pending_inserts, pending_requests)
+    version, spark = f"version-{uuid.uuid4().hex}", state.sparkSession
+    rows.write.parquet(f"{root}/{version}")
+    (new, files), (current, _) = _files(spark, f"{root}/{version}.name"), _files(spark, f"{root}/current")
+    out = files.create(new, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    how = spark.sparkContext._gateway.new_array(options, 1)
+    how[0] = options.OVERWRITE
+    context.rename(new, current, how)
+    return f"{root}/{version}"
+
+
+def current_state(spark: SparkSession, root: str) -> DataFrame | None:
+    """The rows of the version that root/current names; None before the first one."""
+    current, files = _files(spark, f"{root}/current")
+    if not files.exists(current):
+        return None
+    return spark.read.parquet(f"{root}/{spark.read.text(f'{root}/current').first()[0]}")
 
 
 def journal_entries(lines: DataFrame) -> DataFrame:

@@ -95,7 +95,8 @@ def test_held_mutations_spread_over_a_long_chain(spark):
     ensure(spark)
     m = spark.createDataFrame([(i, [f"k{i}", f"k{i + 1}"]) for i in range(12)] + [(50, ["other"])], "seq long, keys array<string>")
     awaited = spark.createDataFrame([("k3",)], "key string")
-    assert rows(overlay.held_mutations(m, awaited)) == sorted([(i,) for i in range(2, 12)], key=str)
+    for block in (50_000, 7):  # in one block, and over several
+        assert rows(overlay.held_mutations(m, awaited, block)) == sorted([(i,) for i in range(2, 12)], key=str)
     unknown = m.unionAll(spark.createDataFrame([(20, None)], m.schema))
     assert (50,) in rows(overlay.held_mutations(unknown, awaited))
 
@@ -123,3 +124,18 @@ def test_import_legacy_queue(spark, tmp_path):
     with open(path, "w") as f:
         f.write('[{"requestId": "r1", "reducerName": "x"}, {"requestId": "r2", "reducerName": "y"}]')
     assert rows(tables.replay_journal(tables.import_legacy_queue(spark, path)), "request_id") == [("r1",), ("r2",)]
+
+
+def test_held_mutations_match_a_queue(spark):
+    import random
+
+    ensure(spark)
+    rng = random.Random(4)
+    queue = [(i, rng.sample("abcdefghijklmnopqrstuvwxyz", 2)) for i in range(60)]
+    waits, want = {"a"}, []
+    for seq, keys in queue:
+        if waits & set(keys):
+            waits |= set(keys)
+            want.append((seq,))
+    m = spark.createDataFrame(queue, "seq long, keys array<string>")
+    assert rows(overlay.held_mutations(m, spark.createDataFrame([("a",)], "key string"), 20)) == sorted(want, key=str)
