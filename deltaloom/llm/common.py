@@ -39,7 +39,18 @@ def written(df: DataFrame, name: str, rows: int = 1000) -> DataFrame:
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     with short_batches(spark, rows):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more, what is still to be computed included."""
+    for table in tables:
+        if path := table.__dict__.pop("_written_at", None):
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextlib.contextmanager

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -13,7 +13,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Only nodes of an edge between different nodes appear; null ends, loops and repeated edges are ignored. A hub's
     neighbours are reduced to one minimum before the shuffle, and a step emits one row for each edge, so that a hub
-    never becomes all pairs of its neighbours. Every round is written to the shared folder.
+    never becomes all pairs of its neighbours. Every round is written to the shared folder, and deleted after the next one.
     """
 
     def star(e: DataFrame, larger: bool) -> DataFrame:
@@ -34,8 +34,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if not seen[0]:
             break
-        e = written(star(star(e, True), False), "edges")
+        before, e = e, written(star(star(e, True), False), "edges")
         now = sign(e)
+        discard(before)
         if now == seen:
             break
         seen = now

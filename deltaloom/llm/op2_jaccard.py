@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX_B, U64, mix, shingles, slices, text_or_empty, tidy, utf8, word_hashes, written
+from .common import MIX_B, U64, discard, mix, shingles, slices, text_or_empty, tidy, utf8, word_hashes, written
 from .components import components
 
 #: Counters that estimate how frequent a shingle is. They only order shingles: any order gives the same links.
@@ -377,12 +377,14 @@ def _elements(ends: DataFrame, docs: DataFrame, size: int) -> DataFrame:
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """The candidate pairs (x, y) that link: first bounded by bitmaps, then verified on the whole sets."""
+    """The candidate pairs (x, y) that link: first bounded by bitmaps, then verified on the whole sets. Written."""
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"b{c}"))
     close = written(pairs.join(side("x"), "x").join(side("y"), "y").mapInArrow(tidy(_bound), "x long, y long"), "close")
     sets = _elements(close.select(F.explode(F.array("x", "y")).alias("node")).distinct(), docs, size)
     side = lambda c: sets.select(F.col("node").alias(c), F.col("elements").alias(f"e{c}"))
-    return close.join(side("x"), "x").join(side("y"), "y").mapInArrow(tidy(_verify), "a long, b long").distinct()
+    out = written(close.join(side("x"), "x").join(side("y"), "y").mapInArrow(tidy(_verify), "a long, b long").distinct(), "links")
+    discard(close, sets)
+    return out
 
 
 def _long_links(open_: DataFrame, docs: DataFrame, size: int) -> DataFrame:
@@ -390,9 +392,12 @@ def _long_links(open_: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     part = open_.withColumn("blocks", F.ceil(F.col("members") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
     part = part.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     block = part.select("key", "node", "component", "own", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"))
-    block = block.join(_elements(open_.select("node").distinct(), docs, size), "node")
+    sets = _elements(open_.select("node").distinct(), docs, size)
+    block = block.join(sets, "node")
     block = block.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    return written(block.mapInArrow(tidy(_in_blocks), "a long, b long").distinct(), "links", 64)
+    out = written(block.mapInArrow(tidy(_in_blocks), "a long, b long").distinct(), "links", 64)
+    discard(sets)
+    return out
 
 
 def jaccard_components(docs: DataFrame, size: int = 5) -> DataFrame:
@@ -423,9 +428,8 @@ def jaccard_components(docs: DataFrame, size: int = 5) -> DataFrame:
     allowed = "4 * n <= 5 * leader_n and 4 * leader_n <= 5 * n and node <> leader"
     stars = written(lists.where(allowed).select(F.least("node", "leader").alias("x"), F.greatest("node", "leader").alias("y")).distinct(), "stars")
     facts = nodes.select("node", "n", "bits")
-    first = written(_links(stars, facts, docs, size), "links")
-
-    links, tested, open_ = first, stars, lists.select("key", "node", "n")
+    links, tested, open_ = _links(stars, facts, docs, size), stars, lists.select("key", "node", "n")
+    done = [nodes, lists, stars]
     for turn in range(LEADERS + 1):
         # lists whose members are in different components; as components only grow, fewer in each turn
         label = components(links)
@@ -433,21 +437,24 @@ def jaccard_components(docs: DataFrame, size: int = 5) -> DataFrame:
         lead = F.min_by(F.struct("node", "n", "component"), F.xxhash64("key", "node", F.lit(turn))).alias("lead")
         crossed = member.groupBy("key").agg(F.count("*").alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi"), lead).where("lo < hi").select("key", "members", "lead")
         open_ = written(member.join(crossed, "key"), "open")
+        done.append(open_)
         if turn == LEADERS:
             break
         # each list has a leader of its own, so that a member of several lists is compared with several others
         near = open_.where("component <> lead.component and 4 * n <= 5 * lead.n and 4 * lead.n <= 5 * n")
         more = near.select(F.least("node", "lead.node").alias("x"), F.greatest("node", "lead.node").alias("y")).distinct().join(tested, ["x", "y"], "left_anti")
         more = written(more, "stars")
-        links, tested = written(links.unionAll(_links(more, facts, docs, size)), "links"), tested.unionAll(more)
+        links, tested = links.unionAll(_links(more, facts, docs, size)), tested.unionAll(more)
+        done.append(more)
         open_ = open_.select("key", "node", "n")
     open_ = open_.drop("lead")
     links = links.unionAll(_long_links(open_.where(F.col("members") > LONG), docs, size))
     short = open_.where(F.col("members") <= LONG).select("key", "node", "n", "component")
     pairs = short.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_pairs), "x long, y long").distinct()
     pairs = written(pairs.join(tested, ["x", "y"], "left_anti"), "pairs")
-    links = written(links.unionAll(_links(pairs, facts, docs, size)).distinct(), "links")
+    links = links.unionAll(_links(pairs, facts, docs, size)).distinct()
     final = components(copies.unionAll(links))
+    discard(*done, pairs)
     degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n_verified"))
     out = rows.select("doc_id", F.col("n").alias("n_shingles"))
     out = out.join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(degree, "doc_id", "left")

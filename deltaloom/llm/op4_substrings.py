@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix, powers, slices, table_of_bytes, text_or_empty, tidy, utf8, written
+from .common import U64, discard, mix, powers, slices, table_of_bytes, text_or_empty, tidy, utf8, written
 from .suffix_arrays import repeated_prefixes, suffix_array
 
 #: Bytes of a gram; windows that are looked at together; bytes of a shard.
@@ -256,25 +256,29 @@ def _shards(window: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, window: int = 200, length: int = GRAM) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = 200, length: int = GRAM) -> tuple[DataFrame, list[DataFrame]]:
     """rid, start, stop of byte spans that consist of windows that also start elsewhere; spans may overlap.
 
-    docs: a written table of rid, one for each row, and text; length: bytes of a gram.
+    docs: a written table of rid, one for each row, and text; length: bytes of a gram. Second: written tables that the
+    spans are read from, to be discarded once they are there.
     """
     met = docs.mapInArrow(tidy(_runs(window, length)), RUN).repartition("gram").sortWithinPartitions("gram", "same", "rid", "start").mapInArrow(tidy(_meet(window)), SPAN)
     met = written(met, "runs")
     wanted = met.where("kind = 1")
     asked = wanted.groupBy("rid").agg(F.collect_list(F.struct("gram", "same", "start", "stop")).alias("wanted"))
     pieces = written(docs.select("rid", "text").join(asked, "rid").select("rid", "text", "wanted").mapInArrow(tidy(_cut), "gram long, same long, rid long, start long, piece binary"), "pieces")
+    held = [met, pieces]
     in_shards, out = pieces, met.where("kind = 0").select("rid", "start", "stop")
     hot = wanted.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > MOST_RUNS).select("gram") if length < window - 1 else None
     if hot is not None and not (hot := written(hot, "hot")).isEmpty():
         in_shards = pieces.join(hot, "gram", "left_anti")
         parts = written(pieces.join(hot, "gram", "left_semi").select(F.monotonically_increasing_id().alias("rid"), F.col("piece").alias("text"), F.col("rid").alias("of"), F.col("start").alias("base")), "parts")
-        deeper = repeated_spans(parts, window, window - 1).join(parts.select("rid", "of", "base"), "rid")
+        deeper, more = repeated_spans(parts, window, window - 1)
+        held += [hot, parts, *more]
+        deeper = deeper.join(parts.select("rid", "of", "base"), "rid")
         out = out.unionAll(deeper.select(F.col("of").alias("rid"), (F.col("base") + F.col("start")).alias("start"), (F.col("base") + F.col("stop")).alias("stop")))
     shard = in_shards.repartition("gram").sortWithinPartitions("gram", "same").mapInArrow(tidy(_shards(window)), SPAN)
-    return out.unionAll(shard.select("rid", "start", "stop")).distinct()
+    return out.unionAll(shard.select("rid", "start", "stop")).distinct(), held
 
 
 def _remove(batches):
@@ -307,6 +311,7 @@ def without_repeats(docs: DataFrame, window: int = 200) -> DataFrame:
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), F.monotonically_increasing_id().alias("rid"))
     texts = written(texts, "texts")  # numbers of rows hold only once they are written
-    spans = repeated_spans(texts.select("rid", "text"), window)
+    spans, held = repeated_spans(texts.select("rid", "text"), window)
     spans = written(spans.groupBy("rid").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "spans")
+    discard(*held)
     return texts.join(spans, "rid", "left").select("doc_id", "text", "spans").mapInArrow(tidy(_remove), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import tidy, written
+from .common import discard, tidy, written
 
 #: Components of a block's queries, queries whose scores are held at once, candidates that are scored together.
 BLOCK_VALUES, AT_ONCE, ROW_BLOCK = 1 << 21, 256, 4096
@@ -149,6 +149,7 @@ def exact_top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int =
             held = rows.sparkSession.sparkContext.broadcast((_rows(few.column("v")), few.column("vec_id").to_numpy()))
             some = rows.mapInArrow(tidy(_search(held, k)), "query_id long, vec_id long, score long")
             found = some if found is None else found.unionAll(some)
+    discard(queries)
     if found is None:
         found = rows.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
