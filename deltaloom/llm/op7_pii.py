@@ -50,7 +50,7 @@ VALUE = re.compile(r"(?i)(?<![a-z])(?:" + "|".join(map(re.escape, SECRET_WORDS))
 #: One of these is in every word for a secret.
 SECRET_STEMS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "contraseña", "kennwort", "mot de passe")
 LONG = re.compile(r"[A-Za-z0-9+/_=-]{20}")
-RANDOM = re.compile(r"(?<![\w+/=-])[A-Za-z0-9+/_=-]{20,}(?![\w+/=-])")
+RANDOM = re.compile(r"(?<![\w+/=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![\w+/=-])")
 ACCOUNT = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 NATIONAL = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
 NAMED = re.compile(r"(?<!\w)(?:" + "|".join(TITLES) + r")\.? ([A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ'-]{1,30}(?: [A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ'-]{1,30}){0,2})(?!\w)")
@@ -135,7 +135,7 @@ def loose_spans(text: str):
     if any(w in low for w in SECRET_STEMS):
         yield from ((SECRET, any(c in m[0][: m.start(1) - m.start()] for c in "=:"), *m.span(1)) for m in VALUE.finditer(text))
     if LONG.search(text):
-        yield from ((SECRET, False, *m.span()) for m in RANDOM.finditer(text))
+        yield from ((SECRET, m[0].startswith(PREFIXES), *m.span()) for m in RANDOM.finditer(text))
     if digit and "-" in text:
         yield from ((IDENTITY, True, *m.span()) for m in NATIONAL.finditer(text))
     if digit:
@@ -177,8 +177,9 @@ def seen(text: str, kind: int, start: int, end: int, base: bool, specific: bool)
         gazetteer, shape = (vote(d.startswith(COUNTRIES)) if span[0] == "+" else 0), vote(len(set(d)) > 2 and (base or "(" in span or len(re.findall(r"[0-9]+", span)) in (3, 4)))
     elif kind == SECRET:
         kinds = sum(any(f(c) for c in span) for f in (str.isdigit, str.islower, str.isupper))
-        gazetteer = 1 if span.startswith(PREFIXES) else 0
-        shape = vote(bits(span) >= (3.0 if len(span) >= 16 else 2.5) and kinds >= 2 and (len(d) >= 2 or not span.isalnum()))
+        given = span.startswith(PREFIXES)
+        gazetteer = 1 if given else 0
+        shape = vote(given and len(span) >= 16 or bits(span) >= 2.5 and kinds >= 2 and (len(d) > 0 or not span.isalnum()))
     elif kind == IBAN:
         shape = vote(remainder_97(span.replace(" ", "")) == 1)
     elif kind == IDENTITY:
@@ -222,34 +223,33 @@ def _patterns(batches):
         yield pa.RecordBatch.from_arrays([pa.array([list(p) for p in counts], pa.list_(pa.int32())), pa.array(list(counts.values()), pa.int64())], names=["pattern", "n"])
 
 
-#: What is believed of a labeler before any candidate is seen: votes against, none, for on other and on real spans.
-BELIEF = np.array([[6.0, 4.0, 2.0], [1.0, 4.0, 7.0]])
+#: What is believed of a labeler before any candidate is seen: right and wrong votes on real spans, and on others.
+RIGHT, WRONG = 8.0, 2.0
+#: Least and largest share of right votes: a labeler's vote for a span never speaks against it, and none decides alone.
+LEAST, MOST = 0.55, 0.995
 
 
 def estimate(table: dict[tuple, int], rounds: int = 100) -> dict[tuple, float]:
     """Posterior that a candidate of each pattern is personal data.
 
-    Each kind has a share of real spans, each labeler a chance to vote each way on real and on other spans, alike for
-    all kinds. EM starts with the sum of votes; BELIEF is added to the counts, so that labelers can't change sides on
-    few candidates.
+    Each kind has a share of real spans; each labeler, where it votes at all, is right on a share of real spans and on a
+    share of others, alike for all kinds. That it doesn't vote tells nothing. EM starts with the sum of votes; what is
+    believed beforehand is added to the counts, and shares stay in their bounds, so that no labeler changes sides.
     """
     if not table:
         return {}
     keys = sorted(table)
     n = np.array([table[k] for k in keys], np.float64)
     kind = np.array([k[0] for k in keys])
-    v = np.array([k[1 : 1 + LABELERS] for k in keys]) + 1
-    p = 1 / (1 + np.exp(-1.5 * (v - 1).sum(axis=1) + 1.5))
+    v = np.array([k[1 : 1 + LABELERS] for k in keys])
+    p = 1 / (1 + np.exp(-1.5 * v.sum(axis=1)))
     for _ in range(rounds):
-        log = np.zeros((len(keys), 2))
-        for side, q in enumerate((1 - p, p)):
-            w = n * q
-            prior = np.array([(w[kind == k].sum() + 1) / (n[kind == k].sum() + 2) for k in range(len(KINDS))])
-            log[:, side] = np.log(prior[kind])
-            for j in range(LABELERS):
-                chance = np.bincount(v[:, j], weights=w, minlength=3) + BELIEF[side]
-                log[:, side] += np.log(chance / chance.sum())[v[:, j]]
-        p = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -500, 500)))
+        real, other = (n * p)[:, None], (n * (1 - p))[:, None]
+        right = lambda w, side: np.clip(((w * (v == side)).sum(axis=0) + RIGHT) / ((w * (v != 0)).sum(axis=0) + RIGHT + WRONG), LEAST, MOST)
+        a, b = right(real, 1), right(other, -1)
+        weight = np.where(v == 1, np.log(a / (1 - b)), np.where(v == -1, np.log((1 - a) / b), 0.0)).sum(axis=1)
+        share = np.array([((n * p)[kind == k].sum() + 1) / (n[kind == k].sum() + 2) for k in range(len(KINDS))])[kind]
+        p = 1 / (1 + np.exp(-np.clip(weight + np.log(share / (1 - share)), -500, 500)))
     return dict(zip(keys, p.tolist(), strict=True))
 
 
