@@ -121,8 +121,10 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": frame["chunk"].to_numpy(), "n": frame["n"].to_numpy(), "part": frame["part"].to_numpy(), "totals": [_zip(t) for t in np.split(total, cut)], "tokens": [int(c.sum(dtype=np.int64)) for c in counts]})
 
 
-def score_texts(words: np.ndarray, at: np.ndarray, totals: dict[int, np.ndarray], corpus_words: int) -> np.ndarray:
-    """Sum of log scores of each text, totals being the corpus counts of the texts' sorted distinct n-grams by order."""
+def score_texts(words: np.ndarray, at: np.ndarray, totals: dict[int, np.ndarray], corpus_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of log scores of each text, and its words that were scored without a step back.
+
+    totals: the corpus counts of the texts' sorted distinct n-grams by order."""
     n_texts = len(at) - 1
     text = np.repeat(np.arange(n_texts), np.diff(at))
     rest: dict[int, np.ndarray] = {}  # counts without the text's own, by order and place of the last word
@@ -134,14 +136,16 @@ def score_texts(words: np.ndarray, at: np.ndarray, totals: dict[int, np.ndarray]
         left[last] = totals[order].astype(np.int64)[which] - own[back]
         rest[order] = left
     others = corpus_words - np.diff(at)[text]
+    whole = rest[1] > 0
     value = np.where(rest[1] > 0, rest[1], 1) / np.where(rest[1] > 0, np.maximum(others, 1), others + 1)
     for order in range(2, ORDER + 1):
         history = np.zeros(len(words), np.int64)
         history[1:] = rest[order - 1][:-1]
         there = np.arange(len(words)) - at[:-1][text] >= order - 1
         seen = there & (rest[order] > 0)
+        whole = np.where(there, seen, whole)
         value = np.where(seen, rest[order] / np.maximum(history, 1), np.where(there, BACKOFF * value, value))
-    return np.bincount(text, weights=np.log(value), minlength=n_texts).astype(np.float64)
+    return np.bincount(text, weights=np.log(value), minlength=n_texts).astype(np.float64), np.bincount(text[whole], minlength=n_texts)
 
 
 def _score(corpus_words: int):
@@ -154,21 +158,22 @@ def _score(corpus_words: int):
                 for order in range(1, ORDER + 1):
                     own = sorted((a["part"], a["totals"]) for a in row["answers"] or [] if a["n"] == order)
                     totals[order] = np.concatenate([_unzip(t, "<u8") for _, t in own]) if own else np.zeros(0, "<u8")
-                log = score_texts(words, at, totals, corpus_words)
+                log, whole = score_texts(words, at, totals, corpus_words)
                 n = np.diff(at)
                 ids, none = _unzip(row["ids"], "<i8"), _unzip(row["none"], "u1").astype(bool)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, mask=none), pa.array(n), pa.array(log), pa.array(log / np.maximum(n, 1))], names=["doc_id", "n_words", "log_score", "mean_log_score"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, mask=none), pa.array(n), pa.array(log), pa.array(log / np.maximum(n, 1)), pa.array(whole / np.maximum(n, 1))], names=["doc_id", "n_words", "log_score", "mean_log_score", "seen_share"])
 
     return run
 
 
 def backoff_scores(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, log_score (sum over its words) and mean_log_score of every row of docs.
+    """doc_id, n_words, log_score (sum over its words), mean_log_score and seen_share of every row of docs.
 
     Words are [^\\x20\\x09-\\x0D]+ with A-Z folded. A word scores count(n-gram) / count(history) for the longest n-gram
     that other documents have, times 0.4 for each step back; a word that no other document has counts as one
     among all words. Counts are over all documents; a copy in another row counts as another document. Null and empty
-    texts have no words and score 0. Other columns are ignored.
+    texts have no words and score 0. seen_share: share of the words that were scored by the longest n-gram that ends
+    there, without a step back. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     chunks = written(rows.mapInArrow(tidy(_chunks), CHUNK_SCHEMA), "chunks")
@@ -181,4 +186,4 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     # about one chunk for each task, whose answers are as large as its text
     chunks, answers = (df.repartition(max(1, chunks.count()), "chunk") for df in (chunks, answers))
     by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("n", "part", "totals")).alias("answers"))
-    return chunks.join(by_chunk, "chunk", "left").mapInArrow(tidy(_score(total)), "doc_id long, n_words long, log_score double, mean_log_score double")
+    return chunks.join(by_chunk, "chunk", "left").mapInArrow(tidy(_score(total)), "doc_id long, n_words long, log_score double, mean_log_score double, seen_share double")

@@ -166,7 +166,7 @@ def test_backoff_scores(spark, docs):
     got = by_doc(queries.op8_backoff_scores(spark, SF))
     for i, w in words.items():
         rest = lambda g: every[len(g) - 1][g] - own[i][len(g) - 1][g]  # noqa: B023, E731
-        log, others = 0.0, total - len(w)
+        log, others, whole = 0.0, total - len(w), 0
         for k in range(len(w)):
             value, factor = None, 1.0
             for n in range(min(3, k + 1), 1, -1):
@@ -178,6 +178,8 @@ def test_backoff_scores(spark, docs):
                 c = rest((w[k],))
                 value = factor * (c / max(others, 1) if c else 1 / (others + 1))
             log += math.log(value)
+            whole += rest(tuple(w[max(0, k - 2) : k + 1])) > 0
+        assert got[i]["seen_share"] == pytest.approx(whole / max(len(w), 1))
         assert got[i]["n_words"] == len(w) and got[i]["log_score"] == pytest.approx(log, rel=1e-9, abs=1e-9)
 
 
