@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from deltaloom.functions.scalars import from_tables, table_refs
+from deltaloom.functions.scalars import from_tables, query_hash, table_refs
 
 
 def find(state: DataFrame, pk: list[str], *key) -> DataFrame:
@@ -94,7 +94,8 @@ def removed_where(state: DataFrame, pk: list[str], predicate: Column) -> tuple[D
 
 
 def tags_for_table(queries: DataFrame, table: str) -> DataFrame:
-    """query_set_id, query_no of each set's queries that name the table; of a set without any, all its queries."""
+    """query_set_id, query_no, query_hash of each set's queries that name the table; of a set without any, all of them."""
     naming = query_table_refs(queries).where(F.lower("table_name") == table.lower()).select("query_set_id", "query_no").distinct()
     others = queries.join(naming.select("query_set_id").distinct(), "query_set_id", "left_anti").select("query_set_id", "query_no")
-    return naming.unionByName(others)
+    hashes = queries.select("query_set_id", "query_no", query_hash(F.array("query")).alias("query_hash"))
+    return naming.unionByName(others).join(hashes, ["query_set_id", "query_no"])

@@ -111,9 +111,12 @@ def where_eq(t):
 # query sets
 
 
+#: Queries by shape.
+TEXTS = ["SELECT * FROM orders", 'select * from "customer" where c_custkey = 1', "SELECT o.* FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey", "SELECT * FROM nowhere", "SELECT * FROM Orders o JOIN nowhere n ON true"]
+
+
 def _query_sets(t):
-    texts = ["SELECT * FROM orders", 'select * from "customer" where c_custkey = 1', "SELECT o.* FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey", "SELECT * FROM nowhere", "SELECT * FROM Orders o JOIN nowhere n ON true"]
-    text = F.get(F.array(*map(F.lit, texts)), (F.col("c_nationkey") % 5).cast("int"))
+    text = F.get(F.array(*map(F.lit, TEXTS)), (F.col("c_nationkey") % 5).cast("int"))
     return t("customer").select((F.col("c_custkey") % 100).alias("query_set_id"), F.col("c_custkey").alias("query_no"), text.alias("query"))
 
 
@@ -149,14 +152,20 @@ def emptied_sets(t):
     return views.emptied_sets(_query_sets(t).withColumn("query_set_id", F.col("query_no")), _catalog(t))
 
 
-@query(f"SELECT query_set_id, query_no FROM {SETS} s WHERE shape = 2 OR query_set_id NOT IN (SELECT query_set_id FROM {SETS} s WHERE shape = 2)")
+def _fnv(*texts: str) -> str:
+    """SQL of the hash of sorted texts without runs of spaces, whose characters are below 256."""
+    units = ", ".join(f"flatten(list_transform(string_split({t}, ''), lambda c: [unicode(c)::UBIGINT, 0::UBIGINT])), [10::UBIGINT]" for t in texts)
+    return f"CAST(list_reduce(flatten([[2166136261::UBIGINT], {units}]), lambda h, b: (xor(h, b) * 16777619::UBIGINT) % 4294967296::UBIGINT) AS BIGINT)"
+
+
+@query(f"SELECT query_set_id, query_no, {_fnv('list_extract([' + ', '.join(repr(x) for x in TEXTS) + '], shape + 1)')} AS query_hash FROM {SETS} s WHERE shape = 2 OR query_set_id NOT IN (SELECT query_set_id FROM {SETS} s WHERE shape = 2)")
 def tags_for_table(t):
     return views.tags_for_table(_query_sets(t), "lineitem")
 
 
-@query("SELECT c_custkey, CAST(list_reduce(list_concat([2166136261::UBIGINT], list_concat(flatten(list_transform(string_split(c_name, ''), lambda c: [unicode(c)::UBIGINT, 0::UBIGINT])), [10::UBIGINT])), lambda h, b: (xor(h, b) * 16777619::UBIGINT) % 4294967296::UBIGINT) AS BIGINT) AS query_hash FROM customer")
+@query(f"SELECT c_custkey, {_fnv('c_name', repr('SELECT 1'))} AS query_hash FROM customer")
 def query_hash(t):
-    return t("customer").select("c_custkey", scalars.query_hash(F.array(F.concat(F.lit("  "), "c_name", F.lit(" ")))).alias("query_hash"))
+    return t("customer").select("c_custkey", scalars.query_hash(F.array(F.lit("SELECT   1"), F.concat(F.lit("  "), "c_name", F.lit(" ")))).alias("query_hash"))
 
 
 # change application
