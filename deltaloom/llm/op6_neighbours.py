@@ -24,7 +24,7 @@ from .common import U64, mix, tidy, tidy_group, written
 #: Dimensions of a projection, bits of a coordinate, bits that order rows of one cell.
 DIMENSIONS, BITS, TIE_BITS = 6, 8, 15
 #: Numbers of orderings to choose from, share of the sampled queries' neighbours to be found, sampled queries.
-CURVES, TARGET, SAMPLED = (2, 4, 8, 12, 16, 24, 32), 0.93, 128
+CURVES, TARGET, SAMPLED = (2, 4, 8, 12, 16, 24, 32), 0.96, 128
 #: Sampled rows, and components of them, at most; sampled rows of a block at least.
 SAMPLE, SAMPLE_VALUES, BLOCK_SAMPLE = 8192, 1 << 23, 32
 #: Rows and queries of a group; scores that take as long as moving one row.
