@@ -1,5 +1,3 @@
-import hashlib
-import re
 
 import numpy as np
 import pytest
