@@ -436,8 +436,9 @@ def jaccard_components(docs: DataFrame, size: int = 5) -> DataFrame:
         member = open_.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
         lead = F.min_by(F.struct("node", "n", "component"), F.xxhash64("key", "node", F.lit(turn))).alias("lead")
         crossed = member.groupBy("key").agg(F.count("*").alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi"), lead).where("lo < hi").select("key", "members", "lead")
+        crossed = written(crossed, "crossed")  # so that the join has shuffles of its own, whose hot keys can be split
         open_ = written(member.join(crossed, "key"), "open")
-        done.append(open_)
+        done += [crossed, open_]
         if turn == LEADERS:
             break
         # each list has a leader of its own, so that a member of several lists is compared with several others
