@@ -183,7 +183,8 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     answers = asked.groupBy("n", "part").applyInPandas(tidy_group(_answer), "chunk long, n int, part long, totals binary, tokens long")
     answers = written(answers, "answers")
     total = answers.where("n = 1").agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    # about one chunk for each task, whose answers are as large as its text
-    chunks, answers = (df.repartition(max(1, chunks.count()), "chunk") for df in (chunks, answers))
+    # a chunk's answers are as large as its text: so many tasks that few chunks meet in one
+    tasks = max(1, 4 * chunks.count())
+    chunks, answers = (df.repartition(tasks, "chunk") for df in (chunks, answers))
     by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("n", "part", "totals")).alias("answers"))
     return chunks.join(by_chunk, "chunk", "left").mapInArrow(tidy(_score(total)), "doc_id long, n_words long, log_score double, mean_log_score double, seen_share double")
