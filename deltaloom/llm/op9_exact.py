@@ -111,7 +111,7 @@ def _search(block, k: int):
                 for n, (ids, score) in enumerate(found):
                     ids, score = np.append(held[n][0], ids), np.append(held[n][1], score)
                     if len(ids) > k:
-                        keep = np.lexsort((ids, -score.astype(object) if LOWEST in score else -score))[:k]
+                        keep = np.lexsort((ids, ~score))[:k]  # falls as the score rises, also at the least one
                         ids, score = ids[keep], score[keep]
                     held[n] = ids, score
         sizes = [len(ids) for ids, _ in held]

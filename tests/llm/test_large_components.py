@@ -36,3 +36,10 @@ def test_scores_beyond_64_bits_are_refused(spark, sign):
     v = spark.createDataFrame([(100, [1e9]), (1, [sign * 1e9])], SCHEMA)
     with pytest.raises(Exception, match="fit 64 bits"):
         op9_exact.exact_top_k(v).collect()
+
+
+def test_too_low_scores_give_way(spark):
+    """A score far below 64 bits is no answer where enough others are higher."""
+    v = spark.createDataFrame([(100, [1e9]), (1, [-1e9])] + [(i, [i / 1024]) for i in range(2, 30)], SCHEMA)
+    out = op9_exact.exact_top_k(v.coalesce(1)).orderBy("rank").collect()
+    assert [r["vec_id"] for r in out] == list(range(29, 19, -1))
