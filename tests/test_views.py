@@ -139,3 +139,27 @@ def test_held_mutations_match_a_queue(spark):
             want.append((seq,))
     m = spark.createDataFrame(queue, "seq long, keys array<string>")
     assert rows(overlay.held_mutations(m, spark.createDataFrame([("a",)], "key string"), 20)) == sorted(want, key=str)
+
+
+def test_messages_to_state(spark):
+    """Sets, groups and rows of a message keep their places; events hold nothing."""
+    from deltaloom.operators import changes
+
+    group = "struct<inserts:array<struct<id:long,v:string>>,deletes:array<struct<id:long,v:string>>,events:array<struct<id:long,v:string>>>"
+    nested = f"txn long, query_sets array<struct<query_set_id:int,tables:array<struct<table_name:string,groups:array<{group}>>>>>"
+    message = [(7, [("t", [([(1, "z"), (1, "b")], [(1, "a")], None), ([(2, "c")], [], [(9, "e")])])]), (3, [("t", [([(1, "w")], [], [])]), ("u", [([(5, "u")], [], [])])])]
+    flat = tables.flatten_transactions(spark.createDataFrame([(4, message)], nested))
+    assert rows(flat.where("op = 'event'"), "set_no", "grp", "query_set_id", "table_name") == [(0, 1, 7, "t")]
+    log = tables.log_of_table(flat, "t")
+    state = spark.createDataFrame([(1, "a")], "id long, v string")
+    assert rows(changes.apply_changes(state, log, ["id"])) == [(1, "w"), (2, "c")]
+    assert rows(changes.apply_changes(state, log.where("set_no = 0"), ["id"])) == [(1, "b"), (2, "c")]
+    assert rows(tables.log_of_table(flat, "u"), "set_no", "op", "id") == [(1, "insert", 5)]
+
+
+def test_versions_of_a_state(spark, tmp_path):
+    root = f"file://{tmp_path}/state"
+    assert tables.current_state(spark, root) is None
+    for k in (1, 2):
+        tables.write_state(spark.createDataFrame([(i,) for i in range(k)], "id long"), None, root)
+        assert tables.current_state(spark, root).count() == k
