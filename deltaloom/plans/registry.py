@@ -258,9 +258,9 @@ def owners_after(t):
     return ownership.owners_after(_steps(t)[1], KEY)
 
 
-@query("SELECT o_orderkey, query_set_id FROM two_set_log GROUP BY o_orderkey, query_set_id HAVING bool_and(op = 'delete') EXCEPT SELECT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 2 AND o_orderkey % 4 = 0 EXCEPT SELECT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 1")
+@query("SELECT o_orderkey, query_set_id FROM two_set_log WHERE txn BETWEEN 50 AND 99 GROUP BY o_orderkey, query_set_id HAVING bool_and(op = 'delete') EXCEPT SELECT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 2 AND o_orderkey % 4 = 0 EXCEPT SELECT o_orderkey, query_set_id FROM orders_owners WHERE query_set_id = 1")
 def ownership_imbalance(t):
-    return ownership.ownership_imbalance(t("orders_owners").where("query_set_id = 1 or o_orderkey % 4 = 0"), t("two_set_log"), KEY).select("o_orderkey", "query_set_id")
+    return ownership.ownership_imbalance(t("orders_owners").where("query_set_id = 1 or o_orderkey % 4 = 0"), t("two_set_log").where("txn between 50 and 99"), KEY).select("o_orderkey", "query_set_id")
 
 
 @query("SELECT DISTINCT o_orderkey FROM orders_owners WHERE query_set_id = 2 AND o_orderkey NOT IN (SELECT o_orderkey FROM orders_owners WHERE query_set_id = 1) AND o_orderkey NOT IN (SELECT o_orderkey FROM overlay)")
