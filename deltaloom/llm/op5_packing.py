@@ -22,52 +22,29 @@ from .common import text_or_empty, tidy
 
 #: Tokens that are packed together, about: what a task holds in memory.
 WINDOW_TOKENS = 1 << 21
-#: Chunks of text whose ids a task remembers.
-MOST_CHUNKS = 200_000
-#: A space beside other white space or at the end: the pre-tokenizer may join them.
-JOINED = re.compile(r" (?:(?<=\s )|\s|\Z)")
-
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_length long, cost double"
 
 
-class Tokens(dict):
-    """Ids of a text by byte-level BPE, as little-endian unsigned 16-bit bytes for each space-led chunk of text.
+class Tokens:
+    """Ids of whole texts by byte-level BPE, as unsigned 16-bit numbers.
 
-    A space between two characters that aren't white space always starts a new piece of the pre-tokenizer, so that
-    chunks are encoded apart and remembered; a text with a space at an end or beside other white space is encoded whole.
     Added tokens, which are none of the ranks, stand for themselves wherever a text has them.
     """
 
     def __init__(self, vocabulary: str, pattern: str, added: dict[str, int] | None = None):
         import tiktoken
 
-        super().__init__()
         with open(vocabulary, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.added = {token: np.array([id_], "<u2").tobytes() for token, id_ in (added or {}).items()}
+        self.added = added or {}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if added else None
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.encode(chunk), "<u2").tobytes()
-        if len(chunk) < 40:
-            if len(self) >= MOST_CHUNKS:
-                self.clear()
-            self[chunk] = ids
-        return ids
-
     def ids(self, text: str) -> np.ndarray:
         if self.split and any(token in text for token in self.added):
-            return np.frombuffer(b"".join(self.added.get(x) or self.ordinary(x).tobytes() for x in self.split(text) if x), "<u2")
-        return self.ordinary(text)
-
-    def ordinary(self, text: str) -> np.ndarray:
-        """Ids of a text without added tokens."""
-        if not text:
-            return np.zeros(0, "<u2")
-        if text[0] == " " or "\0" in text or JOINED.search(text):
-            return np.array(self.encode(text), "<u2")
-        return np.frombuffer(b"".join(map(self.__getitem__, text.replace(" ", "\0 ").split("\0"))), "<u2")
+            parts = [[self.added[x]] if x in self.added else self.encode(x) for x in self.split(text) if x]
+            return np.array([i for part in parts for i in part], "<u2")
+        return np.array(self.encode(text), "<u2")
 
 
 def pack(lengths: list[int], size: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
