@@ -13,12 +13,16 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Only nodes of an edge between different nodes appear; null ends, loops and repeated edges are ignored. A hub's
     neighbours are reduced to one minimum before the shuffle, and a step emits one row for each edge, so that a hub
-    never becomes all pairs of its neighbours. Every round is written to the shared folder, and deleted after the next one.
+    never becomes all pairs of its neighbours; minima are written before they are joined, so that the join's shuffle is its
+    own and a hub's rows can be split over tasks. Every round is written to the shared folder, and deleted after the
+    next one.
     """
+    minima = []
 
     def star(e: DataFrame, larger: bool) -> DataFrame:
         both = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if larger else e
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "minima")
+        minima.append(least)
         near = both.where("b > a") if larger else both
         out = near.join(least, "a").select(F.col("b").alias("x"), "m")
         if not larger:
@@ -36,7 +40,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             break
         before, e = e, written(star(star(e, True), False), "edges")
         now = sign(e)
-        discard(before)
+        discard(before, *minima)
+        minima.clear()
         if now == seen:
             break
         seen = now
