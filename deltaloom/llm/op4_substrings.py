@@ -20,7 +20,7 @@ from .common import U64, discard, mix, powers, slices, table_of_bytes, text_or_e
 from .suffix_arrays import repeated_prefixes, suffix_array
 
 #: Bytes of a gram; windows that are looked at together; bytes of a shard.
-GRAM, CHUNK, SHARD = 64, 1 << 18, 1 << 21
+GRAM, CHUNK, SHARD = 64, 1 << 18, 1 << 20
 #: Runs of different text that one gram brings to a shard; those of others are named by grams one byte short of a
 #: window, of which a run has two at most, so that few different ones share a gram.
 MOST_RUNS = 20_000
