@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_quality, op2_jaccard, op3_mixing, op4_substrings, op5_packing, op6_neighbours, op7_pii, op8_backoff, op9_exact, op10_licenses, op11_merkle, op13_lines
+from . import op1_quality, op2_jaccard, op3_mixing, op4_substrings, op5_packing, op6_neighbours, op7_pii, op8_backoff, op9_exact, op10_licenses, op11_merkle, op12_conversations, op13_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,12 +56,16 @@ def op11_merkle_manifest(spark, sf_dir):
     return op11_merkle.verified_rows(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark, sf_dir):
+    return op12_conversations.repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
 def op13_line_dedup(spark, sf_dir):
     out = op13_lines.without_repeated_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_scores, op2_jaccard_join, op3_mixing_words, op4_suffix_array_dedup, op5_packing_pieces, op6_nearest_neighbours, op7_personal_data, op8_backoff_scores, op9_exact_top_k, op10_license_notices, op11_merkle_manifest, op13_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_scores, op2_jaccard_join, op3_mixing_words, op4_suffix_array_dedup, op5_packing_pieces, op6_nearest_neighbours, op7_personal_data, op8_backoff_scores, op9_exact_top_k, op10_license_notices, op11_merkle_manifest, op12_conversation_repair, op13_line_dedup)}
 #: The others learn, draw, hash or join transitively, which the tests compare with brute force instead.
 ORACLE_SQL: dict[str, str] = {
     "op9_exact_top_k": """
