@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from functools import reduce
 
@@ -16,7 +17,7 @@ from deltaloom.sources.scratch import ensure
 from deltaloom.streaming import feeds
 
 from .fixtures import fixture, oracle
-from .registry import KEY, ORACLE_SQL, QUERIES, VISIBLE, _overlay, flat, query
+from .registry import KEY, ORACLE_SQL, OWNED_EVENTS, QUERIES, VISIBLE, _overlay, flat, query
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -323,8 +324,22 @@ def load_tags(t):
 
 @query("SELECT txn, o_orderkey, kind FROM (SELECT *, coalesce(lag(after_) OVER (PARTITION BY o_orderkey ORDER BY txn, set_no), 0) AS before_, CASE WHEN after_ > 0 THEN 'insert' ELSE 'delete' END AS kind FROM (SELECT *, sum(gain) OVER (PARTITION BY o_orderkey ORDER BY txn, set_no) AS after_ FROM (SELECT *, owns - coalesce(lag(owns) OVER (PARTITION BY o_orderkey, query_set_id ORDER BY txn, set_no), 0) AS gain FROM (SELECT txn, set_no, query_set_id, o_orderkey, max(CASE WHEN op = 'insert' THEN 1 ELSE 0 END) AS owns FROM two_set_log GROUP BY ALL) a) b) c) d WHERE (before_ > 0) <> (after_ > 0)")
 def owned_key_events(t):
-    log = t("two_set_log").select(F.col("o_orderkey").alias("key"), "txn", "set_no", F.col("query_set_id").cast("long").alias("query_set_id"), "op")
-    return _streamed(log, feeds.owned_key_events).select("txn", F.col("key").alias("o_orderkey"), "kind")
+    log = t("two_set_log").select(F.col("o_orderkey").alias("key"), "txn", "set_no", F.col("query_set_id").cast("long").alias("query_set_id"), "op", F.col("o_totalprice").cast("string").alias("row"))
+    return _streamed(log, feeds.owned_key_events).where("kind <> 'update'").select("txn", F.col("key").alias("o_orderkey"), "kind")
+
+
+def _owned_rows(t):
+    return t("orders").where("o_totalprice >= 50000 or o_orderdate >= timestamp'1998-01-01'").select("o_orderkey", "o_totalprice")
+
+
+@query(OWNED_EVENTS)
+def streamed_owned_events(t):
+    log = t("two_set_log").select(F.col("o_orderkey").alias("key"), "txn", "set_no", F.col("query_set_id").cast("long").alias("query_set_id"), "op", F.to_json(F.struct("o_orderkey", "o_totalprice")).alias("row"))
+    sets = t("orders_owners").groupBy(F.col("o_orderkey").alias("key")).agg(F.collect_set("query_set_id").alias("sets"))
+    initial = _owned_rows(t).select(F.col("o_orderkey").alias("key"), F.to_json(F.struct("o_orderkey", "o_totalprice")).alias("row")).join(sets, "key")
+    out = _streamed(log, lambda stream: feeds.owned_key_events(stream, initial), 3)
+    price = lambda c: F.from_json(c, "o_totalprice double")["o_totalprice"]
+    return out.select("txn", F.col("query_set_id").cast("int").alias("query_set_id"), F.col("key").alias("o_orderkey"), "kind", price("old").alias("old_price"), price("new").alias("new_price"))
 
 
 # overlay and queue
@@ -528,15 +543,20 @@ def wire_values(t):
 # streams: each reads its input in micro-batches until there is none left, and the query returns what the sink holds
 
 
-def _streamed(rows: DataFrame, through) -> DataFrame:
-    """Rows written to the shared folder, streamed through an operator into files, and read back."""
+def _streamed(rows: DataFrame, through, batches: int = 1) -> DataFrame:
+    """Rows written to the shared folder, streamed through an operator into files, and read back.
+
+    Several batches are in order of txn."""
     spark = rows.sparkSession
-    source, sink, state = (_folder(spark, name) for name in ("source", "sink", "progress"))
-    rows.write.parquet(source)
+    sink, state = (_folder(spark, name) for name in ("sink", "progress"))
+    if batches == 1:
+        rows.write.parquet(source := _folder(spark, "source"))
+    else:
+        source = _written(spark, rows, "source", batches)
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", feeds.ROCKS)
     try:
-        out = through(feeds.read_change_stream(spark, source, rows.schema))
+        out = through(feeds.read_change_stream(spark, source, rows.schema, **({} if batches == 1 else {"maxFilesPerTrigger": 1})))
         schema = out.schema
         out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     finally:
@@ -564,22 +584,42 @@ def changes_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coalesced_snapshot_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fixture(spark, sf_dir, "events").select(F.col("event_type").alias("table_name"), "event_id", F.col("event_id").alias("seq"))
-    source, sink = _folder(spark, "source"), _folder(spark, "snapshots")
-    rows.write.parquet(source)
-    # views are events; clicks up to 500 were written directly
-    clean = lambda: spark.range(1).select(F.lit("click").alias("table_name"), F.lit(500).cast("long").alias("seq"))
-    running = feeds.coalesced_snapshot_sink(feeds.read_change_stream(spark, source, rows.schema), sink, event_tables=("view",), clean=clean).option("checkpointLocation", _folder(spark, "progress")).start()
+    """Tables by event_type, keys by user: applied in batches, then whole snapshots of dirty tables, once for a window.
+
+    views are events; clicks are written directly after all changes, so that no flush of them is due.
+    """
+    rows = fixture(spark, sf_dir, "events").select(F.col("event_id").alias("txn"), F.col("event_type").alias("table_name"), "user_id", "value", F.when(F.col("event_id") % 5 == 0, "delete").otherwise("insert").alias("op"))
+    source, path, marks, out = (_folder(spark, n) for n in ("source", "tables", "marks", "snapshots"))
+    for k in range(3):
+        rows.where(F.col("txn") % 3 == k).withColumn("txn", F.col("txn") + k * 10**9).coalesce(1).write.mode("append").parquet(source)
+    key, none = ["table_name", "user_id"], rows.select("table_name", "user_id", "value").where("false")
+    _batches(spark, source, rows.schema, lambda stream: feeds.ordered_apply(stream, path, key, none, marks, buckets=8))
+    held = feeds.held_rows(spark, path, key, none.schema, buckets=8)
+    feeds.write_now(held, "click", out, marks)
+    due = {r[0] for r in rows.select("table_name").distinct().collect()} - {"view", "click"}
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", feeds.ROCKS)
     try:
-        running.processAllAvailable()
+        stream = spark.readStream.schema("table_name string, version long, mark string").option("recursiveFileLookup", "true").parquet(marks)
+        running = feeds.coalesced_snapshot_sink(stream, held, out, every_ms=500, event_tables=("view",)).option("checkpointLocation", _folder(spark, "progress")).trigger(processingTime="500 milliseconds").start()
+        try:
+            until = time.monotonic() + 120
+            while due - {t for _, ts in feeds.written_snapshots(spark, out)[1:] for t in ts} and time.monotonic() < until:
+                running.awaitTermination(1)
+        finally:
+            running.stop()
     finally:
-        running.stop()
-    return spark.read.parquet(sink).groupBy("table_name").agg(F.count("*").alias("n"))
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    each = [spark.read.schema("user_id bigint, value double, table_name string").parquet(folder).withColumn("write", F.lit(folder)) for folder, _ in feeds.written_snapshots(spark, out)]
+    every = reduce(DataFrame.unionByName, each)
+    return every.groupBy("table_name").agg(F.count("*").alias("n"), F.count_distinct("write").alias("writes"), F.sum("user_id").alias("users"))
 
 
 def _written(spark: SparkSession, rows: DataFrame, name: str, parts: int) -> str:
     """rows in files whose order of time is that of txn, so that a stream reads them in several ordered batches."""
-    path = _folder(spark, name)
+    path, whole = _folder(spark, name), _folder(spark, name)
+    rows.write.parquet(whole)
+    rows = spark.read.parquet(whole)
     for k in range(parts):
         rows.where(F.expr(f"cast(txn * {parts} / 150 as int) = {k}")).coalesce(1).write.mode("append").parquet(path)
     return path
@@ -591,18 +631,49 @@ def _batches(spark: SparkSession, path: str, schema: T.StructType, start) -> Non
 
 
 def ordered_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log, base, out = fixture(spark, sf_dir, "orders_log"), fixture(spark, sf_dir, "orders_base"), _folder(spark, "ordered")
-    _batches(spark, _written(spark, log, "log", 3), log.schema, lambda stream: feeds.ordered_apply(stream, out, KEY))
+    log, out = fixture(spark, sf_dir, "orders_log"), _folder(spark, "ordered")
+    base = fixture(spark, sf_dir, "orders_base").select(*changes.row_columns(log))
+    _batches(spark, _written(spark, log, "log", 10), log.schema, lambda stream: feeds.ordered_apply(stream, out, KEY, base, buckets=8))
     return feeds.ordered_state(spark, out, KEY, base).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
 def owned_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, owners, out = fixture(spark, sf_dir, "two_set_log"), fixture(spark, sf_dir, "orders_owners"), _folder(spark, "owned")
-    state = fixture(spark, sf_dir, "orders").where("o_totalprice >= 50000 or o_orderdate >= timestamp'1998-01-01'").select("o_orderkey", "o_totalprice")
-    _batches(spark, _written(spark, log, "log", 3), log.schema, lambda stream: feeds.owned_feed(stream, out, KEY, state, owners))
+    state = _owned_rows(lambda name: fixture(spark, sf_dir, name))
+    _batches(spark, _written(spark, log, "log", 6), log.schema, lambda stream: feeds.owned_feed(stream, out, KEY, state, owners, buckets=8))
     return flat(spark.read.parquet(f"{out}/events"), "txn", "query_set_id", *KEY)
 
 
+def streamed_state_then_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's value up to the middle, then the changes; the stream begins before the middle and goes on after it."""
+    log = fixture(spark, sf_dir, "user_log").select(F.col("user_id").alias("key"), F.col("seq").alias("txn"), "op", F.col("event_type").alias("row"))
+    middle = log.agg(F.max("txn")).first()[0] // 2
+    now = log.where(F.col("txn") <= middle).groupBy("key").agg(F.max_by(F.struct("op", "row"), "txn").alias("last")).where("last.op = 'insert'").select("key", "last.row")
+    source, out = _folder(spark, "source"), _folder(spark, "told")
+    parts = [F.col("txn") <= middle // 2, (F.col("txn") > middle // 2) & (F.col("txn") <= middle + 5), F.col("txn") > middle + 5]
+    for part in parts[1:]:
+        log.where(part).coalesce(1).write.mode("append").parquet(source)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", feeds.ROCKS)
+    try:
+        _batches(spark, source, log.schema, lambda stream: feeds.state_then_changes(stream, now, middle, out))
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    return spark.read.parquet(out).select(F.col("key").alias("user_id"), "txn", "kind", "old", "new")
+
+
+def late_listener(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listener that starts after three of six batches, and is started again after each later one."""
+    rows = fixture(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    path, sink, progress = (_folder(spark, n) for n in ("told", "heard", "progress"))
+    for k in range(6):
+        rows.where(F.col("event_id") % 6 == k).write.parquet(f"{path}/batch={k}")
+        if k >= 2:
+            heard = feeds.late_listener(spark, path, rows.schema, progress)
+            heard.writeStream.format("parquet").option("path", sink).option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(heard.schema).parquet(sink).select("event_id", "user_id", "event_type")
+
+
 def timed_out_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streamed; a late row on each side moves the watermark past all others, whose answers are then final."""
     calls, results = (fixture(spark, sf_dir, n) for n in ("calls", "results"))
@@ -631,10 +702,12 @@ def sync_results_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(sink).select("request_id", "success")
 
 
-QUERIES |= {f.__name__: f for f in (changes_sink, coalesced_snapshot_sink, ordered_apply, owned_feed, timed_out_calls, streamed_late_snapshots, sync_results_sink)}
+QUERIES |= {f.__name__: f for f in (changes_sink, coalesced_snapshot_sink, late_listener, ordered_apply, owned_feed, streamed_state_then_changes, timed_out_calls, streamed_late_snapshots, sync_results_sink)}
 ORACLE_SQL |= {
     "changes_sink": oracle("SELECT seq, user_id, op AS kind FROM user_log"),
-    "coalesced_snapshot_sink": "SELECT event_type AS table_name, count(*) AS n FROM events WHERE event_type <> 'view' AND NOT (event_type = 'click' AND event_id <= 500) GROUP BY event_type",
+    "coalesced_snapshot_sink": "SELECT table_name, count(*) AS n, CAST(1 AS BIGINT) AS writes, CAST(sum(user_id) AS BIGINT) AS users FROM (SELECT event_type AS table_name, user_id, arg_max(event_id % 5 <> 0, (event_id % 3) * 1000000000 + event_id) AS there FROM events WHERE event_type <> 'view' GROUP BY event_type, user_id) x WHERE there GROUP BY table_name",
+    "late_listener": "SELECT event_id, user_id, event_type FROM events WHERE event_id % 6 >= 3",
+    "streamed_state_then_changes": "WITH v AS (SELECT user_id, event_id AS txn, CASE WHEN event_type <> 'error' THEN event_type END AS n, (SELECT max(event_id) // 2 FROM events) AS m FROM events), e AS (SELECT *, lag(n) OVER (PARTITION BY user_id ORDER BY txn) AS p FROM v) SELECT user_id, txn, CASE WHEN p IS NULL THEN 'insert' WHEN n IS NULL THEN 'delete' ELSE 'update' END AS kind, p AS old, n AS new FROM e WHERE txn > m AND n IS DISTINCT FROM p UNION ALL SELECT user_id, any_value(m), 'state', NULL, arg_max(n, txn) FROM (SELECT user_id, txn, m, coalesce(n, '-') AS n FROM v WHERE txn <= m) y GROUP BY user_id HAVING arg_max(n, txn) <> '-'",
     "ordered_apply": ORACLE_SQL["apply_changes"],
     "owned_feed": ORACLE_SQL["apply_owned_delta"],
     "timed_out_calls": ORACLE_SQL["call_timeouts"],

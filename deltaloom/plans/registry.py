@@ -237,7 +237,10 @@ def _steps(t):
 STEPS = """SELECT *, coalesce(lag(after_) OVER w, 0) AS before_, lag(value_) OVER w AS previous_ FROM (SELECT *, sum(gain) OVER u AS after_, last_value(price IGNORE NULLS) OVER u AS value_ FROM (SELECT *, owns - coalesce(lag(owns) OVER (PARTITION BY o_orderkey, query_set_id ORDER BY txn, set_no), 0) AS gain FROM (SELECT o_orderkey, -1 AS txn, query_set_id AS set_no, query_set_id, 1 AS owns, o_totalprice AS price FROM orders_owners JOIN orders USING (o_orderkey) UNION ALL SELECT o_orderkey, txn, set_no, query_set_id, max(CASE WHEN op = 'insert' THEN 1 ELSE 0 END), max(CASE WHEN op = 'insert' THEN o_totalprice END) FROM two_set_log GROUP BY o_orderkey, txn, set_no, query_set_id) a) b WINDOW u AS (PARTITION BY o_orderkey ORDER BY txn, set_no ROWS UNBOUNDED PRECEDING)) c WINDOW w AS (PARTITION BY o_orderkey ORDER BY txn, set_no)"""
 
 
-@query(f"SELECT txn, query_set_id, o_orderkey, kind, CASE WHEN kind <> 'insert' THEN previous_ END AS old_price, CASE WHEN kind <> 'delete' THEN value_ END AS new_price FROM (SELECT *, CASE WHEN before_ = 0 AND after_ > 0 THEN 'insert' WHEN before_ > 0 AND after_ = 0 THEN 'delete' WHEN before_ > 0 AND after_ > 0 AND previous_ <> value_ THEN 'update' END AS kind FROM ({STEPS}) d WHERE txn >= 0) e WHERE kind IS NOT NULL")
+OWNED_EVENTS = f"SELECT txn, query_set_id, o_orderkey, kind, CASE WHEN kind <> 'insert' THEN previous_ END AS old_price, CASE WHEN kind <> 'delete' THEN value_ END AS new_price FROM (SELECT *, CASE WHEN before_ = 0 AND after_ > 0 THEN 'insert' WHEN before_ > 0 AND after_ = 0 THEN 'delete' WHEN before_ > 0 AND after_ > 0 AND previous_ <> value_ THEN 'update' END AS kind FROM ({STEPS}) d WHERE txn >= 0) e WHERE kind IS NOT NULL"
+
+
+@query(OWNED_EVENTS)
 def apply_owned_delta(t):
     return flat(ownership.owned_events(_steps(t)[1], KEY), "txn", "query_set_id", *KEY)
 

@@ -13,15 +13,39 @@ from deltaloom.operators.overlay import committed_only
 JOURNAL = "op string, requestId string, mutation struct<requestId:string,reducerName:string,createdAt:string>, bad string"
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
     """A path and its file system."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def text_of(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    hadoop, files = files_of(spark, path)
+    stream = files.open(hadoop)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside path and rename it over path: a reader gets the text before or this one."""
+    (new, files), (target, _) = files_of(spark, f"{path}.{uuid.uuid4().hex}.new"), files_of(spark, path)
+    files.mkdirs(target.getParent())
+    out = files.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    how = spark.sparkContext._gateway.new_array(options, 1)
+    how[0] = options.OVERWRITE
+    context.rename(new, target, how)
+
+
 def read_state(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """A JSON snapshot's rows, and the lines that don't decode; a missing snapshot is empty."""
-    hadoop, files = _files(spark, path)
+    hadoop, files = files_of(spark, path)
     if not files.exists(hadoop):
         return spark.createDataFrame([], schema), spark.createDataFrame([], "bad string")
     bad = T.StructField("bad", T.StringType())
@@ -38,21 +62,13 @@ def write_state(state: DataFrame, pending_inserts: DataFrame | None, root: str,
     rows = committed_only(state, state.where("false") if pending_inserts is None else pending_inserts, pending_requests)
     version, spark = f"version-{uuid.uuid4().hex}", state.sparkSession
     rows.write.parquet(f"{root}/{version}")
-    (new, files), (current, _) = _files(spark, f"{root}/{version}.name"), _files(spark, f"{root}/current")
-    out = files.create(new, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
-    how = spark.sparkContext._gateway.new_array(options, 1)
-    how[0] = options.OVERWRITE
-    context.rename(new, current, how)
+    replace_text(spark, f"{root}/current", version)
     return f"{root}/{version}"
 
 
 def current_state(spark: SparkSession, root: str) -> DataFrame | None:
     """The rows of the version that root/current names; None before the first one."""
-    current, files = _files(spark, f"{root}/current")
+    current, files = files_of(spark, f"{root}/current")
     if not files.exists(current):
         return None
     return spark.read.parquet(f"{root}/{spark.read.text(f'{root}/current').first()[0]}")

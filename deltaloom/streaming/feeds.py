@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import time
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from deltaloom.operators import ownership
 from deltaloom.operators.changes import keyed, row_columns, step
+from deltaloom.sources.tables import files_of, replace_text, text_of
+
+from .held import HeldState
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -35,9 +40,18 @@ class _Apply(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.row = handle.getValueState("row", "json string")
+        self.upto = handle.getValueState("upto", "txn long")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for row, upto in initialState[["row", "upto"]].itertuples(index=False):
+            self.upto.update((int(upto),))
+            if row is not None:
+                self.row.update((row,))
 
-    def handleInputRows(self, key, rows, timer_values):
+    def handleInputRows(self, key, rows, timerValues):
         frame = pd.concat(list(rows)).sort_values(["txn", "step"], kind="stable")
+        if self.upto.exists():
+            frame = frame[frame["txn"] > self.upto.get()[0]]
         out = []
         now = self.row.get()[0] if self.row.exists() else None
         for txn, part in frame.groupby("txn", sort=True):
@@ -56,64 +70,193 @@ class _Apply(StatefulProcessor):
         pass
 
 
-def keyed_events(stream: DataFrame) -> DataFrame:
-    """key long, txn, op, row (JSON text) -> events against each key's held row; needs the RocksDB state store."""
+def keyed_events(stream: DataFrame, initial: DataFrame | None = None) -> DataFrame:
+    """key long, txn, op, row (JSON text) -> events against each key's held row; needs the RocksDB state store.
+
+    initial: key, row, upto: a snapshot's rows, each with the last txn that it has seen; what a stream repeats up to there
+    is left out, key by key.
+    """
     stepped = stream.withColumn("step", F.when(F.col("op") == "delete", 0).otherwise(1))
-    return stepped.groupBy("key").transformWithStateInPandas(_Apply(), "key long, txn long, kind string, old string, new string", "Append", "None")
+    first = None if initial is None else initial.groupBy("key")
+    return stepped.groupBy("key").transformWithStateInPandas(_Apply(), "key long, txn long, kind string, old string, new string", "Append", "None", initialState=first)
+
+
+def state_then_changes(stream: DataFrame, snapshot: DataFrame, upto: int, path: str):
+    """A writer under path of each key's row at a point, then every later change of it, without gap or repeat.
+
+    snapshot: key, row (JSON text) of all transactions up to upto; stream: key, txn, op, row from any point up to there
+    on. The snapshot is path/batch=-1 with kind state; later batches have the events that their rows are against it, so
+    a stream that goes back behind the snapshot tells nothing twice. Keys that the snapshot lacks start from nothing.
+    """
+    _once(snapshot.select("key", F.lit(upto).cast("long").alias("txn"), F.lit("state").alias("kind"), F.lit(None).cast("string").alias("old"), F.col("row").alias("new")), f"{path}/batch=-1")
+    events = keyed_events(stream.where(F.col("txn") > upto), snapshot.select("key", "row", F.lit(upto).cast("long").alias("upto")))
+
+    return events.writeStream.foreachBatch(lambda batch, batch_id: _once(batch, f"{path}/batch={batch_id}"))
+
+
+def late_listener(spark: SparkSession, path: str, schema: T.StructType, checkpoint: str) -> DataFrame:
+    """A stream of what batches put under path/batch=N from now on: nothing of those that are there already.
+
+    The point is kept beside the listener's progress in checkpoint, so that after a restart it goes on from there and
+    neither loses nor repeats rows. Only folders of later batches are read.
+    """
+    mark = f"{checkpoint}/listens-from"
+    at, files = files_of(spark, mark)
+    if not files.exists(at):
+        folder, there = files_of(spark, path)
+        names = [f.getPath().getName() for f in there.listStatus(folder)] if there.exists(folder) else []
+        done = [n for n in names if n.startswith("batch=") and there.exists(files_of(spark, f"{path}/{n}/_SUCCESS")[0])]
+        replace_text(spark, mark, str(max((int(n[6:]) for n in done), default=-1)))
+    after = int(text_of(spark, mark))
+    rows = spark.readStream.schema(T.StructType([*(f for f in schema.fields if f.name != "batch"), T.StructField("batch", T.LongType())])).parquet(path)
+    return rows.where(F.col("batch") > after)
 
 
 class _Own(StatefulProcessor):
-    """Holds the query sets that own a key; tells when the first one comes and the last one goes."""
+    """Holds a key's owners and row (JSON text); tells when the first owner comes, the last one goes, the row changes.
+
+    A set that reports the key absent leaves the row as it was before: others still own that one.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.owners = handle.getMapState("owners", "query_set_id long", "owns boolean")
+        self.row = handle.getValueState("row", "json string")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for row, sets in initialState[["row", "sets"]].itertuples(index=False):
+            for q in sets if sets is not None else []:
+                self.owners.updateValue((int(q),), (True,))
+            if row is not None:
+                self.row.update((row,))
 
-    def handleInputRows(self, key, rows, timer_values):
+    def handleInputRows(self, key, rows, timerValues):
         frame = pd.concat(list(rows))
+        order = [c for c in ("txn", "set_no", "query_set_id", "grp", "pos") if c in frame]
         if "set_no" not in frame:
             frame["set_no"] = frame["query_set_id"]
-        frame = frame.sort_values(["txn", "set_no"], kind="stable")
+        frame = frame.sort_values(order, kind="stable")
         owners = {int(k[0]) for k in self.owners.keys()}
+        held = self.row.get()[0] if self.row.exists() else None
         out = []
         for (txn, _, q), part in frame.groupby(["txn", "set_no", "query_set_id"], sort=True):
-            before = bool(owners)
-            if (part["op"] == "insert").any():
+            before, old = bool(owners), held
+            new = part.loc[part["op"] == "insert", "row"]
+            if len(new):
+                held = new.iloc[-1]
                 owners.add(int(q))
                 self.owners.updateValue((int(q),), (True,))
             elif q in owners:
                 owners.discard(int(q))
                 self.owners.removeKey((int(q),))
-            if before != bool(owners):
-                out.append((*key, txn, "delete" if before else "insert"))
-        yield pd.DataFrame(out, columns=["key", "txn", "kind"])
+            after = bool(owners)
+            kind = "insert" if after and not before else "delete" if before and not after else "update" if before and after and held != old else None
+            if kind:
+                out.append((*key, txn, int(q), kind, None if kind == "insert" else old, None if kind == "delete" else held))
+        if owners and held is not None:
+            self.row.update((held,))
+        else:
+            self.row.clear()
+        yield pd.DataFrame(out, columns=["key", "txn", "query_set_id", "kind", "old", "new"])
+
+    def close(self) -> None:
+        pass
+
+
+def owned_key_events(stream: DataFrame, initial: DataFrame | None = None) -> DataFrame:
+    """key long, txn, query_set_id, op, row (JSON text) -> net events of keys under overlapping query sets, with values.
+
+    Sets of a transaction take effect in order of set_no, where there is one, else of query_set_id. initial: key, row,
+    sets (those that own it) before the stream. Rows are compared as texts, so to_json is to give all of them.
+    """
+    shape = "key long, txn long, query_set_id long, kind string, old string, new string"
+    first = None if initial is None else initial.groupBy("key")
+    return stream.groupBy("key").transformWithStateInPandas(_Own(), shape, "Append", "None", initialState=first)
+
+
+class _Dirty(StatefulProcessor):
+    """A table's dirty mark: set by its first change, told once its window is over, cleared by a direct write."""
+
+    def __init__(self, window_ms: int):
+        self.window_ms = window_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.mark = handle.getValueState("mark", "version long, due long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        frame = pd.concat(list(rows))
+        newest = lambda mark: frame.loc[frame["mark"] == mark, "version"].max()
+        dirty, clean = newest("dirty"), newest("clean")
+        version, due = self.mark.get() if self.mark.exists() else (None, None)
+        if dirty == dirty:  # else there is none
+            version = int(dirty) if version is None else max(version, int(dirty))
+        if version is not None and clean == clean and clean >= version:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.mark.clear()
+        elif version is not None:
+            if due is None:  # a throttle: later changes don't put the window off
+                due = timerValues.getCurrentProcessingTimeInMs() + self.window_ms
+                self.handle.registerTimer(due)
+            self.mark.update((version, due))
+        yield pd.DataFrame(columns=["table_name", "version"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.mark.exists():
+            version = self.mark.get()[0]
+            self.mark.clear()
+            yield pd.DataFrame([(*key, version)], columns=["table_name", "version"])
 
     def close(self) -> None:
         pass
 
 
-def owned_key_events(stream: DataFrame) -> DataFrame:
-    """key long, txn, query_set_id, op -> net inserts and deletes of keys under overlapping query sets.
+def snapshot_flushes(marks: DataFrame, every_ms: int = 2000, event_tables: tuple[str, ...] = ()) -> DataFrame:
+    """table_name, version, mark ('dirty' or 'clean') -> table_name, version: at most one flush of a table for each window.
 
-    Sets of a transaction take effect in order of set_no, where there is one, else of query_set_id.
+    A window starts with the first change of a table that isn't marked yet; a table that was written directly as of the
+    newest change is no longer marked. Event tables hold nothing and are never told. Needs the RocksDB state store.
     """
-    return stream.groupBy("key").transformWithStateInPandas(_Own(), "key long, txn long, kind string", "Append", "None")
+    held = marks.where(~F.col("table_name").isin(*event_tables)) if event_tables else marks
+    return held.groupBy("table_name").transformWithStateInPandas(_Dirty(every_ms), "table_name string, version long", "Update", "ProcessingTime")
+
 
+def write_snapshots(names: list[str], held: HeldState, path: str, name: str) -> None:
+    """The whole of each named table as the held state has it now, under path/write=NAME/table_name=T, if it has rows."""
+    rows = held.rows().where(F.col("table_name").isin(names)).select("row.*")
+    rows.write.mode("overwrite").partitionBy("table_name").parquet(f"{path}/write={name}")
+    replace_text(held.spark, f"{path}/log/{name}.json", json.dumps({"tables": names, "at": time.time_ns()}))
 
-def coalesced_snapshot_sink(stream: DataFrame, path: str, every: str = "2 seconds", event_tables: tuple[str, ...] = (), clean: Callable[[], DataFrame] | None = None):
-    """A writer of snapshots under path/batch=N/table_name=T: each dirty table at most once for each window.
 
-    One write for all tables of a batch; a batch that is run again overwrites its own folder. Event tables hold nothing
-    and are never written. clean() may give table_name, seq: tables that were written directly since, whose rows up to
-    seq are no longer dirty.
+def coalesced_snapshot_sink(marks: DataFrame, held: HeldState, path: str, every_ms: int = 2000, event_tables: tuple[str, ...] = ()):
+    """A writer of whole snapshots of dirty tables, each at most once for a window.
+
+    marks: the stream of what ordered_apply tells of its batches (its key has table_name), so that a flush finds at
+    least the rows that it is due to. The driver holds the names of dirty tables.
     """
 
     def flush(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.where(~F.col("table_name").isin(*event_tables)) if event_tables else batch
-        if clean:
-            rows = rows.alias("r").join(clean().alias("c"), "table_name", "left").where("c.seq is null or r.seq > c.seq").select("r.*")
-        rows.write.mode("overwrite").partitionBy("table_name").parquet(f"{path}/batch={batch_id}")
+        names = sorted(r[0] for r in batch.select("table_name").collect())  # once: each action would run the timers again
+        if names:
+            write_snapshots(names, held, path, f"flush-{batch_id}")
+
+    return snapshot_flushes(marks, every_ms, event_tables).writeStream.outputMode("update").foreachBatch(flush)
+
 
-    return stream.writeStream.foreachBatch(flush).trigger(processingTime=every)
+def write_now(held: HeldState, table: str, path: str, marks: str) -> None:
+    """A direct snapshot of one table, which clears its dirty mark."""
+    spark, version, name = held.spark, held.version(), f"direct-{uuid.uuid4().hex}"
+    write_snapshots([table], held, path, name)
+    clean = spark.range(1).select(F.lit(table).alias("table_name"), F.lit(version).cast("long").alias("version"), F.lit("clean").alias("mark"))
+    clean.coalesce(1).write.parquet(f"{marks}/{name}")
+
+
+def written_snapshots(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """(folder, tables) of the snapshots that were written under path, in order."""
+    folder, files = files_of(spark, f"{path}/log")
+    names = [f.getPath().getName()[:-5] for f in files.listStatus(folder) if f.getPath().getName().endswith(".json")] if files.exists(folder) else []
+    logs = sorted(((json.loads(text_of(spark, f"{path}/log/{n}.json")), n) for n in names), key=lambda x: x[0]["at"])
+    return [(f"{path}/write={n}", log["tables"]) for log, n in logs]
 
 
 def sync_results_sink(stream: DataFrame, path: str, checkpoint: str):
@@ -121,65 +264,81 @@ def sync_results_sink(stream: DataFrame, path: str, checkpoint: str):
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("success").outputMode("append")
 
 
-def _earlier(spark: SparkSession, path: str, batch_id: int | None) -> DataFrame | None:
-    """What batches before batch_id (None: all) have put under path, with batch; None where there is nothing."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return None
-    rows = spark.read.parquet(path)
-    return rows if batch_id is None else rows.where(F.col("batch") < batch_id)
+def _once(rows: DataFrame, folder: str) -> None:
+    """Write what a batch tells, unless an earlier attempt at the batch has: its files, once read, stay the same.
+
+    The rows are computed either way, as a stateful stream needs to bring its state up to date."""
+    done, files = files_of(rows.sparkSession, f"{folder}/_SUCCESS")
+    if files.exists(done):
+        rows.write.format("noop").mode("overwrite").save()
+    else:
+        rows.write.mode("overwrite").parquet(folder)
 
 
-def ordered_apply(stream: DataFrame, path: str, pk: list[str]):
-    """A writer that applies a change log in order of arrival: batch by batch, and by txn within a batch.
+def held_rows(spark: SparkSession, path: str, pk: list[str], columns: T.StructType, **options) -> HeldState:
+    """The state of ordered_apply under path: each key's row, null where it is gone."""
+    keys = [columns[c] for c in pk]
+    return HeldState(spark, path, pk, T.StructType([*keys, T.StructField("row", columns)]), "row is not null", **options)
 
-    A batch puts the last operation on each key that it touches under path/batch=N, overwriting what an earlier
-    attempt at it left, so that a batch that runs twice counts once. State is never rewritten: see ordered_state.
+
+def held_owners(spark: SparkSession, path: str, pk: list[str], columns: T.StructType, **options) -> HeldState:
+    """The state of owned_feed under path: each key's row and the query sets that own it."""
+    keys = [columns[c] for c in pk]
+    return HeldState(spark, path, pk, T.StructType([*keys, T.StructField("row", columns), T.StructField("sets", T.ArrayType(T.IntegerType()))]), "row is not null or size(sets) > 0", **options)
+
+
+def ordered_apply(stream: DataFrame, path: str, pk: list[str], base: DataFrame, marks: str | None = None, **options):
+    """A writer that applies a change log in order of arrival to a held state: batch by batch, by txn within a batch.
+
+    What base holds is there before the first batch. Only the last operation on each key is put, so a batch that runs twice
+    counts once. marks: a folder that gets, for each batch, the tables (table_name, a key column) that it changed.
+    options: of HeldState.
     """
     columns = row_columns(stream)
+    held = held_rows(stream.sparkSession, path, pk, base.select(*columns).schema, **options)
 
     def put(batch: DataFrame, batch_id: int) -> None:
+        if held.version() is None:
+            held.start(keyed(base, pk).select(*pk, F.struct(*columns).alias("row")))
         at = [F.col(c) for c in ("set_no", "grp", "pos") if c in batch.columns]
         last = keyed(batch, pk).groupBy(*pk).agg(F.max_by(F.struct("op", F.struct(*columns).alias("row")), F.struct("txn", step().alias("step"), *at)).alias("last"))
-        last.select(*pk, "last.op", "last.row").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        held.put(last.select(*pk, F.when(F.col("last.op") == "insert", F.col("last.row")).alias("row")), batch_id)
+        if marks:
+            changed = batch.select("table_name").distinct().select("table_name", F.lit(batch_id).cast("long").alias("version"), F.lit("dirty").alias("mark"))
+            _once(changed.coalesce(1), f"{marks}/dirty-{batch_id}")
 
     return stream.writeStream.foreachBatch(put)
 
 
-def ordered_state(spark: SparkSession, path: str, pk: list[str], base: DataFrame) -> DataFrame:
-    """base after all batches that ordered_apply has put under path."""
-    log = _earlier(spark, path, None)
-    if log is None:
-        return base
-    last = log.groupBy(*pk).agg(F.max_by(F.struct("op", "row"), "batch").alias("last"))
-    return base.join(last.select(*pk), pk, "left_anti").select(*base.columns).unionByName(last.where("last.op = 'insert'").select("last.row.*").select(*base.columns))
+def ordered_state(spark: SparkSession, path: str, pk: list[str], base: DataFrame, version: int | None = None) -> DataFrame:
+    """base after the batches that ordered_apply has put under path, all of them or those up to version."""
+    held = held_rows(spark, path, pk, base.schema)
+    return base if held.version() is None else held.rows(version).select("row.*")
 
 
-def owned_feed(stream: DataFrame, path: str, pk: list[str], state: DataFrame, owners: DataFrame):
+def owned_feed(stream: DataFrame, path: str, pk: list[str], state: DataFrame, owners: DataFrame, **options):
     """A writer of the net events of overlapping query sets, each exactly once.
 
-    A batch reads the owners and rows that batches before it left of the keys that it touches (at first those of state
-    and owners), and overwrites path/events/batch=N and path/held/batch=N, so that running it again changes nothing.
+    Rows and owners are held by key under path/held, at first those of state and owners; a batch reads them for the
+    buckets of its own keys. It writes path/events/batch=N once and overwrites its version of the held state, so that
+    running it again changes nothing. options: of HeldState.
     """
-    spark = stream.sparkSession
+    held = held_owners(stream.sparkSession, f"{path}/held", pk, state.schema, **options)
+
+    def both(rows: DataFrame, sets: DataFrame) -> DataFrame:
+        every = sets.groupBy(*pk).agg(F.collect_set(F.col("query_set_id").cast("int")).alias("sets"))
+        return rows.select(*pk, F.struct(*state.columns).alias("row")).join(every, pk, "full_outer")
 
     def put(batch: DataFrame, batch_id: int) -> None:
+        if held.version() is None:
+            held.start(both(keyed(state, pk), keyed(owners, pk)).withColumn("sets", F.coalesce("sets", F.array().cast("array<int>"))))
         touched = keyed(batch, pk).select(*pk).distinct()
-        held = _earlier(spark, f"{path}/held", batch_id)
-        base = state.join(touched, pk, "left_semi").select(*pk, F.struct(*state.columns).alias("row"))
-        owned = owners.join(touched, pk, "left_semi").select(*pk, "query_set_id")
-        if held is not None:
-            last = held.join(touched, pk, "left_semi").groupBy(*pk).agg(F.max_by(F.struct("row", "sets"), "batch").alias("h"))
-            base = base.join(last, pk, "left_anti").unionByName(last.where("h.row is not null").select(*pk, F.col("h.row").alias("row")))
-            owned = owned.join(last, pk, "left_anti").unionByName(last.select(*pk, F.explode("h.sets").alias("query_set_id")))
-        before = base.select("row.*")
+        was = held.of(touched, batch_id)
+        before, owned = was.where("row is not null").select("row.*"), was.select(*pk, F.explode("sets").alias("query_set_id"))
         steps = ownership.ownership_steps(before, owned, batch, pk)
-        ownership.owned_events(steps, pk).write.mode("overwrite").parquet(f"{path}/events/batch={batch_id}")
-        rows = ownership.state_after(before, steps, pk).select(*pk, F.struct(*state.columns).alias("row"))
-        sets = ownership.owners_after(steps, pk).groupBy(*pk).agg(F.collect_set("query_set_id").alias("sets"))
-        now = touched.join(rows, pk, "left").join(sets, pk, "left")
-        now = now.withColumn("sets", F.coalesce("sets", F.array().cast(sets.schema["sets"].dataType)))
-        now.write.mode("overwrite").parquet(f"{path}/held/batch={batch_id}")
+        _once(ownership.owned_events(steps, pk), f"{path}/events/batch={batch_id}")
+        now = touched.join(both(ownership.state_after(before, steps, pk), ownership.owners_after(steps, pk)), pk, "left")
+        held.put(now.withColumn("sets", F.coalesce("sets", F.array().cast("array<int>"))), batch_id)
 
     return stream.writeStream.foreachBatch(put)
 
