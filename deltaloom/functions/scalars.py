@@ -80,9 +80,13 @@ def is_variant(json: Column, name: str) -> Column:
 
 
 def query_hash(queries: Column) -> Column:
-    """Stable 32-bit hash of a group of queries: spaces collapsed, sorted, FNV-1a over UTF-16LE, a line feed after each."""
-    clean = F.array_sort(F.transform(queries, lambda q: F.trim(F.regexp_replace(q, r"(?U)\s+", " "))))
-    text = F.array_join(F.transform(clean, lambda q: F.concat(F.hex(F.encode(q, "UTF-16LE")), F.lit("0A"))), "")
+    """Stable 32-bit hash of a group of queries: spaces collapsed, sorted, FNV-1a over UTF-16LE, a line feed after each.
+
+    The order is that of UTF-16 units, which big-endian bytes have; UTF-8 orders letters beyond the basic plane otherwise.
+    """
+    clean = F.transform(queries, lambda q: F.trim(F.regexp_replace(q, r"(?U)\s+", " ")))
+    ranked = F.array_sort(F.transform(clean, lambda q: F.struct(F.encode(q, "UTF-16BE").alias("at"), q.alias("q"))))
+    text = F.array_join(F.transform(ranked, lambda r: F.concat(F.hex(F.encode(r["q"], "UTF-16LE")), F.lit("0A"))), "")
     pairs = F.regexp_extract_all(text, F.lit("(..)"), F.lit(1))
     step = lambda h, p: F.pmod(h.bitwiseXOR(F.conv(p, 16, 10).cast("long")) * F.lit(16777619).cast("long"), F.lit(1 << 32))
     return F.aggregate(pairs, F.lit(2166136261).cast("long"), step)

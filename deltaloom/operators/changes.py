@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from deltaloom.sources.scratch import written
+
+from . import scans
+
 META = ("txn", "set_no", "grp", "pos", "query_set_id", "op")
 
 
@@ -107,19 +111,31 @@ def apply_changes(state: DataFrame, log: DataFrame, pk: list[str]) -> DataFrame:
     return kept.unionByName(last.where("last.op = 'insert'").select("last.row.*"))
 
 
-def apply_changes_bag(state: DataFrame, log: DataFrame) -> DataFrame:
+def apply_changes_bag(state: DataFrame, log: DataFrame, blocked: bool | None = None) -> DataFrame:
     """Bag after all transactions: each delete takes one equal row, if there is one, then inserts are added.
 
     Per distinct row the count after t is max(0, n - deletes) + inserts; as running sums that is S_T - min(0, min of
     the sums after each transaction's deletes), so no loop is needed. State counts as the first transaction.
+
+    blocked: whether a row's transactions are scanned in blocks, over many tasks; None: where a row has more than
+    scans.HOT changes. The bag is the same.
     """
     columns = row_columns(log)
+    blocked = scans.has_hot_key(log, columns) if blocked is None else blocked
     log = log.groupBy("txn", *columns).agg(F.count_if(F.col("op") == "delete").alias("d"), F.count_if(F.col("op") == "insert").alias("i"))
     first = state.groupBy(*columns).agg(F.lit(0).cast("long").alias("d"), F.count("*").alias("i")).withColumn("txn", F.lit(None).cast("long"))
     steps = log.unionByName(first)
-    order = Window.partitionBy(*columns).orderBy(F.col("txn").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    if blocked:
+        steps = scans.cut(steps, columns, ["txn"])
+    block = ["_block"] if blocked else []
+    order = Window.partitionBy(*columns, *block).orderBy(F.col("txn").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     steps = steps.withColumn("after", F.sum(F.col("i") - F.col("d")).over(order)).withColumn("low", F.col("after") - F.col("i"))
-    counts = steps.groupBy(*columns).agg((F.sum(F.col("i") - F.col("d")) - F.least(F.lit(0), F.min("low"))).alias("n"))
+    parts = steps.groupBy(*columns, *block).agg(F.sum(F.col("i") - F.col("d")).alias("sum"), F.min("low").alias("low"))
+    if blocked:  # a row's part in a block goes on from what its earlier parts add up to
+        earlier = Window.partitionBy(*columns).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.withColumn("low", F.col("low") + F.coalesce(F.sum("sum").over(earlier), F.lit(0)))
+        parts = parts.groupBy(*columns).agg(F.sum("sum").alias("sum"), F.min("low").alias("low"))
+    counts = parts.select(*columns, (F.col("sum") - F.least(F.lit(0), "low")).alias("n"))
     return counts.where("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select(*columns)
 
 
@@ -172,24 +188,32 @@ def event_place(kind: str = "kind") -> Column:
     return F.when(F.col(kind) == "insert", 0).when(F.col(kind) == "delete", 1).otherwise(2)
 
 
-def transaction_batches(changes: DataFrame, most: int = 10_000) -> DataFrame:
-    """Batches of the events of each transaction (and table, where there is table_name): part, events, and their counts.
+def deliver_events(changes: DataFrame) -> DataFrame:
+    """Events written in order of delivery, with at: transactions (and tables) one after the other, of each the inserts,
+    then deletes, then updates, each by key. at ascends in that order over all files, and files by ranges of it.
 
-    changes: txn, kind, pk columns, old, new. Events of a part stand in order of insert, delete, update; parts of one
-    place in that order follow each other and hold about `most` events each, so that no row holds a whole bulk load.
+    changes: txn, kind, pk columns, old, new, and table_name where there are several. Range partitions split a bulk load.
     """
     by = [c for c in ("txn", "table_name") if c in changes.columns]
-    place = event_place()
     keys = [c for c in changes.columns if c not in (*by, "kind", "old", "new")]
-    sizes = changes.groupBy(*by, place.alias("place")).agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / most))
-    before = Window.partitionBy(*by).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    small = F.sum("n").over(Window.partitionBy(*by)) <= most
-    sizes = sizes.withColumn("first", F.when(small, F.lit(0).cast("long")).otherwise(F.coalesce(F.sum("parts").over(before), F.lit(0).cast("long"))))
-    rows = changes.withColumn("place", place).join(sizes.select(*by, "place", "parts", "first"), [*by, "place"])
-    rows = rows.withColumn("part", F.col("first") + F.pmod(F.xxhash64(*keys), F.col("parts")))
-    event = F.struct("place", *(c for c in changes.columns if c not in by))
+    order = [*by, "place", *keys]
+    rows = changes.withColumn("place", event_place()).repartitionByRange(*order).sortWithinPartitions(*order)
+    return written(rows.withColumn("at", F.monotonically_increasing_id()), "events")
+
+
+def transaction_batches(events: DataFrame) -> DataFrame:
+    """The manifest of delivered events: one row for each transaction (and table), however many events it has.
+
+    inserts, deletes, updates: their numbers; first_at, last_at: where its events begin and end.
+    """
+    by = [c for c in ("txn", "table_name") if c in events.columns]
     count = lambda k: F.count_if(F.col("kind") == k).alias(f"{k}s")
-    return rows.groupBy(*by, "part").agg(F.sort_array(F.collect_list(event)).alias("events"), count("insert"), count("delete"), count("update"))
+    return events.groupBy(*by).agg(count("insert"), count("delete"), count("update"), F.min("at").alias("first_at"), F.max("at").alias("last_at"))
+
+
+def events_of(events: DataFrame, first_at: int, last_at: int) -> DataFrame:
+    """A batch's events in order; only files whose range has some of them are read."""
+    return events.where(F.col("at").between(first_at, last_at)).orderBy("at").drop("place")
 
 
 def of_kind(changes: DataFrame, kind: str) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from deltaloom.sources.scratch import written
+
 
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """rows with their place in order, from 0 without gaps.
@@ -101,13 +105,35 @@ def random_mutations(state: DataFrame, n: int, seed: int, id_: str, fields: list
     return out.withColumns({f: (F.col(f) + F.col("_hits")).cast(state.schema[f].dataType) for f in fields}).select(*state.columns)
 
 
+#: Ranges that a round of the selection counts.
+RANGES = 256
+
+
 def latency_report(samples: DataFrame, by: list[str], value: str, shares=(0.5, 0.95, 0.99)) -> DataFrame:
-    """Exact percentiles: the element at round(p * (n - 1)) of the sorted values; equal values are counted first."""
-    counts = samples.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("c"))
-    order = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    upto = counts.withColumn("upto", F.sum("c").over(order)).withColumn("n", F.sum("c").over(Window.partitionBy(*by)))
-    at = lambda p: F.min(F.when(F.col("upto") > F.floor(F.lit(p) * (F.col("n") - 1) + 0.5), F.col(value))).alias(f"p{round(p * 100)}")
-    return upto.groupBy(*by).agg(*(at(p) for p in shares), F.max("n").alias("n"))
+    """Exact percentiles: the element at round(p * (n - 1)) of the sorted values, by counting ranges again and again.
+
+    Each wanted place of a group has a range of values that it lies in. A round counts the group's values in 256 parts of
+    the range and goes on with the part that the place is in, between the least and the largest value found there, until
+    they are the same. Counts are summed before they are shuffled, so that no task sees a group's values; rounds are as
+    many as there are digits to base 256, whatever the rows.
+    """
+    rows = samples.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("v"))
+    wanted = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.floor(F.lit(p) * (F.col("n") - 1) + 0.5).alias("place")) for k, p in enumerate(shares))))
+    found = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).withColumn("w", wanted)
+    found = written(found.select(*by, "n", "lo", "hi", "w.k", F.col("w.place").alias("place")), "places")
+    key = [*by, "k"]
+    met = lambda names: reduce(lambda a, b: a & b, [F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in names], F.lit(True))
+    while (open_ := found.where("lo < hi")).limit(1).count():
+        lo, hi, v = (F.col(c).cast("double") for c in ("t.lo", "t.hi", "r.v"))
+        # ends have parts of their own, so that each round narrows the range; what can't be told apart is one part
+        part = F.when(F.col("r.v") == F.col("t.lo"), -1).when(F.col("r.v") == F.col("t.hi"), RANGES).otherwise(F.coalesce(F.nanvl(F.floor((v - lo) / (hi - lo) * RANGES).cast("double"), F.lit(None).cast("double")), F.lit(RANGES - 1.0)))
+        within = rows.alias("r").join(open_.alias("t"), met(by) & F.col("r.v").between(F.col("t.lo"), F.col("t.hi")))
+        parts = within.groupBy(*(F.col(f"t.{c}").alias(c) for c in key), part.alias("part")).agg(F.count("*").alias("c"), F.min("r.v").alias("lo"), F.max("r.v").alias("hi"))
+        upto = parts.withColumn("upto", F.sum("c").over(Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)))  # few parts
+        chosen = upto.alias("r").join(open_.alias("t"), met(key)).where((F.col("t.place") < F.col("r.upto")) & (F.col("t.place") >= F.col("r.upto") - F.col("r.c")))
+        narrowed = chosen.select(*(F.col(f"t.{c}") for c in by), "t.n", "r.lo", "r.hi", "t.k", (F.col("t.place") - F.col("r.upto") + F.col("r.c")).alias("place"))
+        found = written(narrowed.unionByName(found.where("not lo < hi")), "places")
+    return found.groupBy(*by).agg(*(F.max(F.when(F.col("k") == k, F.col("lo"))).alias(f"p{round(p * 100)}") for k, p in enumerate(shares)), F.max("n").alias("n"))
 
 
 def throughput_report(samples: DataFrame, by: list[str], fired: str, observed: str, micros: str, budget: int = 16_000, ended: str | None = None) -> DataFrame:

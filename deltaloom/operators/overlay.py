@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from deltaloom.sources.scratch import written
+
+from . import scans
 from .changes import apply_changes, rows_equal_deep
 
 
@@ -110,16 +113,31 @@ def entries_for_key(overlay: DataFrame, **key) -> DataFrame:
     return overlay.orderBy("seq", "change_no")
 
 
-def mutation_landed(changes: DataFrame, state: DataFrame, owners: DataFrame, overlay: DataFrame, pk: list[str], overlay_is_proof: bool = False) -> DataFrame:
+def confirmed_keys(confirmations: DataFrame, resolved: DataFrame, pk: list[str]) -> DataFrame:
+    """request_id, pk of overlay entries whose confirmation still tells something: those of requests not yet resolved.
+
+    confirmations: request_id, pk of entries that confirm_own_commit or confirm_by_touch took off the overlay, as logged;
+    resolved: request_id of mutations that left the queue, with which their log expires.
+    """
+    return confirmations.select("request_id", *pk).distinct().join(resolved.select("request_id"), "request_id", "left_anti")
+
+
+def mutation_landed(changes: DataFrame, state: DataFrame, owners: DataFrame, overlay: DataFrame, pk: list[str], overlay_is_proof: bool = False, confirmed: DataFrame | None = None) -> DataFrame:
     """request_id, outcome of timed-out mutations: landed, not_landed or undetectable.
 
     changes: request_id, subscribed, kind (null: a mutation without changes), pk, new. An insert has landed if its key
-    is owned, an update if the row equals new, a delete if the row is gone.
+    is owned, an update if the row equals new, a delete if the row is gone. An update or delete tells nothing where the
+    key is still overlaid, or where the request's own overlay on it was confirmed (see confirmed_keys): what is seen is
+    then its prediction. overlay_is_proof takes both as proof.
     """
     row = state.select(*pk, F.struct(*state.columns).alias("row"))
     flag = lambda df, name: df.select(*pk).distinct().withColumn(name, F.lit(True))
     x = changes.join(row, pk, "left").join(flag(owners, "owned"), pk, "left").join(flag(overlay, "hidden"), pk, "left")
-    hidden = F.lit(False) if overlay_is_proof else F.coalesce("hidden", F.lit(False))
+    hidden = F.coalesce("hidden", F.lit(False))
+    if confirmed is not None:
+        x = x.join(confirmed.select("request_id", *pk).distinct().withColumn("confirmed", F.lit(True)), ["request_id", *pk], "left")
+        hidden = hidden | F.coalesce("confirmed", F.lit(False))
+    hidden = F.lit(False) if overlay_is_proof else hidden
     unclear = F.col("kind").isNull() | ~F.col("subscribed") | (F.col("kind").isin("update", "delete") & hidden) | ((F.col("kind") == "update") & F.col("row").isNull())
     there = F.when(F.col("kind") == "insert", F.coalesce("owned", F.lit(False))).when(F.col("kind") == "delete", F.col("row").isNull()).otherwise(rows_equal_deep(F.col("row"), F.col("new"), row.schema["row"].dataType))
     out = x.groupBy("request_id").agg(F.bool_or(F.coalesce(unclear, F.lit(True))).alias("unclear"), F.bool_and(there).alias("landed"))
@@ -156,39 +174,56 @@ def veto(mutations: DataFrame, predicate: Column) -> DataFrame:
     return mutations.where(F.coalesce(predicate, F.lit(True)))
 
 
-def _spread(frame):
-    """One block's mutations in queue order: those that wait, with their keys; since tells from when a key is waited for."""
-    since = dict(frame.loc[frame["since"].notna(), ["key", "since"]].itertuples(index=False))
-    kept = []
-    for seq, keys in frame.sort_values("seq").groupby("seq", sort=False)["key"]:
-        if any(since.get(k, seq) < seq for k in keys):
-            for k in keys:
-                since[k] = min(since.get(k, seq), seq)
-                kept.append((seq, k))
-    return type(frame)(kept, columns=["seq", "key"])
+#: Rounds by keys before chains are doubled.
+PLAIN_ROUNDS = 3
+
+
+def _waiting_after(links: DataFrame, awaited: DataFrame, held: DataFrame) -> DataFrame:
+    """seq of mutations with a key that is awaited, or that an earlier one of held has: all later ones of a key at once."""
+    since = links.join(held, "seq", "left_semi").groupBy("key").agg(F.min("seq").alias("since"))
+    since = since.join(awaited.withColumn("awaited", F.lit(True)), "key", "full_outer")
+    return links.join(since, "key").where(F.coalesce("awaited", F.lit(False)) | (F.col("seq") > F.col("since"))).select("seq").distinct()
+
+
+def _nearest(links: DataFrame) -> DataFrame:
+    """seq -> to, the nearest later mutation that shares a key with it, from blocks of (key, seq)."""
+    blocks = scans.cut(links, ["key"], ["seq"])
+    return scans.following(blocks, ["key"], ["seq"], "to", "seq").where("to is not null").groupBy("seq").agg(F.min("to").alias("to"))
+
+
+def _jumps(links: DataFrame) -> list[DataFrame]:
+    """Jumps of 1, 2, 4, ... nearest later mutations, as long as there are any."""
+    jumps = [written(_nearest(links), "jumps")]
+    while True:
+        a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
+        twice = written(a.join(b, F.col("a.to") == F.col("b.seq")).select("a.seq", "b.to"), "jumps")
+        if not twice.limit(1).count():
+            return jumps
+        jumps.append(twice)
 
 
-def held_mutations(mutations: DataFrame, awaited: DataFrame, block: int = 50_000) -> DataFrame:
+def held_mutations(mutations: DataFrame, awaited: DataFrame, plain_rounds: int = PLAIN_ROUNDS) -> DataFrame:
     """seq of mutations that wait: in queue order, one that shares a key with an awaited or a waiting one waits.
 
     mutations: seq, keys (array of text, null: unknown). awaited: key. One with unknown keys waits if anything before it
-    waits or anything is awaited, and then all later ones do. The queue is cut into blocks of about `block` keys; a task
-    follows all chains within its block, and a round hands on from when each key is waited for, so that there are at
-    most as many rounds as blocks that a chain runs through.
+    waits or anything is awaited, and then all later ones do. A round marks all later mutations of every key that is
+    waited for. Where rounds go on, along a chain from key to key, jumps of doubling length to the nearest later mutation
+    that shares a key mark whole chains: from the longest to the shortest, each adds what those marked so far jump to, so
+    that a chain takes as many rounds as its length has binary digits.
     """
     unknown = mutations.where("keys is null").select("seq")
-    links = mutations.select("seq", F.explode("keys").alias("key")).distinct()
-    links = links.repartitionByRange(max(1, -(-links.count() // block)), "seq").withColumn("block", F.spark_partition_id()).checkpoint()
-    since = awaited.select("key", F.lit(-(2**62)).alias("since")).distinct()
-    known = None
-    while True:  # ends: since only falls
-        found = links.join(since, "key", "left").groupBy("block").applyInPandas(_spread, "seq long, key string").checkpoint()
-        since = since.unionByName(found.groupBy("key").agg(F.min("seq").alias("since"))).groupBy("key").agg(F.min("since").alias("since")).checkpoint()
-        now = tuple(since.agg(F.count("*"), F.sum(F.col("since").cast("decimal(38,0)"))).first())
-        if now == known:
+    links = written(mutations.select("seq", F.explode("keys").alias("key")).distinct(), "links")
+    awaited = awaited.select("key").where("key is not null").distinct()
+    held, known, jumps, rounds = links.select("seq").where("false"), 0, None, 0
+    while True:  # ends: held only grows
+        held = written(_waiting_after(links, awaited, held), "held")
+        if (now := held.count()) == known:
             break
-        known = now
-    held = found.select("seq").distinct()
+        known, rounds = now, rounds + 1
+        if rounds > plain_rounds:
+            jumps = _jumps(links) if jumps is None else jumps
+            for jump in reversed(jumps):
+                held = written(held.unionByName(jump.join(held, "seq", "left_semi").select(F.col("to").alias("seq"))).distinct(), "held")
     first_held = held.agg(F.min("seq")).first()[0]
     awaits = awaited.limit(1).count() > 0
     cut = unknown if awaits else unknown.where(F.col("seq") > first_held) if first_held is not None else unknown.where(F.lit(False))

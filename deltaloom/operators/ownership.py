@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from . import scans
 from .changes import delta, keyed, row_columns, rows_equal_deep
 
 
@@ -19,18 +20,29 @@ def ignore_unregistered(log: DataFrame, live: DataFrame) -> DataFrame:
     return log.join(live.select("query_set_id").distinct(), "query_set_id", "left_semi").select(*log.columns)
 
 
-def ownership_steps(state: DataFrame, owners: DataFrame, log: DataFrame, pk: list[str]) -> DataFrame:
+def ownership_steps(state: DataFrame, owners: DataFrame, log: DataFrame, pk: list[str], blocked: bool | None = None) -> DataFrame:
     """Every (key, txn, query set) step with the owners and the row before and after it.
 
     Owners are a running count of sets that gain or lose the key; the row is the last one inserted. A set that
     reports a key absent without owning it changes nothing. The base is the step before all transactions. Sets of one
     transaction take effect in the order of its message, set_no; a log without that column is in order of query_set_id.
+
+    blocked: whether steps are scanned in blocks, so that a key's steps are dealt over many tasks; None: where some key has
+    more than scans.HOT changes. The steps are the same.
     """
+    blocked = scans.has_hot_key(keyed(log, pk), pk) if blocked is None else blocked
     columns = row_columns(log)
     log = log if "set_no" in log.columns else log.withColumn("set_no", F.col("query_set_id"))
     per = delta(log, pk, ("txn", "set_no", "query_set_id")).select(*pk, "txn", "set_no", "query_set_id", F.col("i").isNotNull().cast("int").alias("owns"), F.col("i").alias("row"))
     base = owners.join(state.select(*pk, F.struct(*columns).alias("row")), pk, "left").select(*pk, F.lit(None).cast("long").alias("txn"), F.lit(None).cast(log.schema["set_no"].dataType).alias("set_no"), "query_set_id", F.lit(1).alias("owns"), "row")
     steps = base.unionByName(per)
+    if blocked:
+        order = ["txn", "set_no", "query_set_id"]
+        steps = scans.running(scans.cut(steps, pk, order), [*pk, "query_set_id"], order, lasts={"_was": "owns"}, before=True)
+        steps = steps.withColumn("gain", F.col("owns") - F.coalesce("_was", F.lit(0))).drop("_was")
+        steps = scans.running(steps, pk, order, {"after": "gain"}, {"value": "row"})
+        steps = scans.running(steps, pk, order, lasts={"previous": "row"}, before=True)
+        return steps.withColumn("before", F.col("after") - F.col("gain")).drop("_block")
     own = Window.partitionBy(*pk, "query_set_id").orderBy(F.col("txn").asc_nulls_first(), "set_no")
     steps = steps.withColumn("gain", F.col("owns") - F.coalesce(F.lag("owns").over(own), F.lit(0)))
     order = Window.partitionBy(*pk).orderBy(F.col("txn").asc_nulls_first(), "set_no", "query_set_id")

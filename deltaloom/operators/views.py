@@ -94,8 +94,9 @@ def removed_where(state: DataFrame, pk: list[str], predicate: Column) -> tuple[D
 
 
 def tags_for_table(queries: DataFrame, table: str) -> DataFrame:
-    """query_set_id, query_no, query_hash of each set's queries that name the table; of a set without any, all of them."""
-    naming = query_table_refs(queries).where(F.lower("table_name") == table.lower()).select("query_set_id", "query_no").distinct()
+    """query_set_id, query_no, query_hash of each set's queries that name the table, in this very case; of a set without
+    any, all of them."""
+    naming = query_table_refs(queries).where(F.col("table_name") == table).select("query_set_id", "query_no").distinct()
     others = queries.join(naming.select("query_set_id").distinct(), "query_set_id", "left_anti").select("query_set_id", "query_no")
     hashes = queries.select("query_set_id", "query_no", query_hash(F.array("query")).alias("query_hash"))
     return naming.unionByName(others).join(hashes, ["query_set_id", "query_no"])

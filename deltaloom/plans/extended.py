@@ -164,6 +164,11 @@ def tags_for_table(t):
     return views.tags_for_table(_query_sets(t), "lineitem")
 
 
+@query(f"SELECT query_set_id, query_no, {_fnv('list_extract([' + ', '.join(repr(x) for x in TEXTS) + '], shape + 1)')} AS query_hash FROM {SETS} s WHERE shape = 4 OR query_set_id NOT IN (SELECT query_set_id FROM {SETS} s WHERE shape = 4)")
+def tags_for_cased_table(t):
+    return views.tags_for_table(_query_sets(t), "Orders")
+
+
 @query(f"SELECT c_custkey, {_fnv('c_name', repr('SELECT 1'))} AS query_hash FROM customer")
 def query_hash(t):
     return t("customer").select("c_custkey", scalars.query_hash(F.array(F.lit("SELECT   1"), F.concat(F.lit("  "), "c_name", F.lit(" ")))).alias("query_hash"))
@@ -406,6 +411,16 @@ def mutation_landed(t):
     return overlay.mutation_landed(c, t("prices"), t("orders_owners"), t("overlay"), KEY)
 
 
+@query(f"SELECT request_id, CASE WHEN bool_or(NOT subscribed OR (kind <> 'insert' AND (hidden OR confirmed)) OR (kind = 'update' AND NOT present)) THEN 'undetectable' WHEN bool_and(CASE kind WHEN 'insert' THEN owned WHEN 'delete' THEN NOT present ELSE true END) THEN 'landed' ELSE 'not_landed' END AS outcome FROM (SELECT *, o_orderkey IN (SELECT o_orderkey FROM orders_base) AS present, o_orderkey IN (SELECT o_orderkey FROM orders_owners) AS owned, o_orderkey IN (SELECT o_orderkey FROM overlay) AS hidden, o_orderkey % 5 = 0 AND request_id % 4 <> 0 AS confirmed FROM ({LANDING}) a) b GROUP BY request_id")
+def mutation_landed_after_confirmations(t):
+    o = t("orders")
+    c = o.sparkSession.sql(LANDING.replace("FROM orders", "FROM {o}"), o=o)
+    c = c.select("request_id", "kind", "subscribed", "o_orderkey", F.struct("o_orderkey", F.col("price").alias("o_totalprice")).alias("new"))
+    log = c.where("o_orderkey % 5 = 0").select("request_id", *KEY)
+    confirmed = overlay.confirmed_keys(log, c.where("request_id % 4 = 0").select("request_id"), KEY)
+    return overlay.mutation_landed(c, t("prices"), t("orders_owners"), t("overlay"), KEY, confirmed=confirmed)
+
+
 @query("SELECT o_custkey AS request_id, bool_and(o_orderkey % 4 <> 0) AS pure_insert FROM orders GROUP BY o_custkey")
 def pure_insert(t):
     kind = F.when(F.col("o_orderkey") % 4 == 0, "update").otherwise("insert")

@@ -108,8 +108,24 @@ def split_protected(t):
 @query(f"SELECT txn, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS table_name, count_if(kind = 'insert') AS inserts, count_if(kind = 'delete') AS deletes, count_if(kind = 'update') AS updates, string_agg(substr(kind, 1, 1), '' ORDER BY CASE kind WHEN 'insert' THEN 0 WHEN 'delete' THEN 1 ELSE 2 END) AS kinds FROM ({COALESCED}) y GROUP BY ALL")
 def transaction_batches(t):
     c = changes.coalesce_changes(t("orders_log"), KEY).withColumn("table_name", F.when(F.col("o_orderkey") % 2 == 0, "even").otherwise("odd"))
-    out = changes.transaction_batches(c)
-    return out.select("txn", "table_name", "inserts", "deletes", "updates", F.array_join(F.transform("events", lambda e: F.substring(e["kind"], 1, 1)), "").alias("kinds"))
+    told = changes.deliver_events(c)
+    batches = changes.transaction_batches(told).alias("b")
+    # the letters of a batch's events in order; these batches are small
+    own = told.alias("e").join(batches, F.col("e.at").between(F.col("b.first_at"), F.col("b.last_at")) & (F.col("e.txn") == F.col("b.txn")))
+    letters = own.groupBy("b.txn", "b.table_name").agg(F.array_sort(F.collect_list(F.struct("e.at", F.substring("e.kind", 1, 1).alias("k")))).alias("l"))
+    return batches.join(letters, ["txn", "table_name"]).select("txn", "table_name", "inserts", "deletes", "updates", F.array_join(F.transform("l", lambda x: x["k"]), "").alias("kinds"))
+
+
+@query(f"SELECT txn, table_name, kind, o_orderkey, CAST(row_number() OVER (PARTITION BY txn, table_name ORDER BY CASE kind WHEN 'insert' THEN 0 WHEN 'delete' THEN 1 ELSE 2 END, o_orderkey) - 1 AS BIGINT) AS n FROM (SELECT txn // 50 AS txn, kind, o_orderkey, 'orders' AS table_name FROM ({COALESCED}) y QUALIFY row_number() OVER (PARTITION BY txn // 50, o_orderkey, kind ORDER BY txn) = 1) z")
+def delivered_events(t):
+    """Whole batches of thousands of events, each event at its place after its batch's first one."""
+    c = changes.coalesce_changes(t("orders_log"), KEY).withColumns({"txn": F.floor(F.col("txn") / 50), "table_name": F.lit("orders")}).dropDuplicates(["txn", "kind", *KEY])
+    told = changes.deliver_events(c)
+    places = jobs.numbered(told.drop("old", "new"), ["at"], "place_no")
+    first = changes.transaction_batches(places).select("txn", "table_name", "first_at").alias("b")
+    at = places.join(first, ["txn", "table_name"])
+    start = at.where("at = first_at").select("txn", "table_name", F.col("place_no").alias("start"))
+    return at.join(start, ["txn", "table_name"]).select("txn", "table_name", "kind", *KEY, (F.col("place_no") - F.col("start")).alias("n"))
 
 
 for _kind in ("insert", "update", "delete"):
@@ -245,6 +261,19 @@ def apply_owned_delta(t):
     return flat(ownership.owned_events(_steps(t)[1], KEY), "txn", "query_set_id", *KEY)
 
 
+#: Orders as changes of one hot key and of their customers' keys.
+HOT_LOG = "SELECT o_orderkey AS txn, 1 + o_orderkey % 3 AS query_set_id, CASE WHEN o_orderkey % 7 < 3 THEN 'delete' ELSE 'insert' END AS op, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey ELSE -1 END AS k, o_totalprice AS v FROM orders"
+
+
+@query(f"SELECT txn, query_set_id, k, kind, CASE WHEN kind <> 'insert' THEN previous_ END AS old, CASE WHEN kind <> 'delete' THEN value_ END AS new FROM (SELECT *, CASE WHEN before_ = 0 AND after_ > 0 THEN 'insert' WHEN before_ > 0 AND after_ = 0 THEN 'delete' WHEN before_ > 0 AND after_ > 0 AND previous_ <> value_ THEN 'update' END AS kind FROM (SELECT *, coalesce(lag(after_) OVER w, 0) AS before_, lag(value_) OVER w AS previous_ FROM (SELECT *, sum(gain) OVER u AS after_, last_value(price IGNORE NULLS) OVER u AS value_ FROM (SELECT *, owns - coalesce(lag(owns) OVER (PARTITION BY k, query_set_id ORDER BY txn), 0) AS gain FROM (SELECT *, CASE WHEN op = 'insert' THEN 1 ELSE 0 END AS owns, CASE WHEN op = 'insert' THEN v END AS price FROM ({HOT_LOG}) a) b) c WINDOW u AS (PARTITION BY k ORDER BY txn ROWS UNBOUNDED PRECEDING)) d WINDOW w AS (PARTITION BY k ORDER BY txn)) e) f WHERE kind IS NOT NULL")
+def apply_owned_delta_hot(t):
+    """Two thirds of all changes are of one key, whose steps are scanned in blocks."""
+    log = t("orders").sparkSession.sql(HOT_LOG.replace("FROM orders", "FROM {o}"), o=t("orders")).withColumn("grp", F.lit(0))
+    none = log.where("false")
+    steps = ownership.ownership_steps(none.select("k", "v"), none.select("k", "query_set_id"), log.select("txn", "grp", "query_set_id", "op", "k", "v"), ["k"], blocked=True)
+    return ownership.owned_events(steps, ["k"]).select("txn", "query_set_id", "k", "kind", F.col("old.v").alias("old"), F.col("new.v").alias("new"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Net changes of orders under two overlapping query sets."""
     return QUERIES["apply_owned_delta"](spark, sf_dir)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure(spark: SparkSession) -> str:
@@ -18,3 +19,11 @@ def ensure(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """rows, written to the shared folder and read back: computed once, and there whatever executors are lost."""
+    spark = rows.sparkSession
+    path = f"{ensure(spark)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

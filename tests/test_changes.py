@@ -1,7 +1,7 @@
 import random
 
 from deltaloom.functions import scalars
-from deltaloom.operators import changes, events, overlay, ownership
+from deltaloom.operators import changes, events, jobs, overlay, ownership, scans
 from pyspark.sql import functions as F
 
 LOG = "txn long, grp int, query_set_id int, op string, k long, v string"
@@ -118,13 +118,78 @@ def test_hand_over_within_a_message(spark):
 
 
 def test_batches_of_a_bulk_load(spark):
-    load = [(1, i, "insert", None, (i,)) for i in range(25)] + [(1, 100 + i, "delete", (100 + i,), None) for i in range(5)] + [(2, 1, "update", (1,), (2,))]
-    c = spark.createDataFrame(load, "txn long, k long, kind string, old struct<k:long>, new struct<k:long>")
-    out = changes.transaction_batches(c, most=10).orderBy("txn", "part").collect()
-    assert sorted(e["k"] for r in out if r["txn"] == 1 for e in r["events"]) == sorted(k for t, k, *_ in load if t == 1)
-    kinds = ["".join(e["kind"][0] for e in r["events"]) for r in out if r["txn"] == 1]
-    assert "".join(kinds) == "i" * 25 + "d" * 5 and len(kinds) > 1
-    assert changes.transaction_batches(c).where("txn = 1").count() == 1
+    """A batch of 30,000 events is one row of the manifest, and no row holds them."""
+    kinds = F.when(F.col("id") % 3 == 0, "update").when(F.col("id") % 3 == 1, "insert").otherwise("delete")
+    load = spark.range(30_000).select(F.lit(1).cast("long").alias("txn"), F.col("id").alias("k"), kinds.alias("kind"), F.lit(None).cast("long").alias("old"), F.col("id").alias("new"))
+    events = changes.deliver_events(load.unionByName(load.where("k < 5").withColumn("txn", F.lit(2).cast("long"))).repartition(4))
+    batches = {r["txn"]: r for r in changes.transaction_batches(events).collect()}
+    assert [tuple(batches[t])[:4] for t in (1, 2)] == [(1, 10_000, 10_000, 10_000), (2, 2, 1, 2)]
+    assert batches[1]["last_at"] < batches[2]["first_at"]
+    own = changes.events_of(events, batches[1]["first_at"], batches[1]["last_at"]).collect()
+    assert [(r["kind"], r["k"]) for r in own] == [(kind, k) for at, kind in ((1, "insert"), (2, "delete"), (0, "update")) for k in range(30_000) if k % 3 == at]
+    assert events.inputFiles() and all(r["new"] == r["k"] for r in own)
+
+
+def test_blocks_give_the_same_steps(spark):
+    rng = random.Random(11)
+    log = [(txn, txn % 2, 0, q, rng.choice(["insert", "delete"]), k, str(rng.randrange(3))) for txn in range(80) for q in (1, 2, 3) for k in (0, 1, None, rng.randrange(9)) if rng.random() < 0.4]
+    log = spark.createDataFrame(log, "txn long, set_no int, grp int, query_set_id int, op string, k long, v string")
+    state, owners = spark.createDataFrame([(0, "s"), (7, "t"), (8, "u")], "k long, v string"), spark.createDataFrame([(0, 1), (0, 3), (7, 2)], "k long, query_set_id int")
+    plain = ownership.ownership_steps(state, owners, log, ["k"], blocked=False)
+    blocks = ownership.ownership_steps(state, owners, log, ["k"], blocked=True)
+    names = ["k", "txn", "set_no", "query_set_id", "owns", "gain", "after", "value", "before", "previous"]
+    assert rows(blocks.select(*names)) == rows(plain.select(*names))
+    assert sorted(blocks.columns) == sorted(plain.columns)
+
+
+def test_a_hot_key_is_dealt_over_blocks(spark):
+    hot = spark.range(20_000).select(F.when(F.col("id") % 20 == 0, F.col("id")).otherwise(-1).alias("k"), F.col("id").alias("t"), F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("v"))
+    assert scans.has_hot_key(hot, ["k"], 10_000) and not scans.has_hot_key(hot, ["k"], 19_001)
+    blocks = scans.cut(hot, ["k"], ["t"], 8)
+    most = blocks.groupBy("_block").count().agg(F.max("count"), F.count("*")).first()
+    assert most[0] < 20_000 / 4 and most[1] >= 7
+    out = scans.following(scans.running(blocks, ["k"], ["t"], {"s": "v"}, {"l": "v"}), ["k"], ["t"], "next", "t")
+    out = scans.running(out, ["k"], ["t"], {"s0": "v"}, {"l0": "v"}, before=True)
+    got = {r["t"]: (r["s"], r["l"], r["next"], r["s0"], r["l0"]) for r in out.where("k = -1").collect()}
+    times = [t for t in range(20_000) if t % 20]
+    total, last = 0, None
+    for t, later in zip(times, [*times[1:], None], strict=True):
+        before = (total, last)
+        v = t % 7 if t % 3 else None
+        total, last = total + (v or 0), last if v is None else v
+        assert got[t] == (total, last, later, *before)
+
+
+def test_bag_in_blocks(spark):
+    rng = random.Random(9)
+    state = spark.createDataFrame([(rng.randrange(3),) for _ in range(9)] + [(None,)], "v int")
+    log = spark.createDataFrame([(t, rng.choice(["delete", "delete", "insert"]), rng.choice([0, 1, 2, None])) for t in range(200) for _ in range(3)], "txn long, op string, v int")
+    assert rows(changes.apply_changes_bag(state, log, blocked=True)) == rows(changes.apply_changes_bag(state, log, blocked=False))
+
+
+def test_percentiles_of_one_hot_group(spark):
+    rng = random.Random(2)
+    values = {"hot": [rng.choice([5, 10**15, -3, rng.randrange(10**6)]) for _ in range(4000)], "one": [7], None: [1, 2], "same": [4] * 9, "ends": [-(2**63), 2**63 - 1, 0, 0]}
+    df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in [*vs, None]], "g string, v long")
+    at = lambda vs, p: sorted(vs)[int(p * (len(vs) - 1) + 0.5)]
+    out = jobs.latency_report(df, ["g"], "v")
+    assert {r["g"]: tuple(r)[1:] for r in out.collect()} == {g: (at(vs, 0.5), at(vs, 0.95), at(vs, 0.99), len(vs)) for g, vs in values.items()}
+    inf = float("inf")
+    odd = spark.createDataFrame([(v,) for v in [-inf, -1e308, -2.5, 0.0, 1e-300, 3e-300, 1.0, 1e308, inf, float("nan")]], "v double")
+    found = jobs.latency_report(odd, [], "v", [k / 9 for k in range(9)]).first()
+    assert list(found)[:9] == [-inf, -1e308, -2.5, 0.0, 1e-300, 3e-300, 1.0, 1e308, inf]
+
+
+def test_confirmed_overlays_tell_nothing(spark):
+    change = spark.createDataFrame([(r, True, kind, k, (k, "new")) for r, kind, k in [(1, "update", 1), (2, "update", 1), (3, "delete", 9), (4, "delete", 9), (5, "insert", 1)]], "request_id int, subscribed boolean, kind string, k long, new struct<k:long,v:string>")
+    state, owners = spark.createDataFrame([(1, "new")], "k long, v string"), spark.createDataFrame([(1, 1)], "k long, query_set_id int")
+    none = spark.createDataFrame([], "k long")
+    log = spark.createDataFrame([(1, 1), (3, 9), (5, 1), (4, 9), (6, 6)], "request_id int, k long")
+    confirmed = overlay.confirmed_keys(log, spark.createDataFrame([(4,)], "request_id int"), ["k"])
+    seen = lambda **o: dict(rows(overlay.mutation_landed(change, state, owners, none, ["k"], **o)))
+    assert seen() == dict.fromkeys(range(1, 6), "landed")
+    assert seen(confirmed=confirmed) == {1: "undetectable", 2: "landed", 3: "undetectable", 4: "landed", 5: "landed"}
+    assert seen(confirmed=confirmed, overlay_is_proof=True) == dict.fromkeys(range(1, 6), "landed")
 
 
 def test_null_keys_meet_in_a_diff(spark):

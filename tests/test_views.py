@@ -32,6 +32,26 @@ def test_query_sets(spark):
     assert rows(views.tags_for_table(q, "b"), "query_set_id", "query_no") == [(1, 1), (1, 2), (1, 3), (2, 1), (3, 1), (4, 1)]
 
 
+def test_tags_mind_case(spark):
+    q = spark.createDataFrame([(1, 1, "SELECT * FROM LineItem"), (1, 2, "select * from lineitem"), (1, 3, "SELECT * FROM x"), (2, 1, "SELECT * FROM LineItem"), (2, 2, "SELECT * FROM y")], "query_set_id int, query_no int, query string")
+    assert rows(views.tags_for_table(q, "lineitem"), "query_set_id", "query_no") == [(1, 2), (2, 1), (2, 2)]
+    assert rows(views.tags_for_table(q, "LineItem"), "query_set_id", "query_no") == [(1, 1), (2, 1)]
+
+
+def test_query_hash_sorts_by_utf16_units(spark):
+    from deltaloom.functions import scalars
+
+    def fnv(texts):
+        h = 2166136261
+        for t in sorted(texts, key=lambda t: t.encode("utf-16-be")):
+            for b in t.encode("utf-16-le") + b"\n":
+                h = (h ^ b) * 16777619 % 2**32
+        return h
+
+    for texts in (["b", "a"], ["\U0001f600", "\ufb00"], ["SELECT é", "SELECT e"]):  # the second pair: UTF-8 sorts the other way
+        assert spark.createDataFrame([(texts,)], "q array<string>").select(scalars.query_hash(F.col("q"))).first()[0] == fnv(texts)
+
+
 def test_draws_of_the_generator(spark):
     ensure(spark)
     ids = [3, 5, 8, 13, 21, 34, 55]
@@ -70,7 +90,7 @@ def test_feeds_count_a_batch_once(spark, tmp_path):
     feeds.owned_feed(Stream(), f"{path}/owned", ["id"], state, owners)
     got = spark.read.parquet(f"{path}/owned/events")
     assert rows(got, "txn", "query_set_id", "id", "kind") == [(1, 1, 1, "insert"), (3, 2, 1, "delete"), (3, 2, 2, "insert")]
-    feeds.ordered_apply(Stream(), f"{path}/ordered", ["id"])
+    feeds.ordered_apply(Stream(), f"{path}/ordered", ["id"], state)
     assert rows(feeds.ordered_state(spark, f"{path}/ordered", ["id"], state)) == [(2, "b")]
     assert rows(feeds.ordered_state(spark, f"{path}/none", ["id"], state)) == []
 
@@ -95,8 +115,8 @@ def test_held_mutations_spread_over_a_long_chain(spark):
     ensure(spark)
     m = spark.createDataFrame([(i, [f"k{i}", f"k{i + 1}"]) for i in range(12)] + [(50, ["other"])], "seq long, keys array<string>")
     awaited = spark.createDataFrame([("k3",)], "key string")
-    for block in (50_000, 7):  # in one block, and over several
-        assert rows(overlay.held_mutations(m, awaited, block)) == sorted([(i,) for i in range(2, 12)], key=str)
+    for plain in (0, 50):  # by doubling at once, and not at all
+        assert rows(overlay.held_mutations(m, awaited, plain)) == sorted([(i,) for i in range(2, 12)], key=str)
     unknown = m.unionAll(spark.createDataFrame([(20, None)], m.schema))
     assert (50,) in rows(overlay.held_mutations(unknown, awaited))
 
@@ -138,7 +158,19 @@ def test_held_mutations_match_a_queue(spark):
             waits |= set(keys)
             want.append((seq,))
     m = spark.createDataFrame(queue, "seq long, keys array<string>")
-    assert rows(overlay.held_mutations(m, spark.createDataFrame([("a",)], "key string"), 20)) == sorted(want, key=str)
+    assert rows(overlay.held_mutations(m, spark.createDataFrame([("a",)], "key string"), 1)) == sorted(want, key=str)
+
+
+def test_a_chain_of_100_000_takes_few_rounds(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    n, steps, write = 100_000, [], overlay.written
+    monkeypatch.setattr(overlay, "written", lambda df, name: steps.append(name) or write(df, name))
+    key = lambda c: F.concat(F.lit("k"), c.cast("string"))
+    m = spark.range(n).select(F.col("id").alias("seq"), F.array(key(F.col("id")), key(F.col("id") + 1)).alias("keys"))
+    held = overlay.held_mutations(m, spark.createDataFrame([("k10",)], "key string"))
+    assert held.agg(F.min("seq"), F.max("seq"), F.count("*")).first() == (9, n - 1, n - 9)
+    assert len(steps) < 3 * 17 + 10, "jumps of 1, 2, 4, ... once up and once down"
 
 
 def test_messages_to_state(spark):
