@@ -167,11 +167,18 @@ def bound_queue(mutations: DataFrame, most: int, strategy: str) -> DataFrame:
 
 
 def veto(mutations: DataFrame, predicate: Column) -> DataFrame:
-    """Mutations that the predicate accepts; where it is null, a mutation stays.
+    """Mutations that the predicate accepts; where it is null or fails, a mutation stays.
 
-    A predicate that can fail is to be written with try_ functions (try_cast, try_divide), whose failures are null.
+    The predicate is resolved without ANSI mode, so that a cast, a division or an index that fails is null and not the
+    end of the job; what raises an error of its own accord still does.
     """
-    return mutations.where(F.coalesce(predicate, F.lit(True)))
+    conf, name = mutations.sparkSession.conf, "spark.sql.ansi.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return mutations.where(F.coalesce(predicate, F.lit(True)))
+    finally:
+        conf.set(name, before)
 
 
 #: Rounds by keys before chains are doubled.
@@ -266,11 +273,20 @@ def replay_action(attempts: DataFrame) -> DataFrame:
     return out.withColumn("_k", F.lit(1)).join(F.broadcast(first), "_k").withColumn("attempted", F.col("first").isNull() | (F.col("seq") <= F.col("first"))).drop("_k", "first")
 
 
-def recent_failures(results: DataFrame, most: int) -> DataFrame:
-    """The last failures by seq, at most `most`, each with failed_count, the number of all of them."""
-    failed = results.where("not success")
+def recent_failures(results: DataFrame, most: int, earlier: DataFrame | None = None, queue: DataFrame | None = None) -> DataFrame:
+    """The last failures by seq, at most `most`, each with failed_count, the number of all of them.
+
+    results: those of the last pass. earlier: failures from before it. queue: what is left; a pass without failures that
+    leaves it empty clears the earlier ones.
+    """
+    now = results.where("not success")
+    failed = now if earlier is None else earlier.unionByName(now)
     total = failed.agg(F.count("*").alias("failed_count")).withColumn("_k", F.lit(1))
-    return failed.orderBy(F.desc("seq")).limit(most).withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k").drop("_k")
+    last = failed.orderBy(F.desc("seq")).limit(most).withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
+    if queue is not None:
+        left = queue.limit(1).select(F.lit(1).alias("_k")).unionByName(now.limit(1).select(F.lit(1).alias("_k"))).distinct()
+        last = last.join(F.broadcast(left), "_k", "left_semi")  # a row at most
+    return last.drop("_k")
 
 
 def sync_state(queue: DataFrame, results: DataFrame, failed_before: int = 0, connected: bool = True) -> DataFrame:

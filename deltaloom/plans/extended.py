@@ -17,7 +17,7 @@ from deltaloom.sources.scratch import ensure
 from deltaloom.streaming import feeds
 
 from .fixtures import fixture, oracle
-from .registry import KEY, ORACLE_SQL, OWNED_EVENTS, QUERIES, VISIBLE, _overlay, flat, query
+from .registry import KEY, ORACLE_SQL, OWNED_EVENTS, QUERIES, UNTIL_CHANGED, VISIBLE, _overlay, flat, query
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -447,6 +447,26 @@ def recent_failures(t):
     return overlay.recent_failures(t("events").select(F.col("event_id").alias("seq"), (F.col("event_type") != "error").alias("success")), 50).select("seq", "failed_count")
 
 
+#: What is left in the queue, and this pass's results.
+CLEARED = {"failures, queue empty": ("false", "event_id % 10 = 1"), "no failures, queue empty": ("false", "event_id % 10 = 1 AND event_type <> 'error'"), "no failures, queue left": ("true", "event_id % 10 = 1 AND event_type <> 'error'")}
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS pass, event_id AS seq FROM (SELECT event_id, row_number() OVER (ORDER BY event_id DESC) AS r FROM events WHERE event_type = 'error' AND (event_id % 10 = 0 OR ({p}))) x WHERE r <= 20 AND ({q} OR (SELECT count(*) FROM events WHERE event_type = 'error' AND {p}) > 0)" for n, (q, p) in CLEARED.items()))
+def cleared_failures(t):
+    e = t("events").select("event_id", "event_type", F.col("event_id").alias("seq"), (F.col("event_type") != "error").alias("success"))
+    earlier = e.where("event_id % 10 = 0 and not success")
+    each = [overlay.recent_failures(e.where(p), 20, earlier, t("overlay").where(q)).select(F.lit(n).alias("pass"), "seq") for n, (q, p) in CLEARED.items()]
+    return reduce(DataFrame.unionByName, each)
+
+
+@query("SELECT event_id FROM events WHERE event_id % 4 = 0 OR event_id % 4 = 3 OR (event_id % 4 = 2 AND value > 50)")
+def veto_that_fails(t):
+    # divides by zero, casts text to a number, or compares
+    e = t("events").where("value is not null")
+    fails = F.when(F.col("event_id") % 4 == 0, F.lit(1) / (F.col("event_id") % 4) > 0).when(F.col("event_id") % 4 == 3, F.col("event_type").cast("int") > 1)
+    return overlay.veto(e, fails.when(F.col("event_id") % 4 == 2, F.col("value") > 50).otherwise(F.lit(False))).select("event_id").unionByName(t("events").where("value is null and event_id % 4 in (0, 3)").select("event_id"))
+
+
 #: Filters of the queue, of what is in flight, and of the pass's results; failures before it; connection.
 PASSES = {"failures, queue left": ("true", "false", "true", 4, True), "no failures, queue empty": ("false", "false", "event_type <> 'error'", 4, True), "no failures, queue left": ("true", "false", "event_type <> 'error'", 4, False), "failures, queue empty": ("false", "false", "true", 4, True), "in flight": ("true", "o_orderkey % 22 = 0", "event_type <> 'error'", 0, True)}
 
@@ -558,13 +578,15 @@ def wire_values(t):
 # streams: each reads its input in micro-batches until there is none left, and the query returns what the sink holds
 
 
-def _streamed(rows: DataFrame, through, batches: int = 1) -> DataFrame:
+def _streamed(rows: DataFrame, through, batches: int = 1, source: str | None = None) -> DataFrame:
     """Rows written to the shared folder, streamed through an operator into files, and read back.
 
-    Several batches are in order of txn."""
+    Several batches are in order of txn, unless source has them already."""
     spark = rows.sparkSession
     sink, state = (_folder(spark, name) for name in ("sink", "progress"))
-    if batches == 1:
+    if source:
+        pass
+    elif batches == 1:
         rows.write.parquet(source := _folder(spark, "source"))
     else:
         source = _written(spark, rows, "source", batches)
@@ -579,6 +601,17 @@ def _streamed(rows: DataFrame, through, batches: int = 1) -> DataFrame:
     return spark.read.schema(schema).parquet(sink)
 
 
+@query(UNTIL_CHANGED)
+def streamed_distinct_until_changed(t):
+    h = t("history")
+    rows = h.select(F.col("user_id").alias("key"), "seq", "value")
+    source = _folder(h.sparkSession, "source")
+    middle = h.agg(F.max("seq")).first()[0] // 2
+    for part in (F.col("seq") <= middle, F.col("seq") > middle):
+        rows.where(part).coalesce(1).write.mode("append").parquet(source)
+    return _streamed(rows, feeds.distinct_until_changed, 2, source).select(F.col("key").alias("user_id"), "seq", "value")
+
+
 @query("SELECT event_id, user_id, event_type, 'insert' AS kind FROM events")
 def event_table_append(t):
     return _streamed(t("events").select("event_id", "user_id", "event_type"), feeds.event_table_append)

@@ -470,7 +470,10 @@ def procedure_results(t):
     return events.procedure_results(t("calls"), t("results")).select("request_id", "status")
 
 
-@query("SELECT user_id, seq, value FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY seq) AS p, row_number() OVER (PARTITION BY user_id ORDER BY seq) AS r FROM history) x WHERE r = 1 OR value IS DISTINCT FROM p")
+UNTIL_CHANGED = "SELECT user_id, seq, value FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY seq) AS p, row_number() OVER (PARTITION BY user_id ORDER BY seq) AS r FROM history) x WHERE r = 1 OR value IS DISTINCT FROM p"
+
+
+@query(UNTIL_CHANGED)
 def distinct_until_changed(t):
     return events.distinct_until_changed(t("history"), ["user_id"]).select("user_id", "seq", "value")
 

@@ -112,6 +112,33 @@ def late_listener(spark: SparkSession, path: str, schema: T.StructType, checkpoi
     return rows.where(F.col("batch") > after)
 
 
+class _Changed(StatefulProcessor):
+    """Holds a key's last value; tells those that differ from the one before."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "value string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        frame = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        out, held = [], self.last.exists()
+        last = self.last.get()[0] if held else None
+        for seq, value in zip(frame["seq"], frame["value"], strict=True):
+            value = None if value is None or value != value else value
+            if not held or value != last:
+                out.append((*key, seq, value))
+            last, held = value, True
+        self.last.update((last,))
+        yield pd.DataFrame(out, columns=["key", "seq", "value"])
+
+    def close(self) -> None:
+        pass
+
+
+def distinct_until_changed(stream: DataFrame) -> DataFrame:
+    """key long, seq, value text -> each key's values that differ from the one before, null a value like others."""
+    return stream.groupBy("key").transformWithStateInPandas(_Changed(), "key long, seq long, value string", "Append", "None")
+
+
 class _Own(StatefulProcessor):
     """Holds a key's owners and row (JSON text); tells when the first owner comes, the last one goes, the row changes.
 
