@@ -462,17 +462,46 @@ def jaccard_components(docs: DataFrame, size: int = 5) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_verified", F.lit(0).cast("long")).alias("n_verified"))
 
 
+def _identified(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """docs with rid, one number for each document: the doc_id, or, where texts that differ share it, a number of its own.
+
+    Also whether there are such; they get numbers below all ids. Only ids and hashes are shuffled to find them.
+    """
+    named = docs.select("doc_id", F.xxhash64("text").alias("h")).where("doc_id is not null")
+    shared = written(named.groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select(F.col("doc_id").alias("_shared")), "shared-ids")
+    if not shared.limit(1).count():
+        discard(shared)
+        return docs.withColumn("rid", F.col("doc_id").cast("long")), False
+    own = docs.join(shared, F.col("doc_id") == F.col("_shared"), "left_semi").select("doc_id", F.col("text").alias("_text")).distinct()
+    low = docs.agg(F.min("doc_id").cast("long")).first()[0]
+    own = written(own.withColumnRenamed("doc_id", "_id").withColumn("_n", F.lit(low - 1) - F.monotonically_increasing_id()), "shared-texts")
+    met = (F.col("doc_id") == F.col("_id")) & F.col("text").eqNullSafe(F.col("_text"))
+    return docs.join(own, met, "left").select(*docs.columns, F.coalesce("_n", F.col("doc_id").cast("long")).alias("rid")), True
+
+
 def keep_one_of_each(docs: DataFrame, size: int = 5) -> DataFrame:
     """Documents without the near duplicates: of each class the rows of its smallest doc_id stay, repeated rows once.
 
-    Rows with a null doc_id, or without words, all stay.
+    Rows that share a doc_id but not their text are documents of their own; of those in one class the one whose text
+    has the smallest hash stays. Of rows that differ in other columns alone, that of the smallest hash stays. Rows with a
+    null doc_id, or without words, all stay.
     """
-    classes = jaccard_components(docs, size)
-    gone = classes.where("component_id <> doc_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    # rows of one doc_id: one stays, but those without words or id, which link with nothing
-    loose = F.col("doc_id").isNull() | ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    several = classes.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    single = left.where(loose).unionByName(left.where(~loose).join(several, "doc_id", "left_anti").select(*docs.columns))
-    repeated = left.where(~loose).join(several, "doc_id", "left_semi").select(*docs.columns)
-    return single.unionByName(repeated.dropDuplicates(["doc_id"]))
+    told, shared = _identified(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"))
+    if shared:
+        told = written(told, "identified")  # so that numbers are the same wherever they are read
+    classes = jaccard_components(told.select(F.col("rid").alias("doc_id"), "text"), size)
+    if shared:
+        member = classes.where("n_shingles > 0").select(F.col("doc_id").alias("rid"), "component_id").distinct()
+        place = told.select("rid", F.struct("doc_id", F.xxhash64("text").alias("h")).alias("place")).where("rid is not null").distinct()
+        member = member.join(place, "rid")
+        kept = member.groupBy("component_id").agg(F.min_by("rid", "place").alias("kept"))
+        gone = member.join(kept, "component_id").where("rid <> kept").select("rid")
+    else:
+        gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias("rid")).distinct()
+    left = told.join(gone, "rid", "left_anti")
+    # rows of one document: one stays, but those without words or id, which link with nothing
+    loose = F.col("rid").isNull() | ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    several = classes.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("rid"))
+    single = left.where(loose).select("row").unionByName(left.where(~loose).join(several, "rid", "left_anti").select("row"))
+    repeated = left.where(~loose).join(several, "rid", "left_semi").groupBy("rid").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return single.unionByName(repeated.select("row")).select("row.*")
