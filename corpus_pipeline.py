@@ -22,7 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, that of the smallest doc_id.
 
-    Rows without words or with a null doc_id are near no other and all stay; of rows that share a doc_id one stays.
+    Rows without words or with a null doc_id are near no other and all stay. Rows that share a doc_id are one document
+    only where they share their text too.
     """
     return op2_jaccard.keep_one_of_each(docs)
 
