@@ -38,7 +38,8 @@ KINDS = ["email", "ip", "card", "phone", "secret", "iban", "identity", "name"]
 #: Words that announce a secret, given names, titles.
 SECRET_WORDS = ("password", "passwd", "passphrase", "pwd", "secret", "token", "apikey", "api_key", "api-key", "api key", "access_key", "access key", "credential", "private_key", "private key", "auth", "bearer", "contraseña", "passwort", "kennwort", "mot de passe")
 TITLES = ("Mr", "Mrs", "Ms", "Dr", "Prof", "Herr", "Frau", "Señor", "Señora", "Sra", "Monsieur", "Madame", "Mme", "my name is", "My name is")
-GIVEN = {"james", "mary", "john", "maria", "robert", "anna", "michael", "linda", "david", "sarah", "peter", "laura", "thomas", "julia", "paul", "emma", "hans", "karl", "klaus", "heike", "ursula", "stefan", "jean", "pierre", "marie", "claire", "luc", "sophie", "juan", "jose", "carlos", "carmen", "luis", "ana", "pedro", "elena"}
+OFFICES = {"president", "chairman", "chairwoman", "chair", "speaker", "secretary", "minister", "mayor", "ambassador", "judge", "justice", "who", "doctor", "professor", "director", "bundeskanzler", "kanzler", "ministre", "président", "presidente"}
+GIVEN = {"james", "mary", "john", "maria", "robert", "anna", "michael", "linda", "david", "sarah", "peter", "laura", "thomas", "julia", "paul", "emma", "hans", "karl", "klaus", "heike", "ursula", "stefan", "jean", "pierre", "marie", "claire", "luc", "sophie", "juan", "jose", "carlos", "carmen", "luis", "ana", "pedro", "elena", "william", "elizabeth", "richard", "susan", "joseph", "jessica", "charles", "karen", "daniel", "nancy", "matthew", "margaret", "anthony", "emily", "steven", "michelle", "andrew", "amanda", "kevin", "deborah", "brian", "stephanie", "george", "rebecca", "edward", "helen", "ronald", "alice", "wolfgang", "jürgen", "dieter", "günter", "monika", "petra", "sabine", "andreas", "markus", "katrin", "birgit", "ingrid", "françois", "jacques", "michel", "philippe", "nicolas", "isabelle", "nathalie", "céline", "antonio", "manuel", "francisco", "javier", "miguel", "isabel", "lucia", "sofia", "pablo", "diego"}
 #: Beginnings of secrets that services give out.
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "glpat-", "sk-", "sk_live_", "xoxb-", "xoxp-", "AIza", "eyJ")
 
@@ -46,7 +47,10 @@ PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "glpat-", "sk-", "sk_
 OBFUSCATED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63}(?:(?:\.| ?[\[(](?:dot|DOT)[\])] ?)[A-Za-z0-9-]{1,63})+")
 UNICODE_MAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]{1,64}@[\w-]{1,63}(?:\.[\w-]{1,63})+")
 NUMBER = re.compile(r"(?<![\w.+-])(?:\([0-9]{2,5}\)|[0-9])(?:[ ./-]?(?:\([0-9]{1,5}\)|[0-9])){6,18}(?![\w-])")
-VALUE = re.compile(r"(?i)(?<![a-z])(?:" + "|".join(map(re.escape, SECRET_WORDS)) + r")[\w-]{0,20}[\"']?(?:\s{0,3}(?::=|=>|=|:)\s{0,3}|\s{1,3}(?:is|ist|es|est)?\s{0,3})[\"'`]?([^\s\"'`<>,;|\[\]]{6,200})")
+#: A word for a secret may go on by a plural, an underscore, a hyphen, a digit or an upper-case letter, not as another word.
+VALUE = re.compile(r"(?<![A-Za-z])((?i:" + "|".join(map(re.escape, SECRET_WORDS)) + r"))(?:s|[_-][\w-]{0,40}|[A-Z0-9][\w-]{0,40})?(?![a-z])[\"']?(?:\s{0,3}(?P<sep>:=|=>|=|:)\s{0,3}|\s{1,3}(?i:is|ist|es|est)?\s{0,3})(?P<quote>[\"'`])?(?P<value>[^\s\"'`<>,;|\[\]]{6,})")
+#: Words whose values are chosen by people, so that they may be words themselves.
+CHOSEN = ("pass", "pwd", "contraseña", "kennwort", "mot de passe")
 #: One of these is in every word for a secret.
 SECRET_STEMS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "contraseña", "kennwort", "mot de passe")
 LONG = re.compile(r"[A-Za-z0-9+/_=-]{20}")
@@ -54,6 +58,7 @@ RANDOM = re.compile(r"(?<![\w+/=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![\w+/=-])")
 ACCOUNT = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 NATIONAL = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
 NAMED = re.compile(r"(?<!\w)(?:" + "|".join(TITLES) + r")\.? ([A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ'-]{1,30}(?: [A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ'-]{1,30}){0,2})(?!\w)")
+FULL_NAME = re.compile(r"(?<![\w-])([A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]{1,30}) [A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ'-]{1,30}(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]{1,30})?(?![\w-])")
 
 #: Words near a span that speak for its kind.
 CUES = {
@@ -118,6 +123,41 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+#: Dates and moments, which aren't numbers to call: year, month, day in either order, and what follows them.
+DATE = re.compile(r"(?:[12][0-9]{3}([-./ ])(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])|(?:0?[1-9]|[12][0-9]|3[01])([-./ ])(?:0?[1-9]|[12][0-9]|3[01])\2(?:[12][0-9]{3}|[0-9]{2}))(?![0-9])")
+#: Number of digits of national numbers' groups that countries in the given languages use.
+GROUPS = {(3, 3, 4), (1, 3, 3, 4), (3, 3, 3), (3, 2, 2, 2), (2, 2, 2, 2, 2)}
+
+
+def dated(number: str) -> bool:
+    """Whether a number is a date, alone or before or after further digits."""
+    return any(m.start() == 0 or m.end() == len(number) for m in DATE.finditer(number))
+
+
+def counted(number: str) -> bool:
+    """Whether a number is one with points for thousands, or a row of three or more round or growing ones."""
+    parts = re.findall(r"[0-9]+", number)
+    if len(parts) > 1 and "." in number and not re.search(r"[^0-9.]", number) and len(parts[0]) < 4 and all(len(p) == 3 for p in parts[1:]) and parts[0][0] != "0":
+        return True
+    even = len(parts) > 2 and len({len(p) for p in parts}) == 1 and len(parts[0]) > 2
+    return even and (all(p.endswith("00") for p in parts) or parts == sorted(parts))
+
+
+def national(number: str) -> bool:
+    """Whether a number without a country code is grouped as numbers to call are: an area in brackets, 0, or usual groups."""
+    parts = re.findall(r"[0-9]+", number)
+    if "(" in number or number[0] == "0":
+        return len(set(re.sub(r"[0-9() ]", "", number))) < 2
+    return tuple(map(len, parts)) in GROUPS and not number.endswith("000") and len(set(re.sub(r"[0-9()]", "", number))) == 1
+
+
+def secret_value(m: re.Match) -> bool:
+    """Whether a value after a word for a secret can be one: a plain word is none, but as a password that is quoted or set."""
+    value = m["value"].rstrip(".:!?)")
+    plain = value.isalpha() and (value.islower() or value.istitle() or value.isupper()) or value.count("-") and all(p.isalpha() and p.islower() for p in value.split("-"))
+    return not plain or m[1].lower().startswith(CHOSEN) and (bool(m["quote"]) or m["sep"] in ("=", ":=", "=>"))
+
+
 def loose_spans(text: str):
     """(kind, specific, start, end) of the method's own candidates; they may overlap."""
     digit = DIGIT.search(text)
@@ -127,13 +167,15 @@ def loose_spans(text: str):
         yield from ((EMAIL_KIND, True, *m.span()) for m in OBFUSCATED.finditer(text))
     for m in NUMBER.finditer(text, max(0, digit.start() - 1)) if digit else ():
         n = len(digits(m[0]))
+        if dated(m[0]) or counted(m[0]):
+            continue
         if 7 <= n <= 15 and not m[0].isdigit():
             yield PHONE_KIND, "(" in m[0], *m.span()
         elif 14 <= n <= 19:
             yield CARD_KIND, False, *m.span()
     low = text.lower()
     if any(w in low for w in SECRET_STEMS):
-        yield from ((SECRET, any(c in m[0][: m.start(1) - m.start()] for c in "=:"), *m.span(1)) for m in VALUE.finditer(text))
+        yield from ((SECRET, bool(m["sep"]), *m.span("value")) for m in VALUE.finditer(text) if secret_value(m))
     if LONG.search(text):
         yield from ((SECRET, m[0].startswith(PREFIXES), *m.span()) for m in RANDOM.finditer(text))
     if digit and "-" in text:
@@ -141,7 +183,8 @@ def loose_spans(text: str):
     if digit:
         yield from ((IBAN, True, *m.span()) for m in ACCOUNT.finditer(text) if any(c.isdigit() for c in m[0][4:]))
     if any(t in text for t in TITLES):
-        yield from ((NAME, True, *m.span(1)) for m in NAMED.finditer(text))
+        yield from ((NAME, True, *m.span(1)) for m in NAMED.finditer(text) if m[1].split()[0].lower() not in OFFICES)
+    yield from ((NAME, True, *m.span()) for m in FULL_NAME.finditer(text) if m[1].lower() in GIVEN)
 
 
 def bits(s: str) -> float:
@@ -174,7 +217,7 @@ def seen(text: str, kind: int, start: int, end: int, base: bool, specific: bool)
     elif kind == CARD_KIND:
         gazetteer, shape = vote(d.startswith(ISSUERS)), vote(luhn(d) and len(d) in (14, 15, 16, 19))
     elif kind == PHONE_KIND:
-        gazetteer, shape = (vote(d.startswith(COUNTRIES)) if span[0] == "+" else 0), vote(len(set(d)) > 2 and (base or "(" in span or len(re.findall(r"[0-9]+", span)) in (3, 4)))
+        gazetteer, shape = (vote(d.startswith(COUNTRIES)) if span[0] == "+" else 0), vote(len(set(d)) > 2 and (base or national(span)))
     elif kind == SECRET:
         kinds = sum(any(f(c) for c in span) for f in (str.isdigit, str.islower, str.isupper))
         given = span.startswith(PREFIXES)
@@ -296,7 +339,8 @@ def fit(docs: DataFrame) -> np.ndarray:
 def found(text: str, weights: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """The base's spans, and all spans: the base's and those that the classifier accepts.
 
-    Of accepted ones that overlap the one that starts first stays, of those the one of the first kind, then the shortest.
+    Of accepted ones that overlap the one that starts first stays, of those the one of the first kind; secrets that overlap
+    are one, from the first one's start to the last one's end, so that no part of one is left.
     """
     told, free = spans(text)
     base = [x[:3] for x in told]
@@ -308,6 +352,9 @@ def found(text: str, weights: np.ndarray) -> tuple[list[tuple[int, int, int]], l
         if s >= 0 and x[0] >= to:
             own.append(x[:3])
             to = x[2]
+        elif s >= 0 and x[1] == own[-1][1] == SECRET and x[2] > to:
+            own[-1] = (*own[-1][:2], x[2])
+            to = x[2]
     return base, sorted([*base, *own])
 
 

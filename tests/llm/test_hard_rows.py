@@ -193,6 +193,39 @@ def test_planted_personal_data(spark):
     assert text.columns == ["doc_id", "text"]
 
 
+LEFT_ALONE = [
+    "on 2024-01-15 we met", "12/31/1999 was the day", "at 2024-11-05 10 sharp", "born 12.03.1984 in town", "from 100 200 300 400 on", "parts 1000-2000-3000 of it", "costs 12.345.678 in all", "call on 15.01.2024 at noon", "build 10.15.7.19042 is out",
+    "authors: Johnson and others", "secretary: Margaret was there", "auth: required by all", "token: distribution of words", "tokens are distributed as 3.5 percent", "AUTHORS: JOHNSON", "api key: see-the-manual", "secret: nobody knows",
+    "Dr. Who came by", "Mr. President spoke",
+]
+NAMES = ["Dr. Meier called", "Anna Meier lives in Berlin", "signed by Pedro Sanchez-Lopez today"]
+
+
+def test_dates_words_and_long_secrets(spark):
+    """Dates, rows of numbers and words are left as they are; secrets of any length go whole."""
+    rng = random.Random(8)
+    draw = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    secrets = [draw(n) for n in (40, 199, 201, 300, 600, 5000)]
+    forms = ['token = "{}" was left', "the password={} is", "secret: {}", "auth_token := '{}'", "apiKey={} and"]
+    planted = [f.format(x) for x in secrets for f in forms]
+    other = [fill(p, rng) for p, _ in PLANTED * 12] + [f"mail {w}@example.org or +1 (988) 555-2485 from 10.1.2.3" for w in ("ann", "bob", "eve")] * 50
+    texts = [*planted, *LEFT_ALONE, *NAMES, *other]
+    got = {r["doc_id"]: r["text"] for r in op7_pii.redacted(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, (x, text) in enumerate(zip([x for x in secrets for _ in forms], planted, strict=True)):
+        assert got[k] == text.replace(x, "[secret]"), text[:60]
+    for k, text in enumerate(LEFT_ALONE, len(planted)):
+        assert got[k] == text
+    assert all("[name]" in got[k] for k in range(len(planted) + len(LEFT_ALONE), len(planted) + len(LEFT_ALONE) + len(NAMES)))
+
+
+def test_overlapping_secrets_are_one():
+    x = "Zk9" * 10
+    text = f"secret={x}.{x} and"  # the value after the word goes on behind the long run of letters and digits
+    _, free = op7_pii.spans(text)
+    weights = np.zeros(op7_pii._inputs([free[0][3]]).shape[1])  # accepts all
+    assert op7_pii.found(text, weights)[1] == [(7, op7_pii.SECRET, len(text) - 4)]
+
+
 def test_licence_labels(spark):
     assert op10_licenses.identifier_label("mitigation") is None and op10_licenses.identifier_label("gpl-2.0+") == "gpl"
     assert op10_licenses.identifier_label("cc-by-sa-4.0") == "cc-by-sa" and op10_licenses.identifier_label("mit") == "mit"
