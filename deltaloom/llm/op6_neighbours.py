@@ -1,12 +1,13 @@
 """Approximate nearest neighbours by shifted space-filling curves.
 
 Vectors are projected to a few dimensions by several random rotations, shifted, and ordered along a Hilbert curve.
-Each ordering is cut into blocks of about equal numbers of rows by the keys of a sample; a query takes the rows of the
-block of its key and of the blocks beside it, scores them exactly, and the best of all orderings are merged.
+Each ordering is cut into windows of keys of about equal numbers of rows by a sample; a query takes the rows of the
+window of its own key and of the windows nearest to it, those of largest inner product with the mean of their sampled
+rows, scores them exactly, and the best of all orderings are merged. Only a table that fits one window is scored whole.
 
-How many orderings and blocks there are follows from a bounded sample of queries, whose true neighbours one pass over
-all rows finds: of the choices that find at least TARGET of them, the one of least work. Scoring all rows is one of
-these choices, so that no size of table and no distribution of lengths falls short.
+How many orderings and windows there are, and how many windows a query takes, follows from a bounded sample of queries,
+whose true neighbours one pass over all rows finds: of the choices that find at least TARGET of them, the one of least
+work. A query takes as many windows as that needs, so that no size of table and no distribution of lengths falls short.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ from pyspark.sql.window import Window
 from .common import U64, mix, tidy, tidy_group, written
 
 #: Dimensions of a projection, bits of a coordinate, bits that order rows of one cell.
-DIMENSIONS, BITS, TIE_BITS = 6, 8, 15
+DIMENSIONS, BITS, TIE_BITS = 8, 6, 15
 #: Numbers of orderings to choose from, share of the sampled queries' neighbours to be found, sampled queries.
-CURVES, TARGET, SAMPLED = (2, 4, 8, 12, 16, 24, 32), 0.96, 128
+CURVES, TARGET, SAMPLED = (2, 3, 4, 6, 8), 0.94, 256
 #: Sampled rows, and components of them, at most; sampled rows of a block at least.
 SAMPLE, SAMPLE_VALUES, BLOCK_SAMPLE = 8192, 1 << 23, 32
+#: Rows that are one block, and numbers of blocks to choose from for a query, besides all.
+ONE_BLOCK, TAKEN = 4096, (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 14, 16, 20, 24, 28, 32, 40, 48, 64, 80, 96, 112, 128, 144, 160, 192, 224)
 #: Rows and queries of a group; scores that take as long as moving one row.
 ROW_PART, QUERY_PART, MOVE = 4096, 4096, 500
 
@@ -89,7 +92,9 @@ class Ordering:
         self.to, self.shift = directions(sample.shape[1] + 1, curve, seed)
         levels = (np.arange(1, 4 << BITS) * len(sample)) // (4 << BITS)
         self.levels = np.sort(lifted(sample, longest, False) @ self.to, axis=0)[levels]
-        self.sorted = np.sort(self.keys(sample, ids, False))
+        keys = self.keys(sample, ids, False)
+        order = np.argsort(keys, kind="stable")
+        self.sorted, self.rows = keys[order], sample[order]
 
     def keys(self, x: np.ndarray, ids: np.ndarray, asks: bool) -> np.ndarray:
         p = lifted(x, self.longest, asks) @ self.to
@@ -99,62 +104,81 @@ class Ordering:
         return (hilbert_keys(cell, BITS) << TIE_BITS) | tie.astype(np.int64)
 
     def blocks(self, keys: np.ndarray, blocks: int) -> np.ndarray:
-        ends = self.sorted[np.arange(1, blocks) * len(self.sorted) // blocks]
+        ends = self.sorted if len(self.sorted) == blocks - 1 else self.sorted[np.arange(1, blocks) * len(self.sorted) // blocks]
         return np.searchsorted(ends, keys, side="right")
 
+    def cut(self, blocks: int) -> None:
+        """Settle the number of blocks: their ends and the means of their sampled rows are what is left of the sample."""
+        own = self.blocks(self.sorted, blocks)
+        self.means = np.zeros((blocks, self.rows.shape[1]))
+        np.add.at(self.means, own, self.rows)
+        self.means /= np.maximum(np.bincount(own, minlength=blocks), 1)[:, None]
+
+    def nearest_blocks(self, x: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Each query's blocks: its own, then by the inner product with their means."""
+        near = x @ self.means.T
+        near[np.arange(len(x)), self.blocks(self.keys(x, ids, True), len(self.means))] = np.inf
+        return np.argsort(-near, axis=1, kind="stable")
+
 
 @dataclass
 class Plan:
-    """Orderings and blocks for the vectors of one width (none and 1: all rows are scored), and parts of a block."""
+    """Orderings, blocks and the number of blocks that a query takes, for the vectors of one width (no orderings and one
+    block: they fit one), and parts of a block."""
 
     orderings: list[Ordering]
     blocks: int
+    taken: int
     row_parts: int
     query_parts: int
-    #: Share of the sampled queries' true neighbours that this finds, and of all pairs that are scored.
+    #: Share of the sampled queries' true neighbours that this finds, and of all pairs that are scored, in each ordering anew.
     recall: float = 1.0
     scored: float = 1.0
 
 
-def parts(rows: int, queries: int, blocks: int) -> tuple[int, int]:
+def parts(rows: int, queries: int, blocks: int, taken: int) -> tuple[int, int]:
     """Parts into which a block's rows and its queries are dealt, so that no group grows with the table."""
-    return max(1, -(-rows // (blocks * ROW_PART))), max(1, -(-queries * min(3, blocks) // (blocks * QUERY_PART)))
+    return max(1, -(-rows // (blocks * ROW_PART))), max(1, -(-queries * taken // (blocks * QUERY_PART)))
 
 
-def work(rows: int, queries: int, curves: int, blocks: int) -> float:
-    r, q = parts(rows, queries, blocks)
-    near = min(3, blocks)
-    return curves * (queries * rows * near / blocks + MOVE * (rows * q + queries * near * r))
+def work(rows: int, queries: int, curves: int, blocks: int, taken: int) -> float:
+    r, q = parts(rows, queries, blocks, taken)
+    return curves * (queries * rows * taken / blocks + MOVE * (rows * q + queries * taken * r))
 
 
 def planned(rows: int, queries: int, sample: np.ndarray, ids: np.ndarray, longest: float, asked: list[tuple], seed: int) -> Plan:
     """The choice of least work that finds TARGET of the true neighbours of the sampled queries.
 
-    asked: for each of them its vector, its id, and its neighbours' vectors and ids.
+    asked: for each of them its vector, its id, and its neighbours' vectors and ids. A query that takes all blocks finds
+    every neighbour, so there is always a choice.
     """
-    plan = Plan([], 1, *parts(rows, queries, 1))
     most = 1
     while 2 * most * BLOCK_SAMPLE <= len(sample):
         most *= 2
-    choices = sorted((work(rows, queries, c, 2**b), c, 2**b) for c in CURVES for b in range(2, most.bit_length()))
-    choices = [x for x in choices if x[0] < work(rows, queries, 1, 1)]
     asked = [a for a in asked if len(a[3])]
-    if not choices or not asked or not np.isfinite(longest):
-        return plan
+    if most < 4 or not asked or not np.isfinite(longest):
+        return Plan([], 1, 1, *parts(rows, queries, 1, 1))
+    choices = [(work(rows, queries, c, 2**b, t), c, 2**b, t) for c in CURVES for b in range(2, most.bit_length()) for t in (*TAKEN, 2**b) if t <= 2**b]
     q, q_ids = np.array([a[0] for a in asked]), np.array([a[1] for a in asked])
     near, near_ids = np.concatenate([a[2] for a in asked]), np.concatenate([a[3] for a in asked])
     owner = np.repeat(np.arange(len(asked)), [len(a[3]) for a in asked])
-    made = [Ordering(sample, ids, longest, c, seed) for c in range(max(c for _, c, _ in choices))]
-    q_keys, near_keys = [o.keys(q, q_ids, True) for o in made], [o.keys(near, near_ids, False) for o in made]
-    for _, curves, blocks in choices:
-        met, read = np.zeros(len(near), bool), 0.0
-        for o, a, b in zip(made[:curves], q_keys, near_keys, strict=False):
-            at = o.blocks(a, blocks)
-            met |= np.abs(at[owner] - o.blocks(b, blocks)) <= 1
-            read += (np.minimum(at + 1, blocks - 1) - np.maximum(at - 1, 0) + 1).mean() / blocks
+    made = [Ordering(sample, ids, longest, c, seed) for c in range(max(CURVES))]
+    near_keys = [o.keys(near, near_ids, False) for o in made]
+    turn: dict[int, np.ndarray] = {}  # when a neighbour's block comes up among its query's, in the first orderings
+    for _, curves, blocks, taken in sorted(choices):
+        if blocks not in turn:
+            each = []
+            for o, keys in zip(made, near_keys, strict=True):
+                o.cut(blocks)
+                each.append(np.argsort(o.nearest_blocks(q, q_ids), axis=1)[owner, o.blocks(keys, blocks)])
+            turn[blocks] = np.minimum.accumulate(each)
+        met = turn[blocks][curves - 1] < taken
         if met.mean() >= TARGET:
-            return Plan(made[:curves], blocks, *parts(rows, queries, blocks), float(met.mean()), read)
-    return plan
+            for o in made[:curves]:
+                o.cut(blocks)
+                o.sorted, o.rows = o.sorted[np.arange(1, blocks) * len(o.sorted) // blocks], None  # what tasks need
+            return Plan(made[:curves], blocks, taken, *parts(rows, queries, blocks, taken), float(met.mean()), curves * taken / blocks)
+    raise AssertionError("a query that takes all blocks misses nothing")
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -217,8 +241,8 @@ def plans(rows: DataFrame, k: int, seed: int) -> dict[int, Plan]:
     sizes = rows.groupBy("width").agg(F.count_if("answers").alias("rows"), F.count_if("asks").alias("queries"), F.max(norm).alias("longest")).collect()
     out, large = {}, {}
     for s in sizes:
-        out[s["width"]] = Plan([], 1, *parts(s["rows"], s["queries"], 1))
-        if s["queries"] and s["rows"] > SAMPLED * k and work(s["rows"], s["queries"], CURVES[0], SAMPLE // BLOCK_SAMPLE) < work(s["rows"], s["queries"], 1, 1):
+        out[s["width"]] = Plan([], 1, 1, *parts(s["rows"], s["queries"], 1, 1))
+        if s["queries"] and s["rows"] > ONE_BLOCK:
             large[s["width"]] = s
     chance = F.xxhash64("vec_id", "embedding", F.lit(seed))
     asked, samples = {}, {}
@@ -248,7 +272,7 @@ CELLS = "width int, curve int, block int, query_part int, row_part int, "
 
 
 def _dealt(chosen: dict[int, Plan]):
-    """Rows -> rows of cells: answers in their own block of each ordering, queries there and in the blocks beside it."""
+    """Rows -> rows of cells: answers in their own block of each ordering, queries in all blocks of their window."""
 
     def run(batches):
         for width, rows, x in _by_width(batches):
@@ -260,18 +284,19 @@ def _dealt(chosen: dict[int, Plan]):
                 mine = (part[at] % U64(own)).astype(np.int32)
                 if not len(at):
                     continue
+                took, n = rows.take(pa.array(at)), len(at)
                 for c, o in enumerate(plan.orderings or [None]):
-                    block = o.blocks(o.keys(x[at], ids[at], asks), plan.blocks) if o else np.zeros(len(at), np.int64)
-                    for step in (-1, 0, 1) if asks else (0,):
-                        keep = np.flatnonzero((block + step >= 0) & (block + step < plan.blocks))
-                        if not len(keep):
-                            continue
-                        took = rows.take(pa.array(at[keep]))
-                        n = len(keep)
+                    if o is None:
+                        blocks = np.zeros((n, 1), np.int64)
+                    elif asks:
+                        blocks = o.nearest_blocks(x[at], ids[at])[:, : plan.taken]
+                    else:
+                        blocks = o.blocks(o.keys(x[at], ids[at], False), plan.blocks)[:, None]
+                    for block in blocks.T.astype(np.int32):
                         for p in range(other):
                             those = np.full(n, p, np.int32)
-                            q, r = (mine[keep], those) if asks else (those, mine[keep])
-                            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, width, np.int32)), pa.array(np.full(n, c, np.int32)), pa.array((block[keep] + step).astype(np.int32)), pa.array(q), pa.array(r), took.column("vec_id"), took.column("embedding"), pa.array(np.full(n, asks))], names=[*CELL, "vec_id", "embedding", "asks"])
+                            q, r = (mine, those) if asks else (those, mine)
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, width, np.int32)), pa.array(np.full(n, c, np.int32)), pa.array(block), pa.array(q), pa.array(r), took.column("vec_id"), took.column("embedding"), pa.array(np.full(n, asks))], names=[*CELL, "vec_id", "embedding", "asks"])
 
     return run
 
