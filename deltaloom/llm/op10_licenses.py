@@ -25,13 +25,60 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
     "cc by sa": "cc-by-sa",
     "cc by nd": "cc-by-nd",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "creative commons attribution share alike": "cc-by-sa",
+    "creative commons attribution noderivatives": "cc-by-nd",
+    "creative commons zero": "public-domain",
+    "cc0": "public-domain",
     "public domain": "public-domain",
+    "this is free and unencumbered software released into the public domain": "public-domain",
+    "permission is hereby granted free of charge": "mit",
+    "redistribution and use in source and binary forms": "bsd",
+    "permission to use copy modify and or distribute this software": "isc",
+    "isc license": "isc",
+    "gnu gpl": "gpl",
+    "gpl v2": "gpl",
+    "gpl v3": "gpl",
+    "gpl version 2": "gpl",
+    "gpl version 3": "gpl",
+    "gplv2": "gpl",
+    "gplv3": "gpl",
+    "gnu lgpl": "lgpl",
+    "lgpl v2 1": "lgpl",
+    "lgpl v3": "lgpl",
+    "lgplv2 1": "lgpl",
+    "lgplv3": "lgpl",
+    "gnu agpl": "agpl",
+    "agpl v3": "agpl",
+    "agplv3": "agpl",
+    "boost software license": "bsl",
+    "zlib license": "zlib",
+    "university of illinois ncsa": "ncsa",
+    "postgresql license": "postgresql",
+    "python software foundation license": "psf",
+    "universal permissive license": "upl",
+    "academic free license": "afl",
+    "artistic license": "artistic",
+    "eclipse public license": "epl",
+    "european union public licence": "eupl",
+    "common development and distribution license": "cddl",
+    "microsoft public license": "ms-pl",
+    "sil open font license": "ofl",
+    "open database license": "odbl",
+    "server side public license": "sspl",
+    "business source license": "busl",
+    "elastic license": "elastic",
     "proprietary and confidential": "proprietary",
     "spdx license identifier": "spdx",
 }
 OPENNESS = {"mit": 1.0, "apache": 1.0, "bsd": 1.0, "public-domain": 1.0, "cc-by": 0.9, "mpl": 0.7, "lgpl": 0.6, "cc-by-sa": 0.6, "gpl": 0.4, "agpl": 0.3, "cc-by-nd": 0.3, "cc-by-nc": 0.2, "reserved": 0.0, "proprietary": 0.0}
+OPENNESS |= {"isc": 1.0, "bsl": 1.0, "zlib": 1.0, "ncsa": 1.0, "postgresql": 1.0, "psf": 1.0, "upl": 1.0, "afl": 1.0, "artistic": 0.8, "ms-pl": 0.8, "ofl": 0.8, "epl": 0.6, "cddl": 0.6, "eupl": 0.5, "odbl": 0.5, "sspl": 0.2, "busl": 0.1, "elastic": 0.1}
 #: Licence identifiers, or what one starts with before a hyphen, and the labels that they stand for, the longest first.
 IDENTIFIERS = {"mit": "mit", "apache": "apache", "bsd": "bsd", "0bsd": "bsd", "mpl": "mpl", "lgpl": "lgpl", "agpl": "agpl", "gpl": "gpl", "cc-by-nc": "cc-by-nc", "cc-by-sa": "cc-by-sa", "cc-by-nd": "cc-by-nd", "cc-by": "cc-by", "cc0": "public-domain", "unlicense": "public-domain"}
+IDENTIFIERS |= {"isc": "isc", "bsl": "bsl", "zlib": "zlib", "ncsa": "ncsa", "postgresql": "postgresql", "python": "psf", "psf": "psf", "upl": "upl", "afl": "afl", "artistic": "artistic", "ms-pl": "ms-pl", "ofl": "ofl", "epl": "epl", "cddl": "cddl", "eupl": "eupl", "odbl": "odbl", "sspl": "sspl", "busl": "busl", "elastic": "elastic"}
+#: Exceptions that let more be done with a text than its licence alone, by what they start with, and how much more.
+EXCEPTIONS, LOOSER = ("classpath", "gcc", "llvm", "linux-syscall", "bison", "autoconf", "font", "openssl", "openjdk-assembly", "bootloader", "libtool", "freertos", "qt-gpl", "qt-lgpl", "swift", "wxwindows", "ecos", "u-boot", "universal-foss", "ocaml-lgpl-linking", "lgpl-3.0-linking", "gstreamer"), 0.2
 TAG = "spdx license identifier"
 
 #: Bytes that end a word become spaces, A-Z become a-z.
@@ -48,7 +95,7 @@ def identifier_label(word: str) -> str | None:
 def expression_labels(text: str) -> tuple[list[str], float] | None:
     """Labels that a licence expression names, and its openness: or takes the most open side, and the least open.
 
-    A with-exception leaves its licence's openness. Operators in order of strength: with, and, or. None if it can't be
+    A known exception makes its licence more open, others leave it as it is. Operators in order of strength: with, and, or. None if it can't be
     parsed; reading stops at the first word that can't continue the expression.
     """
     strength = {"or": 1, "and": 2, "with": 3}
@@ -61,7 +108,7 @@ def expression_labels(text: str) -> tuple[list[str], float] | None:
         if op == "(" or len(values) < 2:
             return False
         b, a = values.pop(), values.pop()
-        values.append({"or": max, "and": min}[op](a, b) if op != "with" else a)
+        values.append({"or": max, "and": min, "with": lambda x, more: min(1.0, x + more)}[op](a, b))
         return True
 
     wanted = True
@@ -73,7 +120,7 @@ def expression_labels(text: str) -> tuple[list[str], float] | None:
             exception = bool(waiting) and waiting[-1] == "with"
             if name and not exception:
                 labels.append(name)
-            values.append(OPENNESS.get(name, 0.5) if not exception else 1.0)
+            values.append(OPENNESS.get(name, 0.5) if not exception else LOOSER * word.startswith(EXCEPTIONS))
             wanted = False
         elif not wanted and word in strength:
             while waiting and waiting[-1] != "(" and strength[waiting[-1]] >= strength[word]:
@@ -123,11 +170,13 @@ def _scan(batches):
                 # spaces before a phrase are words before it
                 spaces = np.flatnonzero(np.frombuffer(joined.encode("latin-1"), np.uint8) == 32) if met else None
                 places = np.searchsorted(spaces, [end - len(phrase) - 1 for end, phrase in met]).tolist() if met else []
+                longest: dict[int, str] = {}  # of phrases that start at a word
                 for start, (_, phrase) in zip(places, met, strict=True):
                     found.append((start, phrase))
                     if phrase in BASE:
                         base.append((start, BASE[phrase]))
-                    own.add(PHRASES.get(phrase) or BASE[phrase])
+                    longest[start] = max(longest.get(start, ""), phrase, key=len)
+                own.update(PHRASES.get(p) or BASE[p] for p in longest.values())
                 scores = [OPENNESS[x] for x in own if x in OPENNESS]
                 if TAG in (p for _, p in found):
                     for m in EXPRESSION.finditer(raw[at[i] : at[i + 1]]):
@@ -146,7 +195,9 @@ def license_notices(docs: DataFrame) -> DataFrame:
     Columns: doc_id, n_words, n_base (places of the base phrases), first_word and last_word (their smallest and
     largest start; else null), base_labels and labels (with those of the other phrases and of identifier tags), score
     (how openly the text may be used, by the strictest notice, an expression counting as a whole; 0.5 without any),
-    notices (word:phrase). Null and empty texts have no words. Repeated rows give a row each; other columns are ignored.
+    notices (word:phrase). Of the method's phrases that start at one word the longest gives a label; the base's all count.
+    Null and empty texts have no words; texts are whole, however long. Repeated rows give a row each; other columns,
+    whatever their names, are ignored. An empty table gives none.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(tidy(_scan), "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, notices array<string>")

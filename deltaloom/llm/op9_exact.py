@@ -20,6 +20,8 @@ from .common import discard, tidy, written
 
 #: Components of a block's queries, queries whose scores are held at once, candidates that are scored together.
 BLOCK_VALUES, AT_ONCE, ROW_BLOCK = 1 << 21, 256, 4096
+#: Blocks of queries that are broadcast at a time.
+ROUND = 8
 #: Sums of absolute products below this fit 64 bits whatever the rounding of the bound; others are added as Python integers.
 NARROW = float(1 << 62)
 #: Stands for lower scores too; as an answer it is refused.
@@ -131,7 +133,8 @@ def exact_top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int =
     of components; an answer whose score doesn't fit 64 bits is an error, as in SQL. A vector that lacks terms has weight 0
     there, an empty one everywhere. Repeated rows are candidates each; a query id that is there more than once is asked
     once for each different vector, and the best of all are its answer. An empty table gives none; other columns are
-    ignored. Each block of queries is one pass over the rows, so passes grow with the queries, not with the rows.
+    ignored. Each block of queries is one pass over the rows, so passes grow with the queries, not with the rows. At most
+    ROUND blocks are broadcast at a time; where there are more, a round's best are written and its blocks given up.
     """
     # whole but still doubles, as those of 2**63 and more aren't longs; from 2**53 on all doubles are whole
     floor = lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x)
@@ -142,16 +145,25 @@ def exact_top_k(vectors: DataFrame, every: int = 100, k: int = 10, scale: int =
     facts = queries.agg(F.coalesce(F.sum(F.size("v") + 1), F.lit(0))).first()[0]
     blocks = max(1, -(-facts // BLOCK_VALUES))
     queries = written(queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")), "queries")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = lambda df: df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     found = None
-    for block in range(blocks):
-        few = queries.where(F.col("block") == block).select("vec_id", "v").toArrow()  # about BLOCK_VALUES components
-        if few.num_rows:
-            held = rows.sparkSession.sparkContext.broadcast((_rows(few.column("v")), few.column("vec_id").to_numpy()))
-            some = rows.mapInArrow(tidy(_search(held, k)), "query_id long, vec_id long, score long")
+    for first in range(0, blocks, ROUND):
+        held, some = [], None
+        for block in range(first, min(first + ROUND, blocks)):
+            few = queries.where(F.col("block") == block).select("vec_id", "v").toArrow()  # about BLOCK_VALUES components
+            if few.num_rows:
+                held.append(rows.sparkSession.sparkContext.broadcast((_rows(few.column("v")), few.column("vec_id").to_numpy())))
+                more = rows.mapInArrow(tidy(_search(held[-1], k)), "query_id long, vec_id long, score long")
+                some = more if some is None else some.unionAll(more)
+        if some is not None and blocks > ROUND:
+            some = written(best(some).drop("rank"), "answers")
+            for block in held:
+                block.destroy()
+        if some is not None:
             found = some if found is None else found.unionAll(some)
     discard(queries)
     if found is None:
         found = rows.sparkSession.createDataFrame([], "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     fits = F.when(F.col("score") == LOWEST, F.raise_error(F.lit("a score doesn't fit 64 bits")).cast("long")).otherwise(F.col("score"))
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", fits.alias("score"))
+    return best(found).select("query_id", "rank", "vec_id", fits.alias("score"))

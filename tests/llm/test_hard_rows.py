@@ -238,6 +238,41 @@ def test_licence_labels(spark):
     assert (out[3]["n_base"], out[3]["first_word"], out[3]["last_word"]) == (20_000, 0, 39_998)
 
 
+def test_public_licences(spark):
+    texts = ["under the GNU GPL v3 only", "GPLv2 or later", "Permission is hereby granted, free of charge, to any person", "SPDX-License-Identifier: ISC", "Creative Commons Attribution-ShareAlike 4.0", "the GNU Lesser General Public License", "SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", "SPDX-License-Identifier: GPL-2.0-only WITH unknown-exception", "the Elastic License", "a boost for software"]
+    out = {r["doc_id"]: r for r in op10_licenses.license_notices(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [out[i]["labels"] for i in range(10)] == ["gpl", "gpl", "mit", "isc,spdx", "cc-by-sa", "gpl,lgpl", "gpl,spdx", "gpl,spdx", "elastic", ""]
+    assert [round(out[i]["score"], 6) for i in (3, 6, 7, 9)] == [1.0, 0.6, 0.4, 0.5]
+    assert out[5]["base_labels"] == "gpl"
+    long = "word " * 400_000 + "mit license " + "word " * 400_000
+    assert [r["labels"] for r in op10_licenses.license_notices(spark.createDataFrame([(1, long)], "doc_id long, text string")).collect()] == ["mit"]
+    assert op10_licenses.license_notices(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rounds_of_queries(spark, monkeypatch):
+    """More blocks of queries than are broadcast at a time: the same answers, and no more broadcasts held than a round has."""
+    rng = np.random.default_rng(4)
+    rows = [(i // 3 if i % 50 == 0 else i, rng.normal(size=5).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ask = lambda: sorted(map(tuple, op9_exact.exact_top_k(df, every=4).collect()))
+    want = ask()
+    held, most = set(), [0]
+    make = type(spark.sparkContext).broadcast
+
+    def counted(sc, value):
+        b = make(sc, value)
+        held.add(id(b))
+        most[0] = max(most[0], len(held))
+        end = b.destroy
+        b.destroy = lambda *a: held.discard(id(b)) or end(*a)
+        return b
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
+    monkeypatch.setattr(op9_exact, "BLOCK_VALUES", 30)
+    monkeypatch.setattr(op9_exact, "ROUND", 3)
+    assert ask() == want and 0 < most[0] <= 3
+
+
 def test_no_local_folder_on_a_cluster():
     class Conf(dict):
         def get(self, k, d=None):

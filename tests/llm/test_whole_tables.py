@@ -183,6 +183,34 @@ def test_backoff_scores(spark, docs):
         assert got[i]["n_words"] == len(w) and got[i]["log_score"] == pytest.approx(log, rel=1e-9, abs=1e-9)
 
 
+def test_licence_labels_and_scores(spark, docs):
+    """Labels and scores by looking for every phrase at every word."""
+    from deltaloom.llm import op10_licenses as op10
+
+    phrases = {p: tuple(p.split()) for p in {*op10.BASE, *op10.PHRASES}}
+    tag = re.compile(r"(?i)spdx-license-identifier:[ \t]*([A-Za-z0-9.+:() \t-]*)")
+    got, told = by_doc(queries.op10_license_notices(spark, SF)), 0
+    for i, r in docs.items():
+        text = r["text"] or ""
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
+        base, own = set(), set()
+        for k in range(len(words)):
+            here = [p for p, w in phrases.items() if w[0] == words[k] and tuple(words[k : k + len(w)]) == w]
+            base |= {op10.BASE[p] for p in here if p in op10.BASE}
+            if here:
+                longest = max(here, key=len)
+                own.add(op10.PHRASES.get(longest) or op10.BASE[longest])
+        scores = [op10.OPENNESS[x] for x in own if x in op10.OPENNESS]
+        for m in tag.finditer(text) if "spdx" in own else ():
+            if value := op10.expression_labels(m[1]):
+                own |= set(value[0])
+                scores.append(value[1])
+        assert got[i]["base_labels"] == ",".join(sorted(base)) and got[i]["labels"] == ",".join(sorted(base | own))
+        assert got[i]["score"] == (min(scores) if scores else 0.5)
+        told += bool(own)
+    assert told
+
+
 def test_exact_top_k_is_its_sql(spark):
     import duckdb
 
