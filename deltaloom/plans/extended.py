@@ -37,6 +37,18 @@ def read_state(t):
     return good.withColumn("unreadable", F.lit(0).cast("long")).unionByName(none)
 
 
+@query("SELECT c_custkey AS request_id, 'call' || c_nationkey AS reducer FROM customer WHERE c_custkey % 4 <> 0")
+def import_legacy_queue(t):
+    """Queue files that are one JSON array each, a nation's customers in each; every fourth call is dequeued afterwards."""
+    c = t("customer")
+    path = _folder(c.sparkSession, "queues")
+    call = F.struct(F.col("c_custkey").cast("string").alias("requestId"), F.concat(F.lit("call"), "c_nationkey").alias("reducerName"))
+    c.groupBy("c_nationkey").agg(F.to_json(F.collect_list(call)).alias("value")).write.partitionBy("c_nationkey").text(path)
+    lines = tables.import_legacy_queue(c.sparkSession, f"{path}/*/*.txt")
+    gone = c.where("c_custkey % 4 = 0").select(F.lit(2**62).alias("seq"), F.format_string('{"op":"dequeue","requestId":"%d"}', "c_custkey").alias("line"))
+    return tables.replay_journal(lines.unionByName(gone)).select(F.col("request_id").cast("long").alias("request_id"), F.col("mutation.reducerName").alias("reducer"))
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders_base WHERE o_orderkey % 13 <> 0")
 def write_state(t):
     p, root = t("prices"), _folder(t("prices").sparkSession, "state")
