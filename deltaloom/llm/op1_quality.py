@@ -130,7 +130,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     """doc_id, held_out, score (0 to 1) and predicted (score >= 0.5) of every row of docs.
 
     Null texts count as empty; empty texts get a score like others. Without labels of both kinds every score is 0.5.
-    Repeated rows are scored each; other columns are ignored. labels, lang, source and doc_id are no inputs of a score.
+    Texts are read whole, however long. Repeated rows are scored each; other columns, whatever their names, are ignored.
+    An empty table gives no rows. A repeated document with both labels is learned under both. labels, lang, source and doc_id are no inputs of a score.
     """
     model = fit(docs, labels, sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))

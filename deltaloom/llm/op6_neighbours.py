@@ -329,7 +329,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, seed: int = 3) ->
     All rows are indexed; those with a null id, or a null, empty or zero vector, or one with null or non-finite components,
     take no part. A row that is there more than once answers once. Of rows with equal vectors the k + 1 smallest ids answer: no others can be among the k. Scores are
     inner products of the original vectors in double precision; ties go to the smaller id. Vectors of different
-    widths don't meet. Other columns are ignored. Orderings and blocks are chosen so that at least TARGET of the true
+    widths don't meet. Other columns, whatever their names, are ignored; an empty table gives no rows. Orderings and blocks are chosen so that at least TARGET of the true
     neighbours of sampled queries are found, whatever the rows and the number of partitions.
     """
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))

@@ -173,7 +173,8 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     that other documents have, times 0.4 for each step back; a word that no other document has counts as one
     among all words. Counts are over all documents; a copy in another row counts as another document. Null and empty
     texts have no words and score 0. seen_share: share of the words that were scored by the longest n-gram that ends
-    there, without a step back. Other columns are ignored.
+    there, without a step back. Texts are whole: one of more than CHUNK bytes is a chunk of its own. Repeated rows give a
+    row each. Other columns, whatever their names, are ignored. An empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     chunks = written(rows.mapInArrow(tidy(_chunks), CHUNK_SCHEMA), "chunks")

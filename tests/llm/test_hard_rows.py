@@ -6,8 +6,9 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from deltaloom.llm import common, op2_jaccard, op3_mixing, op4_substrings, op5_packing, op6_neighbours, op7_pii, op9_exact, op10_licenses
+from deltaloom.llm import common, op1_quality, op2_jaccard, op3_mixing, op4_substrings, op5_packing, op6_neighbours, op7_pii, op8_backoff, op9_exact, op10_licenses
 from deltaloom.llm.suffix_arrays import induce, induce_by_scan, permuted_common_prefixes, suffix_array
 from test_whole_tables import removed
 
@@ -27,6 +28,31 @@ def test_clashing_names(spark, clashing, run):
     assert run(clashing).select("doc_id").distinct().count() == 5
 
 
+def test_clashing_names_of_scores_and_vectors(spark, clashing):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1)], "doc_id long, quality int")
+    assert op1_quality.quality_scores(clashing.withColumns({"quality": F.lit(1), "score": F.lit(2), "x": F.lit(3)}), labels).count() == 6
+    assert op8_backoff.backoff_scores(clashing.withColumns({c: F.lit(1) for c in ("chunk", "ids", "bytes", "answers", "totals", "part")})).count() == 6
+    vectors = spark.createDataFrame([(k, [float(k % 5), 1.0]) for k in range(40)], "vec_id long, embedding array<double>")
+    names = "width, asks, answers, alike, curve, block, query_part, row_part, query_id, rank, score".split(", ")
+    want = sorted(map(tuple, op6_neighbours.nearest(vectors).collect()))
+    assert len(want) == 40 and sorted(map(tuple, op6_neighbours.nearest(vectors.withColumns({c: F.lit(9) for c in names})).collect())) == want
+    assert op6_neighbours.nearest(vectors.where("vec_id < 0")).count() == 0
+    assert op1_quality.quality_scores(clashing.where("doc_id > 99"), labels).count() == 0
+    assert op8_backoff.backoff_scores(clashing.where("doc_id > 99")).count() == 0
+
+
+def test_texts_above_a_chunk(spark):
+    """5 MB texts: quality reads them, and backoff scores a copy in another row as seen throughout."""
+    long = " ".join(f"w{k % 9973}" for k in range(900_000))
+    docs = spark.createDataFrame([(1, long), (2, long), (3, "w1 w2 w3"), (4, "w1 w2 w3")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in op8_backoff.backoff_scores(docs).collect()}
+    assert [got[k]["n_words"] for k in (1, 2, 3, 4)] == [900_000, 900_000, 3, 3] and all(got[k]["seen_share"] == 1 for k in got)
+    assert got[1]["log_score"] == got[2]["log_score"]
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int")
+    scores = {r["doc_id"]: r["score"] for r in op1_quality.quality_scores(docs, labels).collect()}
+    assert scores[1] == scores[2] and scores[3] == scores[4]
+
+
 @pytest.mark.parametrize("run", [op2_jaccard.keep_one_of_each, op3_mixing.mixed_documents, op7_pii.redacted])
 def test_stages_keep_clashing_columns(spark, clashing, run):
     out = run(clashing)
