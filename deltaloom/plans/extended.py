@@ -635,6 +635,19 @@ def keyed_events(t):
     return _streamed(log, feeds.keyed_events).withColumnRenamed("key", "user_id")
 
 
+def streamed_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's held row after a stream of three batches; what is held replaces what was."""
+    log = fixture(spark, sf_dir, "user_log").withColumnRenamed("seq", "txn")
+    source, sink = _folder(spark, "source"), _folder(spark, "held")
+    edge = log.agg(F.max("txn")).first()[0] // 3
+    for k in range(3):
+        log.where((F.col("txn") > k * edge) & ((F.col("txn") <= (k + 1) * edge) | F.lit(k == 2)) | F.lit(k == 0) & (F.col("txn") <= 0)).coalesce(1).write.mode("append").parquet(source)
+    stream = feeds.latest(feeds.read_change_stream(spark, source, log.schema, maxFilesPerTrigger=1), ["user_id"])
+    put = lambda held, _: held.write.mode("overwrite").parquet(sink)
+    stream.writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", _folder(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(sink).select("row.*").where("op <> 'delete'").select("user_id", F.col("txn").alias("seq"), "event_type")
+
+
 def changes_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fixture(spark, sf_dir, "user_log").select("seq", "user_id", F.col("op").alias("kind"))
     source, sink = _folder(spark, "source"), _folder(spark, "changes")
@@ -762,10 +775,11 @@ def sync_results_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(sink).select("request_id", "success")
 
 
-QUERIES |= {f.__name__: f for f in (changes_sink, coalesced_snapshot_sink, late_listener, ordered_apply, owned_feed, streamed_state_then_changes, timed_out_calls, streamed_late_snapshots, sync_results_sink)}
+QUERIES |= {f.__name__: f for f in (changes_sink, coalesced_snapshot_sink, late_listener, ordered_apply, owned_feed, streamed_latest_state, streamed_state_then_changes, timed_out_calls, streamed_late_snapshots, sync_results_sink)}
 ORACLE_SQL |= {
     "changes_sink": oracle("SELECT seq, user_id, op AS kind FROM user_log"),
     "coalesced_snapshot_sink": "SELECT table_name, count(*) AS n, CAST(1 AS BIGINT) AS writes, CAST(sum(user_id) AS BIGINT) AS users FROM (SELECT event_type AS table_name, user_id, arg_max(event_id % 5 <> 0, (event_id % 3) * 1000000000 + event_id) AS there FROM events WHERE event_type <> 'view' GROUP BY event_type, user_id) x WHERE there GROUP BY table_name",
+    "streamed_latest_state": oracle("SELECT user_id, seq, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seq DESC) AS r FROM user_log) x WHERE r = 1 AND op <> 'delete'"),
     "late_listener": "SELECT event_id, user_id, event_type FROM events WHERE event_id % 6 >= 3",
     "streamed_state_then_changes": "WITH v AS (SELECT user_id, event_id AS txn, CASE WHEN event_type <> 'error' THEN event_type END AS n, (SELECT max(event_id) // 2 FROM events) AS m FROM events), e AS (SELECT *, lag(n) OVER (PARTITION BY user_id ORDER BY txn) AS p FROM v) SELECT user_id, txn, CASE WHEN p IS NULL THEN 'insert' WHEN n IS NULL THEN 'delete' ELSE 'update' END AS kind, p AS old, n AS new FROM e WHERE txn > m AND n IS DISTINCT FROM p UNION ALL SELECT user_id, any_value(m), 'state', NULL, arg_max(n, txn) FROM (SELECT user_id, txn, m, coalesce(n, '-') AS n FROM v WHERE txn <= m) y GROUP BY user_id HAVING arg_max(n, txn) <> '-'",
     "ordered_apply": ORACLE_SQL["apply_changes"],

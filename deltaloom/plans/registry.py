@@ -63,11 +63,25 @@ def apply_changes(t):
     return changes.apply_changes(t("orders_base"), t("orders_log"), KEY).select(*SLIM)
 
 
-@query("SELECT l_orderkey, l_linenumber, CAST(sum(n) AS BIGINT) AS n FROM (SELECT l_orderkey, l_linenumber, 1 AS n FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber) AS r FROM line_bag) x WHERE NOT (l_orderkey % 3 = 0 AND r = 1) UNION ALL SELECT l_orderkey, l_linenumber, 1 FROM line_bag WHERE l_orderkey % 10 = 0) y GROUP BY l_orderkey, l_linenumber")
+BAG_AFTER = "SELECT l_orderkey, l_linenumber, CAST(sum(n) AS BIGINT) AS n FROM (SELECT l_orderkey, l_linenumber, 1 AS n FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber) AS r FROM line_bag) x WHERE NOT (l_orderkey % 3 = 0 AND r = 1) UNION ALL SELECT l_orderkey, l_linenumber, 1 FROM line_bag WHERE l_orderkey % 10 = 0) y GROUP BY l_orderkey, l_linenumber"
+
+
+@query(BAG_AFTER)
 def apply_changes_bag(t):
     return changes.apply_changes_bag(t("line_bag"), t("line_bag_log")).groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
 
 
+#: A few distinct rows, each in nearly every transaction.
+HOT_BAG = "SELECT l_orderkey AS txn, CASE WHEN l_orderkey % 3 = 0 THEN 'delete' ELSE 'insert' END AS op, l_linenumber % 2 AS v FROM lineitem"
+
+
+@query(f"SELECT v, CAST(total - least(0, low) AS BIGINT) AS n FROM (SELECT v, sum(i - d) AS total, min(after_ - i) AS low FROM (SELECT *, sum(i - d) OVER (PARTITION BY v ORDER BY txn) AS after_ FROM (SELECT txn, v, count(*) FILTER (op = 'insert') AS i, count(*) FILTER (op = 'delete') AS d FROM ({HOT_BAG}) a GROUP BY txn, v) b) c GROUP BY v) e WHERE total - least(0, low) > 0")
+def apply_changes_bag_hot(t):
+    """Two distinct rows with a change in nearly every transaction, scanned in blocks."""
+    log = t("lineitem").sparkSession.sql(HOT_BAG.replace("FROM lineitem", "FROM {l}"), l=t("lineitem"))
+    return changes.apply_changes_bag(log.select("v").where("false"), log, blocked=True).groupBy("v").agg(F.count("*").alias("n"))
+
+
 @query("SELECT txn, op, count(*) AS n FROM (SELECT DISTINCT txn, op, l_orderkey, l_linenumber FROM line_bag_log) x GROUP BY txn, op")
 def merge_row_groups(t):
     log = t("line_bag_log").withColumns({"query_set_id": F.lit(1), "grp": F.pmod("l_linenumber", F.lit(2)).cast("int")})
