@@ -1,6 +1,7 @@
 """Feeds over held state: flat reads, batches that run again, streams against the batch operators."""
 
 import json
+import os
 import random
 
 import pytest
@@ -30,11 +31,23 @@ def state(spark, path, **options):
     return HeldState(spark, path, ["k"], T.StructType([T.StructField("k", T.LongType()), T.StructField("row", T.StringType())]), "row is not null", **options)
 
 
-def test_200_batches_read_alike(spark, tmp_path):
+@pytest.fixture
+def one_task(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+#: 200 batches take five minutes.
+BATCHES = int(os.environ.get("FEED_BATCHES", "60"))
+
+
+def test_batches_read_alike(spark, tmp_path, one_task):
     held, now, rng, read = state(spark, f"{tmp_path}/s", buckets=4, most=3), {k: "base" for k in range(40)}, random.Random(1), []
     held.start(spark.createDataFrame(list(now.items()), ROW))
     held.start(spark.createDataFrame([(99, "no: there is a version already")], ROW))
-    for batch in range(200):
+    for batch in range(BATCHES):
         change = {rng.randrange(40): rng.choice([None, f"v{batch}"]) for _ in range(6)}
         df = spark.createDataFrame([*change.items()], ROW).coalesce(1)
         buckets = held.touched(df)
