@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import MIX_A, U64, mix, slices, text_or_empty, tidy, tidy_group, utf8, word_hashes, written
 
-#: Words of the longest n-gram, factor of a step back, bits of an n-gram's hash (raise for more than 1e11 n-grams).
-ORDER, BACKOFF, KEY_BITS = 3, 0.4, 48
+#: Words of the longest n-gram, factor of a step back, bits of an n-gram's hash, up to 64 (of 1e10 n-grams, one in 7 million shares 56).
+ORDER, BACKOFF, KEY_BITS = 3, 0.4, 56
 #: Bytes of text of a chunk, and for each hash partition.
 CHUNK, PART = 4 << 20, 8 << 20
 
@@ -32,17 +32,17 @@ def _unzip(blob: bytes, kind: str) -> np.ndarray:
 
 
 def packed(keys: np.ndarray) -> bytes:
-    """Sorted distinct keys by their differences: 32 bits each, and what is above them where there is anything."""
+    """Sorted distinct keys by their differences: 40 bits each, and what is above them where there is anything."""
     gap = np.diff(keys, prepend=keys.dtype.type(0))
-    high = np.flatnonzero(gap >> U64(32))
-    return np.array([len(keys), len(high)], "<u8").tobytes() + gap.astype("<u4").tobytes() + high.astype("<u4").tobytes() + (gap[high] >> U64(32)).astype("<u4").tobytes()
+    high = np.flatnonzero(gap >> U64(40))
+    return np.array([len(keys), len(high)], "<u8").tobytes() + gap.astype("<u4").tobytes() + high.astype("<u4").tobytes() + (gap[high] >> U64(40)).astype("<u4").tobytes() + (gap >> U64(32)).astype("u1").tobytes()
 
 
 def unpacked(blob: bytes) -> np.ndarray:
     n, m = np.frombuffer(blob[:16], "<u8").astype(np.int64)
-    low, high, above = np.split(np.frombuffer(blob[16:], "<u4"), [n, n + m])
-    gap = low.astype(U64)
-    gap[high] += above.astype(U64) << U64(32)
+    low, high, above = np.split(np.frombuffer(blob[16 : 16 + 4 * n + 8 * m], "<u4"), [n, n + m])
+    gap = low.astype(U64) | np.frombuffer(blob[16 + 4 * n + 8 * m :], "u1").astype(U64) << U64(32)
+    gap[high] += above.astype(U64) << U64(40)
     return np.cumsum(gap, dtype=U64)
 
 

@@ -119,3 +119,11 @@ def test_base_spans():
 def test_licences():
     assert op10_licenses.expression_labels("MIT or (GPL-2.0-only with X-exception and BSD-3-Clause)") == (["mit", "gpl", "bsd"], 1.0)
     assert op10_licenses.expression_labels("or MIT") is None
+
+
+def test_packed_keys_round_trip():
+    rng = np.random.default_rng(5)
+    for bits in (20, 48, 56, 64):
+        for n in (0, 1, 7, 50_000):
+            keys = np.unique(rng.integers(0, 2**bits - 1, n, dtype=np.uint64, endpoint=True))
+            assert (op8_backoff.unpacked(op8_backoff.packed(keys)) == keys).all()
