@@ -3,7 +3,8 @@
 Each source's words are one stream, cut into blocks. Shards of the output draw how many slots each source gets; the
 k-th slot of a source takes the block that the source's pseudorandom permutation names for k modulo its blocks.
 Shards draw by themselves, so a source's slots may miss its target by chance: slots beyond it are left out, and
-missing ones form a last shard.
+missing ones form a last shard. Sources may be as many as documents: their ranks, shares and draws are running sums
+and last values over blocks of a range partitioning, and only totals go to the driver.
 """
 
 from __future__ import annotations
@@ -14,14 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from deltaloom.operators import scans
+
 from .common import MIX_A, MIX_B, U64, mix, slices, text_or_empty, tidy, written
 
 #: Words of a block at most, and blocks of a source at least, where it has the words.
 BLOCK, FINE = 64, 2048
 #: Slots of an output shard; documents of a source whose sizes are summed in one task; slots that a task permutes.
 SHARD, PART, PERMUTED = 4096, 4096, 1 << 16
-#: Sources at most: names of origins, which one task ranks and the driver gets with their shares.
-MOST_SOURCES = 1 << 20
 #: Weights of the sources, by code point, repeating; share of all words that the mix has; most uses of a source.
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
 
@@ -30,26 +31,33 @@ def words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def ranked(rows: DataFrame, by: list[Column], name: str) -> DataFrame:
+    """rows with name, their place by order, from 0: rows before in their own range partition, and all rows of earlier ones."""
+    at = written(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    at = at.withColumn("_part", F.shiftright("_at", 33))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    parts = at.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    place = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)
+    return at.join(parts, "_part").withColumn(name, place).drop("_part", "_at", "_n", "_before")
+
+
 def targets(sizes: DataFrame) -> DataFrame:
     """source, source_size -> with source_id (rank by code point, null last), target, and length of its blocks.
 
     The total goes by weight; a source whose share passes MOST times its size gets that, and the others share the rest.
-    In order of size over weight the sources that are full come first, so running sums tell where sharing ends. There
-    is one row for each source: sources are names of origins, few enough for one task, whatever the documents.
+    In order of size over weight the sources that are full come first, so running sums tell where sharing ends.
     """
-    by_name = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
-    rank = sizes.withColumn("source_id", F.row_number().over(by_name).cast("long") - 1)
+    rank = ranked(sizes, [F.col("source").isNull(), F.col("source").cast("binary")], "source_id")
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in WEIGHTS)), (F.col("source_id") % len(WEIGHTS) + 1).cast("int"))
     rank = rank.withColumn("weight", weight).withColumn("most", F.col("source_size") * F.lit(float(MOST)))
-    full_first = Window.orderBy(F.col("most") / F.col("weight"), "source_id")
-    before, after = full_first.rowsBetween(Window.unboundedPreceding, -1), full_first.rowsBetween(0, Window.unboundedFollowing)
-    every = Window.partitionBy(F.lit(0))
-    shared = (SHARE * F.sum("source_size").over(every) - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(after)
-    rank = rank.withColumn("each", shared)
+    blocks = scans.cut(rank.withColumn("ratio", F.col("most") / F.col("weight")), [], ["ratio", "source_id"])
+    size, heavy = blocks.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    sums = scans.running(blocks, [], ["ratio", "source_id"], {"full": "most", "lighter": "weight"}, before=True)
+    each = (F.lit(SHARE * size) - F.col("full")) / (F.lit(heavy) - F.col("lighter"))
     # the first source that isn't full tells what each weight gets
-    level = F.min(F.when(F.col("each") * F.col("weight") <= F.col("most"), F.struct(F.col("most") / F.col("weight"), "source_id", F.col("each").alias("each")))).over(every)["each"]
-    rank = rank.withColumn("target", F.coalesce(F.least("most", level * F.col("weight")), F.col("most"))).drop("each", "weight", "most")
-    return rank.withColumn("length", F.expr(f"greatest(1L, least({BLOCK}L, source_size div {FINE}))"))
+    level = sums.withColumn("each", each).where("each * weight <= most").agg(F.min(F.struct("ratio", "source_id", "each"))["each"]).first()[0]
+    rank = blocks.withColumn("target", F.col("most") if level is None else F.least("most", F.lit(level) * F.col("weight")))
+    return rank.drop("weight", "most", "ratio", "_block").withColumn("length", F.expr(f"greatest(1L, least({BLOCK}L, source_size div {FINE}))"))
 
 
 def permuted(index: np.ndarray, count: int, key: int, rounds: int = 4) -> np.ndarray:
@@ -86,29 +94,30 @@ def _blocks(seed: int):
     return run
 
 
-def _draw(seed: int, ids: np.ndarray, upto: np.ndarray):
-    """A shard's slots for each source: one multinomial draw, slot by slot from the shares' running sums, seeded by
-    the shard; it tells the sources that it met alone."""
-
-    def run(batches):
-        for batch in batches:
-            for shard, slots in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-                at = np.searchsorted(upto, np.random.default_rng([seed, shard]).random(slots) * upto[-1], side="right")
-                source, n = np.unique(ids[np.minimum(at, len(ids) - 1)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard)), pa.array(source), pa.array(n)], names=["shard", "source_id", "slots"])
+def draws(blocks: DataFrame, total: int, seed: int) -> DataFrame:
+    """shard, source_id, slots: a multinomial draw of each shard's slots by the sources' wanted ones, total in all.
 
-    return run
+    A slot draws a place among all wanted ones, and belongs to the last source that begins at or before it.
+    """
+    begins = scans.running(scans.cut(blocks.where("wanted > 0"), [], ["source_id"]), [], ["source_id"], {"place": "wanted"}, before=True)
+    none = F.lit(None).cast("long")
+    marks = begins.select("place", none.alias("slot"), "source_id")
+    slots = blocks.sparkSession.range(total).select(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(total)).alias("place"), F.col("id").alias("slot"), none.alias("source_id"))
+    order = ["place", "slot"]  # a source's mark, with a null slot, comes before the slots of its place
+    drawn = scans.running(scans.cut(marks.unionByName(slots), [], order), [], order, lasts={"drawn": "source_id"}).where("slot is not null")
+    return drawn.groupBy(F.expr(f"slot div {SHARD}").alias("shard"), F.col("drawn").alias("source_id")).agg(F.count("*").alias("slots"))
 
 
 def mixture(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """The documents' places in their sources' streams, and how often each block is taken.
 
-    First: _doc_id, _source, _size, _tie (hash of the text), _source_id, _source_size, _target, _length (of the source's
+    docs: doc_id, source, text and tie, which tells rows of one id and source apart.
+    First: _doc_id, _source, _size, _tie, _source_id, _source_size, _target, _length (of the source's
     blocks) and _start (words of its source before the document).
     Second: source_id, block, times.
     """
     spark = docs.sparkSession
-    base = docs.select(F.col("doc_id").alias("_doc_id"), "source", words(text_or_empty()).alias("_size"), F.xxhash64(text_or_empty()).alias("_tie"))
+    base = docs.select(F.col("doc_id").alias("_doc_id"), "source", words(text_or_empty()).alias("_size"), F.col("tie").alias("_tie"))
     base = written(base, "sizes")  # texts are read once
     sizes = base.groupBy("source").agg(F.sum("_size").alias("source_size"), F.count("*").alias("source_rows"))
     goal = written(targets(sizes), "targets")
@@ -125,14 +134,9 @@ def mixture(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
 
     blocks = goal.select("source_id", F.ceil(F.col("source_size") / F.col("length")).alias("blocks"), F.round(F.col("target") / F.col("length")).cast("long").alias("wanted")).where("blocks > 0")
     blocks = blocks.withColumn("wanted", F.least("wanted", F.col("blocks") * MOST))
-    shares = blocks.select("source_id", "wanted").orderBy("source_id").limit(MOST_SOURCES + 1).collect()
-    if len(shares) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    ids, upto = np.array([r["source_id"] for r in shares], np.int64), np.cumsum(np.array([r["wanted"] for r in shares], np.int64))
-    total = int(upto[-1]) if len(upto) else 0
+    total = blocks.agg(F.coalesce(F.sum("wanted"), F.lit(0))).first()[0]
     tasks = max(1, -(-total // PERMUTED))
-    shards = spark.range(0, -(-total // SHARD), 1, max(1, min(tasks, -(-total // SHARD)))).select(F.col("id").alias("shard"), F.least(F.lit(SHARD).cast("long"), F.lit(total) - F.col("id") * SHARD).alias("slots"))
-    drawn = written(shards.mapInArrow(_draw(seed, ids, upto), "shard long, source_id long, slots long"), "draws")
+    drawn = written(draws(blocks, total, seed), "draws")
     top_up = blocks.join(drawn.groupBy("source_id").agg(F.sum("slots").alias("had")), "source_id", "left").select(F.lit(2**40).cast("long").alias("shard"), "source_id", (F.col("wanted") - F.coalesce("had", F.lit(0))).alias("slots")).where("slots > 0")
     earlier = Window.partitionBy("source_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     slots = drawn.unionAll(top_up).withColumn("first", F.coalesce(F.sum("slots").over(earlier), F.lit(0).cast("long")))
@@ -156,7 +160,7 @@ def mixed_words(docs: DataFrame, seed: int = 17) -> DataFrame:
     Null and empty texts have size 0 and are never taken; a null source is one source, the last. Rows of equal doc_id,
     source and text, null ids included, are documents of their own, whichever of them stands first. A source's taken words differ from its target by less than two blocks. An empty table gives none.
     """
-    placed, taken = mixture(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source"), seed)
+    placed, taken = mixture(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source", F.xxhash64(text_or_empty()).alias("tie")), seed)
     used = pieces(placed, taken).groupBy("_source_id", "_start").agg(F.sum((F.col("hi") - F.col("lo")) * F.col("times")).alias("taken"))
     some = placed.where("_size > 0").join(used, ["_source_id", "_start"], "left")
     out = some.unionByName(placed.where("_size = 0").withColumn("taken", F.lit(0).cast("long")))
@@ -195,16 +199,23 @@ def _texts(columns: list[str]):
     return run
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """A hash of all columns; of those that hold maps, by their JSON."""
+    return F.xxhash64(*(F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema))
+
+
 def mixed_documents(docs: DataFrame, seed: int = 17) -> DataFrame:
     """The mix itself, with the columns of docs: a row for each pass over a document, holding the words taken in it.
 
     A document that is taken whole keeps its text as it is; words that no block takes are left out. n_chars, where
-    there is one, follows. Documents without words are in no block and so not in the mix.
+    there is one, follows. Documents without words are in no block and so not in the mix. Rows of one id, source and
+    text keep each its own other columns; rows that are equal throughout are interchangeable.
     """
-    placed, taken = mixture(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source"), seed)
+    tie = whole_row(docs)
+    placed, taken = mixture(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "source", tie.alias("tie")), seed)
     used = pieces(placed, taken).groupBy("_source_id", "_start").agg(F.collect_list(F.struct("lo", "hi", "times")).alias("_taken"), *(F.first(c).alias(c) for c in ("_doc_id", "_tie", "_size", "_source")))
     # equal rows are joined once to each of their places; columns of docs travel in one, so that no name clashes
-    keys = F.col("doc_id").cast("long").alias("_k_id"), F.xxhash64(text_or_empty()).alias("_k_tie"), F.col("source").alias("_k_source")
+    keys = F.col("doc_id").cast("long").alias("_k_id"), tie.alias("_k_tie"), F.col("source").alias("_k_source")
     rows = docs.select(F.struct(*docs.columns).alias("row"), *keys).dropDuplicates(["_k_id", "_k_tie", "_k_source"])
     same = F.col("_k_id").eqNullSafe(F.col("_doc_id")) & F.col("_k_tie").eqNullSafe(F.col("_tie")) & F.col("_k_source").eqNullSafe(F.col("_source"))
     out = rows.join(used, same).select("row", F.col("_size").alias("words"), F.col("_taken").alias("ranges")).mapInArrow(tidy(_texts(docs.columns)), docs.schema)

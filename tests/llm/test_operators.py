@@ -75,6 +75,58 @@ def test_mixing_meets_targets(spark):
     assert all(abs(k - t) <= 2 for t, k in by.values())
 
 
+def shared_by_weight(sizes):
+    """Targets by resharing the excess, round by round."""
+    weights = [op3_mixing.WEIGHTS[k % len(op3_mixing.WEIGHTS)] for k in range(len(sizes))]
+    full = set()
+    while True:
+        left = op3_mixing.SHARE * sum(sizes) - sum(op3_mixing.MOST * sizes[k] for k in full)
+        each = left / sum(w for k, w in enumerate(weights) if k not in full) if len(full) < len(sizes) else 0
+        over = {k for k, w in enumerate(weights) if k not in full and each * w > op3_mixing.MOST * sizes[k]}
+        if not over:
+            return [op3_mixing.MOST * n if k in full else each * weights[k] for k, n in enumerate(sizes)]
+        full |= over
+
+
+def test_mixing_of_a_source_for_each_document(spark):
+    """Sources are not gathered anywhere: some thousand of them, in several range partitions, null last."""
+    rng = np.random.default_rng(11)
+    sizes = rng.geometric(0.02, 3000)
+    sizes[-1], sizes[5] = 4000, 30_000
+    names = sorted((f"s{k * 7919 % 100_003}" for k in range(len(sizes) - 1)), key=lambda s: s.encode()) + [None]
+    rows = [(k, "w " * int(n), names[k]) for k, n in enumerate(sizes)]
+    spread = docs(spark, rows).repartition(7)
+    got = {r["doc_id"]: r for r in op3_mixing.mixed_words(spread).collect()}
+    want = shared_by_weight(sizes.tolist())
+    assert len(got) == len(rows)
+    for k, n in enumerate(sizes):
+        assert (got[k]["size"], got[k]["source_size"]) == (n, n) and got[k]["target"] == pytest.approx(want[k])
+        assert got[k]["taken"] <= 2 * n and abs(got[k]["taken"] - want[k]) < 2 * op3_mixing.BLOCK
+
+
+def test_draws_follow_the_wanted_slots(spark):
+    wanted = [40_000, 0, 1, 25_000, 500, 0, 34_499]
+    blocks = spark.createDataFrame(list(enumerate(wanted)), "source_id long, wanted long")
+    total = sum(wanted)
+    drawn = op3_mixing.draws(blocks, total, 3).collect()
+    by_shard, by_source = {}, {}
+    for r in drawn:
+        by_shard[r["shard"]] = by_shard.get(r["shard"], 0) + r["slots"]
+        by_source[r["source_id"]] = by_source.get(r["source_id"], 0) + r["slots"]
+    assert by_shard == {s: min(op3_mixing.SHARD, total - s * op3_mixing.SHARD) for s in range(-(-total // op3_mixing.SHARD))}
+    for k, n in enumerate(wanted):
+        p = n / total
+        assert abs(by_source.get(k, 0) - n) <= 6 * (total * p * (1 - p)) ** 0.5 + (0 if n != 1 else 6)
+    assert sorted(map(tuple, drawn)) == sorted(map(tuple, op3_mixing.draws(blocks.repartition(3), total, 3).collect()))
+
+
+def test_repeated_rows_of_the_mix_keep_their_own_columns(spark):
+    rows = [(1, "a b c d", "en", "x", 7, 0.5, 1), (1, "a b c d", "en", "x", 7, 0.5, 2), (1, "a b c d", "de", "x", 7, 0.5, 3), (2, "e f", "en", "x", 3, 0.1, 4)]
+    mixed = op3_mixing.mixed_documents(spark.createDataFrame(rows, DOCS)).collect()
+    passes = {k: sum(r["node"] == k for r in mixed) for k in (1, 2, 3, 4)}
+    assert all(1 <= n <= 2 for n in passes.values()) and {(r["node"], r["lang"]) for r in mixed} <= {(1, "en"), (2, "en"), (3, "de"), (4, "en")}
+
+
 def test_permutation_is_one_to_one():
     for n in (1, 2, 7, 100, 1025):
         assert sorted(op3_mixing.permuted(np.arange(n), n, 99).tolist()) == list(range(n))
