@@ -47,8 +47,8 @@ def uuid_to_little_endian(text: Column) -> Column:
 
 
 def micros_to_interval(micros: Column) -> Column:
-    """A count of microseconds -> a day-time interval."""
-    return F.make_dt_interval(secs=micros.cast("decimal(18,6)") / F.lit(1_000_000).cast("decimal(18,6)"))
+    """A count of microseconds, any that a long holds -> a day-time interval."""
+    return micros.cast("long") * F.expr("INTERVAL '0.000001' SECOND")
 
 
 def schedule_to_json(at: Column) -> Column:
