@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), for which value is computed once, however often then names it; branches of a CASE share nothing."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _backwards(raw: Column) -> Column:
+    """Bytes in the opposite order: in Latin-1 each is one character."""
+    return F.encode(F.reverse(F.decode(raw, "ISO-8859-1")), "ISO-8859-1")
+
+
 def abbreviate(hex_: Column, first: int = 4, last: int = 4) -> Column:
     """first...last characters of a hex text; shorter ones stay."""
     return F.when(F.length(hex_) > first + last, F.concat(F.substring(hex_, 1, first), F.lit("..."), F.right(hex_, F.lit(last)))).otherwise(hex_)
@@ -19,8 +31,8 @@ def parse_identity(text: Column) -> Column:
 
 def reverse_bytes(hex_: Column) -> Column:
     """Hex text with its byte pairs in the opposite order."""
-    pairs = F.regexp_extract_all(hex_, F.lit("(..)"), F.lit(1))
-    return F.array_join(F.reverse(pairs), "")
+    even = _once(hex_, lambda h: F.left(h, F.length(h) - F.length(h) % 2))
+    return F.regexp_replace(F.reverse(even), "(.)(.)", "$2$1")
 
 
 def parse_connection_id(text: Column) -> Column:
@@ -29,21 +41,25 @@ def parse_connection_id(text: Column) -> Column:
     return F.when(body.rlike("^[0-9a-f]{32}$"), body)
 
 
+def _hyphenated(d: Column) -> Column:
+    part = lambda a, n: F.substring(d, a, n)
+    return F.concat_ws("-", part(1, 8), part(9, 4), part(13, 4), part(17, 4), part(21, 12))
+
+
 def parse_uuid(text: Column) -> Column:
     """A uuid with or without hyphens, any case -> lower-case hyphenated; else null."""
-    d = F.lower(F.regexp_replace(text, "-", ""))
-    part = lambda a, n: F.substring(d, a, n)
-    return F.when(d.rlike("^[0-9a-f]{32}$"), F.concat_ws("-", part(1, 8), part(9, 4), part(13, 4), part(17, 4), part(21, 12)))
+    return _once(F.lower(F.replace(text, F.lit("-"), F.lit(""))), lambda d: F.when(d.rlike("^[0-9a-f]{32}$"), _hyphenated(d)))
 
 
 def uuid_from_little_endian(raw: Column) -> Column:
     """16 little-endian bytes -> hyphenated text; null where there aren't 16."""
-    return F.when(F.length(raw) == 16, parse_uuid(reverse_bytes(F.lower(F.hex(raw)))))
+    digits = _once(raw, lambda r: F.when(F.length(r) == 16, F.lower(F.hex(_backwards(r)))))
+    return _once(digits, lambda d: F.when(d.isNotNull(), _hyphenated(d)))
 
 
 def uuid_to_little_endian(text: Column) -> Column:
     """A uuid's text -> its 16 bytes in little-endian order; null where it is none."""
-    return F.unhex(reverse_bytes(F.regexp_replace(parse_uuid(text), "-", "")))
+    return _backwards(F.unhex(F.replace(parse_uuid(text), F.lit("-"), F.lit(""))))
 
 
 def micros_to_interval(micros: Column) -> Column:

@@ -19,3 +19,18 @@ def test_intervals_of_any_length(spark):
     assert rows(out) == sorted(((k, None if m is None else timedelta(microseconds=m)) for k, m in enumerate(micros)), key=str)
     ends = spark.createDataFrame([(2**63 - 1,), (-(2**63),)], "m long").select((scalars.micros_to_interval(F.col("m")) / F.lit(4)).alias("i"))
     assert len(ends.collect()) == 2
+
+
+def test_uuids_compute_their_input_once(spark):
+    for f in (scalars.parse_uuid, scalars.uuid_from_little_endian, scalars.uuid_to_little_endian, scalars.reverse_bytes):
+        assert str(f(F.col("given"))).count("given") == 1, f.__name__
+    text = "00112233-4455-6677-8899-aabbccddeeff"
+    given = [text, text.upper(), text.replace("-", ""), text[:-1], "zz" + text[2:], "", None]
+    out = spark.createDataFrame(list(enumerate(given)), "k int, u string").withColumn("raw", scalars.uuid_to_little_endian(F.col("u")))
+    got = {r[0]: r[1:] for r in out.select("k", scalars.parse_uuid(F.col("u")), F.lower(F.hex("raw")), scalars.uuid_from_little_endian(F.col("raw"))).collect()}
+    back = "ffeeddccbbaa99887766554433221100"
+    assert [got[k] for k in range(7)] == [(text, back, text)] * 3 + [(None, None, None)] * 4
+    short = spark.createDataFrame([(bytearray(15),), (None,)], "raw binary")
+    assert rows(short.select(scalars.uuid_from_little_endian(F.col("raw")))) == [(None,), (None,)]
+    hexes = [("0A1bFf",), ("0A1bF",), ("0",), ("",), (None,)]
+    assert {tuple(r) for r in spark.createDataFrame(hexes, "h string").select("h", scalars.reverse_bytes(F.col("h"))).collect()} == {("0A1bFf", "Ff1b0A"), ("0A1bF", "1b0A"), ("0", ""), ("", ""), (None, None)}
