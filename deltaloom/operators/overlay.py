@@ -81,8 +81,10 @@ def committed_only(state: DataFrame, pending_inserts: DataFrame, pending_request
     pending_requests go first, whatever their content, and request_id is not persisted.
     """
     if pending_requests is not None:
-        own = state.columns
-        state = state.join(pending_requests.select("request_id").distinct(), "request_id", "left_anti").select(*(c for c in own if c != "request_id"))
+        own = [c for c in state.columns if c != "request_id"]
+        # joined by their request, all rows of the server, which have none, would meet in one task
+        sent = state.where("request_id is not null").join(pending_requests.select("request_id").distinct(), "request_id", "left_anti")
+        state = state.where("request_id is null").select(*own).unionByName(sent.select(*own))
     return state.exceptAll(pending_inserts.select(*state.columns))
 
 

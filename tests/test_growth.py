@@ -34,3 +34,14 @@ def test_uuids_compute_their_input_once(spark):
     assert rows(short.select(scalars.uuid_from_little_endian(F.col("raw")))) == [(None,), (None,)]
     hexes = [("0A1bFf",), ("0A1bF",), ("0",), ("",), (None,)]
     assert {tuple(r) for r in spark.createDataFrame(hexes, "h string").select("h", scalars.reverse_bytes(F.col("h"))).collect()} == {("0A1bFf", "Ff1b0A"), ("0A1bF", "1b0A"), ("0", ""), ("", ""), (None, None)}
+
+
+BAG = "a int, request_id long"
+
+
+def test_rows_without_a_request_are_not_joined(spark):
+    bag = spark.createDataFrame([(1, None), (1, None), (1, 7), (2, 8), (2, 9), (None, None), (None, 7)], BAG)
+    out = overlay.committed_only(bag, bag.where("a = 1").limit(1), spark.createDataFrame([(7,), (9,), (9,), (None,)], "request_id long"))
+    assert rows(out) == sorted([(1,), (2,), (None,)], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnull(request_id" in plan, "all rows of the server would share one task of the join"
