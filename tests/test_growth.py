@@ -45,3 +45,12 @@ def test_rows_without_a_request_are_not_joined(spark):
     assert rows(out) == sorted([(1,), (2,), (None,)], key=str)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "isnull(request_id" in plan, "all rows of the server would share one task of the join"
+
+
+def test_written_state_does_not_join_rows_without_a_request(spark, tmp_path, monkeypatch):
+    plans, only = [], tables.committed_only
+    monkeypatch.setattr(tables, "committed_only", lambda *a: plans.append(only(*a)) or plans[-1])
+    bag = spark.createDataFrame([(1, None), (1, None), (1, 7), (2, 8), (None, None)], BAG)
+    tables.write_state(bag, None, f"{tmp_path}/s", spark.createDataFrame([(7,)], "request_id long"))
+    assert rows(tables.current_state(spark, f"{tmp_path}/s")) == sorted([(1,), (1,), (2,), (None,)], key=str)
+    assert "isnull(request_id" in plans[0]._jdf.queryExecution().optimizedPlan().toString()
