@@ -19,6 +19,8 @@ from deltaloom.sources.scratch import written
 from . import scans
 
 META = ("txn", "set_no", "grp", "pos", "query_set_id", "op")
+#: Rows of a bag and its log for each task that scans them, and copies of a row that are made at once.
+TASK_ROWS, COPIES = 1_000_000, 10_000
 
 
 def row_columns(log: DataFrame, meta=META) -> list[str]:
@@ -122,11 +124,12 @@ def apply_changes_bag(state: DataFrame, log: DataFrame, blocked: bool | None = N
     """
     columns = row_columns(log)
     blocked = scans.has_hot_key(log, columns) if blocked is None else blocked
+    rows = 0 if blocked else log.count() + state.count()
     log = log.groupBy("txn", *columns).agg(F.count_if(F.col("op") == "delete").alias("d"), F.count_if(F.col("op") == "insert").alias("i"))
     first = state.groupBy(*columns).agg(F.lit(0).cast("long").alias("d"), F.count("*").alias("i")).withColumn("txn", F.lit(None).cast("long"))
     steps = log.unionByName(first)
-    if blocked:
-        steps = scans.cut(steps, columns, ["txn"])
+    # as many tasks as rows need: partitions by size are merged into few of many short rows, whose sort takes much more
+    steps = scans.cut(steps, columns, ["txn"]) if blocked else steps.repartition(rows // TASK_ROWS + 1, *columns)
     block = ["_block"] if blocked else []
     order = Window.partitionBy(*columns, *block).orderBy(F.col("txn").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     steps = steps.withColumn("after", F.sum(F.col("i") - F.col("d")).over(order)).withColumn("low", F.col("after") - F.col("i"))
@@ -136,7 +139,8 @@ def apply_changes_bag(state: DataFrame, log: DataFrame, blocked: bool | None = N
         parts = parts.withColumn("low", F.col("low") + F.coalesce(F.sum("sum").over(earlier), F.lit(0)))
         parts = parts.groupBy(*columns).agg(F.sum("sum").alias("sum"), F.min("low").alias("low"))
     counts = parts.select(*columns, (F.col("sum") - F.least(F.lit(0), "low")).alias("n"))
-    return counts.where("n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).select(*columns)
+    made = counts.where("n > 0").withColumn("_made", F.explode(F.expr(f"sequence(0L, n - 1, {COPIES}L)")))
+    return made.withColumn("copy", F.explode(F.expr(f"sequence(1L, least(n - _made, {COPIES}L))"))).select(*columns)
 
 
 def merge_row_groups(log: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from deltaloom.functions import scalars
-from deltaloom.operators import overlay
+from deltaloom.operators import changes, overlay
 from deltaloom.sources import tables
 
 
@@ -54,3 +54,15 @@ def test_written_state_does_not_join_rows_without_a_request(spark, tmp_path, mon
     tables.write_state(bag, None, f"{tmp_path}/s", spark.createDataFrame([(7,)], "request_id long"))
     assert rows(tables.current_state(spark, f"{tmp_path}/s")) == sorted([(1,), (1,), (2,), (None,)], key=str)
     assert "isnull(request_id" in plans[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bags_are_scanned_and_copied_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(changes, "TASK_ROWS", 100)
+    monkeypatch.setattr(changes, "COPIES", 10)
+    state = spark.range(2000).select("id").unionAll(spark.range(35).select(F.lit(5000).cast("long")))
+    log = spark.range(20).select(F.lit(1).alias("txn"), F.lit("delete").alias("op"), F.lit(5000).cast("long").alias("id")).unionAll(spark.range(5).select(F.lit(2), F.lit("insert"), "id"))
+    out = changes.apply_changes_bag(state, log, blocked=False).withColumn("task", F.spark_partition_id())
+    tasks = {r[0]: r[1] for r in out.groupBy("task").count().collect()}
+    assert max(tasks.values()) <= 250 and len(tasks) >= 15, "tasks are as many as rows need, whatever their size in bytes"
+    counts = {r[0]: r[1] for r in out.groupBy("id").count().collect()}
+    assert counts == {k: 1 + (k < 5) for k in range(2000)} | {5000: 15}
