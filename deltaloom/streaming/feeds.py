@@ -35,50 +35,98 @@ def latest(stream: DataFrame, key: list[str]) -> DataFrame:
     return stream.groupBy(*key).agg(F.max_by(F.struct(*stream.columns), "txn").alias("row"))
 
 
-class _Apply(StatefulProcessor):
-    """Holds a key's row as JSON text; tells insert, update or delete against it; a delete clears the state."""
+#: Parts that the keys of a stream are dealt into. A stream's checkpoint holds for one number of them.
+PARTS = 1024
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """rows by _part, a hash of their key: the group of many keys whose states are read and written together.
+
+    Rows without a key are part -1, with 0 for it, so that keys stay whole numbers in pandas.
+    """
+    part = F.when(F.col("key").isNull(), -1).otherwise(F.pmod(F.hash("key"), F.lit(parts)))
+    return rows.withColumns({"_part": part, "key": F.coalesce("key", F.lit(0).cast("long"))})
+
+
+def _values(frame: pd.DataFrame, *columns: str):
+    """Rows of plain values, null as None."""
+    return zip(*(frame[c].astype(object).where(frame[c].notna(), None).tolist() for c in columns), strict=True)
+
+
+class _Keys(StatefulProcessor):
+    """A part's keys with their states, as a log of JSON texts [[key, state], ...]: a key's last state holds, null: none.
+
+    What changed is appended, and MOST texts become those of all keys.
+    """
+
+    MOST, KEYS = 16, 10_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.row = handle.getValueState("row", "json string")
-        self.upto = handle.getValueState("upto", "txn long")
+        self.log = handle.getListState("log", "entries string")
+
+    def read(self) -> dict:
+        held, self.texts = {}, 0
+        for (text,) in self.log.get():
+            held.update(json.loads(text))
+            self.texts += 1
+        return held
+
+    def write(self, held: dict, changed) -> None:
+        entries = [(k, held[k]) for k in changed]
+        if self.texts + len(entries) / self.KEYS >= self.MOST + 2 * len(held) / self.KEYS:
+            self.log.clear()
+            entries = [e for e in held.items() if e[1] is not None]
+        for k in range(0, len(entries), self.KEYS):
+            self.log.appendValue((json.dumps(entries[k : k + self.KEYS]),))
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        for row, upto in initialState[["row", "upto"]].itertuples(index=False):
-            self.upto.update((int(upto),))
-            if row is not None:
-                self.row.update((row,))
+        held = self.read()
+        self.write(held, self.start(held, initialState))
 
     def handleInputRows(self, key, rows, timerValues):
-        frame = pd.concat(list(rows)).sort_values(["txn", "step"], kind="stable")
-        if self.upto.exists():
-            frame = frame[frame["txn"] > self.upto.get()[0]]
-        out = []
-        now = self.row.get()[0] if self.row.exists() else None
-        for txn, part in frame.groupby("txn", sort=True):
-            new = part["row"].iloc[-1] if part["op"].iloc[-1] == "insert" else None
-            if new != now:
-                kind = "insert" if now is None else "delete" if new is None else "update"
-                out.append((*key, txn, kind, now, new))
-            now = new
-        if now is None:
-            self.row.clear()
-        else:
-            self.row.update((now,))
-        yield pd.DataFrame(out, columns=["key", "txn", "kind", "old", "new"])
+        held = self.read()
+        out, changed = self.step(held, pd.concat(list(rows)))
+        self.write(held, changed)
+        if out:
+            told = pd.DataFrame(out, columns=self.TOLD)
+            yield told.assign(key=None) if key[0] < 0 else told
 
     def close(self) -> None:
         pass
 
 
-def keyed_events(stream: DataFrame, initial: DataFrame | None = None) -> DataFrame:
+class _Apply(_Keys):
+    """Holds keys' rows as JSON texts; tells insert, update or delete against them; a delete clears a key's state."""
+
+    TOLD = ["key", "txn", "kind", "old", "new"]
+
+    def start(self, held, initial):
+        for k, row, upto in _values(initial, "key", "row", "upto"):
+            held[k] = (row if row is not None else (held.get(k) or (None,))[0], int(upto))
+        return initial["key"].unique().tolist()
+
+    def step(self, held, frame):
+        last = frame.sort_values(["key", "txn", "step"], kind="stable").drop_duplicates(["key", "txn"], keep="last")
+        out, changed = [], {}
+        for k, txn, op, row in _values(last, "key", "txn", "op", "row"):
+            now, upto = held.get(k) or (None, None)
+            new = row if op == "insert" else None
+            if new != now and (upto is None or txn > upto):
+                out.append((k, txn, "insert" if now is None else "delete" if new is None else "update", now, new))
+                held[k] = None if new is None and upto is None else (new, upto)
+                changed[k] = True
+        return out, changed
+
+
+def keyed_events(stream: DataFrame, initial: DataFrame | None = None, parts: int = PARTS) -> DataFrame:
     """key long, txn, op, row (JSON text) -> events against each key's held row; needs the RocksDB state store.
 
     initial: key, row, upto: a snapshot's rows, each with the last txn that it has seen; what a stream repeats up to there
-    is left out, key by key.
+    is left out, key by key. A micro-batch reads and writes the states of the parts that its keys are in.
     """
-    stepped = stream.withColumn("step", F.when(F.col("op") == "delete", 0).otherwise(1))
-    first = None if initial is None else initial.groupBy("key")
-    return stepped.groupBy("key").transformWithStateInPandas(_Apply(), "key long, txn long, kind string, old string, new string", "Append", "None", initialState=first)
+    stepped = stream.where("txn is not null").withColumn("step", F.when(F.col("op") == "delete", 0).otherwise(1))
+    first = None if initial is None else _dealt(initial, parts).groupBy("_part")
+    return _dealt(stepped, parts).groupBy("_part").transformWithStateInPandas(_Apply(), "key long, txn long, kind string, old string, new string", "Append", "None", initialState=first)
 
 
 def state_then_changes(stream: DataFrame, snapshot: DataFrame, upto: int, path: str):
@@ -112,92 +160,75 @@ def late_listener(spark: SparkSession, path: str, schema: T.StructType, checkpoi
     return rows.where(F.col("batch") > after)
 
 
-class _Changed(StatefulProcessor):
-    """Holds a key's last value; tells those that differ from the one before."""
+class _Changed(_Keys):
+    """Holds keys' last values; tells those that differ from the one before."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "value string")
+    TOLD = ["key", "seq", "value"]
 
-    def handleInputRows(self, key, rows, timerValues):
-        frame = pd.concat(list(rows)).sort_values("seq", kind="stable")
-        out, held = [], self.last.exists()
-        last = self.last.get()[0] if held else None
-        for seq, value in zip(frame["seq"], frame["value"], strict=True):
-            value = None if value is None or value != value else value
-            if not held or value != last:
-                out.append((*key, seq, value))
-            last, held = value, True
-        self.last.update((last,))
-        yield pd.DataFrame(out, columns=["key", "seq", "value"])
-
-    def close(self) -> None:
-        pass
+    def step(self, held, frame):
+        out, changed = [], {}
+        for k, unplaced, seq, value in _values(frame.sort_values(["key", "unplaced", "seq"], kind="stable"), "key", "unplaced", "seq", "value"):
+            if held.get(k) != [value]:
+                out.append((k, None if unplaced else seq, value))
+                held[k] = [value]
+                changed[k] = True
+        return out, changed
 
 
-def distinct_until_changed(stream: DataFrame) -> DataFrame:
+def distinct_until_changed(stream: DataFrame, parts: int = PARTS) -> DataFrame:
     """key long, seq, value text -> each key's values that differ from the one before, null a value like others."""
-    return stream.groupBy("key").transformWithStateInPandas(_Changed(), "key long, seq long, value string", "Append", "None")
+    placed = stream.withColumns({"unplaced": F.col("seq").isNull(), "seq": F.coalesce("seq", F.lit(0).cast("long"))})
+    return _dealt(placed, parts).groupBy("_part").transformWithStateInPandas(_Changed(), "key long, seq long, value string", "Append", "None")
 
 
-class _Own(StatefulProcessor):
-    """Holds a key's owners and row (JSON text); tells when the first owner comes, the last one goes, the row changes.
+class _Own(_Keys):
+    """Holds keys' rows (JSON texts) and owners; tells when the first owner comes, the last one goes, the row changes.
 
     A set that reports the key absent leaves the row as it was before: others still own that one.
     """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.owners = handle.getMapState("owners", "query_set_id long", "owns boolean")
-        self.row = handle.getValueState("row", "json string")
+    TOLD = ["key", "txn", "query_set_id", "kind", "old", "new"]
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        for row, sets in initialState[["row", "sets"]].itertuples(index=False):
-            for q in sets if sets is not None else []:
-                self.owners.updateValue((int(q),), (True,))
-            if row is not None:
-                self.row.update((row,))
+    def start(self, held, initial):
+        for k, row, sets in _values(initial, "key", "row", "sets"):
+            was, owners = held.get(k) or (None, ())
+            held[k] = (was if row is None else row, sorted({*owners, *(int(q) for q in (() if sets is None else sets))}))
+        return initial["key"].unique().tolist()
 
-    def handleInputRows(self, key, rows, timerValues):
-        frame = pd.concat(list(rows))
-        order = [c for c in ("txn", "set_no", "query_set_id", "grp", "pos") if c in frame]
+    def step(self, held, frame):
         if "set_no" not in frame:
             frame["set_no"] = frame["query_set_id"]
-        frame = frame.sort_values(order, kind="stable")
-        owners = {int(k[0]) for k in self.owners.keys()}
-        held = self.row.get()[0] if self.row.exists() else None
-        out = []
-        for (txn, _, q), part in frame.groupby(["txn", "set_no", "query_set_id"], sort=True):
-            before, old = bool(owners), held
-            new = part.loc[part["op"] == "insert", "row"]
-            if len(new):
-                held = new.iloc[-1]
-                owners.add(int(q))
-                self.owners.updateValue((int(q),), (True,))
-            elif q in owners:
-                owners.discard(int(q))
-                self.owners.removeKey((int(q),))
-            after = bool(owners)
-            kind = "insert" if after and not before else "delete" if before and not after else "update" if before and after and held != old else None
+        # a set's last insert on a key in a transaction, else one of its deletes
+        turn = ["key", "txn", "set_no", "query_set_id"]
+        places = [c for c in ("grp", "pos") if c in frame]
+        last = frame.assign(_in=frame["op"] == "insert").sort_values([*turn, "_in", *places], kind="stable").drop_duplicates(turn, keep="last")
+        out, now = [], {}
+        for k, txn, q, inserted, row in _values(last, "key", "txn", "query_set_id", "_in", "row"):
+            if k not in now:
+                was, sets = held.get(k) or (None, ())
+                now[k] = (was, set(sets))
+            old, owners = now[k]
+            new, before = row if inserted else old, bool(owners)
+            (owners.add if inserted else owners.discard)(q)
+            now[k] = (new, owners)
+            kind = "insert" if owners and not before else "delete" if before and not owners else "update" if owners and new != old else None
             if kind:
-                out.append((*key, txn, int(q), kind, None if kind == "insert" else old, None if kind == "delete" else held))
-        if owners and held is not None:
-            self.row.update((held,))
-        else:
-            self.row.clear()
-        yield pd.DataFrame(out, columns=["key", "txn", "query_set_id", "kind", "old", "new"])
-
-    def close(self) -> None:
-        pass
+                out.append((k, txn, q, kind, None if kind == "insert" else old, None if kind == "delete" else new))
+        held.update((k, (row, sorted(owners)) if owners else None) for k, (row, owners) in now.items())
+        return out, now
 
 
-def owned_key_events(stream: DataFrame, initial: DataFrame | None = None) -> DataFrame:
+def owned_key_events(stream: DataFrame, initial: DataFrame | None = None, parts: int = PARTS) -> DataFrame:
     """key long, txn, query_set_id, op, row (JSON text) -> net events of keys under overlapping query sets, with values.
 
     Sets of a transaction take effect in order of set_no, where there is one, else of query_set_id. initial: key, row,
-    sets (those that own it) before the stream. Rows are compared as texts, so to_json is to give all of them.
+    sets (those that own it) before the stream. Rows are compared as texts, so to_json is to give all of them. A
+    micro-batch reads and writes the states of the parts that its keys are in.
     """
     shape = "key long, txn long, query_set_id long, kind string, old string, new string"
-    first = None if initial is None else initial.groupBy("key")
-    return stream.groupBy("key").transformWithStateInPandas(_Own(), shape, "Append", "None", initialState=first)
+    there = stream.dropna(subset=[c for c in ("txn", "set_no", "query_set_id") if c in stream.columns])
+    first = None if initial is None else _dealt(initial, parts).groupBy("_part")
+    return _dealt(there, parts).groupBy("_part").transformWithStateInPandas(_Own(), shape, "Append", "None", initialState=first)
 
 
 class _Dirty(StatefulProcessor):

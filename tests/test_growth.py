@@ -1,12 +1,15 @@
 """Steps whose cost or range is to hold on tables much larger than these."""
 
+import random
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from deltaloom.functions import scalars
 from deltaloom.operators import changes, overlay
 from deltaloom.sources import tables
+from deltaloom.streaming import feeds
 
 
 def rows(df):
@@ -56,6 +59,64 @@ def test_written_state_does_not_join_rows_without_a_request(spark, tmp_path, mon
     assert "isnull(request_id" in plans[0]._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.fixture
+def rocks(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, feeds.ROCKS)
+    yield
+    spark.conf.set(name, before)
+
+
+def streamed(spark, path, batches, shape, through):
+    """What through tells of the batches, in the order of batches."""
+    for batch in batches:
+        spark.createDataFrame(batch, shape).write.mode("append").parquet(f"{path}/in")
+        out = through(spark.readStream.schema(shape).parquet(f"{path}/in"))
+        out.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/c").trigger(availableNow=True).start().awaitTermination()
+    return rows(spark.read.schema(out.schema).parquet(f"{path}/out"))
+
+
+def calls_of(monkeypatch, tmp_path, name):
+    """How often Python is called for a group of a stream's rows, told by the lines of a file."""
+    base, path = getattr(feeds, name), f"{tmp_path}/calls"
+
+    class Counted(base):
+        MOST = 2  # states are merged in most micro-batches
+
+        def handleInputRows(self, key, rows, timerValues):
+            with open(path, "a") as f:
+                f.write("call\n")
+            yield from base.handleInputRows(self, key, rows, timerValues)
+
+    monkeypatch.setattr(feeds, name, Counted)
+    return lambda: len(open(path).readlines())
+
+
+BIG = 2**53 + 1
+
+
+def test_owned_keys_share_their_state(spark, tmp_path, rocks, monkeypatch):
+    calls, rng = calls_of(monkeypatch, tmp_path, "_Own"), random.Random(5)
+    shape, n = "key long, txn long, query_set_id long, op string, row string", 3000
+    ops = [[(rng.randrange(n) + BIG, t, rng.randrange(1, 4), rng.choice(["insert", "insert", "delete"]), rng.choice(["a", "b"])) for t in range(b * 4000, b * 4000 + 4000)] for b in range(2)]
+    ops[0] += [(None, 1, 1, "insert", "n"), (BIG, None, 1, "insert", "no place"), (BIG, 1, None, "insert", "no set")]
+    first = [(k + BIG, "base", [1, 2]) for k in range(0, n, 3)] + [(None, "n", [2])]
+    initial = spark.createDataFrame(first, "key long, row string, sets array<long>")
+    got = streamed(spark, tmp_path, ops, shape, lambda s: feeds.owned_key_events(s, initial, parts=4))
+    held, want = {k: (row, set(sets)) for k, row, sets in first}, []
+    for k, txn, q, op, row in sorted((r for b in ops for r in b if r[1] is not None and r[2] is not None), key=lambda r: r[1]):
+        old, owners = held.get(k, (None, set()))
+        before, new = bool(owners), row if op == "insert" else old
+        owners = owners | {q} if op == "insert" else owners - {q}
+        kind = "insert" if owners and not before else "delete" if before and not owners else "update" if owners and new != old else None
+        held[k] = (new, owners)
+        if kind:
+            want.append((k, txn, q, kind, None if kind == "insert" else old, None if kind == "delete" else new))
+    assert got == sorted(want, key=str)
+    assert calls() <= 2 * 5, "a call for each part and micro-batch, not for each key"
+
+
 def test_bags_are_scanned_and_copied_in_parts(spark, monkeypatch):
     monkeypatch.setattr(changes, "TASK_ROWS", 100)
     monkeypatch.setattr(changes, "COPIES", 10)
