@@ -354,7 +354,7 @@ def streamed_owned_events(t):
     log = t("two_set_log").select(F.col("o_orderkey").alias("key"), "txn", "set_no", F.col("query_set_id").cast("long").alias("query_set_id"), "op", F.to_json(F.struct("o_orderkey", "o_totalprice")).alias("row"))
     sets = t("orders_owners").groupBy(F.col("o_orderkey").alias("key")).agg(F.collect_set("query_set_id").alias("sets"))
     initial = _owned_rows(t).select(F.col("o_orderkey").alias("key"), F.to_json(F.struct("o_orderkey", "o_totalprice")).alias("row")).join(sets, "key")
-    out = _streamed(log, lambda stream: feeds.owned_key_events(stream, initial), 3)
+    out = _streamed(_by_txn(log, 3), lambda stream: feeds.owned_key_events(stream, initial))
     price = lambda c: F.from_json(c, "o_totalprice double")["o_totalprice"]
     return out.select("txn", F.col("query_set_id").cast("int").alias("query_set_id"), F.col("key").alias("o_orderkey"), "kind", price("old").alias("old_price"), price("new").alias("new_price"))
 
@@ -590,38 +590,48 @@ def wire_values(t):
 # streams: each reads its input in micro-batches until there is none left, and the query returns what the sink holds
 
 
-def _streamed(rows: DataFrame, through, batches: int = 1, source: str | None = None) -> DataFrame:
-    """Rows written to the shared folder, streamed through an operator into files, and read back.
+def _batches(spark: SparkSession, parts: list[DataFrame], start) -> None:
+    """Each part written to the shared folder, by all tasks, and then streamed as the next micro-batch of one stream."""
+    source, progress = (_folder(spark, name) for name in ("source", "progress"))
+    for rows in parts:
+        rows.write.mode("append").parquet(source)
+        start(feeds.read_change_stream(spark, source, rows.schema)).option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+
+
+def _by_txn(rows: DataFrame, parts: int) -> list[DataFrame]:
+    """rows in parts that follow each other by txn."""
+    spark, whole = rows.sparkSession, _folder(rows.sparkSession, "whole")
+    rows.write.parquet(whole)
+    rows = spark.read.schema(rows.schema).parquet(whole)
+    return [rows.where(F.expr(f"cast(txn * {parts} / 150 as int) = {k}")) for k in range(parts)]
+
+
+def _streamed(parts: DataFrame | list[DataFrame], through) -> DataFrame:
+    """Rows written to the shared folder, streamed through an operator into files, and read back; each part is a micro-batch."""
+    parts = parts if isinstance(parts, list) else [parts]
+    spark = parts[0].sparkSession
+    sink, shape = _folder(spark, "sink"), []
+
+    def start(stream: DataFrame):
+        out = through(stream)
+        shape.append(out.schema)
+        return out.writeStream.format("parquet").option("path", sink)
 
-    Several batches are in order of txn, unless source has them already."""
-    spark = rows.sparkSession
-    sink, state = (_folder(spark, name) for name in ("sink", "progress"))
-    if source:
-        pass
-    elif batches == 1:
-        rows.write.parquet(source := _folder(spark, "source"))
-    else:
-        source = _written(spark, rows, "source", batches)
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", feeds.ROCKS)
     try:
-        out = through(feeds.read_change_stream(spark, source, rows.schema, **({} if batches == 1 else {"maxFilesPerTrigger": 1})))
-        schema = out.schema
-        out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+        _batches(spark, parts, start)
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-    return spark.read.schema(schema).parquet(sink)
+    return spark.read.schema(shape[0]).parquet(sink)
 
 
 @query(UNTIL_CHANGED)
 def streamed_distinct_until_changed(t):
     h = t("history")
     rows = h.select(F.col("user_id").alias("key"), "seq", "value")
-    source = _folder(h.sparkSession, "source")
     middle = h.agg(F.max("seq")).first()[0] // 2
-    for part in (F.col("seq") <= middle, F.col("seq") > middle):
-        rows.where(part).coalesce(1).write.mode("append").parquet(source)
-    return _streamed(rows, feeds.distinct_until_changed, 2, source).select(F.col("key").alias("user_id"), "seq", "value")
+    return _streamed([rows.where(F.col("seq") <= middle), rows.where(F.col("seq") > middle)], feeds.distinct_until_changed).select(F.col("key").alias("user_id"), "seq", "value")
 
 
 @query("SELECT event_id, user_id, event_type, 'insert' AS kind FROM events")
@@ -638,13 +648,11 @@ def keyed_events(t):
 def streamed_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's held row after a stream of three batches; what is held replaces what was."""
     log = fixture(spark, sf_dir, "user_log").withColumnRenamed("seq", "txn")
-    source, sink = _folder(spark, "source"), _folder(spark, "held")
+    sink = _folder(spark, "held")
     edge = log.agg(F.max("txn")).first()[0] // 3
-    for k in range(3):
-        log.where((F.col("txn") > k * edge) & ((F.col("txn") <= (k + 1) * edge) | F.lit(k == 2)) | F.lit(k == 0) & (F.col("txn") <= 0)).coalesce(1).write.mode("append").parquet(source)
-    stream = feeds.latest(feeds.read_change_stream(spark, source, log.schema, maxFilesPerTrigger=1), ["user_id"])
+    parts = [log.where((F.col("txn") > k * edge) & ((F.col("txn") <= (k + 1) * edge) | F.lit(k == 2)) | F.lit(k == 0) & (F.col("txn") <= 0)) for k in range(3)]
     put = lambda held, _: held.write.mode("overwrite").parquet(sink)
-    stream.writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", _folder(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
+    _batches(spark, parts, lambda stream: feeds.latest(stream, ["user_id"]).writeStream.outputMode("complete").foreachBatch(put))
     return spark.read.parquet(sink).select("row.*").where("op <> 'delete'").select("user_id", F.col("txn").alias("seq"), "event_type")
 
 
@@ -662,11 +670,10 @@ def coalesced_snapshot_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     views are events; clicks are written directly after all changes, so that no flush of them is due.
     """
     rows = fixture(spark, sf_dir, "events").select(F.col("event_id").alias("txn"), F.col("event_type").alias("table_name"), "user_id", "value", F.when(F.col("event_id") % 5 == 0, "delete").otherwise("insert").alias("op"))
-    source, path, marks, out = (_folder(spark, n) for n in ("source", "tables", "marks", "snapshots"))
-    for k in range(3):
-        rows.where(F.col("txn") % 3 == k).withColumn("txn", F.col("txn") + k * 10**9).coalesce(1).write.mode("append").parquet(source)
+    path, marks, out = (_folder(spark, n) for n in ("tables", "marks", "snapshots"))
+    parts = [rows.where(F.col("txn") % 3 == k).withColumn("txn", F.col("txn") + k * 10**9) for k in range(3)]
     key, none = ["table_name", "user_id"], rows.select("table_name", "user_id", "value").where("false")
-    _batches(spark, source, rows.schema, lambda stream: feeds.ordered_apply(stream, path, key, none, marks, buckets=8))
+    _batches(spark, parts, lambda stream: feeds.ordered_apply(stream, path, key, none, marks, buckets=8))
     held = feeds.held_rows(spark, path, key, none.schema, buckets=8)
     feeds.write_now(held, "click", out, marks)
     due = {r[0] for r in rows.select("table_name").distinct().collect()} - {"view", "click"}
@@ -688,32 +695,17 @@ def coalesced_snapshot_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.groupBy("table_name").agg(F.count("*").alias("n"), F.count_distinct("write").alias("writes"), F.sum("user_id").alias("users"))
 
 
-def _written(spark: SparkSession, rows: DataFrame, name: str, parts: int) -> str:
-    """rows in files whose order of time is that of txn, so that a stream reads them in several ordered batches."""
-    path, whole = _folder(spark, name), _folder(spark, name)
-    rows.write.parquet(whole)
-    rows = spark.read.parquet(whole)
-    for k in range(parts):
-        rows.where(F.expr(f"cast(txn * {parts} / 150 as int) = {k}")).coalesce(1).write.mode("append").parquet(path)
-    return path
-
-
-def _batches(spark: SparkSession, path: str, schema: T.StructType, start) -> None:
-    stream = feeds.read_change_stream(spark, path, schema, maxFilesPerTrigger=1)
-    start(stream).option("checkpointLocation", _folder(spark, "progress")).trigger(availableNow=True).start().awaitTermination()
-
-
 def ordered_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, out = fixture(spark, sf_dir, "orders_log"), _folder(spark, "ordered")
     base = fixture(spark, sf_dir, "orders_base").select(*changes.row_columns(log))
-    _batches(spark, _written(spark, log, "log", 10), log.schema, lambda stream: feeds.ordered_apply(stream, out, KEY, base, buckets=8))
+    _batches(spark, _by_txn(log, 10), lambda stream: feeds.ordered_apply(stream, out, KEY, base, buckets=8))
     return feeds.ordered_state(spark, out, KEY, base).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
 def owned_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     log, owners, out = fixture(spark, sf_dir, "two_set_log"), fixture(spark, sf_dir, "orders_owners"), _folder(spark, "owned")
     state = _owned_rows(lambda name: fixture(spark, sf_dir, name))
-    _batches(spark, _written(spark, log, "log", 6), log.schema, lambda stream: feeds.owned_feed(stream, out, KEY, state, owners, buckets=8))
+    _batches(spark, _by_txn(log, 6), lambda stream: feeds.owned_feed(stream, out, KEY, state, owners, buckets=8))
     return flat(spark.read.parquet(f"{out}/events"), "txn", "query_set_id", *KEY)
 
 
@@ -722,14 +714,12 @@ def streamed_state_then_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fixture(spark, sf_dir, "user_log").select(F.col("user_id").alias("key"), F.col("seq").alias("txn"), "op", F.col("event_type").alias("row"))
     middle = log.agg(F.max("txn")).first()[0] // 2
     now = log.where(F.col("txn") <= middle).groupBy("key").agg(F.max_by(F.struct("op", "row"), "txn").alias("last")).where("last.op = 'insert'").select("key", "last.row")
-    source, out = _folder(spark, "source"), _folder(spark, "told")
+    out = _folder(spark, "told")
     parts = [F.col("txn") <= middle // 2, (F.col("txn") > middle // 2) & (F.col("txn") <= middle + 5), F.col("txn") > middle + 5]
-    for part in parts[1:]:
-        log.where(part).coalesce(1).write.mode("append").parquet(source)
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", feeds.ROCKS)
     try:
-        _batches(spark, source, log.schema, lambda stream: feeds.state_then_changes(stream, now, middle, out))
+        _batches(spark, [log.where(part) for part in parts[1:]], lambda stream: feeds.state_then_changes(stream, now, middle, out))
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     return spark.read.parquet(out).select(F.col("key").alias("user_id"), "txn", "kind", "old", "new")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from deltaloom.functions import scalars
 from deltaloom.operators import changes, overlay
+from deltaloom.plans import extended
 from deltaloom.sources import tables
 from deltaloom.streaming import feeds
 
@@ -117,6 +118,14 @@ def test_owned_keys_share_their_state(spark, tmp_path, rocks, monkeypatch):
     assert calls() <= 2 * 5, "a call for each part and micro-batch, not for each key"
 
 
+def test_parts_of_a_feed_are_written_by_all_tasks(spark):
+    seen = []
+    parts = [spark.range(k * 8, k * 8 + 8, 1, 4) for k in range(2)]
+    keep = lambda batch, n: seen.append((n, rows(batch), batch.select(F.input_file_name()).distinct().count()))
+    extended._batches(spark, parts, lambda stream: stream.writeStream.foreachBatch(keep))
+    assert seen == [(n, sorted(((k,) for k in range(n * 8, n * 8 + 8)), key=str), 4) for n in range(2)]
+
+
 def test_bags_are_scanned_and_copied_in_parts(spark, monkeypatch):
     monkeypatch.setattr(changes, "TASK_ROWS", 100)
     monkeypatch.setattr(changes, "COPIES", 10)
