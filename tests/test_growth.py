@@ -118,6 +118,24 @@ def test_owned_keys_share_their_state(spark, tmp_path, rocks, monkeypatch):
     assert calls() <= 2 * 5, "a call for each part and micro-batch, not for each key"
 
 
+def test_keyed_events_share_their_state(spark, tmp_path, rocks, monkeypatch):
+    calls, rng = calls_of(monkeypatch, tmp_path, "_Apply"), random.Random(6)
+    ops = [[(rng.choice([None, *range(BIG, BIG + 500)]), t, rng.choice(["insert", "delete"]), rng.choice(["a", "b", None])) for t in range(b * 1000, b * 1000 + 1000)] for b in range(4)]
+    first = [(k, "base" if k % 2 else None, 100) for k in range(BIG, BIG + 200)]
+    initial = spark.createDataFrame(first, "key long, row string, upto long")
+    got = streamed(spark, tmp_path, ops, "key long, txn long, op string, row string", lambda s: feeds.keyed_events(s, initial, parts=3))
+    now, want = {k: row for k, row, _ in first}, []
+    upto = {k: u for k, _, u in first}
+    for k, txn, op, row in (r for b in ops for r in b):
+        old, new = now.get(k), row if op == "insert" else None
+        if txn > upto.get(k, -1):
+            now[k] = new
+            if old != new:
+                want.append((k, txn, "insert" if old is None else "delete" if new is None else "update", old, new))
+    assert got == sorted(want, key=str)
+    assert calls() <= 4 * 4, "a call for each part and micro-batch, not for each key"
+
+
 def test_parts_of_a_feed_are_written_by_all_tasks(spark):
     seen = []
     parts = [spark.range(k * 8, k * 8 + 8, 1, 4) for k in range(2)]
