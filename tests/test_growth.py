@@ -136,6 +136,20 @@ def test_keyed_events_share_their_state(spark, tmp_path, rocks, monkeypatch):
     assert calls() <= 4 * 4, "a call for each part and micro-batch, not for each key"
 
 
+def test_changed_values_share_their_state(spark, tmp_path, rocks, monkeypatch):
+    calls, rng = calls_of(monkeypatch, tmp_path, "_Changed"), random.Random(7)
+    seen = [[(rng.choice([None, *range(BIG, BIG + 400)]), t, rng.choice(["a", None])) for t in range(b * 1000, b * 1000 + 1000)] for b in range(3)]
+    seen[2].append((BIG + 1, None, "last"))
+    got = streamed(spark, tmp_path, seen, "key long, seq long, value string", lambda s: feeds.distinct_until_changed(s, parts=3))
+    last, want = {}, []
+    for k, seq, value in (r for b in seen for r in b):
+        if last.get(k) != [value]:
+            want.append((k, seq, value))
+        last[k] = [value]
+    assert got == sorted(want, key=str)
+    assert calls() <= 3 * 4, "a call for each part and micro-batch, not for each key"
+
+
 def test_parts_of_a_feed_are_written_by_all_tasks(spark):
     seen = []
     parts = [spark.range(k * 8, k * 8 + 8, 1, 4) for k in range(2)]
