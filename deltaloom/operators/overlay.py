@@ -74,8 +74,8 @@ def retained_unowned(inserts: DataFrame, owners: DataFrame, pk: list[str]) -> Da
     return inserts.join(owners.select(*pk), pk, "left_anti")
 
 
-def committed_only(state: DataFrame, pending_inserts: DataFrame, pending_requests: DataFrame | None = None) -> DataFrame:
-    """Rows to persist: without pending and retained inserts by content, one occurrence each.
+def committed_only(state: DataFrame, pending_inserts: DataFrame | None, pending_requests: DataFrame | None = None) -> DataFrame:
+    """Rows to persist: without pending and retained inserts by content, one occurrence each; without any, none is grouped.
 
     Rows of a table without a key carry the request that inserted them (request_id, null for the server's): those of
     pending_requests go first, whatever their content, and request_id is not persisted.
@@ -85,7 +85,7 @@ def committed_only(state: DataFrame, pending_inserts: DataFrame, pending_request
         # joined by their request, all rows of the server, which have none, would meet in one task
         sent = state.where("request_id is not null").join(pending_requests.select("request_id").distinct(), "request_id", "left_anti")
         state = state.where("request_id is null").select(*own).unionByName(sent.select(*own))
-    return state.exceptAll(pending_inserts.select(*state.columns))
+    return state if pending_inserts is None else state.exceptAll(pending_inserts.select(*state.columns))
 
 
 def overlay_events(state: DataFrame, overlay: DataFrame, pk: list[str]) -> DataFrame:

@@ -59,7 +59,7 @@ def write_state(state: DataFrame, pending_inserts: DataFrame | None, root: str,
     Left out are pending and retained inserts, one occurrence each, and, in a table without a key, all rows whose
     request_id is one of pending_requests. A reader gets the version before or this one, never a part of it.
     """
-    rows = committed_only(state, state.where("false") if pending_inserts is None else pending_inserts, pending_requests)
+    rows = committed_only(state, pending_inserts, pending_requests)
     version, spark = f"version-{uuid.uuid4().hex}", state.sparkSession
     rows.write.parquet(f"{root}/{version}")
     replace_text(spark, f"{root}/current", version)

@@ -60,6 +60,18 @@ def test_written_state_does_not_join_rows_without_a_request(spark, tmp_path, mon
     assert "isnull(request_id" in plans[0]._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_written_state_without_pending_inserts_is_not_grouped(spark, tmp_path, monkeypatch):
+    plans, only = [], tables.committed_only
+    monkeypatch.setattr(tables, "committed_only", lambda *a: plans.append(only(*a)) or plans[-1])
+    bag = spark.createDataFrame([(1, None), (1, None), (1, 7), (2, 8), (None, None), (None, None)], BAG)
+    tables.write_state(bag, None, f"{tmp_path}/a", spark.createDataFrame([(7,), (7,), (None,)], "request_id long"))
+    tables.write_state(bag.select("a"), None, f"{tmp_path}/b")
+    tables.write_state(bag.select("a"), bag.select("a").limit(0), f"{tmp_path}/c")
+    assert rows(tables.current_state(spark, f"{tmp_path}/a")) == sorted([(1,), (1,), (2,), (None,), (None,)], key=str)
+    assert rows(tables.current_state(spark, f"{tmp_path}/b")) == rows(tables.current_state(spark, f"{tmp_path}/c")) == sorted([(1,)] * 3 + [(2,), (None,), (None,)], key=str)
+    assert not any("replicaterows" in p._jdf.queryExecution().optimizedPlan().toString().lower() for p in plans[:2]), "every row would be counted with its equals"
+
+
 @pytest.fixture
 def rocks(spark):
     name = "spark.sql.streaming.stateStore.providerClass"
