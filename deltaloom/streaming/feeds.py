@@ -118,6 +118,9 @@ class _Apply(_Keys):
         return out, changed
 
 
+TOLD_EVENTS = "key long, txn long, kind string, old string, new string"
+
+
 def keyed_events(stream: DataFrame, initial: DataFrame | None = None, parts: int = PARTS) -> DataFrame:
     """key long, txn, op, row (JSON text) -> events against each key's held row; needs the RocksDB state store.
 
@@ -126,7 +129,7 @@ def keyed_events(stream: DataFrame, initial: DataFrame | None = None, parts: int
     """
     stepped = stream.where("txn is not null").withColumn("step", F.when(F.col("op") == "delete", 0).otherwise(1))
     first = None if initial is None else _dealt(initial, parts).groupBy("_part")
-    return _dealt(stepped, parts).groupBy("_part").transformWithStateInPandas(_Apply(), "key long, txn long, kind string, old string, new string", "Append", "None", initialState=first)
+    return _dealt(stepped, parts).groupBy("_part").transformWithStateInPandas(_Apply(), TOLD_EVENTS, "Append", "None", initialState=first)
 
 
 def state_then_changes(stream: DataFrame, snapshot: DataFrame, upto: int, path: str):
@@ -135,9 +138,13 @@ def state_then_changes(stream: DataFrame, snapshot: DataFrame, upto: int, path:
     snapshot: key, row (JSON text) of all transactions up to upto; stream: key, txn, op, row from any point up to there
     on. The snapshot is path/batch=-1 with kind state; later batches have the events that their rows are against it, so
     a stream that goes back behind the snapshot tells nothing twice. Keys that the snapshot lacks start from nothing.
+    It is computed once: the stream starts from what was told, also after a failure before its first batch.
     """
-    _once(snapshot.select("key", F.lit(upto).cast("long").alias("txn"), F.lit("state").alias("kind"), F.lit(None).cast("string").alias("old"), F.col("row").alias("new")), f"{path}/batch=-1")
-    events = keyed_events(stream.where(F.col("txn") > upto), snapshot.select("key", "row", F.lit(upto).cast("long").alias("upto")))
+    told = f"{path}/batch=-1"
+    if not _written(stream.sparkSession, told):
+        _once(snapshot.select("key", F.lit(upto).cast("long").alias("txn"), F.lit("state").alias("kind"), F.lit(None).cast("string").alias("old"), F.col("row").alias("new")), told)
+    rows = stream.sparkSession.read.schema(TOLD_EVENTS).parquet(told)
+    events = keyed_events(stream.where(F.col("txn") > upto), rows.select("key", F.col("new").alias("row"), F.col("txn").alias("upto")))
 
     return events.writeStream.foreachBatch(lambda batch, batch_id: _once(batch, f"{path}/batch={batch_id}"))
 
@@ -322,12 +329,16 @@ def sync_results_sink(stream: DataFrame, path: str, checkpoint: str):
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("success").outputMode("append")
 
 
+def _written(spark: SparkSession, folder: str) -> bool:
+    done, files = files_of(spark, f"{folder}/_SUCCESS")
+    return files.exists(done)
+
+
 def _once(rows: DataFrame, folder: str) -> None:
     """Write what a batch tells, unless an earlier attempt at the batch has: its files, once read, stay the same.
 
     The rows are computed either way, as a stateful stream needs to bring its state up to date."""
-    done, files = files_of(rows.sparkSession, f"{folder}/_SUCCESS")
-    if files.exists(done):
+    if _written(rows.sparkSession, folder):
         rows.write.format("noop").mode("overwrite").save()
     else:
         rows.write.mode("overwrite").parquet(folder)

@@ -148,6 +148,18 @@ def test_keyed_events_share_their_state(spark, tmp_path, rocks, monkeypatch):
     assert calls() <= 4 * 4, "a call for each part and micro-batch, not for each key"
 
 
+def test_changes_follow_the_state_that_was_told(spark, tmp_path, rocks):
+    shape, out = "key long, txn long, op string, row string", f"{tmp_path}/told"
+    spark.createDataFrame([(1, 4, "insert", "z"), (1, 6, "insert", "a"), (2, 7, "insert", "b"), (3, 8, "delete", None), (4, 9, "insert", "d"), (None, 9, "insert", "n")], shape).write.parquet(f"{tmp_path}/in")
+    snapshot = lambda *made: spark.createDataFrame(made, "key long, row string")
+    start = lambda now: feeds.state_then_changes(spark.readStream.schema(shape).parquet(f"{tmp_path}/in"), now, 5, out)
+    start(snapshot((1, "a"), (2, "a"), (3, "c"), (None, "m")))  # fails before its first batch
+    start(snapshot((1, "new"), (2, "b"))).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    state = [(1, 5, "state", None, "a"), (2, 5, "state", None, "a"), (3, 5, "state", None, "c"), (None, 5, "state", None, "m")]
+    told = [(2, 7, "update", "a", "b"), (3, 8, "delete", "c", None), (4, 9, "insert", None, "d"), (None, 9, "update", "m", "n")]
+    assert rows(spark.read.parquet(out).select("key", "txn", "kind", "old", "new")) == sorted(state + told, key=str)
+
+
 def test_changed_values_share_their_state(spark, tmp_path, rocks, monkeypatch):
     calls, rng = calls_of(monkeypatch, tmp_path, "_Changed"), random.Random(7)
     seen = [[(rng.choice([None, *range(BIG, BIG + 400)]), t, rng.choice(["a", None])) for t in range(b * 1000, b * 1000 + 1000)] for b in range(3)]
