@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -590,12 +591,44 @@ def wire_values(t):
 # streams: each reads its input in micro-batches until there is none left, and the query returns what the sink holds
 
 
-def _batches(spark: SparkSession, parts: list[DataFrame], start) -> None:
-    """Each part written to the shared folder, by all tasks, and then streamed as the next micro-batch of one stream."""
+#: Rows of a micro-batch for each task with a part of a stream's state: to open and commit its state takes a task about a second.
+STATE_ROWS = 250_000
+
+
+def _state_tasks(rows: int, cores: int, most: int) -> int:
+    """Tasks with state for micro-batches of so many rows: whole rounds of all cores, and no more than most."""
+    return min(most, cores * max(1, -(-rows // (STATE_ROWS * cores))))
+
+
+@contextmanager
+def _keyed_state(spark: SparkSession, rows: int):
+    """Streams that start here keep their state in RocksDB, and have as many tasks with state as micro-batches of so many rows need."""
+    tasks, provider = "spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"
+    before = {name: spark.conf.get(name) for name in (tasks, provider)}
+    spark.conf.set(tasks, _state_tasks(rows, spark.sparkContext.defaultParallelism, int(before[tasks])))
+    spark.conf.set(provider, feeds.ROCKS)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def _batches(spark: SparkSession, parts: list[DataFrame], start, keyed: bool = False) -> None:
+    """Each part written to the shared folder, by all tasks, and then streamed as the next micro-batch of one stream.
+
+    keyed: the stream has state by key; its tasks are dealt by the first part's rows, as a checkpoint keeps their number.
+    """
     source, progress = (_folder(spark, name) for name in ("source", "progress"))
+    first = None
     for rows in parts:
         rows.write.mode("append").parquet(source)
-        start(feeds.read_change_stream(spark, source, rows.schema)).option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+        if keyed and first is None:
+            first = spark.read.schema(rows.schema).parquet(source).count()
+        writer = start(feeds.read_change_stream(spark, source, rows.schema)).option("checkpointLocation", progress).trigger(availableNow=True)
+        with _keyed_state(spark, first) if keyed else nullcontext():
+            running = writer.start()
+        running.awaitTermination()
 
 
 def _by_txn(rows: DataFrame, parts: int) -> list[DataFrame]:
@@ -617,12 +650,7 @@ def _streamed(parts: DataFrame | list[DataFrame], through) -> DataFrame:
         shape.append(out.schema)
         return out.writeStream.format("parquet").option("path", sink)
 
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", feeds.ROCKS)
-    try:
-        _batches(spark, parts, start)
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    _batches(spark, parts, start, keyed=True)
     return spark.read.schema(shape[0]).parquet(sink)
 
 
@@ -716,12 +744,7 @@ def streamed_state_then_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = log.where(F.col("txn") <= middle).groupBy("key").agg(F.max_by(F.struct("op", "row"), "txn").alias("last")).where("last.op = 'insert'").select("key", "last.row")
     out = _folder(spark, "told")
     parts = [F.col("txn") <= middle // 2, (F.col("txn") > middle // 2) & (F.col("txn") <= middle + 5), F.col("txn") > middle + 5]
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", feeds.ROCKS)
-    try:
-        _batches(spark, [log.where(part) for part in parts[1:]], lambda stream: feeds.state_then_changes(stream, now, middle, out))
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    _batches(spark, [log.where(part) for part in parts[1:]], lambda stream: feeds.state_then_changes(stream, now, middle, out), keyed=True)
     return spark.read.parquet(out).select(F.col("key").alias("user_id"), "txn", "kind", "old", "new")
 
 

@@ -1,5 +1,6 @@
 """Steps whose cost or range is to hold on tables much larger than these."""
 
+import os
 import random
 from datetime import timedelta
 
@@ -182,6 +183,29 @@ def test_parts_of_a_feed_are_written_by_all_tasks(spark):
     assert seen == [(n, sorted(((k,) for k in range(n * 8, n * 8 + 8)), key=str), 4) for n in range(2)]
 
 
+def test_state_of_a_stream_is_dealt_by_rows(spark, tmp_path, monkeypatch):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"]
+    session, cores = [spark.conf.get(n) for n in names], spark.sparkContext.defaultParallelism
+    seen = [[(k % 7 + BIG, k, "abc"[k // 7 % 3]) for k in range(b * 70, b * 70 + 70)] for b in range(2)]
+    parts = [spark.createDataFrame(rows, "key long, seq long, value string") for rows in seen]
+    monkeypatch.setattr(extended, "_folder", lambda spark, name: f"{tmp_path}/{name}")
+    spark.conf.set(names[0], str(3 * cores))
+    try:
+        got = rows(extended._streamed(parts, feeds.distinct_until_changed))
+        assert [spark.conf.get(n) for n in names] == [str(3 * cores), session[1]]
+    finally:
+        spark.conf.set(names[0], session[0])
+    assert got == sorted(seen[0] + seen[1], key=str), "each value differs from the one before"
+    states = [p for p in os.listdir(f"{tmp_path}/progress/state/0") if p.isdigit()]
+    assert len(states) == cores, "as many tasks with state as rows need, whatever the session's number"
+
+
+def test_tasks_with_state_grow_with_rows():
+    tasks = {n: extended._state_tasks(n, 12, 200) for n in (0, 1, 3_000_000, 3_000_001, 36_000_000, 10**9)}
+    assert tasks == {0: 12, 1: 12, 3_000_000: 12, 3_000_001: 24, 36_000_000: 144, 10**9: 200}
+    assert extended._state_tasks(10**6, 12, 4) == 4, "never more than the session's"
+
+
 def test_bags_are_scanned_and_copied_in_parts(spark, monkeypatch):
     monkeypatch.setattr(changes, "TASK_ROWS", 100)
     monkeypatch.setattr(changes, "COPIES", 10)
