@@ -200,6 +200,20 @@ def test_state_of_a_stream_is_dealt_by_rows(spark, tmp_path, monkeypatch):
     assert len(states) == cores, "as many tasks with state as rows need, whatever the session's number"
 
 
+def test_state_of_keyed_events_is_dealt_by_rows(spark, tmp_path, monkeypatch):
+    name, cores = "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism
+    before = spark.conf.get(name)
+    monkeypatch.setattr(extended, "_folder", lambda spark, name: f"{tmp_path}/{name}")
+    spark.createDataFrame([(k, k % 9, ("view", "error")[k // 9 % 2], 1.0) for k in range(36)], "event_id long, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set(name, str(3 * cores))
+    try:
+        got = rows(extended.QUERIES["keyed_events"](spark, str(tmp_path)))
+    finally:
+        spark.conf.set(name, before)
+    assert got == sorted(((k % 9, k, "delete", "view", None) if k // 9 % 2 else (k % 9, k, "insert", None, "view") for k in range(36)), key=str)
+    assert len([p for p in os.listdir(f"{tmp_path}/progress/state/0") if p.isdigit()]) == cores
+
+
 def test_tasks_with_state_grow_with_rows():
     tasks = {n: extended._state_tasks(n, 12, 200) for n in (0, 1, 3_000_000, 3_000_001, 36_000_000, 10**9)}
     assert tasks == {0: 12, 1: 12, 3_000_000: 12, 3_000_001: 24, 36_000_000: 144, 10**9: 200}
