@@ -5,8 +5,11 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +40,8 @@ def latest(stream: DataFrame, key: list[str]) -> DataFrame:
 
 #: Parts that the keys of a stream are dealt into. A stream's checkpoint holds for one number of them.
 PARTS = 1024
+#: Bytes of rows that a task deals by part at once.
+PACK = 2**25
 
 
 def _dealt(rows: DataFrame, parts: int) -> DataFrame:
@@ -48,6 +53,72 @@ def _dealt(rows: DataFrame, parts: int) -> DataFrame:
     return rows.withColumns({"_part": part, "key": F.coalesce("key", F.lit(0).cast("long"))})
 
 
+def _pack(batches):
+    """Rows with their _part -> one row for each part of PACK bytes of them: what Spark sends row by row costs Python more than its step."""
+    rows, size = [], 0
+    for batch in batches:
+        rows.append(batch)
+        size += batch.nbytes
+        if size >= PACK:
+            yield from _by_part(rows)
+            rows, size = [], 0
+    yield from _by_part(rows)
+
+
+def _by_part(batches):
+    if not sum(batch.num_rows for batch in batches):
+        return
+    table = pa.Table.from_batches(batches)
+    part = table["_part"].to_numpy()
+    order = np.argsort(part, kind="stable")
+    part, table = part[order], table.drop_columns(["_part"]).combine_chunks().take(order)
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    packs = []
+    for low, high in pairwise(edges):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table.slice(low, high - low))
+        packs.append(sink.getvalue().to_pybytes())
+    yield pa.RecordBatch.from_arrays([pa.array(part[edges[:-1]], pa.int32()), pa.array(packs, pa.binary())], ["_part", "rows"])
+
+
+def _packed(rows: DataFrame, parts: int):
+    """rows grouped by _part, those of a task and a part packed as an Arrow stream; _unpacked reads them."""
+    return _dealt(rows, parts).mapInArrow(_pack, "_part int, rows binary").groupBy("_part")
+
+
+def _unpacked(frames) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(pack).read_all() for frame in frames for pack in frame["rows"]]).combine_chunks()
+
+
+def _coded(texts: pa.ChunkedArray) -> tuple[np.ndarray, list]:
+    """Texts as places in a list of different ones, null as -1."""
+    coded = texts.combine_chunks().dictionary_encode()
+    return coded.indices.fill_null(-1).to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it; the first one does."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def _moved(key: np.ndarray, first: np.ndarray, differs: np.ndarray) -> np.ndarray:
+    """Places of the last rows of keys that have a row that differs."""
+    starts = np.flatnonzero(first)
+    some = np.logical_or.reduceat(differs, starts) if len(starts) else np.zeros(0, bool)
+    return np.append(starts[1:], len(key))[: len(starts)][some] - 1
+
+
+def _before(now: np.ndarray, first: np.ndarray, held: list) -> np.ndarray:
+    """Each row's code before it: that of the row before, or of its key's state for a key's first row."""
+    before = np.empty_like(now)
+    before[1:] = now[:-1]
+    before[first] = held
+    return before
+
+
 def _values(frame: pd.DataFrame, *columns: str):
     """Rows of plain values, null as None."""
     return zip(*(frame[c].astype(object).where(frame[c].notna(), None).tolist() for c in columns), strict=True)
@@ -85,10 +156,9 @@ class _Keys(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         held = self.read()
-        out, changed = self.step(held, pd.concat(list(rows)))
+        told, changed = self.step(held, _unpacked(rows))
         self.write(held, changed)
-        if out:
-            told = pd.DataFrame(out, columns=self.TOLD)
+        if len(told):
             yield told.assign(key=None) if key[0] < 0 else told
 
     def close(self) -> None:
@@ -98,24 +168,38 @@ class _Keys(StatefulProcessor):
 class _Apply(_Keys):
     """Holds keys' rows as JSON texts; tells insert, update or delete against them; a delete clears a key's state."""
 
-    TOLD = ["key", "txn", "kind", "old", "new"]
-
     def start(self, held, initial):
         for k, row, upto in _values(initial, "key", "row", "upto"):
             held[k] = (row if row is not None else (held.get(k) or (None,))[0], int(upto))
         return initial["key"].unique().tolist()
 
-    def step(self, held, frame):
-        last = frame.sort_values(["key", "txn", "step"], kind="stable").drop_duplicates(["key", "txn"], keep="last")
-        out, changed = [], {}
-        for k, txn, op, row in _values(last, "key", "txn", "op", "row"):
-            now, upto = held.get(k) or (None, None)
-            new = row if op == "insert" else None
-            if new != now and (upto is None or txn > upto):
-                out.append((k, txn, "insert" if now is None else "delete" if new is None else "update", now, new))
-                held[k] = None if new is None and upto is None else (new, upto)
-                changed[k] = True
-        return out, changed
+    def states(self, held, key):
+        first = _starts(key)
+        return first, [held.get(k) or (None, None) for k in key[first].tolist()]
+
+    def step(self, held, rows):
+        key, txn, step = (rows[c].to_numpy() for c in ("key", "txn", "step"))
+        row, texts = _coded(rows["row"])
+        order = np.lexsort((step, txn, key))
+        key, txn, row = key[order], txn[order], row[order]
+        last = np.append(_starts(key, txn)[1:], True)
+        key, txn, row = key[last], txn[last], row[last]
+        first, states = self.states(held, key)
+        if any(upto is not None for _, upto in states):
+            n = np.diff(np.flatnonzero(np.append(first, True)))
+            unseen = np.repeat([upto is None for _, upto in states], n) | (txn > np.repeat(np.array([upto or 0 for _, upto in states]), n))
+            key, txn, row = key[unseen], txn[unseen], row[unseen]
+            first, states = self.states(held, key)
+        code = {text: k for k, text in enumerate(texts)}
+        before = _before(row, first, [-1 if text is None else code.setdefault(text, len(code)) for text, _ in states])
+        differs, texts = before != row, np.array([*code, None], object)  # -1 is the last one
+        moved = _moved(key, first, differs)
+        for k, text in zip(key[moved].tolist(), texts[row[moved]].tolist(), strict=True):
+            upto = (held.get(k) or (None, None))[1]
+            held[k] = None if text is None and upto is None else (text, upto)
+        old, new = before[differs], row[differs]
+        kind = np.where(old < 0, "insert", np.where(new < 0, "delete", "update")).astype(object)
+        return pd.DataFrame({"key": key[differs], "txn": txn[differs], "kind": kind, "old": texts[old], "new": texts[new]}), key[moved].tolist()
 
 
 TOLD_EVENTS = "key long, txn long, kind string, old string, new string"
@@ -127,9 +211,10 @@ def keyed_events(stream: DataFrame, initial: DataFrame | None = None, parts: int
     initial: key, row, upto: a snapshot's rows, each with the last txn that it has seen; what a stream repeats up to there
     is left out, key by key. A micro-batch reads and writes the states of the parts that its keys are in.
     """
-    stepped = stream.where("txn is not null").withColumn("step", F.when(F.col("op") == "delete", 0).otherwise(1))
+    new = F.when(F.col("op") == "insert", F.col("row"))
+    stepped = stream.where("txn is not null").select("key", F.col("txn").cast("long").alias("txn"), step().cast("byte").alias("step"), new.alias("row"))
     first = None if initial is None else _dealt(initial, parts).groupBy("_part")
-    return _dealt(stepped, parts).groupBy("_part").transformWithStateInPandas(_Apply(), TOLD_EVENTS, "Append", "None", initialState=first)
+    return _packed(stepped, parts).transformWithStateInPandas(_Apply(), TOLD_EVENTS, "Append", "None", initialState=first)
 
 
 def state_then_changes(stream: DataFrame, snapshot: DataFrame, upto: int, path: str):
@@ -170,22 +255,26 @@ def late_listener(spark: SparkSession, path: str, schema: T.StructType, checkpoi
 class _Changed(_Keys):
     """Holds keys' last values; tells those that differ from the one before."""
 
-    TOLD = ["key", "seq", "value"]
-
-    def step(self, held, frame):
-        out, changed = [], {}
-        for k, unplaced, seq, value in _values(frame.sort_values(["key", "unplaced", "seq"], kind="stable"), "key", "unplaced", "seq", "value"):
-            if held.get(k) != [value]:
-                out.append((k, None if unplaced else seq, value))
-                held[k] = [value]
-                changed[k] = True
-        return out, changed
+    def step(self, held, rows):
+        key, unplaced, seq = (rows[c].to_numpy() for c in ("key", "unplaced", "seq"))
+        value, texts = _coded(rows["value"])
+        order = np.lexsort((seq, unplaced, key))
+        key, unplaced, seq, value = (c[order] for c in (key, unplaced, seq, value))
+        first = _starts(key)
+        code = {text: k for k, text in enumerate(texts)}
+        states = [held.get(k) for k in key[first].tolist()]
+        before = _before(value, first, [-2 if s is None else -1 if s[0] is None else code.setdefault(s[0], len(code)) for s in states])
+        differs, texts = before != value, np.array([*code, None], object)  # -1 is the last one
+        moved = _moved(key, first, differs)
+        held.update((k, [text]) for k, text in zip(key[moved].tolist(), texts[value[moved]].tolist(), strict=True))
+        seq = np.where(unplaced, None, seq) if unplaced.any() else seq
+        return pd.DataFrame({"key": key[differs], "seq": seq[differs], "value": texts[value[differs]]}), key[moved].tolist()
 
 
 def distinct_until_changed(stream: DataFrame, parts: int = PARTS) -> DataFrame:
     """key long, seq, value text -> each key's values that differ from the one before, null a value like others."""
-    placed = stream.withColumns({"unplaced": F.col("seq").isNull(), "seq": F.coalesce("seq", F.lit(0).cast("long"))})
-    return _dealt(placed, parts).groupBy("_part").transformWithStateInPandas(_Changed(), "key long, seq long, value string", "Append", "None")
+    placed = stream.select("key", F.col("seq").isNull().alias("unplaced"), F.coalesce("seq", F.lit(0)).cast("long").alias("seq"), "value")
+    return _packed(placed, parts).transformWithStateInPandas(_Changed(), "key long, seq long, value string", "Append", "None")
 
 
 class _Own(_Keys):
@@ -202,7 +291,8 @@ class _Own(_Keys):
             held[k] = (was if row is None else row, sorted({*owners, *(int(q) for q in (() if sets is None else sets))}))
         return initial["key"].unique().tolist()
 
-    def step(self, held, frame):
+    def step(self, held, rows):
+        frame = rows.to_pandas()
         if "set_no" not in frame:
             frame["set_no"] = frame["query_set_id"]
         # a set's last insert on a key in a transaction, else one of its deletes
@@ -222,7 +312,7 @@ class _Own(_Keys):
             if kind:
                 out.append((k, txn, q, kind, None if kind == "insert" else old, None if kind == "delete" else new))
         held.update((k, (row, sorted(owners)) if owners else None) for k, (row, owners) in now.items())
-        return out, now
+        return pd.DataFrame(out, columns=self.TOLD), now
 
 
 def owned_key_events(stream: DataFrame, initial: DataFrame | None = None, parts: int = PARTS) -> DataFrame:
@@ -233,9 +323,10 @@ def owned_key_events(stream: DataFrame, initial: DataFrame | None = None, parts:
     micro-batch reads and writes the states of the parts that its keys are in.
     """
     shape = "key long, txn long, query_set_id long, kind string, old string, new string"
-    there = stream.dropna(subset=[c for c in ("txn", "set_no", "query_set_id") if c in stream.columns])
+    used = ("key", "txn", "set_no", "grp", "pos", "query_set_id", "op", "row")
+    there = stream.select(*(c for c in used if c in stream.columns)).dropna(subset=[c for c in ("txn", "set_no", "query_set_id") if c in stream.columns])
     first = None if initial is None else _dealt(initial, parts).groupBy("_part")
-    return _dealt(there, parts).groupBy("_part").transformWithStateInPandas(_Own(), shape, "Append", "None", initialState=first)
+    return _packed(there, parts).transformWithStateInPandas(_Own(), shape, "Append", "None", initialState=first)
 
 
 class _Dirty(StatefulProcessor):

@@ -4,6 +4,8 @@ import os
 import random
 from datetime import timedelta
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,6 +216,67 @@ def test_state_of_keyed_events_is_dealt_by_rows(spark, tmp_path, monkeypatch):
     assert len([p for p in os.listdir(f"{tmp_path}/progress/state/0") if p.isdigit()]) == cores
 
 
+def test_rows_of_a_part_reach_python_packed(spark, tmp_path, rocks, monkeypatch):
+    base, path = feeds._Apply, f"{tmp_path}/sizes"
+
+    class Counted(base):
+        def handleInputRows(self, key, rows, timerValues):
+            frames = list(rows)
+            with open(path, "a") as f:
+                f.write(f"{sum(map(len, frames))}\n")
+            yield from base.handleInputRows(self, key, iter(frames), timerValues)
+
+    monkeypatch.setattr(feeds, "_Apply", Counted)
+    ops = [(k % 50 + BIG, k, "insert", "ab"[k // 50 % 2]) for k in range(4000)]
+    got = streamed(spark, tmp_path, [ops], "key long, txn long, op string, row string", lambda s: feeds.keyed_events(s, parts=3))
+    old = {"a": "b", "b": "a"}
+    assert got == sorted(((k, txn, "update" if txn >= 50 else "insert", old[row] if txn >= 50 else None, row) for k, txn, _, row in ops), key=str)
+    assert sum(map(int, open(path))) <= 3 * 8, "a row for each task and part, not for each change"
+
+
+def test_packs_hold_all_rows_by_part(monkeypatch):
+    monkeypatch.setattr(feeds, "PACK", 2000)
+    rng = random.Random(8)
+    sent = [(rng.choice([-1, 0, 0, 0, 5]), rng.choice([None, "", "x" * rng.randrange(90)]), k) for k in range(1000)]
+    table = pa.table(dict(zip(("_part", "row", "txn"), map(list, zip(*sent)), strict=True)), pa.schema([("_part", pa.int32()), ("row", pa.string()), ("txn", pa.int64())]))
+    packs = [(p, r) for b in feeds._pack(iter([pa.RecordBatch.from_pylist([], table.schema), *table.to_batches(100)])) for p, r in zip(b["_part"].to_pylist(), b["rows"].to_pylist(), strict=True)]
+    assert len(packs) > 3, "written in several rounds"
+    got = [(p, row, txn) for p in (-1, 0, 5) for row, txn in (r.values() for r in feeds._unpacked([pd.DataFrame({"rows": [x for part, x in packs if part == p]})]).to_pylist())]
+    assert sorted(got, key=str) == sorted(sent, key=str)
+    assert list(feeds._pack(iter([]))) == []
+
+
+def test_steps_over_whole_parts_tell_what_row_by_row_steps_tell():
+    rng = random.Random(9)
+    for _ in range(300):
+        n = rng.randrange(1, 40)
+        held = {BIG + k: (rng.choice(["a", "z"]), None) if rng.random() < 0.5 else (rng.choice(["a", None]), rng.randrange(10)) for k in range(rng.randrange(4))}
+        ops = [(BIG + rng.randrange(5), rng.randrange(20), *rng.choice([(0, None), (1, "a"), (1, "b"), (1, None)])) for _ in range(n)]
+        now, want, moved = dict(held), [], set()
+        for (k, txn, step), row in sorted({op[:3]: op[3] for op in ops}.items()):
+            if (k, txn, 1) in {op[:3] for op in ops} and not step:
+                continue
+            old, upto = now.get(k) or (None, None)
+            if row != old and (upto is None or txn > upto):
+                want.append((k, txn, "insert" if old is None else "delete" if row is None else "update", old, row))
+                now[k] = None if row is None and upto is None else (row, upto)
+                moved.add(k)
+        shape = pa.schema([("key", pa.int64()), ("txn", pa.int64()), ("step", pa.int8()), ("row", pa.string())])
+        told, changed = feeds._Apply().step(held, pa.table(dict(zip(shape.names, map(list, zip(*ops)), strict=True)), shape))
+        assert list(told.itertuples(index=False, name=None)) == want and held == now and set(changed) == moved
+        held = {BIG + k: [rng.choice(["a", "z", None])] for k in range(rng.randrange(4))}
+        seen = [(BIG + rng.randrange(5), *rng.choice([(False, t), (True, 0)]), rng.choice(["a", "b", None])) for t in range(n)]
+        now, want, moved = dict(held), [], set()
+        for k, unplaced, seq, value in sorted(seen, key=lambda r: r[:3]):
+            if now.get(k) != [value]:
+                want.append((k, None if unplaced else seq, value))
+                now[k] = [value]
+                moved.add(k)
+        shape = pa.schema([("key", pa.int64()), ("unplaced", pa.bool_()), ("seq", pa.int64()), ("value", pa.string())])
+        told, changed = feeds._Changed().step(held, pa.table(dict(zip(shape.names, map(list, zip(*seen)), strict=True)), shape))
+        assert list(told.itertuples(index=False, name=None)) == want and held == now and set(changed) == moved
+
+
 def test_tasks_with_state_grow_with_rows():
     tasks = {n: extended._state_tasks(n, 12, 200) for n in (0, 1, 3_000_000, 3_000_001, 36_000_000, 10**9)}
     assert tasks == {0: 12, 1: 12, 3_000_000: 12, 3_000_001: 24, 36_000_000: 144, 10**9: 200}
